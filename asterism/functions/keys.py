@@ -11,6 +11,7 @@ from asterism.operators.lookup import fits_broadcast
 from asterism.sources.staging import stage
 
 _GROUP, _PLACE = "_key_group", "_key_place"
+_SPAN_GROUP, _SPAN_SLICE, _SHIFT = "_key_span_group", "_key_span_slice", "_key_shift"
 
 
 def add_surrogate_key(df: DataFrame, name: str) -> DataFrame:
@@ -38,15 +39,16 @@ def add_ordered_key(df: DataFrame, name: str, within: Column, order_by: Sequence
         ordered.sortWithinPartitions(_GROUP, *order_by).withColumn(_PLACE, F.monotonically_increasing_id())
     )
 
-    spans = placed.groupBy(F.col(_GROUP).alias("g"), F.shiftright(_PLACE, 33).alias("slice")).agg(
+    slice_number = F.shiftright(_PLACE, 33)
+    spans = placed.groupBy(F.col(_GROUP).alias(_SPAN_GROUP), slice_number.alias(_SPAN_SLICE)).agg(
         F.count(F.lit(1)).alias("size"), F.min(_PLACE).alias("first")
     )
-    earlier = Window.partitionBy("g").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(_SPAN_GROUP).orderBy(_SPAN_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    spans = spans.select("g", "slice", (F.col("first") - before).alias("shift"))
-    if fits_broadcast(spans):  # one row per slice and group boundary
+    spans = spans.select(_SPAN_GROUP, _SPAN_SLICE, (F.col("first") - before).alias(_SHIFT))
+    if fits_broadcast(spans):  # one row per slice and per further group in it
         spans = F.broadcast(spans)
 
-    same_span = F.col(_GROUP).eqNullSafe(F.col("g")) & (F.shiftright(_PLACE, 33) == F.col("slice"))
-    numbered = placed.alias("rows").join(spans, same_span)
-    return numbered.select((F.col(_PLACE) - F.col("shift") + 1).alias(name), *(f"rows.`{c}`" for c in df.columns))
+    same_span = F.col(_GROUP).eqNullSafe(F.col(_SPAN_GROUP)) & (slice_number == F.col(_SPAN_SLICE))
+    numbered = placed.join(spans, same_span)
+    return numbered.select((F.col(_PLACE) - F.col(_SHIFT) + 1).alias(name), *df.columns)
