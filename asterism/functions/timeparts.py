@@ -28,11 +28,6 @@ def epoch_ms_to_timestamp(ms: str | Column) -> Column:
     return F.timestamp_add("MILLISECOND", F.col(ms) if isinstance(ms, str) else ms, F.expr(_EPOCH))
 
 
-def timestamp_to_epoch_ms(ts: str | Column) -> Column:
-    """Whole milliseconds from the epoch to a zone-less timestamp, truncated."""
-    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), F.col(ts) if isinstance(ts, str) else ts)
-
-
 def add_calendar(df: DataFrame, ts_col: str = "start_time") -> DataFrame:
     """Append the six calendar parts of ``ts_col`` in one projection."""
     return df.withColumns({name: part(ts_col) for name, part in CALENDAR.items()})

@@ -11,11 +11,14 @@ Three ways to run it, all with the same rows as a plain inner join:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from asterism.operators.transforms import drop_null
+
 BROADCAST_LIMIT = 64 << 20
 
 _HASH, _ROWS, _COLS = "_key_hash", "_grid_rows", "_grid_cols"
@@ -83,26 +86,25 @@ def grid_join(
             raise ValueError(f"{left} and {right} must share one exact type, not {kinds}")
     spark = rows.sparkSession
     cells = cells or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left, right, condition = rows.dropna(subset=left_keys), lookup.dropna(subset=right_keys), _equal(on)
+    left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
 
     hot = _hot_keys(left, left_keys, right, right_keys, cells).toArrow()
-    if hot.num_rows:
+    # a dimension of the grid that no key uses is left out: a constant would be dropped
+    # from the join condition and the two sides would no longer be partitioned alike
+    used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist(), default=1) > 1]
+    if used:
         shapes = F.broadcast(spark.createDataFrame(hot))
-        many_rows, many_cols = (max(hot.column(c).to_pylist()) > 1 for c in (_ROWS, _COLS))
-        left = _to_cells(left, left_keys, shapes, (_ROWS, "_left_row"), (_COLS, "_left_col"), many_cols)
-        right = _to_cells(right, right_keys, shapes, (_COLS, "_right_col"), (_ROWS, "_right_row"), many_rows)
-        left_keys, right_keys = [*left_keys, "_left_row", "_left_col"], [*right_keys, "_right_row", "_right_col"]
-        condition = condition & (F.col("_left_row") == F.col("_right_row")) & (F.col("_left_col") == F.col("_right_col"))
+        left = _to_cells(left, left_keys, shapes, "_left", _ROWS, used)
+        right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
+        on = [*on, *((f"_left{count}", f"_right{count}") for count in used)]
     # an explicit count, since small inputs with a large output must not be merged into few tasks
-    left, right = left.repartition(cells, *left_keys), right.repartition(cells, *right_keys)
-    return left.join(right, condition, "inner").select(*rows.columns, *lookup.columns)
+    left = left.repartition(cells, *(name for name, _ in on))
+    right = right.repartition(cells, *(name for _, name in on))
+    return left.join(right.hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
 
 
 def _equal(on: Sequence[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for left, right in on:
-        condition = condition & (F.col(left) == F.col(right))
-    return condition
+    return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
 
 
 def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], cells: int) -> DataFrame:
@@ -125,25 +127,21 @@ def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_key
 
 
 def _to_cells(
-    df: DataFrame,
-    keys: list[str],
-    shapes: DataFrame,
-    own: tuple[str, str],
-    other: tuple[str, str],
-    repeats: bool,
+    df: DataFrame, keys: list[str], shapes: DataFrame, prefix: str, own: str, used: Sequence[str]
 ) -> DataFrame:
-    """Give each row its own grid coordinate, and a copy per coordinate of the other side.
+    """Give each row one coordinate in its ``own`` dimension, and a copy for each in the other.
 
-    ``own`` and ``other`` pair the column with the key's count of coordinates and
-    the name of the coordinate. The own one hashes the row with its input
-    partition: equal copies from different partitions part ways, and a retried
-    task repeats its choice.
+    The own coordinate hashes the row with its input partition: equal copies from
+    different partitions part ways, and a retried task repeats its choice.
     """
     hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.xxhash64(F.spark_partition_id(), *hashable)
     marked = df.withColumn(_HASH, F.xxhash64(*keys)).join(shapes, _HASH, "left")
-    count, spread = F.col(own[0]), F.xxhash64(F.spark_partition_id(), *hashable)
-    coordinate = F.when(count > 1, F.pmod(spread, count.cast("bigint")).cast("int")).otherwise(0)
-    copies = F.lit(0)
-    if repeats:
-        copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other[0]), F.lit(1)) - 1))
-    return marked.select(*df.columns, coordinate.alias(own[1]), copies.alias(other[1]))
+    coordinates = []
+    for count in used:
+        if count == own:
+            place = F.when(F.col(count) > 1, F.pmod(spread, F.col(count).cast("bigint")).cast("int")).otherwise(0)
+        else:
+            place = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1))
+        coordinates.append(place.alias(f"{prefix}{count}"))
+    return marked.select(*df.columns, *coordinates)

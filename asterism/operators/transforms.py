@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,13 @@ def keep_equal(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.where(F.col(column) == F.lit(value))
 
 
+def drop_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value in each of ``columns``, as filters the scan can take over."""
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
+
+
 def project(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
     """Select ``{output name: source name or expression}`` in the given order."""
     return df.select(

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from asterism.operators.transforms import drop_null
+
 
 def dataset_path(root: str, name: str) -> str:
     """Address of a dataset below any Hadoop-readable root."""
@@ -33,4 +35,4 @@ def read_json_tree(
         rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base)
     else:
         rows = reader.json("/".join([base, *["*"] * depth, "*.json"]))
-    return rows.dropna(subset=list(required)) if required else rows
+    return drop_null(rows, required)

@@ -10,10 +10,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from asterism.functions.keys import add_ordered_key, add_surrogate_key
-from asterism.functions.timeparts import CALENDAR, add_calendar, epoch_ms_to_timestamp, timestamp_to_epoch_ms
+from asterism.functions.timeparts import CALENDAR, add_calendar, epoch_ms_to_timestamp
 from asterism.operators.transforms import copy_columns, distinct_rows, keep_equal, project, rename_columns
 from asterism.session import create_session, object_store_conf
 from asterism.sources.staging import scratch_root, stage
+from workload.standins import epoch_ms
 
 EPOCH = datetime(1970, 1, 1)
 few_examples = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -25,11 +26,17 @@ def test_epoch_ms_is_exact_both_ways(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "ms bigint").select(
         "ms", epoch_ms_to_timestamp("ms").alias("t")
     )
-    for ms, t, back in df.select("ms", "t", timestamp_to_epoch_ms("t")).collect():
+    for ms, t, back in df.select("ms", "t", epoch_ms("t")).collect():
         assert t == EPOCH + timedelta(milliseconds=ms)
         assert back == ms
 
 
+def test_epoch_ms_where_the_session_zone_skips_an_hour(spark):
+    skipped = datetime(2024, 3, 10, 2, 30)
+    df = spark.createDataFrame([(skipped,)], "t timestamp_ntz")
+    assert df.select(epoch_ms_to_timestamp(epoch_ms("t"))).first()[0] == skipped
+
+
 @few_examples
 @given(st.lists(st.datetimes(datetime(1900, 1, 1), datetime(2200, 1, 1)), min_size=1, max_size=200))
 def test_calendar_matches_python(spark, values):

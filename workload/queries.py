@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asterism.functions.keys import add_ordered_key, add_surrogate_key
-from asterism.functions.timeparts import add_calendar, epoch_ms_to_timestamp, timestamp_to_epoch_ms
+from asterism.functions.timeparts import add_calendar, epoch_ms_to_timestamp
 from asterism.operators.transforms import keep_equal, project, rename_columns
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import build_songplays
@@ -29,6 +29,7 @@ from workload.standins import (
     PAGE,
     catalogue_from_customer,
     catalogue_from_part,
+    epoch_ms,
     fanout_inputs,
     plays_from_events,
     table,
@@ -79,8 +80,8 @@ def dim_users(spark: SparkSession, sf: str) -> DataFrame:
 # -- time ---------------------------------------------------------------------
 
 
-def epoch_ms(spark: SparkSession, sf: str) -> DataFrame:
-    events = project(table(spark, sf, "events"), {"event_id": "event_id", "ms": timestamp_to_epoch_ms("ts")})
+def epoch_ms_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    events = project(table(spark, sf, "events"), {"event_id": "event_id", "ms": epoch_ms("ts")})
     return events.select("event_id", epoch_ms_to_timestamp("ms").alias("start_time"))
 
 
@@ -141,7 +142,7 @@ def dedup_before_id(spark: SparkSession, sf: str) -> DataFrame:
     """Plays cut to their day, user and level, so that many repeat."""
     plays = plays_from_events(spark, sf).withColumns(
         {
-            "start_time": F.date_trunc("day", "start_time").cast("timestamp_ntz"),
+            "start_time": F.to_date("start_time").cast("timestamp_ntz"),
             "sessionId": F.lit(0).cast("bigint"),
             "location": F.lit(None).cast("string"),
             "userAgent": F.col("gender"),
@@ -303,7 +304,7 @@ QUERIES: dict[str, Query] = {
     "dim_songs": dim_songs,
     "dim_artists": dim_artists,
     "dim_users": dim_users,
-    "epoch_ms_to_timestamp": epoch_ms,
+    "epoch_ms_to_timestamp": epoch_ms_round_trip,
     "calendar_parts": calendar_parts,
     "dim_time": dim_time,
     "dim_time_orders": dim_time_orders,

@@ -3,16 +3,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asterism.functions.timeparts import timestamp_to_epoch_ms
+from asterism.functions.timeparts import epoch_ms_to_timestamp
 from asterism.operators.lookup import BROADCAST_LIMIT, lookup_join
 from asterism.operators.transforms import copy_columns, distinct_rows, project
 from asterism.plans.jobs import select_plays
 from asterism.sources.json_tree import dataset_path
 from asterism.sources.schemas import CATALOGUE_DATASET, LOG_DATASET
-from asterism.sources.staging import scratch_root
+from asterism.sources.staging import scratch_root, stage
 
 PAGE = "purchase"
 
@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def epoch_ms(ts: str) -> Column:
+    """Whole milliseconds from the epoch to a zone-less timestamp, in any session zone."""
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
+    in_minute = F.floor(F.extract(F.lit("SECOND"), F.col(ts)) * 1000)
+    return F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000 + seconds * 1000 + in_minute.cast("bigint")
+
+
 def log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as activity log; the song asked for is the user's customer name."""
     return project(
@@ -28,7 +35,7 @@ def log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "page": "event_type",
             "song": F.concat(F.lit("Customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0")),
-            "ts": timestamp_to_epoch_ms("ts"),
+            "ts": epoch_ms("ts"),
             "userId": F.col("user_id").cast("string"),
             "firstName": F.concat(F.lit("F"), F.col("user_id").cast("string")),
             "lastName": F.concat(F.lit("L"), F.col("user_id").cast("string")),
@@ -90,6 +97,8 @@ def fanout_inputs(
     asked = plays_from_events(spark, sf_dir).drop("song").withColumn("part", F.col("location").cast("bigint"))
     names = project(part, {"p_partkey": "p_partkey", "song": "p_name"})
     plays = lookup_join(asked, names, [("part", "p_partkey")], broadcast_limit)
+    if broadcast_limit == 0:
+        plays = stage(plays)
     songs = distinct_rows(project(part, {"title": "p_name", "song_id": "p_brand", "artist_id": "p_brand"}))
     return plays, songs
 
@@ -98,7 +107,7 @@ def write_log_tree(spark: SparkSession, sf_dir: str) -> str:
     """Store the events as a log tree two directories deep; return its root."""
     root = scratch_root(spark)
     log = log_from_events(spark, sf_dir)
-    when = F.timestamp_millis("ts")
+    when = epoch_ms_to_timestamp("ts")
     log = log.withColumns({"y": F.year(when), "m": F.month(when)})
     log.write.partitionBy("y", "m").json(dataset_path(root, LOG_DATASET))
     return root
