@@ -22,7 +22,8 @@ from asterism.operators.transforms import drop_null
 BROADCAST_LIMIT = 64 << 20
 
 _HASH, _ROWS, _COLS = "_key_hash", "_grid_rows", "_grid_cols"
-_HASHABLE_KEYS = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+# types in which equal values have equal bytes, so equal hashes
+_EXACT_KEYS = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
@@ -81,9 +82,9 @@ def grid_join(
     """
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
     for left, right in on:
-        kinds = rows.schema[left].dataType, lookup.schema[right].dataType
-        if kinds[0] != kinds[1] or not isinstance(kinds[0], _HASHABLE_KEYS):
-            raise ValueError(f"{left} and {right} must share one exact type, not {kinds}")
+        kind, other = rows.schema[left].dataType, lookup.schema[right].dataType
+        if kind != other or not (kind == T.StringType() or isinstance(kind, _EXACT_KEYS)):
+            raise ValueError(f"{left} and {right} must share one exact type, not {kind} and {other}")
     spark = rows.sparkSession
     cells = cells or int(spark.conf.get("spark.sql.shuffle.partitions"))
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)

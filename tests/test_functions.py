@@ -129,7 +129,8 @@ def test_scratch_root_refuses_a_machine_local_folder_on_a_cluster():
 
 
 def test_session(spark):
-    assert create_session(conf={"spark.sql.adaptive.enabled": "true"}) is spark
+    assert create_session(conf={"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true"}) is spark
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert object_store_conf("group:artifact:1", "a.Provider") == {
         "spark.jars.packages": "group:artifact:1",
         "spark.hadoop.fs.s3a.aws.credentials.provider": "a.Provider",

@@ -121,7 +121,9 @@ def fact_title_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_title_fanout_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return _unkeyed(build_songplays(*fanout_inputs(spark, sf, broadcast_limit=0), broadcast_limit=0, cells=256))
+    # more cells than titles, so that even evenly asked titles are cut up
+    cells = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _unkeyed(build_songplays(*fanout_inputs(spark, sf, broadcast_limit=0), broadcast_limit=0, cells=cells))
 
 
 def fact_two_keys(spark: SparkSession, sf: str) -> DataFrame:
