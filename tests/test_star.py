@@ -6,6 +6,7 @@ import json
 from pathlib import Path
 
 import fixture_data as fx
+import job
 import pytest
 
 from asterism.plans.jobs import (
@@ -24,6 +25,7 @@ from asterism.sources.schemas import (
     SONG_KEYS_YEAR_ARTIST,
     SONG_KEYS_YEAR_TWICE,
 )
+from asterism.sources.tables import read_table
 
 KEYS = SONG_KEYS_YEAR_TWICE
 
@@ -174,6 +176,28 @@ def test_other_page(spark, star):
     assert [r.start_time.microsecond for r in kept.collect()] == [797000]
 
 
+def test_command_line(spark, star, root, capsys):
+    job.main(["build", star[0], root, "--dedup-before-id", "--song-folders", "artist"])
+    stored = load_star(spark, root, SONG_KEYS_YEAR_ARTIST)
+    same(stored["songplays"].drop("songplay_id"), fx.SONGPLAYS_DEDUPED)
+    job.main(["preview", root, "--song-folders", "artist", "--rows", "2"])
+    shown = capsys.readouterr().out
+    assert [line for line in shown.splitlines() if line in stored] == list(stored)
+    assert shown.count("only showing") == 0
+    with pytest.raises(SystemExit):
+        job.main(["preview", root, "--s3a-connector", "group:artifact:1"])
+
+
+def test_text_in_a_number_is_null(spark, root):
+    fx.write_lines(Path(root) / "log_data/1/1/a.json", [json.dumps({"page": "NextSong", "ts": "soon", "userId": "9"})])
+    same(select_plays(read_log(spark, root)), [("9", None)], "userId", "start_time")
+
+
+def test_a_table_is_read_without_a_schema(spark, star):
+    _, output, tables = star
+    assert read_table(spark, output, "users").dtypes == tables["users"].dtypes
+
+
 def write_song(root, name, **fields):
     fx.write_lines(Path(root) / "song_data" / name, [json.dumps(fields)])
 
