@@ -78,7 +78,8 @@ def grid_join(
     hot, so there are fewer than ``cells`` of them. With ``a`` grid rows and ``b``
     grid columns for a key, each of its left rows goes to one grid row and is
     repeated for the ``b`` columns, each of its lookup rows goes to one column and
-    is repeated for the ``a`` rows: any pair meets in exactly one cell.
+    is repeated for the ``a`` rows: any pair meets in exactly one cell. The rows of
+    a hot key that the other side lacks have no pair and are left out of the shuffle.
     """
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
     for left, right in on:
@@ -93,7 +94,7 @@ def grid_join(
     # a dimension of the grid that no key uses is left out: a constant would be dropped
     # from the join condition and the two sides would no longer be partitioned alike
     used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist(), default=1) > 1]
-    if used:
+    if hot.num_rows:
         shapes = F.broadcast(spark.createDataFrame(hot))
         left = _to_cells(left, left_keys, shapes, "_left", _ROWS, used)
         right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
@@ -111,6 +112,8 @@ def _equal(on: Sequence[tuple[str, str]]) -> Column:
 def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], cells: int) -> DataFrame:
     """Key hash and grid shape of each hot key: fewer than ``cells`` rows of 16 bytes.
 
+    The shape is 0 by 0 where one side has no row, so that there is nothing to join.
+
     Both sides are counted per key hash, combined in the map tasks. Two keys that
     share a hash share a grid, which costs nothing: the join still compares keys.
     """
@@ -123,8 +126,10 @@ def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_key
     hot = work.withColumn("want", F.ceil(F.col("work") * cells / total)).where(F.col("want") > 1)
     # the most nearly square share of pairs repeats the fewest rows
     square = F.round(F.sqrt(F.col("want") * F.col("n_left") / F.greatest("n_right", F.lit(1.0))))
-    hot = hot.withColumn(_ROWS, F.least(F.col("want"), F.greatest(one, square)).cast("int"))
-    return hot.select(_HASH, _ROWS, F.ceil(F.col("want") / F.col(_ROWS)).cast("int").alias(_COLS))
+    grid_rows = F.least(F.col("want"), F.greatest(one, square))
+    shape = hot.withColumns({_ROWS: grid_rows, _COLS: F.ceil(F.col("want") / grid_rows)})
+    joins = F.least("n_left", "n_right") > 0
+    return shape.select(_HASH, *(F.when(joins, F.col(c)).otherwise(0).cast("int").alias(c) for c in (_ROWS, _COLS)))
 
 
 def _to_cells(
@@ -138,6 +143,7 @@ def _to_cells(
     hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     spread = F.xxhash64(F.spark_partition_id(), *hashable)
     marked = df.withColumn(_HASH, F.xxhash64(*keys)).join(shapes, _HASH, "left")
+    marked = marked.where(F.coalesce(_ROWS, F.lit(1)) > 0)
     coordinates = []
     for count in used:
         if count == own:

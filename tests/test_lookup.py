@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from asterism.operators.lookup import fits_broadcast, grid_join, lookup_join
+from asterism.operators.lookup import _hot_keys, fits_broadcast, grid_join, lookup_join
 
 
 def brute(left, right):
@@ -88,6 +88,16 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) < 10000 / 3
 
 
+def test_hot_keys_without_a_match_are_not_shuffled(spark):
+    gone = spark.range(5000).select(F.lit("gone").alias("a"))
+    kept = spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 10).alias("a"))
+    lookup = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("b"))
+    joined = grid_join(gone.unionAll(kept), lookup, [("a", "b")], cells=8)
+    assert joined.count() == 100
+    hot = _hot_keys(gone.unionAll(kept), ["a"], lookup, ["b"], 8).collect()
+    assert [(r._grid_rows, r._grid_cols) for r in hot] == [(0, 0)]
+
+
 def test_fits_broadcast_measures_text(spark):
     small = spark.range(10).select(F.lit("x").alias("t"))
     assert fits_broadcast(small, 10 * (32 + 8 + 8 + 1))
