@@ -31,14 +31,20 @@ from asterism.sources.staging import stage
 from asterism.sources.tables import read_table, write_table
 
 
-def read_catalogue(spark: SparkSession, input_root: str, schema: str | None = CATALOGUE_SCHEMA) -> DataFrame:
+def read_catalogue(
+    spark: SparkSession, input_root: str, schema: str | None = CATALOGUE_SCHEMA, by_directory: bool = False
+) -> DataFrame:
     """The song catalogue tree."""
-    return read_json_tree(spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH, schema)
+    return read_json_tree(
+        spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH, schema, by_directory=by_directory
+    )
 
 
-def read_log(spark: SparkSession, input_root: str, schema: str | None = LOG_SCHEMA) -> DataFrame:
+def read_log(
+    spark: SparkSession, input_root: str, schema: str | None = LOG_SCHEMA, by_directory: bool = False
+) -> DataFrame:
     """The activity log tree."""
-    return read_json_tree(spark, input_root, LOG_DATASET, LOG_DEPTH, schema)
+    return read_json_tree(spark, input_root, LOG_DATASET, LOG_DEPTH, schema, by_directory=by_directory)
 
 
 def select_plays(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
@@ -53,12 +59,13 @@ def run_catalogue(
     output_root: str,
     song_keys: Mapping[str, str],
     staged: bool = True,
+    by_directory: bool = False,
 ) -> None:
     """Catalogue tree to the ``songs`` and ``artists`` tables.
 
     ``staged`` parses the JSON once into Parquet instead of once per table.
     """
-    catalogue = read_catalogue(spark, input_root)
+    catalogue = read_catalogue(spark, input_root, by_directory=by_directory)
     if staged:
         catalogue = stage(catalogue)
     songs = songs_table(song_keys)
@@ -77,6 +84,7 @@ def run_log(
     broadcast_limit: int = BROADCAST_LIMIT,
     staged: bool = True,
     compact_fact: bool = True,
+    by_directory: bool = False,
 ) -> None:
     """Log tree and the stored ``songs`` to the ``users``, ``time`` and ``songplays`` tables.
 
@@ -84,7 +92,7 @@ def run_log(
     table. ``compact_fact=False`` saves the one shuffle of the fact rows when the
     songs are broadcast and the log files are large and hold one month each.
     """
-    plays = select_plays(read_log(spark, input_root), page)
+    plays = select_plays(read_log(spark, input_root, by_directory=by_directory), page)
     if staged:
         plays = stage(plays)
     write_table(build_users(plays), output_root, USERS.name)
@@ -100,11 +108,15 @@ def run_star(
     input_root: str,
     output_root: str,
     song_keys: Mapping[str, str],
+    staged: bool = True,
+    by_directory: bool = False,
     **log_options,
 ) -> None:
     """Both jobs in order; the log job needs the stored songs."""
-    run_catalogue(spark, input_root, output_root, song_keys)
-    run_log(spark, input_root, output_root, song_keys, **log_options)
+    run_catalogue(spark, input_root, output_root, song_keys, staged, by_directory)
+    run_log(
+        spark, input_root, output_root, song_keys, staged=staged, by_directory=by_directory, **log_options
+    )
 
 
 def load_star(

@@ -21,6 +21,7 @@ def read_json_tree(
     depth: int | None,
     schema: str | None = None,
     required: Sequence[str] = (),
+    by_directory: bool = False,
 ) -> DataFrame:
     """Read the ``*.json`` files lying exactly ``depth`` directories below a dataset.
 
@@ -28,11 +29,18 @@ def read_json_tree(
     With a schema the scan is lazy and a bad value or line becomes null; without
     one Spark first runs a job over all the data to infer it. Rows with a null
     in a ``required`` column are dropped.
+
+    ``by_directory`` matches the lowest directories instead of every file, so that
+    a tree of many files is listed by directory and not file by file. It is for
+    trees that hold nothing above or below that depth.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     base = dataset_path(root, dataset)
+    levels = "/".join([base, *["*"] * (depth or 0)])
     if depth is None:
         rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base)
+    elif by_directory:
+        rows = reader.option("pathGlobFilter", "*.json").json(levels)
     else:
-        rows = reader.json("/".join([base, *["*"] * depth, "*.json"]))
+        rows = reader.json(f"{levels}/*.json")
     return drop_null(rows, required)

@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("input_root")
     build.add_argument("output_root")
     build.add_argument("--page", default=PLAY_PAGE, help="log event that counts as a play")
+    build.add_argument("--by-directory", action="store_true", help="list inputs by directory, for trees of many files")
     build.add_argument("--dedup-before-id", action="store_true", help="drop repeated fact rows")
     show = commands.add_parser("preview", parents=[common], help="a few rows of each stored table")
     show.add_argument("output_root")
@@ -44,7 +45,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = create_session(conf=conf)
     song_keys = SONG_FOLDERS[args.song_folders]
     if args.command == "build":
-        options = {"page": args.page, "dedup_before_id": args.dedup_before_id}
+        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "by_directory": args.by_directory}
         run_star(spark, args.input_root, args.output_root, song_keys, **options)
     else:
         for name, df in load_star(spark, args.output_root, song_keys).items():

@@ -119,14 +119,14 @@ def test_artist_directories(spark, star, root):
     [
         {"staged": False},
         {"compact_fact": False},
+        {"by_directory": True},
         {"broadcast_limit": 0},
         {"broadcast_limit": 0, "staged": False, "compact_fact": False},
     ],
     ids=str,
 )
 def test_physical_options_do_not_change_the_tables(spark, star, root, options):
-    run_catalogue(spark, star[0], root, KEYS, staged=options.get("staged", True))
-    run_log(spark, star[0], root, KEYS, **options)
+    run_star(spark, star[0], root, KEYS, **options)
     tables = load_star(spark, root, KEYS)
     for name, df in star[2].items():
         same(tables[name].drop("songplay_id"), rows(df.drop("songplay_id")))
