@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from asterism.operators.transforms import drop_null
 
 BROADCAST_LIMIT = 64 << 20
+# a hot key's cells fall on tasks by hash, so smaller ones even out better
+CELLS_PER_TASK = 4
 
 _HASH, _ROWS, _COLS = "_key_hash", "_grid_rows", "_grid_cols"
 # types in which equal values have equal bytes, so equal hashes
@@ -48,13 +50,13 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
     broadcast_limit: int = BROADCAST_LIMIT,
-    cells: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Inner join on ``[(rows column, lookup column)]``, keeping both sides' columns.
 
     Null keys match nothing, text compares exactly, and a key present several
-    times on both sides gives every pair. ``cells`` is how many tasks' worth of
-    output the shuffle join aims for (default: ``spark.sql.shuffle.partitions``).
+    times on both sides gives every pair. ``tasks`` is the number of tasks of the
+    shuffle join (default: ``spark.sql.shuffle.partitions``).
     Pass ``rows`` from a scan or a staged table: the shuffle join reads its keys
     once more to count them.
     """
@@ -63,19 +65,19 @@ def lookup_join(
         raise ValueError(f"rename before joining, both sides have {sorted(clash)}")
     if fits_broadcast(lookup, broadcast_limit):
         return rows.join(F.broadcast(lookup), _equal(on), "inner")
-    return grid_join(rows, lookup, on, cells)
+    return grid_join(rows, lookup, on, tasks)
 
 
 def grid_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
-    cells: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Shuffle join in which every hot key is spread over a grid of cells.
 
-    A key with more than one ``cells``-th of all input rows and output pairs is
-    hot, so there are fewer than ``cells`` of them. With ``a`` grid rows and ``b``
+    A key with more than one ``tasks``-th of all input rows and output pairs is
+    hot, so there are fewer than ``tasks`` of them. With ``a`` grid rows and ``b``
     grid columns for a key, each of its left rows goes to one grid row and is
     repeated for the ``b`` columns, each of its lookup rows goes to one column and
     is repeated for the ``a`` rows: any pair meets in exactly one cell. The rows of
@@ -87,10 +89,10 @@ def grid_join(
         if kind != other or not (kind == T.StringType() or isinstance(kind, _EXACT_KEYS)):
             raise ValueError(f"{left} and {right} must share one exact type, not {kind} and {other}")
     spark = rows.sparkSession
-    cells = cells or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
 
-    hot = _hot_keys(left, left_keys, right, right_keys, cells).toArrow()
+    hot = _hot_keys(left, left_keys, right, right_keys, tasks).toArrow()
     # a dimension of the grid that no key uses is left out: a constant would be dropped
     # from the join condition and the two sides would no longer be partitioned alike
     used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist(), default=1) > 1]
@@ -100,8 +102,8 @@ def grid_join(
         right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
         on = [*on, *((f"_left{count}", f"_right{count}") for count in used)]
     # an explicit count, since small inputs with a large output must not be merged into few tasks
-    left = left.repartition(cells, *(name for name, _ in on))
-    right = right.repartition(cells, *(name for _, name in on))
+    left = left.repartition(tasks, *(name for name, _ in on))
+    right = right.repartition(tasks, *(name for _, name in on))
     return left.join(right.hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
 
 
@@ -109,8 +111,8 @@ def _equal(on: Sequence[tuple[str, str]]) -> Column:
     return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
 
 
-def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], cells: int) -> DataFrame:
-    """Key hash and grid shape of each hot key: fewer than ``cells`` rows of 16 bytes.
+def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], tasks: int) -> DataFrame:
+    """Key hash and grid shape of each hot key: fewer than ``tasks`` rows of 16 bytes.
 
     The shape is 0 by 0 where one side has no row, so that there is nothing to join.
 
@@ -123,7 +125,8 @@ def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_key
     counts = n_left.join(n_right, _HASH, "full").na.fill(0.0, ["n_left", "n_right"])
     work = counts.withColumn("work", F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right"))
     total = work.agg(F.sum("work")).scalar()
-    hot = work.withColumn("want", F.ceil(F.col("work") * cells / total)).where(F.col("want") > 1)
+    hot = work.withColumn("share", F.col("work") * tasks / total).where(F.col("share") > 1)
+    hot = hot.withColumn("want", F.ceil(F.col("share") * CELLS_PER_TASK))
     # the most nearly square share of pairs repeats the fewest rows
     square = F.round(F.sqrt(F.col("want") * F.col("n_left") / F.greatest("n_right", F.lit(1.0))))
     grid_rows = F.least(F.col("want"), F.greatest(one, square))

@@ -42,13 +42,13 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("cells", [1, 4, 64])
+@pytest.mark.parametrize("tasks", [1, 4, 64])
 @pytest.mark.parametrize("case", CASES)
-def test_grid_join(spark, case, cells):
+def test_grid_join(spark, case, tasks):
     left, right = skewed(len(case), *CASES[case])
     ldf = spark.createDataFrame(left, "a string, x int, y string").repartition(5)
     rdf = spark.createDataFrame(right, "b string, u int, v string").repartition(3)
-    assert collected(grid_join(ldf, rdf, [("a", "b")], cells)) == brute(left, right)
+    assert collected(grid_join(ldf, rdf, [("a", "b")], tasks)) == brute(left, right)
 
 
 def test_both_ways_agree_on_two_keys(spark):
@@ -58,7 +58,7 @@ def test_both_ways_agree_on_two_keys(spark):
     on = [("a", "b"), ("x", "u")]
     expected = Counter((*p, *q) for p in left for q in right if p[0] is not None and p[:2] == q[:2])
     assert collected(lookup_join(ldf, rdf, on)) == expected
-    assert collected(lookup_join(ldf, rdf, on, broadcast_limit=0, cells=16)) == expected
+    assert collected(lookup_join(ldf, rdf, on, broadcast_limit=0, tasks=16)) == expected
 
 
 def test_empty_sides(spark):
@@ -82,7 +82,7 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     cold = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("c"), F.col("id") % 50).alias("a"))
     lookup = spark.createDataFrame([("hot",)] + [(f"c{i}",) for i in range(50)], "b string")
     per_task = (
-        grid_join(hot.unionAll(cold), lookup, [("a", "b")], cells=16).groupBy(F.spark_partition_id()).count().collect()
+        grid_join(hot.unionAll(cold), lookup, [("a", "b")], tasks=16).groupBy(F.spark_partition_id()).count().collect()
     )
     assert sum(r["count"] for r in per_task) == 10000
     assert max(r["count"] for r in per_task) < 10000 / 3
@@ -92,7 +92,7 @@ def test_hot_keys_without_a_match_are_not_shuffled(spark):
     gone = spark.range(5000).select(F.lit("gone").alias("a"))
     kept = spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 10).alias("a"))
     lookup = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("b"))
-    joined = grid_join(gone.unionAll(kept), lookup, [("a", "b")], cells=8)
+    joined = grid_join(gone.unionAll(kept), lookup, [("a", "b")], tasks=8)
     assert joined.count() == 100
     hot = _hot_keys(gone.unionAll(kept), ["a"], lookup, ["b"], 8).collect()
     assert [(r._grid_rows, r._grid_cols) for r in hot] == [(0, 0)]

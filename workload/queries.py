@@ -121,9 +121,9 @@ def fact_title_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_title_fanout_grid(spark: SparkSession, sf: str) -> DataFrame:
-    # more cells than titles, so that even evenly asked titles are cut up
-    cells = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return _unkeyed(build_songplays(*fanout_inputs(spark, sf, broadcast_limit=0), broadcast_limit=0, cells=cells))
+    # more tasks than titles, so that even evenly asked titles are cut up
+    tasks = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _unkeyed(build_songplays(*fanout_inputs(spark, sf, broadcast_limit=0), broadcast_limit=0, tasks=tasks))
 
 
 def fact_two_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,7 +270,7 @@ def scan_json_catalogue(spark: SparkSession, sf: str) -> DataFrame:
 def _catalogue_table(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         output = scratch_root(spark)
-        run_catalogue(spark, write_catalogue_tree(spark, sf), output, SONG_KEYS_YEAR_TWICE)
+        run_catalogue(spark, write_catalogue_tree(spark, sf), output, SONG_KEYS_YEAR_TWICE, by_directory=True)
         return load_star(spark, output, SONG_KEYS_YEAR_TWICE, only=[name])[name]
 
     return run
@@ -279,7 +279,7 @@ def _catalogue_table(name: str) -> Query:
 def _stored_star(spark: SparkSession, sf: str) -> str:
     source, output = write_log_tree(spark, sf), scratch_root(spark)
     write_catalogue_tree(spark, sf, source)
-    run_star(spark, source, output, SONG_KEYS_YEAR_TWICE, page=PAGE)
+    run_star(spark, source, output, SONG_KEYS_YEAR_TWICE, page=PAGE, by_directory=True)
     return output
 
 
