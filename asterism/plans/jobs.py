@@ -27,7 +27,7 @@ from asterism.sources.schemas import (
     songs_table,
     star_tables,
 )
-from asterism.sources.staging import stage
+from asterism.sources.staging import staged
 from asterism.sources.tables import read_table, write_table
 
 
@@ -58,19 +58,17 @@ def run_catalogue(
     input_root: str,
     output_root: str,
     song_keys: Mapping[str, str],
-    staged: bool = True,
+    stage_inputs: bool = True,
     by_directory: bool = False,
 ) -> None:
     """Catalogue tree to the ``songs`` and ``artists`` tables.
 
-    ``staged`` parses the JSON once into Parquet instead of once per table.
+    ``stage_inputs`` parses the JSON once into Parquet instead of once per table.
     """
-    catalogue = read_catalogue(spark, input_root, by_directory=by_directory)
-    if staged:
-        catalogue = stage(catalogue)
     songs = songs_table(song_keys)
-    write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys])
-    write_table(build_artists(catalogue), output_root, ARTISTS.name)
+    with staged(read_catalogue(spark, input_root, by_directory=by_directory), stage_inputs) as catalogue:
+        write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys])
+        write_table(build_artists(catalogue), output_root, ARTISTS.name)
 
 
 def run_log(
@@ -82,25 +80,24 @@ def run_log(
     on: Sequence[tuple[str, str]] = TITLE_ONLY,
     dedup_before_id: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
-    staged: bool = True,
+    stage_inputs: bool = True,
     compact_fact: bool = True,
     by_directory: bool = False,
 ) -> None:
     """Log tree and the stored ``songs`` to the ``users``, ``time`` and ``songplays`` tables.
 
-    ``staged`` parses and filters the JSON once into Parquet instead of once per
+    ``stage_inputs`` parses and filters the JSON once into Parquet instead of once per
     table. ``compact_fact=False`` saves the one shuffle of the fact rows when the
     songs are broadcast and the log files are large and hold one month each.
     """
-    plays = select_plays(read_log(spark, input_root, by_directory=by_directory), page)
-    if staged:
-        plays = stage(plays)
-    write_table(build_users(plays), output_root, USERS.name)
-    write_table(build_time(plays, compact=True), output_root, TIME.name, [*TIME.keys], compact=False)
+    log = read_log(spark, input_root, by_directory=by_directory)
     stored = songs_table(song_keys)
-    songs = read_table(spark, output_root, stored.name, stored.schema)
-    fact = build_songplays(plays, songs, on, dedup_before_id, broadcast_limit, compact=compact_fact)
-    write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys], compact=False)
+    with staged(select_plays(log, page), stage_inputs) as plays:
+        write_table(build_users(plays), output_root, USERS.name)
+        write_table(build_time(plays, compact=True), output_root, TIME.name, [*TIME.keys], compact=False)
+        songs = read_table(spark, output_root, stored.name, stored.schema)
+        fact = build_songplays(plays, songs, on, dedup_before_id, broadcast_limit, compact=compact_fact)
+        write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys], compact=False)
 
 
 def run_star(
@@ -108,14 +105,14 @@ def run_star(
     input_root: str,
     output_root: str,
     song_keys: Mapping[str, str],
-    staged: bool = True,
+    stage_inputs: bool = True,
     by_directory: bool = False,
     **log_options,
 ) -> None:
     """Both jobs in order; the log job needs the stored songs."""
-    run_catalogue(spark, input_root, output_root, song_keys, staged, by_directory)
+    run_catalogue(spark, input_root, output_root, song_keys, stage_inputs, by_directory)
     run_log(
-        spark, input_root, output_root, song_keys, staged=staged, by_directory=by_directory, **log_options
+        spark, input_root, output_root, song_keys, stage_inputs=stage_inputs, by_directory=by_directory, **log_options
     )
 
 

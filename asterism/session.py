@@ -6,16 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution does three jobs for this package: it coalesces small shuffle
-# partitions, splits skewed ones in sort-merge joins, and splits skewed ones in the
-# REBALANCE exchange that lays out partitioned tables. Coalescing goes by the
+# Adaptive execution coalesces small shuffle partitions, and splits skewed ones in
+# the REBALANCE exchange that lays out partitioned tables. Coalescing goes by the
 # advisory size and not by the number of cores, so that a wide cluster does not
 # write a small dimension as thousands of tiny files.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,25 @@ def stage(df: DataFrame, root: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and continue from the files.
 
     Several consumers then share one evaluation, each reads only its columns,
-    and a lost executor costs a re-read rather than the whole lineage.
+    and a lost executor costs a re-read rather than the whole lineage. The files
+    stay, since the result may be read at any later time; ``staged`` frees them.
     """
     path = root or scratch_root(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, wanted: bool = True) -> Iterator[DataFrame]:
+    """``stage`` for the length of a ``with`` block, then replace the files by an empty table.
+
+    Without ``wanted`` the block gets ``df`` itself.
+    """
+    if not wanted:
+        yield df
+        return
+    path = scratch_root(df.sparkSession)
+    try:
+        yield stage(df, path)
+    finally:
+        df.limit(0).write.mode("overwrite").parquet(path)

@@ -6,6 +6,8 @@ import random
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from asterism.operators.lookup import _hot_keys, fits_broadcast, grid_join, lookup_join
@@ -51,6 +53,18 @@ def test_grid_join(spark, case, tasks):
     assert collected(grid_join(ldf, rdf, [("a", "b")], tasks)) == brute(left, right)
 
 
+keys = st.none() | st.integers(-3, 3) | st.just(2**62)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(keys, max_size=120), st.lists(keys, max_size=60), st.integers(1, 50))
+def test_grid_join_of_any_keys(spark, left, right, tasks):
+    left, right = [(k, i) for i, k in enumerate(left)], [(k, i) for i, k in enumerate(right)]
+    ldf = spark.createDataFrame(left, "a bigint, x bigint")
+    rdf = spark.createDataFrame(right, "b bigint, u bigint")
+    assert collected(grid_join(ldf, rdf, [("a", "b")], tasks)) == brute(left, right)
+
+
 def test_both_ways_agree_on_two_keys(spark):
     left, right = skewed(7, 300, 200, "k1", "k1")
     ldf = spark.createDataFrame(left, "a string, x int, y string")

@@ -117,11 +117,11 @@ def test_artist_directories(spark, star, root):
 @pytest.mark.parametrize(
     "options",
     [
-        {"staged": False},
+        {"stage_inputs": False},
         {"compact_fact": False},
         {"by_directory": True},
         {"broadcast_limit": 0},
-        {"broadcast_limit": 0, "staged": False, "compact_fact": False},
+        {"broadcast_limit": 0, "stage_inputs": False, "compact_fact": False},
     ],
     ids=str,
 )
@@ -176,6 +176,15 @@ def test_other_page(spark, star):
     assert [r.start_time.microsecond for r in kept.collect()] == [797000]
 
 
+def test_staged_inputs_are_freed(spark, star, root):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    run_star(spark, star[0], root, KEYS)
+    left = set(shared.iterdir()) - before
+    assert len(left) == 2  # catalogue and plays
+    assert all(spark.read.parquet(str(path)).count() == 0 for path in left)
+
+
 def test_command_line(spark, star, root, capsys):
     job.main(["build", star[0], root, "--dedup-before-id", "--song-folders", "artist"])
     stored = load_star(spark, root, SONG_KEYS_YEAR_ARTIST)

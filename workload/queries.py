@@ -195,6 +195,15 @@ def scan_songs_by_artist(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, root, "songs", songs_table(SONG_KEYS_YEAR_ARTIST).schema)
 
 
+def scan_songs_null_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Songs without a year come back from the default directory with null keys."""
+    root, stored = scratch_root(spark), songs_table(SONG_KEYS_YEAR_TWICE)
+    catalogue = catalogue_from_customer(spark, sf)
+    catalogue = catalogue.withColumn("year", F.when(F.col("artist_location").isNotNull(), F.col("year")))
+    write_table(build_songs(catalogue, SONG_KEYS_YEAR_TWICE), root, stored.name, [*stored.keys])
+    return read_table(spark, root, stored.name, stored.schema)
+
+
 def sink_artists(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_root(spark)
     write_table(build_artists(catalogue_from_part(spark, sf)), root, ARTISTS.name)
@@ -324,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "scan_songs_leaf": scan_songs_leaf,
     "scan_songs_root": scan_songs_root,
     "scan_songs_by_artist": scan_songs_by_artist,
+    "scan_songs_null_key": scan_songs_null_key,
     "scan_time_leaf": scan_time_leaf,
     "scan_songplays_leaf": scan_songplays_leaf,
     "sink_artists": sink_artists,
