@@ -60,9 +60,7 @@ def lookup_join(
     Pass ``rows`` from a scan or a staged table: the shuffle join reads its keys
     once more to count them.
     """
-    clash = set(rows.columns) & set(lookup.columns)
-    if clash:
-        raise ValueError(f"rename before joining, both sides have {sorted(clash)}")
+    _check(rows, lookup, on)
     if fits_broadcast(lookup, broadcast_limit):
         return rows.join(F.broadcast(lookup), _equal(on), "inner")
     return grid_join(rows, lookup, on, tasks)
@@ -83,11 +81,8 @@ def grid_join(
     is repeated for the ``a`` rows: any pair meets in exactly one cell. The rows of
     a hot key that the other side lacks have no pair and are left out of the shuffle.
     """
+    _check(rows, lookup, on)
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
-    for left, right in on:
-        kind, other = rows.schema[left].dataType, lookup.schema[right].dataType
-        if kind != other or not (kind == T.StringType() or isinstance(kind, _EXACT_KEYS)):
-            raise ValueError(f"{left} and {right} must share one exact type, not {kind} and {other}")
     spark = rows.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
@@ -107,6 +102,17 @@ def grid_join(
     return left.join(right.hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
 
 
+def _check(rows: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) -> None:
+    """Refuse what the shuffle join cannot do, also while the lookup is still small."""
+    clash = set(rows.columns) & set(lookup.columns)
+    if clash:
+        raise ValueError(f"rename before joining, both sides have {sorted(clash)}")
+    for left, right in on:
+        kind, other = rows.schema[left].dataType, lookup.schema[right].dataType
+        if kind != other or not (kind == T.StringType() or isinstance(kind, _EXACT_KEYS)):
+            raise ValueError(f"{left} and {right} must share one exact type, not {kind} and {other}")
+
+
 def _equal(on: Sequence[tuple[str, str]]) -> Column:
     return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
 

@@ -125,5 +125,7 @@ def test_refuses_what_it_cannot_join(spark):
     one = spark.range(1)
     with pytest.raises(ValueError, match="rename"):
         lookup_join(one, one, [("id", "id")])
-    with pytest.raises(ValueError, match="type"):
-        grid_join(one, one.select(F.col("id").cast("int").alias("b")), [("id", "b")])
+    for join in (lookup_join, grid_join):
+        for kind in ("int", "double"):
+            with pytest.raises(ValueError, match="type"):
+                join(one, one.select(F.col("id").cast(kind).alias("b")), [("id", "b")])
