@@ -12,6 +12,9 @@ def rebalance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Unlike ``repartition(columns)``, adaptive execution merges small partitions
     and spreads one that is too large over several tasks, so a directory holding
-    a third of the table does not become one task.
+    a third of the table does not become one task. Without adaptive execution the
+    rows stay where they are, which costs small files rather than one huge task.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
     return df.hint("rebalance", *columns)

@@ -11,6 +11,7 @@ import fixture_data as fx
 import pytest
 from pyspark.sql import functions as F
 
+from asterism.operators.layout import rebalance
 from asterism.operators.lookup import grid_join
 from asterism.operators.transforms import project
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
@@ -110,6 +111,15 @@ def test_grid_join_shuffles_each_side_once(spark, hot_left, hot_right):
     assert df.count() == hot_left * hot_right + 100
 
 
+def test_without_adaptive_execution_no_directory_becomes_one_task(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert not exchanges(plan(rebalance(spark.range(10), ["id"])))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "REBALANCE" in plan(rebalance(spark.range(10), ["id"]))
+
+
 def test_directory_keys_prune_a_root_read(spark, root):
     write_table(project(spark.range(10), {"id": "id", "k": F.col("id") % 5}), root, "t", ["k"])
     text = plan(read_table(spark, root, "t", "id BIGINT, k BIGINT").where("k = 3"))

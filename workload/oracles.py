@@ -29,7 +29,7 @@ _CUSTOMER_SONGS = """
            c_mktsegment AS artist_name,
            CASE WHEN c_nationkey < 20 THEN c_mktsegment END AS artist_location,
            c_nationkey / 2.0::DOUBLE AS artist_latitude,
-           c_nationkey / -4.0::DOUBLE AS artist_longitude
+           c_nationkey / 4.0::DOUBLE - 90 AS artist_longitude
     FROM customer
 """
 

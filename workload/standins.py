@@ -66,7 +66,7 @@ def catalogue_from_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
             "artist_name": "c_mktsegment",
             "artist_location": F.when(nation < 20, F.col("c_mktsegment")),
             "artist_latitude": nation / 2,
-            "artist_longitude": nation / -4,
+            "artist_longitude": nation / 4 - 90,
         },
     )
 
