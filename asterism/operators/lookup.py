@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,10 @@ from asterism.operators.transforms import drop_null
 BROADCAST_LIMIT = 64 << 20
 # a hot key's cells fall on tasks by hash, so smaller ones even out better
 CELLS_PER_TASK = 4
+# input rows and output pairs, above which a task's sort and output would spill or drag;
+# but no more tasks than a driver can keep track of
+WORK_PER_TASK = 4_000_000
+MOST_TASKS = 100_000
 
 _HASH, _ROWS, _COLS = "_key_hash", "_grid_rows", "_grid_cols"
 # types in which equal values have equal bytes, so equal hashes
@@ -56,7 +61,7 @@ def lookup_join(
 
     Null keys match nothing, text compares exactly, and a key present several
     times on both sides gives every pair. ``tasks`` is the number of tasks of the
-    shuffle join (default: ``spark.sql.shuffle.partitions``).
+    shuffle join (default: by the work counted, at least ``spark.sql.shuffle.partitions``).
     Pass ``rows`` from a scan or a staged table: the shuffle join reads its keys
     once more to count them.
     """
@@ -84,10 +89,11 @@ def grid_join(
     _check(rows, lookup, on)
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
     spark = rows.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
 
-    hot = _hot_keys(left, left_keys, right, right_keys, tasks).toArrow()
+    counted = _count_work(left, left_keys, right, right_keys, tasks).toArrow()
+    is_total = pc.is_null(counted[_HASH])
+    tasks, hot = counted.filter(is_total)[_ROWS][0].as_py(), counted.filter(pc.invert(is_total))
     # a dimension of the grid that no key uses is left out: a constant would be dropped
     # from the join condition and the two sides would no longer be partitioned alike
     used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist(), default=1) > 1]
@@ -117,28 +123,39 @@ def _equal(on: Sequence[tuple[str, str]]) -> Column:
     return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
 
 
-def _hot_keys(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], tasks: int) -> DataFrame:
-    """Key hash and grid shape of each hot key: fewer than ``tasks`` rows of 16 bytes.
-
-    The shape is 0 by 0 where one side has no row, so that there is nothing to join.
+def _count_work(
+    left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], tasks: int | None
+) -> DataFrame:
+    """Key hash and grid shape of each hot key, and a row without hash for the number of tasks.
 
-    Both sides are counted per key hash, combined in the map tasks. Two keys that
-    share a hash share a grid, which costs nothing: the join still compares keys.
+    That is at most ``tasks`` rows of 16 bytes. The shape is 0 by 0 where one side
+    has no row, so that there is nothing to join. Both sides are counted per key
+    hash, combined in the map tasks. Two keys that share a hash share a grid,
+    which costs nothing: the join still compares keys.
     """
     one = F.lit(1)
     n_left = left.groupBy(F.xxhash64(*left_keys).alias(_HASH)).agg(F.count(one).cast("double").alias("n_left"))
     n_right = right.groupBy(F.xxhash64(*right_keys).alias(_HASH)).agg(F.count(one).cast("double").alias("n_right"))
     counts = n_left.join(n_right, _HASH, "full").na.fill(0.0, ["n_left", "n_right"])
     work = counts.withColumn("work", F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right"))
-    total = work.agg(F.sum("work")).scalar()
-    hot = work.withColumn("share", F.col("work") * tasks / total).where(F.col("share") > 1)
-    hot = hot.withColumn("want", F.ceil(F.col("share") * CELLS_PER_TASK))
+
+    total = F.coalesce(F.sum("work"), F.lit(0.0))
+    least_tasks = F.lit(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    enough_tasks = F.least(F.lit(MOST_TASKS), F.ceil(total / WORK_PER_TASK))
+    enough_tasks = F.lit(tasks) if tasks else F.greatest(least_tasks, enough_tasks)
+    totals = work.agg(total.alias("total"), enough_tasks.cast("int").alias("tasks"))
+
+    fair_share = totals.select(F.col("total") / F.col("tasks")).scalar()
+    hot = work.where(F.col("work") > fair_share)
+    hot = hot.withColumn("want", F.ceil(F.col("work") / fair_share * CELLS_PER_TASK))
     # the most nearly square share of pairs repeats the fewest rows
     square = F.round(F.sqrt(F.col("want") * F.col("n_left") / F.greatest("n_right", F.lit(1.0))))
     grid_rows = F.least(F.col("want"), F.greatest(one, square))
     shape = hot.withColumns({_ROWS: grid_rows, _COLS: F.ceil(F.col("want") / grid_rows)})
     joins = F.least("n_left", "n_right") > 0
-    return shape.select(_HASH, *(F.when(joins, F.col(c)).otherwise(0).cast("int").alias(c) for c in (_ROWS, _COLS)))
+    shape = shape.select(_HASH, *(F.when(joins, F.col(c)).otherwise(0).cast("int").alias(c) for c in (_ROWS, _COLS)))
+    no_hash, no_cols = F.lit(None).cast("bigint"), F.lit(None).cast("int")
+    return shape.unionAll(totals.select(no_hash.alias(_HASH), F.col("tasks").alias(_ROWS), no_cols.alias(_COLS)))
 
 
 def _to_cells(

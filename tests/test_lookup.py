@@ -10,7 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from asterism.operators.lookup import _hot_keys, fits_broadcast, grid_join, lookup_join
+import asterism.operators.lookup as lookup_module
+from asterism.operators.lookup import _count_work, fits_broadcast, grid_join, lookup_join
 
 
 def brute(left, right):
@@ -108,8 +109,17 @@ def test_hot_keys_without_a_match_are_not_shuffled(spark):
     lookup = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("b"))
     joined = grid_join(gone.unionAll(kept), lookup, [("a", "b")], tasks=8)
     assert joined.count() == 100
-    hot = _hot_keys(gone.unionAll(kept), ["a"], lookup, ["b"], 8).collect()
-    assert [(r._grid_rows, r._grid_cols) for r in hot] == [(0, 0)]
+    counted = _count_work(gone.unionAll(kept), ["a"], lookup, ["b"], 8).collect()
+    assert [(r._grid_rows, r._grid_cols) for r in counted] == [(0, 0), (8, None)]
+
+
+def test_tasks_grow_with_the_work(spark, monkeypatch):
+    monkeypatch.setattr(lookup_module, "WORK_PER_TASK", 100)
+    rows, lookup = spark.range(990).select((F.col("id") % 99).alias("a")), spark.range(99).select(F.col("id").alias("b"))
+    joined = grid_join(rows, lookup, [("a", "b")])
+    assert joined.count() == 990
+    counted = _count_work(rows, ["a"], lookup, ["b"], None).collect()
+    assert [r._grid_rows for r in counted] == [21]  # 990 rows, 99 rows and 990 pairs
 
 
 def test_fits_broadcast_measures_text(spark):
