@@ -1,11 +1,12 @@
 """Inner equi-join of a large stream of rows with a lookup table.
 
-Three ways to run it, all with the same rows as a plain inner join:
+Three steps, each taken only if the one before did not do, and all with the same
+rows as a plain inner join:
 
-* the lookup is measured and found small: broadcast it, nothing is shuffled;
-* it is too large: shuffle both sides, and first cut the keys with a large share
-  of the work into a grid of cells, so that no task gets a whole hot key;
-* no key is hot: the shuffle join alone.
+* measure the lookup; if it is small broadcast it, and nothing else is shuffled;
+* keep the lookup rows that are asked for, and measure and broadcast those;
+* shuffle both sides, and first cut the keys with a large share of the work into
+  a grid of cells, so that no task gets a whole hot key.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asterism.operators.transforms import drop_null
+from asterism.operators.transforms import distinct_rows, drop_null
+from asterism.sources.staging import stage
 
 BROADCAST_LIMIT = 64 << 20
 # a hot key's cells fall on tasks by hash, so smaller ones even out better
@@ -62,13 +64,16 @@ def lookup_join(
     Null keys match nothing, text compares exactly, and a key present several
     times on both sides gives every pair. ``tasks`` is the number of tasks of the
     shuffle join (default: by the work counted, at least ``spark.sql.shuffle.partitions``).
-    Pass ``rows`` from a scan or a staged table: the shuffle join reads its keys
-    once more to count them.
+    Pass ``rows`` from a scan or a staged table: beyond the broadcast limit its keys
+    are read again, to find the lookup rows asked for and to count them.
     """
     _check(rows, lookup, on)
     if fits_broadcast(lookup, broadcast_limit):
         return rows.join(F.broadcast(lookup), _equal(on), "inner")
-    return grid_join(rows, lookup, on, tasks)
+    asked_for = stage(_asked_for(rows, lookup, on))
+    if fits_broadcast(asked_for, broadcast_limit):
+        return rows.join(F.broadcast(asked_for), _equal(on), "inner")
+    return grid_join(rows, asked_for, on, tasks)
 
 
 def grid_join(
@@ -119,6 +124,12 @@ def _check(rows: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) ->
             raise ValueError(f"{left} and {right} must share one exact type, not {kind} and {other}")
 
 
+def _asked_for(rows: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """The lookup rows that some row matches. Only distinct keys of ``rows`` are shuffled."""
+    keys = distinct_rows(rows.select(*(left for left, _ in on)))
+    return lookup.join(keys, _equal(on), "left_semi")
+
+
 def _equal(on: Sequence[tuple[str, str]]) -> Column:
     return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
 

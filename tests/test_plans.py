@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterism.operators.layout import rebalance
-from asterism.operators.lookup import grid_join
+from asterism.operators.lookup import grid_join, lookup_join
 from asterism.operators.transforms import project
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import build_songplays
@@ -99,6 +99,16 @@ def test_dedup_happens_once_before_the_key(inputs):
     assert "HashAggregate" in text[: text.index("Exchange")]  # the key is added in the final aggregate
 
 
+def test_a_large_lookup_of_which_little_is_asked_for_is_broadcast(spark):
+    rows = spark.range(1000).select((F.col("id") % 20).alias("a"), F.col("id").alias("x"))
+    lookup = spark.range(100_000).select(F.col("id").alias("b"), F.repeat(F.lit("x"), 50).alias("t"))
+    df = lookup_join(rows, lookup, [("a", "b")], broadcast_limit=10_000)
+    text = plan(df)
+    assert "BroadcastHashJoin" in text
+    assert not exchanges(text)
+    assert df.count() == 1000
+
+
 @pytest.mark.parametrize("hot_left, hot_right", [(900, 1), (1, 900), (300, 300)])
 def test_grid_join_shuffles_each_side_once(spark, hot_left, hot_right):
     def side(hot, name):
