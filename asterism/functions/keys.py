@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterism.operators.lookup import fits_broadcast
+from asterism.operators.lookup import BROADCAST_LIMIT, table_bytes
 from asterism.sources.staging import stage
 
 _GROUP, _PLACE = "_key_group", "_key_place"
@@ -46,7 +46,7 @@ def add_ordered_key(df: DataFrame, name: str, within: Column, order_by: Sequence
     earlier = Window.partitionBy(_SPAN_GROUP).orderBy(_SPAN_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
     spans = spans.select(_SPAN_GROUP, _SPAN_SLICE, (F.col("first") - before).alias(_SHIFT))
-    if fits_broadcast(spans):  # one row per slice and per further group in it
+    if table_bytes(spans) <= BROADCAST_LIMIT:  # one row per slice and per further group in it
         spans = F.broadcast(spans)
 
     same_span = F.col(_GROUP).eqNullSafe(F.col(_SPAN_GROUP)) & (slice_number == F.col(_SPAN_SLICE))

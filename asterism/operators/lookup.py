@@ -1,26 +1,26 @@
 """Inner equi-join of a large stream of rows with a lookup table.
 
-Three steps, each taken only if the one before did not do, and all with the same
+Three ways, each taken only if the one before does not do, and all with the same
 rows as a plain inner join:
 
-* measure the lookup; if it is small broadcast it, and nothing else is shuffled;
-* keep the lookup rows that are asked for, and measure and broadcast those;
-* shuffle both sides, and first cut the keys with a large share of the work into
-  a grid of cells, so that no task gets a whole hot key.
+* measure the lookup; if it is small broadcast it, and nothing is shuffled;
+* count the keys on both sides; if few lookup rows are asked for, broadcast those;
+* shuffle both sides, but first cut the keys with a large share of the work into a
+  grid of cells, so that no task gets a whole hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from asterism.operators.transforms import distinct_rows, drop_null
-from asterism.sources.staging import stage
+from asterism.operators.transforms import drop_null
+from asterism.sources.staging import stage, staged
 
 BROADCAST_LIMIT = 64 << 20
 # a hot key's cells fall on tasks by hash, so smaller ones even out better
@@ -33,29 +33,31 @@ MOST_TASKS = 100_000
 _HASH, _ROWS, _COLS = "_key_hash", "_grid_rows", "_grid_cols"
 # types in which equal values have equal bytes, so equal hashes
 _EXACT_KEYS = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
+Pairs = Sequence[tuple[str, str]]
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """Whether every row of ``df`` together takes at most ``limit`` bytes as a hash table.
+
+def table_bytes(df: DataFrame) -> float:
+    """Upper bound of the bytes all rows of ``df`` take as a hash table.
 
     Runs one aggregate over ``df`` and brings a single number to the driver. Per
     row it counts 32 bytes of table overhead and, per column, an 8-byte slot plus
-    the padded text length.
+    the padded text length. Nested columns have no bound.
     """
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema):
-        return False
+    if any(isinstance(f.dataType, _NESTED) for f in df.schema):
+        return float("inf")
     texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     row = F.lit(32 + 8 * len(df.columns))
     for name in texts:
         row = row + F.coalesce(F.octet_length(name) + 8, F.lit(0))
-    size = df.agg(F.sum(row.cast("double"))).first()[0] or 0.0
-    return size <= limit
+    return df.agg(F.sum(row.cast("double"))).first()[0] or 0.0
 
 
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
-    on: Sequence[tuple[str, str]],
+    on: Pairs,
     broadcast_limit: int = BROADCAST_LIMIT,
     tasks: int | None = None,
 ) -> DataFrame:
@@ -65,24 +67,22 @@ def lookup_join(
     times on both sides gives every pair. ``tasks`` is the number of tasks of the
     shuffle join (default: by the work counted, at least ``spark.sql.shuffle.partitions``).
     Pass ``rows`` from a scan or a staged table: beyond the broadcast limit its keys
-    are read again, to find the lookup rows asked for and to count them.
+    are read once more to count them.
     """
     _check(rows, lookup, on)
-    if fits_broadcast(lookup, broadcast_limit):
+    size = table_bytes(lookup)
+    if size <= broadcast_limit:
         return rows.join(F.broadcast(lookup), _equal(on), "inner")
-    asked_for = stage(_asked_for(rows, lookup, on))
-    if fits_broadcast(asked_for, broadcast_limit):
-        return rows.join(F.broadcast(asked_for), _equal(on), "inner")
-    return grid_join(rows, asked_for, on, tasks)
+    with staged(_count_keys(rows, lookup, on)) as counts:
+        if size * _asked_share(counts) <= broadcast_limit:
+            asked_for = stage(_asked_for(lookup, on, counts))
+            if table_bytes(asked_for) <= broadcast_limit:
+                return rows.join(F.broadcast(asked_for), _equal(on), "inner")
+        return _join_in_cells(rows, lookup, on, counts, tasks)
 
 
-def grid_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[tuple[str, str]],
-    tasks: int | None = None,
-) -> DataFrame:
-    """Shuffle join in which every hot key is spread over a grid of cells.
+def grid_join(rows: DataFrame, lookup: DataFrame, on: Pairs, tasks: int | None = None) -> DataFrame:
+    """The shuffle join of ``lookup_join``, in which every hot key is spread over a grid of cells.
 
     A key with more than one ``tasks``-th of all input rows and output pairs is
     hot, so there are fewer than ``tasks`` of them. With ``a`` grid rows and ``b``
@@ -92,28 +92,11 @@ def grid_join(
     a hot key that the other side lacks have no pair and are left out of the shuffle.
     """
     _check(rows, lookup, on)
-    left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
-    spark = rows.sparkSession
-    left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
+    with staged(_count_keys(rows, lookup, on)) as counts:
+        return _join_in_cells(rows, lookup, on, counts, tasks)
 
-    counted = _count_work(left, left_keys, right, right_keys, tasks).toArrow()
-    is_total = pc.is_null(counted[_HASH])
-    tasks, hot = counted.filter(is_total)[_ROWS][0].as_py(), counted.filter(pc.invert(is_total))
-    # a dimension of the grid that no key uses is left out: a constant would be dropped
-    # from the join condition and the two sides would no longer be partitioned alike
-    used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist(), default=1) > 1]
-    if hot.num_rows:
-        shapes = F.broadcast(spark.createDataFrame(hot))
-        left = _to_cells(left, left_keys, shapes, "_left", _ROWS, used)
-        right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
-        on = [*on, *((f"_left{count}", f"_right{count}") for count in used)]
-    # an explicit count, since small inputs with a large output must not be merged into few tasks
-    left = left.repartition(tasks, *(name for name, _ in on))
-    right = right.repartition(tasks, *(name for _, name in on))
-    return left.join(right.hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
 
-
-def _check(rows: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) -> None:
+def _check(rows: DataFrame, lookup: DataFrame, on: Pairs) -> None:
     """Refuse what the shuffle join cannot do, also while the lookup is still small."""
     clash = set(rows.columns) & set(lookup.columns)
     if clash:
@@ -124,49 +107,79 @@ def _check(rows: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) ->
             raise ValueError(f"{left} and {right} must share one exact type, not {kind} and {other}")
 
 
-def _asked_for(rows: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
-    """The lookup rows that some row matches. Only distinct keys of ``rows`` are shuffled."""
-    keys = distinct_rows(rows.select(*(left for left, _ in on)))
-    return lookup.join(keys, _equal(on), "left_semi")
+def _equal(on: Pairs) -> Column:
+    return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
 
 
-def _equal(on: Sequence[tuple[str, str]]) -> Column:
-    return reduce(Column.__and__, (F.col(left) == F.col(right) for left, right in on))
+def _count_keys(rows: DataFrame, lookup: DataFrame, on: Pairs) -> DataFrame:
+    """Rows on each side per key hash, combined in the map tasks.
 
+    Two keys that share a hash are counted and later placed together, which costs
+    nothing: the join still compares keys.
+    """
+    sides = []
+    for df, keys, name in ((rows, [k for k, _ in on], "n_left"), (lookup, [k for _, k in on], "n_right")):
+        counted = drop_null(df, keys).groupBy(F.xxhash64(*keys).alias(_HASH)).agg(F.count(F.lit(1)).alias(name))
+        sides.append(counted.withColumn(name, F.col(name).cast("double")))
+    return sides[0].join(sides[1], _HASH, "full").na.fill(0.0, ["n_left", "n_right"])
 
-def _count_work(
-    left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], tasks: int | None
-) -> DataFrame:
-    """Key hash and grid shape of each hot key, and a row without hash for the number of tasks.
 
-    That is at most ``tasks`` rows of 16 bytes. The shape is 0 by 0 where one side
-    has no row, so that there is nothing to join. Both sides are counted per key
-    hash, combined in the map tasks. Two keys that share a hash share a grid,
-    which costs nothing: the join still compares keys.
+def _asked_share(counts: DataFrame) -> float:
+    """Share of the lookup's rows whose key some row has."""
+    asked = F.sum(F.when(F.col("n_left") > 0, F.col("n_right")))
+    return counts.agg(asked / F.greatest(F.sum("n_right"), F.lit(1.0))).first()[0] or 0.0
+
+
+def _asked_for(lookup: DataFrame, on: Pairs, counts: DataFrame) -> DataFrame:
+    """The lookup rows whose key some row has (and at most a few more, by equal hashes).
+
+    There are no more such keys than such rows, so where the rows may be broadcast
+    the 8-byte hashes of their keys may be too.
+    """
+    asked = counts.where((F.col("n_left") > 0) & (F.col("n_right") > 0)).select(_HASH)
+    same_hash = F.xxhash64(*(right for _, right in on)) == F.col(_HASH)
+    return lookup.join(F.broadcast(asked), same_hash, "left_semi")
+
+
+def _join_in_cells(rows: DataFrame, lookup: DataFrame, on: Pairs, counts: DataFrame, tasks: int | None) -> DataFrame:
+    left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
+    left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
+    spark = rows.sparkSession
+
+    work = F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right")
+    total = counts.agg(F.sum(work)).first()[0] or 0.0
+    if tasks is None:
+        tasks = min(MOST_TASKS, ceil(total / WORK_PER_TASK))
+        tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = _grid_shapes(counts.withColumn("fair_shares", work / F.lit(total / tasks))).toArrow() if total else None
+
+    if hot is not None and hot.num_rows:
+        # a dimension of the grid that no key uses is left out: a constant would be dropped
+        # from the join condition and the two sides would no longer be partitioned alike
+        used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist()) > 1]
+        shapes = F.broadcast(spark.createDataFrame(hot))
+        left = _to_cells(left, left_keys, shapes, "_left", _ROWS, used)
+        right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
+        on = [*on, *((f"_left{count}", f"_right{count}") for count in used)]
+    # an explicit count, since small inputs with a large output must not be merged into few tasks
+    left = left.repartition(tasks, *(name for name, _ in on))
+    right = right.repartition(tasks, *(name for _, name in on))
+    return left.join(right.hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
+
+
+def _grid_shapes(counts: DataFrame) -> DataFrame:
+    """Key hash and grid shape of each hot key: fewer rows of 16 bytes than there are tasks.
+
+    The shape is 0 by 0 where one side has no row, so that there is nothing to join.
     """
-    one = F.lit(1)
-    n_left = left.groupBy(F.xxhash64(*left_keys).alias(_HASH)).agg(F.count(one).cast("double").alias("n_left"))
-    n_right = right.groupBy(F.xxhash64(*right_keys).alias(_HASH)).agg(F.count(one).cast("double").alias("n_right"))
-    counts = n_left.join(n_right, _HASH, "full").na.fill(0.0, ["n_left", "n_right"])
-    work = counts.withColumn("work", F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right"))
-
-    total = F.coalesce(F.sum("work"), F.lit(0.0))
-    least_tasks = F.lit(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    enough_tasks = F.least(F.lit(MOST_TASKS), F.ceil(total / WORK_PER_TASK))
-    enough_tasks = F.lit(tasks) if tasks else F.greatest(least_tasks, enough_tasks)
-    totals = work.agg(total.alias("total"), enough_tasks.cast("int").alias("tasks"))
-
-    fair_share = totals.select(F.col("total") / F.col("tasks")).scalar()
-    hot = work.where(F.col("work") > fair_share)
-    hot = hot.withColumn("want", F.ceil(F.col("work") / fair_share * CELLS_PER_TASK))
+    hot = counts.where(F.col("fair_shares") > 1)
+    cells = F.ceil(F.col("fair_shares") * CELLS_PER_TASK)
     # the most nearly square share of pairs repeats the fewest rows
-    square = F.round(F.sqrt(F.col("want") * F.col("n_left") / F.greatest("n_right", F.lit(1.0))))
-    grid_rows = F.least(F.col("want"), F.greatest(one, square))
-    shape = hot.withColumns({_ROWS: grid_rows, _COLS: F.ceil(F.col("want") / grid_rows)})
+    square = F.round(F.sqrt(cells * F.col("n_left") / F.greatest("n_right", F.lit(1.0))))
+    grid_rows = F.least(cells, F.greatest(F.lit(1), square))
     joins = F.least("n_left", "n_right") > 0
-    shape = shape.select(_HASH, *(F.when(joins, F.col(c)).otherwise(0).cast("int").alias(c) for c in (_ROWS, _COLS)))
-    no_hash, no_cols = F.lit(None).cast("bigint"), F.lit(None).cast("int")
-    return shape.unionAll(totals.select(no_hash.alias(_HASH), F.col("tasks").alias(_ROWS), no_cols.alias(_COLS)))
+    shape = {_ROWS: grid_rows, _COLS: F.ceil(cells / grid_rows)}
+    return hot.select(_HASH, *(F.when(joins, size).otherwise(0).cast("int").alias(c) for c, size in shape.items()))
 
 
 def _to_cells(

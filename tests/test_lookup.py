@@ -11,7 +11,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import asterism.operators.lookup as lookup_module
-from asterism.operators.lookup import _count_work, fits_broadcast, grid_join, lookup_join
+from asterism.operators.lookup import (
+    _asked_for,
+    _asked_share,
+    _count_keys,
+    _grid_shapes,
+    grid_join,
+    lookup_join,
+    table_bytes,
+)
 
 
 def brute(left, right):
@@ -105,12 +113,24 @@ def test_a_hot_key_is_spread_over_tasks(spark):
 
 def test_hot_keys_without_a_match_are_not_shuffled(spark):
     gone = spark.range(5000).select(F.lit("gone").alias("a"))
-    kept = spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 10).alias("a"))
+    rows = gone.unionAll(spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 10).alias("a")))
     lookup = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("b"))
-    joined = grid_join(gone.unionAll(kept), lookup, [("a", "b")], tasks=8)
-    assert joined.count() == 100
-    counted = _count_work(gone.unionAll(kept), ["a"], lookup, ["b"], 8).collect()
-    assert [(r._grid_rows, r._grid_cols) for r in counted] == [(0, 0), (8, None)]
+    assert grid_join(rows, lookup, [("a", "b")], tasks=8).count() == 100
+    counts = _count_keys(rows, lookup, [("a", "b")])
+    shapes = _grid_shapes(counts.withColumn("fair_shares", F.col("n_left") / 600)).collect()
+    assert [(r._grid_rows, r._grid_cols) for r in shapes] == [(0, 0)]
+
+
+def test_a_hot_lookup_key_is_spread_while_the_lookup_is_cut(spark):
+    rows = spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 10).alias("a"))
+    hot = spark.range(0, 6000, 1, 12).select(F.lit("k1").alias("b"), "id")
+    lookup = hot.unionAll(spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("b"), "id"))
+    counts = _count_keys(rows, lookup, [("a", "b")])
+    assert _asked_share(counts) == 6010 / 9000
+    cut = _asked_for(lookup, [("a", "b")], counts)
+    per_task = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 6010
+    assert max(per_task) < 6010 / 3
 
 
 def test_tasks_grow_with_the_work(spark, monkeypatch):
@@ -118,17 +138,16 @@ def test_tasks_grow_with_the_work(spark, monkeypatch):
     rows, lookup = spark.range(990).select((F.col("id") % 99).alias("a")), spark.range(99).select(F.col("id").alias("b"))
     joined = grid_join(rows, lookup, [("a", "b")])
     assert joined.count() == 990
-    counted = _count_work(rows, ["a"], lookup, ["b"], None).collect()
-    assert [r._grid_rows for r in counted] == [21]  # 990 rows, 99 rows and 990 pairs
+    # 990 rows, 99 rows and 990 pairs make 21 tasks
+    assert 15 < joined.groupBy(F.spark_partition_id()).count().count() <= 21
 
 
-def test_fits_broadcast_measures_text(spark):
-    small = spark.range(10).select(F.lit("x").alias("t"))
-    assert fits_broadcast(small, 10 * (32 + 8 + 8 + 1))
-    assert not fits_broadcast(small, 10 * (32 + 8 + 8 + 1) - 1)
-    assert not fits_broadcast(spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t")), 10_000)
-    assert fits_broadcast(small.limit(0), 0)
-    assert not fits_broadcast(spark.range(1).select(F.array("id").alias("t")))
+def test_table_bytes_measures_text(spark):
+    assert table_bytes(spark.range(10).select(F.lit("x").alias("t"))) == 10 * (32 + 8 + 8 + 1)
+    assert table_bytes(spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))) > 10_000
+    assert table_bytes(spark.range(10).select(F.lit(None).cast("string").alias("t"))) == 10 * (32 + 8)
+    assert table_bytes(spark.range(0)) == 0
+    assert table_bytes(spark.range(1).select(F.array("id").alias("t"))) == float("inf")
 
 
 def test_refuses_what_it_cannot_join(spark):
