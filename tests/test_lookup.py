@@ -74,6 +74,15 @@ def test_grid_join_of_any_keys(spark, left, right, tasks):
     assert collected(grid_join(ldf, rdf, [("a", "b")], tasks)) == brute(left, right)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(keys, max_size=20), st.lists(keys, max_size=60), st.sampled_from([0, 300, 1000, 1 << 20]))
+def test_lookup_join_of_any_size(spark, left, right, limit):
+    left, right = [(k, i) for i, k in enumerate(left)], [(k, i) for i, k in enumerate(right)]
+    ldf = spark.createDataFrame(left, "a bigint, x bigint")
+    rdf = spark.createDataFrame(right, "b bigint, u bigint")
+    assert collected(lookup_join(ldf, rdf, [("a", "b")], limit, 5)) == brute(left, right)
+
+
 def test_both_ways_agree_on_two_keys(spark):
     left, right = skewed(7, 300, 200, "k1", "k1")
     ldf = spark.createDataFrame(left, "a string, x int, y string")

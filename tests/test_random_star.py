@@ -89,7 +89,7 @@ def test_star_of_random_inputs(spark, root, seed):
     write(root, "in/song_data", 3, CATALOGUE_FIELDS, songs, rnd)
     write(root, "in/log_data", 2, LOG_FIELDS, plays, rnd)
     dedup = seed % 2 == 1
-    options = {"dedup_before_id": dedup, "broadcast_limit": 0 if seed % 3 else 1 << 20}
+    options = {"dedup_before_id": dedup, "broadcast_limit": (1 << 20, 0, 800)[seed % 3]}
     run_star(spark, root + "/in", root + "/out", SONG_KEYS_YEAR_ARTIST, **options)
     want = expected(songs, plays, dedup)
     for name, df in load_star(spark, root + "/out", SONG_KEYS_YEAR_ARTIST).items():
