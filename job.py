@@ -9,9 +9,16 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from asterism.plans.jobs import load_star, preview, run_star
-from asterism.session import create_session, object_store_conf
-from asterism.sources.schemas import PLAY_PAGE, SONG_KEYS_YEAR_ARTIST, SONG_KEYS_YEAR_TWICE
+from asterism import (
+    SONG_KEYS_YEAR_ARTIST,
+    SONG_KEYS_YEAR_TWICE,
+    create_session,
+    load_star,
+    object_store_conf,
+    preview,
+    run_star,
+)
+from asterism.sources.schemas import PLAY_PAGE
 
 SONG_FOLDERS = {"year": SONG_KEYS_YEAR_TWICE, "artist": SONG_KEYS_YEAR_ARTIST}
 
