@@ -26,9 +26,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _canonical(pdf: pd.DataFrame) -> list[tuple]:
-    pdf = pdf[sorted(pdf.columns)]
-    rows = (tuple(None if pd.isna(v) else v for v in row) for row in pdf.itertuples(index=False, name=None))
-    return sorted(rows, key=repr)
+    """Rows as text, which also tells -0.0 from 0.0, in a fixed order."""
+    return sorted(pdf[sorted(pdf.columns)].astype(str).itertuples(index=False, name=None))
 
 
 def assert_same(spark_df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> int:

@@ -136,8 +136,10 @@ ORACLES: dict[str, str] = {
         _CUSTOMER_SONGS, "year AS year_partition", "artist_id AS artist_id_partition"
     ),
     "scan_songs_null_key": _songs(
-        f"SELECT * REPLACE (CASE WHEN artist_location IS NOT NULL THEN year END AS year) FROM ({_CUSTOMER_SONGS})",
-        *_TWICE,
+        f"""SELECT * REPLACE (CASE WHEN artist_location IS NOT NULL THEN artist_id END AS artist_id)
+        FROM ({_CUSTOMER_SONGS})""",
+        "year AS year_partition",
+        "artist_id AS artist_id_partition",
     ),
     "scan_time_leaf": _time("orders", "o_orderdate", keyed=False),
     "scan_songplays_leaf": _fact(_PLAYS, _CUSTOMER_SONGS, keyed=False),

@@ -196,11 +196,11 @@ def scan_songs_by_artist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_songs_null_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Songs without a year come back from the default directory with null keys."""
-    root, stored = scratch_root(spark), songs_table(SONG_KEYS_YEAR_TWICE)
+    """Songs without an artist come back from the default directory with a null key."""
+    root, stored = scratch_root(spark), songs_table(SONG_KEYS_YEAR_ARTIST)
     catalogue = catalogue_from_customer(spark, sf)
-    catalogue = catalogue.withColumn("year", F.when(F.col("artist_location").isNotNull(), F.col("year")))
-    write_table(build_songs(catalogue, SONG_KEYS_YEAR_TWICE), root, stored.name, [*stored.keys])
+    catalogue = catalogue.withColumn("artist_id", F.when(F.col("artist_location").isNotNull(), F.col("artist_id")))
+    write_table(build_songs(catalogue, SONG_KEYS_YEAR_ARTIST), root, stored.name, [*stored.keys])
     return read_table(spark, root, stored.name, stored.schema)
 
 
