@@ -59,13 +59,14 @@ def lookup_join(
     lookup: DataFrame,
     on: Pairs,
     broadcast_limit: int = BROADCAST_LIMIT,
-    tasks: int | None = None,
+    min_tasks: int | None = None,
 ) -> DataFrame:
     """Inner join on ``[(rows column, lookup column)]``, keeping both sides' columns.
 
     Null keys match nothing, text compares exactly, and a key present several
-    times on both sides gives every pair. ``tasks`` is the number of tasks of the
-    shuffle join (default: by the work counted, at least ``spark.sql.shuffle.partitions``).
+    times on both sides gives every pair. The shuffle join has as many tasks as the
+    counted work asks for, and at least ``min_tasks`` (default:
+    ``spark.sql.shuffle.partitions``).
     Pass ``rows`` from a scan or a staged table: beyond the broadcast limit its keys
     are read once more to count them.
     """
@@ -78,14 +79,14 @@ def lookup_join(
             asked_for = stage(_asked_for(lookup, on, counts))
             if table_bytes(asked_for) <= broadcast_limit:
                 return rows.join(F.broadcast(asked_for), _equal(on), "inner")
-        return _join_in_cells(rows, lookup, on, counts, tasks)
+        return _join_in_cells(rows, lookup, on, counts, min_tasks)
 
 
-def grid_join(rows: DataFrame, lookup: DataFrame, on: Pairs, tasks: int | None = None) -> DataFrame:
+def grid_join(rows: DataFrame, lookup: DataFrame, on: Pairs, min_tasks: int | None = None) -> DataFrame:
     """The shuffle join of ``lookup_join``, in which every hot key is spread over a grid of cells.
 
-    A key with more than one ``tasks``-th of all input rows and output pairs is
-    hot, so there are fewer than ``tasks`` of them. With ``a`` grid rows and ``b``
+    A key with more than one task's share of all input rows and output pairs is
+    hot, so there are fewer of them than tasks. With ``a`` grid rows and ``b``
     grid columns for a key, each of its left rows goes to one grid row and is
     repeated for the ``b`` columns, each of its lookup rows goes to one column and
     is repeated for the ``a`` rows: any pair meets in exactly one cell. The rows of
@@ -93,7 +94,7 @@ def grid_join(rows: DataFrame, lookup: DataFrame, on: Pairs, tasks: int | None =
     """
     _check(rows, lookup, on)
     with staged(_count_keys(rows, lookup, on)) as counts:
-        return _join_in_cells(rows, lookup, on, counts, tasks)
+        return _join_in_cells(rows, lookup, on, counts, min_tasks)
 
 
 def _check(rows: DataFrame, lookup: DataFrame, on: Pairs) -> None:
@@ -141,16 +142,17 @@ def _asked_for(lookup: DataFrame, on: Pairs, counts: DataFrame) -> DataFrame:
     return lookup.join(F.broadcast(asked), same_hash, "left_semi")
 
 
-def _join_in_cells(rows: DataFrame, lookup: DataFrame, on: Pairs, counts: DataFrame, tasks: int | None) -> DataFrame:
+def _join_in_cells(
+    rows: DataFrame, lookup: DataFrame, on: Pairs, counts: DataFrame, min_tasks: int | None
+) -> DataFrame:
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
     spark = rows.sparkSession
 
     work = F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right")
     total = counts.agg(F.sum(work)).first()[0] or 0.0
-    if tasks is None:
-        tasks = min(MOST_TASKS, ceil(total / WORK_PER_TASK))
-        tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    min_tasks = min_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min_tasks, min(MOST_TASKS, ceil(total / WORK_PER_TASK)))
     hot = _grid_shapes(counts.withColumn("fair_shares", work / F.lit(total / tasks))).toArrow() if total else None
 
     if hot is not None and hot.num_rows:

@@ -33,7 +33,7 @@ def build_songplays(
     on: Sequence[tuple[str, str]] = TITLE_ONLY,
     dedup_before_id: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
-    tasks: int | None = None,
+    min_tasks: int | None = None,
     compact: bool = False,
 ) -> DataFrame:
     """One row per play and matching song, with a surrogate key and month keys.
@@ -49,7 +49,7 @@ def build_songplays(
     play_columns = dict.fromkeys(
         [*(left for left, _ in on), *(source for source in PLAY_FIELDS.values() if source not in SONG_SIDE)]
     )
-    matched = lookup_join(plays.select(*play_columns), songs.select(*song_columns), on, broadcast_limit, tasks)
+    matched = lookup_join(plays.select(*play_columns), songs.select(*song_columns), on, broadcast_limit, min_tasks)
     rows = project(matched, PLAY_FIELDS)
     if dedup_before_id:
         rows = distinct_rows(rows)

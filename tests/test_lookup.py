@@ -90,7 +90,7 @@ def test_both_ways_agree_on_two_keys(spark):
     on = [("a", "b"), ("x", "u")]
     expected = Counter((*p, *q) for p in left for q in right if p[0] is not None and p[:2] == q[:2])
     assert collected(lookup_join(ldf, rdf, on)) == expected
-    assert collected(lookup_join(ldf, rdf, on, broadcast_limit=0, tasks=16)) == expected
+    assert collected(lookup_join(ldf, rdf, on, broadcast_limit=0, min_tasks=16)) == expected
 
 
 def test_empty_sides(spark):
@@ -114,7 +114,7 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     cold = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("c"), F.col("id") % 50).alias("a"))
     lookup = spark.createDataFrame([("hot",)] + [(f"c{i}",) for i in range(50)], "b string")
     per_task = (
-        grid_join(hot.unionAll(cold), lookup, [("a", "b")], tasks=16).groupBy(F.spark_partition_id()).count().collect()
+        grid_join(hot.unionAll(cold), lookup, [("a", "b")], min_tasks=16).groupBy(F.spark_partition_id()).count().collect()
     )
     assert sum(r["count"] for r in per_task) == 10000
     assert max(r["count"] for r in per_task) < 10000 / 3
@@ -124,7 +124,7 @@ def test_hot_keys_without_a_match_are_not_shuffled(spark):
     gone = spark.range(5000).select(F.lit("gone").alias("a"))
     rows = gone.unionAll(spark.range(100).select(F.concat(F.lit("k"), F.col("id") % 10).alias("a")))
     lookup = spark.range(10).select(F.concat(F.lit("k"), F.col("id")).alias("b"))
-    assert grid_join(rows, lookup, [("a", "b")], tasks=8).count() == 100
+    assert grid_join(rows, lookup, [("a", "b")], min_tasks=8).count() == 100
     counts = _count_keys(rows, lookup, [("a", "b")])
     shapes = _grid_shapes(counts.withColumn("fair_shares", F.col("n_left") / 600)).collect()
     assert [(r._grid_rows, r._grid_cols) for r in shapes] == [(0, 0)]

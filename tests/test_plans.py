@@ -115,7 +115,7 @@ def test_grid_join_shuffles_each_side_once(spark, hot_left, hot_right):
         cold = spark.range(100).select(F.concat(F.lit("c"), F.col("id")).alias(name))
         return spark.range(hot).select(F.concat(F.lit("hot"), F.lit("")).alias(name)).unionAll(cold)
 
-    df = grid_join(side(hot_left, "a"), side(hot_right, "b"), [("a", "b")], tasks=20)
+    df = grid_join(side(hot_left, "a"), side(hot_right, "b"), [("a", "b")], min_tasks=20)
     text = plan(df)
     assert [e.split(", ")[-2:] for e in exchanges(text)] == [["20)", "REPARTITION_BY_NUM"]] * 2
     assert df.count() == hot_left * hot_right + 100

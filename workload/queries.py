@@ -122,8 +122,8 @@ def fact_title_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 def fact_title_fanout_grid(spark: SparkSession, sf: str) -> DataFrame:
     # more tasks than titles, so that even evenly asked titles are cut up
-    tasks = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return _unkeyed(build_songplays(*fanout_inputs(spark, sf, broadcast_limit=0), broadcast_limit=0, tasks=tasks))
+    plays, songs = fanout_inputs(spark, sf, broadcast_limit=0)
+    return _unkeyed(build_songplays(plays, songs, broadcast_limit=0, min_tasks=256))
 
 
 def fact_two_keys(spark: SparkSession, sf: str) -> DataFrame:
