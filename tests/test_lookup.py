@@ -113,9 +113,8 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     hot = spark.range(0, 9000, 1, 12).select(F.lit("hot").alias("a"))
     cold = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("c"), F.col("id") % 50).alias("a"))
     lookup = spark.createDataFrame([("hot",)] + [(f"c{i}",) for i in range(50)], "b string")
-    per_task = (
-        grid_join(hot.unionAll(cold), lookup, [("a", "b")], min_tasks=16).groupBy(F.spark_partition_id()).count().collect()
-    )
+    joined = grid_join(hot.unionAll(cold), lookup, [("a", "b")], min_tasks=16)
+    per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in per_task) == 10000
     assert max(r["count"] for r in per_task) < 10000 / 3
 
@@ -144,7 +143,8 @@ def test_a_hot_lookup_key_is_spread_while_the_lookup_is_cut(spark):
 
 def test_tasks_grow_with_the_work(spark, monkeypatch):
     monkeypatch.setattr(lookup_module, "WORK_PER_TASK", 100)
-    rows, lookup = spark.range(990).select((F.col("id") % 99).alias("a")), spark.range(99).select(F.col("id").alias("b"))
+    rows = spark.range(990).select((F.col("id") % 99).alias("a"))
+    lookup = spark.range(99).select(F.col("id").alias("b"))
     joined = grid_join(rows, lookup, [("a", "b")])
     assert joined.count() == 990
     # 990 rows, 99 rows and 990 pairs make 21 tasks
