@@ -27,16 +27,17 @@ BASE_MAX_REPEAT_PCT = 50
 LABELLED = 20_000
 BINS = 24
 MOST_RULES, MOST_CONDITIONS = 8, 3
-MIN_COVER, MIN_PRECISION = 5, 0.9
+MIN_COVER, MIN_PRECISION = 4, 0.97
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# feature -> SQL over the statistics; null where there is nothing to divide by
 FEATURES = {
-    "f_words": F.col("n_words").cast("double"),
-    "f_word_length": F.try_divide(F.col("word_chars"), F.col("n_words")),
-    "f_symbol_pct": F.try_divide(100 * F.col("n_symbols"), F.col("word_chars")),
-    "f_dup_line_pct": F.try_divide(100 * F.col("n_dup_lines"), F.col("n_lines")),
-    "f_repeat_pct": F.try_divide(100 * F.col("n_repeat_words"), F.col("n_words")),
-    "f_upper_pct": F.try_divide(100 * F.col("n_upper"), F.col("word_chars")),
+    "f_words": "double(n_words)",
+    "f_word_length": "try_divide(word_chars, n_words)",
+    "f_symbol_pct": "try_divide(100 * n_symbols, word_chars)",
+    "f_dup_line_pct": "try_divide(100 * n_dup_lines, n_lines)",
+    "f_repeat_pct": "try_divide(100 * n_repeat_words, n_words)",
+    "f_upper_pct": "try_divide(100 * n_upper, word_chars)",
 }
 
 
@@ -114,6 +115,10 @@ def _all_of(rule: Rule) -> Column:
     return met
 
 
+def with_features(stats: DataFrame) -> DataFrame:
+    return stats.withColumns({name: F.expr(sql) for name, sql in FEATURES.items()})
+
+
 def decision_list(rules: list[Rule]) -> Column:
     """Number of the first rule that a row meets, from 1, as one conditional expression; else null."""
     column = F.when(F.lit(False), F.lit(0))
@@ -122,8 +127,15 @@ def decision_list(rules: list[Rule]) -> Column:
     return column
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < BASE_MIN_WORDS) | (
+        100 * F.col("n_repeat_words") > BASE_MAX_REPEAT_PCT * F.col("n_words")
+    )
+
+
 def labelled_stats(stats: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFrame:
-    """Features and label of the labelled rows, about ``bound`` of them at most.
+    """Features and label of the labelled rows that pass the base rule, about ``bound``
+    of them at most.
 
     Rows are drawn by a hash of the id. An id with several labels counts as bad if
     one of them says so; null ids and labels are left out.
@@ -134,15 +146,20 @@ def labelled_stats(stats: DataFrame, labels: DataFrame, bound: int = LABELLED) -
     if total > bound:
         marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (1 << 20) * bound // total)
     grow = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) < 2
-    rows = stats.join(F.broadcast(marked), "doc_id")  # about bound rows of two numbers
+    rows = stats.where(~_base_failed()).join(F.broadcast(marked), "doc_id")  # about bound rows of two numbers
     return rows.select(*FEATURES, (F.col("_quality") == 0).alias("bad"), grow.alias("grow"))
 
 
 def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
     shares = [(i + 1) / (BINS + 1) for i in range(BINS)]
-    found = rows.agg(*(F.percentile_approx(name, shares, 10_000).alias(name) for name in FEATURES)).first()
-    found_bad = rows.where("bad").agg(*(F.percentile_approx(name, shares, 10_000).alias(name) for name in FEATURES)).first()
-    return {name: sorted({*(found[name] or []), *(found_bad[name] or [])}) for name in FEATURES}
+    """Midpoints between the quantiles of each feature, over all rows and over the bad ones.
+
+    A midpoint leaves a margin on both sides where the classes lie apart.
+    """
+    cuts = [F.percentile_approx(name, shares, 10_000).alias(name) for name in FEATURES]
+    found = [of.agg(*cuts).first() for of in (rows, rows.where("bad"))]
+    values = {name: sorted({value for row in found for value in row[name] or []}) for name in FEATURES}
+    return {name: [(a + b) / 2 for a, b in zip(of, of[1:])] for name, of in values.items()}
 
 
 def learn_rules(rows: DataFrame) -> list[Rule]:
@@ -153,7 +170,7 @@ def learn_rules(rows: DataFrame) -> list[Rule]:
     left = rows
     while len(rules) < MOST_RULES:
         rule = _grow(left.where("grow"), thresholds)
-        rule = _prune(left.where("not grow"), rule) if rule else rule
+        rule = _prune(left, rule) if rule else rule
         if not rule:
             break
         rules.append(rule)
@@ -198,30 +215,36 @@ def _grow(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
                         worth = p * (log2(p / (p + n)) - log2(bad / (bad + good)))
                         if worth > gain:
                             best, gain = Condition(name, above, cut), worth
-        if best is None:
+        if best is None or best in rule:
             break
         rule = (*rule, best)
     return rule
 
 
 def _prune(rows: DataFrame, rule: Rule) -> Rule:
-    """The best beginning of ``rule`` on rows it wasn't grown on, or nothing if none is precise."""
+    """The beginning of ``rule`` that does best on the rows it wasn't grown on, of those
+    that are precise on all rows and cover some of either part; nothing if none is.
+    """
     starts = [rule[:k] for k in range(1, len(rule) + 1)]
+    bad, new = F.col("bad"), ~F.col("grow")
     found = rows.agg(
-        *(F.count_if(_all_of(s) & F.col("bad")).alias(f"p{k}") for k, s in enumerate(starts)),
-        *(F.count_if(_all_of(s) & ~F.col("bad")).alias(f"n{k}") for k, s in enumerate(starts)),
+        *(F.count_if(_all_of(s) & bad).alias(f"p{k}") for k, s in enumerate(starts)),
+        *(F.count_if(_all_of(s) & ~bad).alias(f"n{k}") for k, s in enumerate(starts)),
+        *(F.count_if(_all_of(s) & bad & new).alias(f"pn{k}") for k, s in enumerate(starts)),
+        *(F.count_if(_all_of(s) & ~bad & new).alias(f"nn{k}") for k, s in enumerate(starts)),
     ).first()
-    scored = [(found[f"p{k}"], found[f"n{k}"], s) for k, s in enumerate(starts)]
-    good = [(p / (p + n), p, s) for p, n, s in scored if p > 0 and p / (p + n) >= MIN_PRECISION]
-    return max(good, key=lambda x: (x[1] * (2 * x[0] - 1), x[0]))[2] if good else ()
+    best, score = (), 0
+    for k, start in enumerate(starts):
+        p, n = found[f"p{k}"], found[f"n{k}"]
+        worth = found[f"pn{k}"] - found[f"nn{k}"]
+        if worth > score and p >= MIN_PRECISION * (p + n):
+            best, score = start, worth
+    return best
 
 
 def apply_rules(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     """``stats`` with base_failed, rule (number of the rule that rejects the row, or null) and kept."""
-    base = (F.col("n_words") < BASE_MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > BASE_MAX_REPEAT_PCT * F.col("n_words")
-    )
-    judged = stats.withColumns(FEATURES).withColumns({"base_failed": base, "rule": decision_list(rules)})
+    judged = with_features(stats).withColumns({"base_failed": _base_failed(), "rule": decision_list(rules)})
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
@@ -231,5 +254,4 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, bound: int = LABELLED)
     Without labelled rows, or without a rule that holds, the base rule alone decides.
     """
     stats = stage(text_stats(docs))
-    featured = stats.withColumns(FEATURES)
-    return apply_rules(stats, learn_rules(labelled_stats(featured, labels, bound)))
+    return apply_rules(stats, learn_rules(labelled_stats(with_features(stats), labels, bound)))
