@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    On a cluster the package comes with ``--py-files`` or is installed.
+    """
+    here = Path(__file__).resolve().parents[2]
+    paths = dict.fromkeys([str(here), *filter(None, spark.sparkContext.environment.get("PYTHONPATH", "").split(":"))])
+    spark.sparkContext.environment["PYTHONPATH"] = ":".join(paths)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(dataset_path(sf_dir, f"{name}.parquet"))
 
 

@@ -9,8 +9,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from asterism.llm import licenses, mixing, quality_rules
+import public_tokenizers
+
+from asterism.llm import licenses, mixing, quality_rules, token_counts, token_files
 from asterism.llm.common import read
+from asterism.sources.staging import scratch_root
 
 
 def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -25,14 +28,26 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_root(spark)
+    token_files.write_token_files(read(spark, sf, "documents"), root, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_token_files(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
+    "op5_token_counts": op5_token_counts,
     "op8_license_scan": op8_license_scan,
+    "op9_token_files": op9_token_files,
 }
 
 _SIZE = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
