@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from asterism.llm import licenses, mixing, quality_rules, token_counts, token_files
+from asterism.llm import decontaminate, licenses, mixing, quality_cnn, quality_rules, token_counts, token_files
 from asterism.llm.common import read
 from asterism.sources.staging import scratch_root
 
@@ -28,6 +28,14 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_quality_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_cnn.classify(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -45,6 +53,8 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
+    "op3_quality_cnn": op3_quality_cnn,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
