@@ -11,7 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from asterism.llm import decontaminate, licenses, mixing, quality_cnn, quality_rules, token_counts, token_files
+from asterism.llm import (
+    decontaminate,
+    html_main,
+    licenses,
+    mixing,
+    quality_cnn,
+    quality_rules,
+    token_counts,
+    token_files,
+    warc,
+)
 from asterism.llm.common import read
 from asterism.sources.staging import scratch_root
 
@@ -40,6 +50,14 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.derivatives(warc.responses_from_pages(read(spark, sf, "pages")), "page_id")
+
+
+def op7_html_main(spark: SparkSession, sf: str) -> DataFrame:
+    return html_main.extract_main_text(read(spark, sf, "pages"))
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf, "documents"))
 
@@ -56,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_cnn": op3_quality_cnn,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
+    "op6_warc": op6_warc,
+    "op7_html_main": op7_html_main,
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
 }
