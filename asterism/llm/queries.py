@@ -14,6 +14,7 @@ import public_tokenizers
 from asterism.llm import (
     decontaminate,
     html_main,
+    jaccard_join,
     licenses,
     mixing,
     quality_cnn,
@@ -68,6 +69,10 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_token_files(spark, root)
 
 
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_main": op7_html_main,
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 _SIZE = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
