@@ -19,6 +19,7 @@ block side by side.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,42 +31,75 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from asterism.llm.common import map_rows, small, to_arrow
+from asterism.llm.token_counts import byte_symbols
 from asterism.sources.json_tree import dataset_path
-from asterism.sources.staging import stage
+from asterism.sources.staging import scratch_root
 
 END = 1
 MAGIC = 0x31534E41  # "ANS1"
 # frequencies add up to 1 << SCALE; states stay from 1 << LOW up
 SCALE, LOW = 20, 31
-LANES = 128
-SEGMENT = 1 << 14
+LANES = 512
+SEGMENT = 1 << 16
 BLOCK = 1 << 19
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 
 BLOCKS = "part int, block int, first long, n_docs int, n_tokens long, payload binary"
 RESULT = "doc_id long, first long, n_tokens long, ids_crc32 long, part int"
 
+# The pieces of a word, for words of ASCII and Latin-1 characters whose
+# lower-cased, composed form is plain; and words that show whether a tokenizer cuts so.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
+PROBES = ("Word's", "Édith,", "x12-Ñandú!!", "###$$", "(it'll", "É", "ÿßÞð", "A.B_c", "")
+
 U32, U64 = np.dtype("<u4"), np.dtype("<u8")
 
 
+class PieceIds(dict):
+    """Lower-cased piece of plain letters, a digit or a run of marks -> its ids, by the library's model."""
+
+    def __init__(self, tokenizer: Tokenizer, kind: np.dtype):
+        self.tokenize, self.kind = tokenizer.model.tokenize, kind
+        self.table = {b: symbol for b, symbol in enumerate(byte_symbols())}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        symbols = piece.encode().decode("latin-1").translate(self.table)
+        ids = self[piece] = np.array([t.id for t in self.tokenize(symbols)], self.kind).tobytes()
+        return ids
+
+
 class WordIds(dict):
     """Word of a text -> its ids as little-endian bytes; a missing word is encoded and kept.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are
-    those of its parts between spaces and line ends.
+    those of its parts between spaces and line ends. A word of ASCII and Latin-1
+    letters and marks, which composed forms and odd cases don't touch, is lower-cased
+    and cut into pieces here, so that its pieces, far fewer than words, can be kept too;
+    any other word goes through the library whole. ``by_piece`` tells whether the
+    tokenizer is of that kind, as ``word_ids`` finds out.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2") if self.size <= 1 << 16 else U32
+        self.pieces = PieceIds(self.tokenizer, self.kind)
+        self.by_piece = all(self.whole(word) == self.in_pieces(word) for word in PROBES)
 
-    def encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, U32).tobytes()
+    def whole(self, word: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def in_pieces(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        ids = self[word] = self.encode(word)
+        plain = self.by_piece and PLAIN.fullmatch(word) and "<|" not in word
+        ids = self[word] = self.in_pieces(word) if plain else self.whole(word)
         return ids
 
     def of_text(self, text: str) -> bytes:
@@ -78,10 +112,13 @@ def word_ids(path: str) -> WordIds:
 
 
 def encode_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit, closed by ``end``) of each whole text."""
+    """doc_id and ids of each whole text, closed by ``end``: little-endian unsigned
+    16-bit numbers if the vocabulary allows that, else 32-bit.
+    """
 
     def batch(columns: dict[str, list]) -> dict[str, list]:
-        words, last = word_ids(path), np.uint32(end).astype(U32).tobytes()
+        words = word_ids(path)
+        last = np.array(end, words.kind).tobytes()
         return {
             "doc_id": columns["doc_id"],
             "ids": [words.of_text(text or "") + last for text in columns["text"]],
@@ -93,7 +130,7 @@ def encode_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
 # -- frequencies ----------------------------------------------------------------
 
 
-def count_ids(encoded: DataFrame) -> np.ndarray:
+def count_ids(encoded: DataFrame, kind: np.dtype) -> np.ndarray:
     """How often each id occurs in all documents; one row an id reaches the driver."""
     schema = "id long, n long"
     arrow = to_arrow(encoded.sparkSession, schema)
@@ -101,11 +138,10 @@ def count_ids(encoded: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                got = np.bincount(np.frombuffer(ids.as_py(), U32))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
-                total[: len(got)] += got
+            got = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+            if len(got) > len(total):
+                total = np.pad(total, (0, len(got) - len(total)))
+            total[: len(got)] += got
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], schema=arrow)
 
@@ -259,9 +295,11 @@ def write_token_files(docs: DataFrame, root: str, path: str, end: int = END) ->
     has the closing id only. An empty table gives a file set without blocks.
     """
     spark = docs.sparkSession
+    kind = word_ids(path).kind
     numbered = encode_ids(docs, path, end).withColumn("row", F.monotonically_increasing_id())
-    encoded = stage(numbered)
-    freq = frequencies(count_ids(encoded))
+    numbered.write.option("compression", "zstd").parquet(staging := scratch_root(spark))
+    encoded = spark.read.schema(numbered.schema).parquet(staging)
+    freq = frequencies(count_ids(encoded, kind))
     shared = spark.sparkContext.broadcast(freq)  # a number for each id of the vocabulary
     schema = to_arrow(spark, BLOCKS)
 
@@ -282,7 +320,7 @@ def write_token_files(docs: DataFrame, root: str, path: str, end: int = END) ->
         for batch in batches:
             for doc_id, ids in zip(batch.column(0), batch.column(1)):
                 doc_ids.append(doc_id.as_py())
-                chunks.append(np.frombuffer(ids.as_py(), U32))
+                chunks.append(np.frombuffer(ids.as_py(), kind))
                 held += len(chunks[-1])
                 if held >= BLOCK:
                     yield close()
