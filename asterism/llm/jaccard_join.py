@@ -13,16 +13,17 @@ n-grams. Sets are kept as 64-bit hashes of the n-grams.
    single n-grams of its beginning for k = 1, whose inverted lists are scanned. The
    boundary is where the number of pairs passes what the scan of the lists would cost;
    sets just below it have keys of both kinds, to meet those above.
-4. The sets with a common key are a group; groups with the same members are one. A
-   group above CELL members is cut into cells of pairs of its chunks, so a task never
+4. The sets with a common key are a group; groups with the same smallest member are
+   one. A group above CELL members is cut into cells of pairs of its chunks, so a task never
    has more than two chunks. Within a cell sets are compared by parity bitmaps: the
    number of different bits never exceeds the number of different n-grams, so a pair
-   that has too many has no link. What is left of the cell's comparisons is a
-   spanning forest of possible links: what is found is not compared again, so near
-   copies cost about a comparison each, and not one for each pair.
-5. Possible links are checked on whole sets. A cell whose forest loses an edge is
-   done again without it, knowing the components found; when no edge is lost, any two
-   sets of a cell are either connected or known to have no link.
+   that has too many has no link. Clear links give a spanning forest: what is found
+   is not compared again, so near copies cost about a comparison each, and not one for
+   each pair. Each set that is still apart from others it may link to, within what a
+   bitmap can tell, adds the nearest ALTERNATIVES of each part of the cell.
+5. These possible links are checked on whole sets. A cell that loses one is done again
+   without it, knowing the components found; when none is lost, any two sets of a cell
+   are either connected or known to have no link.
 6. Components by alternating stars, on links of ids only.
 """
 
@@ -47,15 +48,20 @@ NGRAM, PERCENT = 3, 90
 COUNTERS, BLOCKS = 1 << 22, 16
 # members of a chunk of a group
 CELL = 1024
+# uncertain links to each part of a cell that a set adds at once
+ALTERNATIVES = 8
 # beginnings of more n-grams than this have no pairs
 MOST_LIGHT = 64
+# edges that one task reduces to stars
+EDGES = 500_000
 # bits of the filter for rows of a set of documents
 SPOTS = 1 << 24
 
 NODE = (
     "doc_id long, m1 long, m2 long, n int, digest binary, start array<long>, bitmap binary, scan double"
 )
-EDGE = "key long, i int, j int, a long, b long"
+CELL_KEY = ["anchor", "i", "j"]
+EDGE = "anchor long, i int, j int, a long, b long"
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -318,29 +324,27 @@ def _entries(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
 
 
 def _groups(entries: DataFrame) -> DataFrame:
-    """(key, members) of the keys that two or more sets share, one key for those with the same members."""
-    shared = (
-        entries.groupBy("key")
-        .agg(
-            F.count(F.lit(1)).alias("members"),
-            F.bit_xor(F.xxhash64("cid")).alias("x1"),
-            F.bit_xor(F.xxhash64(F.lit(1), F.col("cid"))).alias("x2"),
-        )
-        .where("members > 1")
-    )
-    return stage(shared.groupBy("members", "x1", "x2").agg(F.min("key").alias("key")).select("key", "members"))
+    """(anchor, cid, n): the groups of sets that share a key.
+
+    A group is named by the smallest of its members, and groups of one name are one,
+    so a set is in it once, however many keys it shares with the others.
+    """
+    shared = entries.groupBy("key").agg(F.min("cid").alias("anchor"), F.max("cid").alias("last"))
+    shared = stage(shared.where("anchor < last").drop("last"))
+    return stage(entries.join(shared, "key").select("anchor", "cid", "n").distinct())
 
 
-def _cells(entries: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, i, j, cid, n, bitmap): the members of each cell of chunks i and j of a group."""
-    chunks = F.ceil(F.col("members") / CELL).cast("int")
-    joined = entries.join(groups, "key").withColumn("chunks", chunks)
+def _cells(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """(anchor, i, j, cid, n, bitmap): the members of each cell of chunks i and j of a group."""
+    many = groups.groupBy("anchor").count().where(F.col("count") > CELL)
+    many = small(many.select("anchor", F.ceil(F.col("count") / CELL).cast("int").alias("chunks")))
+    joined = groups.join(many, "anchor", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     joined = joined.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     joined = joined.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     members = joined.select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cid", "n"
+        "anchor", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cid", "n"
     )
-    return stage(members.join(classes.select("cid", "bitmap"), "cid").select("key", "i", "j", "cid", "n", "bitmap"))
+    return stage(members.join(classes.select("cid", "bitmap"), "cid").select(*CELL_KEY, "cid", "n", "bitmap"))
 
 
 class _Cell:
@@ -357,17 +361,20 @@ class _Cell:
             self.maps[w] = np.frombuffer(b"".join(bitmaps[k] for k in which), np.uint64).reshape(-1, w)
         self.folded: dict[int, np.ndarray] = {}
 
-    def possible(self, x: int, among: np.ndarray) -> np.ndarray:
-        """Those of ``among`` that may link to ``x``."""
+    def possible(self, x: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``among`` that may link to ``x``, and by how many bits each could be
+        further from it; a negative number where even a usual loss of bits leaves no doubt.
+        """
         total = self.sizes[x] + self.sizes[among]
         most = (100 - self.percent) * total // (100 + self.percent)  # different n-grams of a link
         fits = np.abs(self.sizes[x] - self.sizes[among]) <= most
         among, most = among[fits], most[fits]
         if not len(among):
-            return among
+            return among, among
         w, words = int(self.words[x]), self.words[among]
         ours = self.maps[w][self.row[x]]
-        different = np.zeros(len(among), np.int64)
+        different = np.full(len(among), 1 << 40)
+        bits = 64 * np.minimum(w, words)
         for v in set(words.tolist()):
             at = np.flatnonzero(words == v)
             rows = self.row[among[at]]
@@ -379,34 +386,60 @@ class _Cell:
                 xor = self.folded[v][rows] ^ ours
             elif 2 * v == w:
                 xor = self.maps[v][rows] ^ _fold(ours)
-            else:
+            else:  # sizes too far apart
                 continue
             different[at] = np.bitwise_count(xor).sum(axis=1)
-        return among[different <= most]
+        # n-grams that fall on one bit by twos are lost: most**2 / (2 * bits) twos are usual
+        usual = most * most / (2 * bits)
+        slack = 2 * np.ceil(usual + 2 * np.sqrt(usual))
+        there = different <= most
+        return among[there], (different + slack - most)[there]
 
     def forest(self, component: np.ndarray, lost: set[tuple[int, int]]) -> list[tuple[int, int]]:
-        """Edges (member, found from) that connect what possible links not in ``lost``
-        connect, given the components that are known."""
+        """Edges (member, found from): clear links that connect what they can, given the
+        components that are known, and uncertain ones between what is then apart."""
         edges: list[tuple[int, int]] = []
-        left = np.argsort(self.cids, kind="stable")
+        cids = self.cids
+        order = np.argsort(cids, kind="stable")
+
+        def near(x: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            found, doubt = self.possible(x, among)
+            if lost and len(found):
+                mine = int(cids[x])
+                new = np.array([(min(mine, o), max(mine, o)) not in lost for o in cids[found].tolist()])
+                found, doubt = found[new], doubt[new]
+            return found, doubt
+
+        left, cluster = order, np.full(len(cids), -1)
+        doubtful: list[int] = []
         known = len(set(component.tolist())) < len(component)
-        while len(left) > 1:
-            queue, left = [int(left[0])], left[1:]
+        while len(left):
+            first, left = int(left[0]), left[1:]
+            queue, cluster[first] = [first], first
             while queue and len(left):
                 x = queue.pop()
                 if known:
                     mates = component[left] == component[x]
                     queue += left[mates].tolist()
+                    cluster[left[mates]] = first
                     left = left[~mates]
-                found = self.possible(x, left)
-                if lost and len(found):
-                    mine = int(self.cids[x])
-                    others = self.cids[found].tolist()
-                    found = found[[(min(mine, o), max(mine, o)) not in lost for o in others]]
+                found, doubt = near(x, left)
                 if len(found):
-                    edges += [(int(self.cids[y]), int(self.cids[x])) for y in found.tolist()]
+                    if (doubt > 0).any():
+                        doubtful.append(x)
+                    found = found[doubt <= 0]
+                    edges += [(int(cids[y]), int(cids[x])) for y in found.tolist()]
                     queue += found.tolist()
+                    cluster[found] = first
                     left = left[~np.isin(left, found)]
+        for x in doubtful:  # with those that came later and are apart from it
+            others = order[(cluster[order] != cluster[x])]
+            found, doubt = near(x, others)
+            of = cluster[found]
+            by_cluster = np.lexsort((doubt, of))  # the nearest of each cluster
+            first = np.searchsorted(of[by_cluster], of[by_cluster])
+            nearest = found[by_cluster[np.arange(len(found)) - first < ALTERNATIVES]]
+            edges += [(int(cids[y]), int(cids[x])) for y in nearest.tolist()]
         return edges
 
 
@@ -421,7 +454,7 @@ def _forests(cells: DataFrame, percent: int) -> DataFrame:
         lost = {(min(c, o), max(c, o)) for c, o in zip(cids.tolist(), lost_to) if o is not None}
         bitmaps = [b for b, m in zip(rows.column("bitmap").to_pylist(), members) if m]
         cell = _Cell(cids[members], rows.column("n").to_numpy()[members], bitmaps, percent)
-        at = [rows.column(name)[0].as_py() for name in ("key", "i", "j")]
+        at = [rows.column(name)[0].as_py() for name in CELL_KEY]
         return [(*at, a, b) for a, b in cell.forest(rows.column("component").to_numpy()[members], lost)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,9 +463,9 @@ def _forests(cells: DataFrame, percent: int) -> DataFrame:
             table = pa.Table.from_batches([batch])
             if not len(table):
                 continue
-            at = np.stack([table.column(name).to_numpy() for name in ("key", "i", "j")])
+            at = np.stack([table.column(name).to_numpy() for name in CELL_KEY])
             new = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
-            if held and any(held[-1].column(n)[-1] != table.column(n)[0] for n in ("key", "i", "j")):
+            if held and any(held[-1].column(n)[-1] != table.column(n)[0] for n in CELL_KEY):
                 new = np.concatenate([[0], new])
             edges: list[tuple] = []
             begin = 0
@@ -448,7 +481,7 @@ def _forests(cells: DataFrame, percent: int) -> DataFrame:
         if held:
             yield _batch(solve(pa.concat_tables(held)), arrow)
 
-    dealt = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "cid")
+    dealt = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY, "cid")
     return dealt.mapInArrow(run, EDGE)
 
 
@@ -524,24 +557,54 @@ def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int
 def components(edges: DataFrame) -> DataFrame:
     """(cid, component) for the ends of ``edges`` (a, b): the smallest id each is connected to.
 
-    Alternating stars: every node's larger neighbours are joined to its smallest one,
-    then its smaller ones, until nothing changes. Each step moves ids only.
+    In turns, blocks of at most about EDGES edges are each reduced to stars, and all
+    edges are moved by alternating stars: every node's larger neighbours to its
+    smallest one, then its smaller ones. It ends when only stars are left.
     """
     pairs = stage(_ordered(edges))
-    before = _fingerprint(pairs)
-    while True:
-        large = stage(_star(pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), True))
-        pairs = stage(_star(large, False))
-        now = _fingerprint(pairs)
-        if now == before:
-            break
-        before = now
+    blocks = max(1, ceil(pairs.count() / EDGES))
+    pairs = stage(_contracted(pairs.coalesce(blocks)))
+    while not _are_stars(pairs):
+        large = _star(pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), True)
+        pairs = stage(_contracted(_star(stage(large), False).coalesce(blocks)))
     ends = pairs.select(F.col("a").alias("cid"), F.col("b").alias("component"))
     return ends.unionAll(pairs.select("b", "b")).groupBy("cid").agg(F.min("component").alias("component"))
 
 
-def _fingerprint(pairs: DataFrame) -> tuple:
-    return tuple(pairs.agg(F.count(F.lit(1)), *(F.bit_xor(F.xxhash64(*x)) for x in (["a", "b"], ["b", "a"]))).first())
+def _contracted(pairs: DataFrame) -> DataFrame:
+    """The same connections as stars, within each partition."""
+    schema = "a long, b long"
+    arrow = to_arrow(pairs.sparkSession, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            top = x
+            while (up := parent.get(top, top)) != top:
+                top = up
+            while (up := parent.get(x, x)) != top:
+                parent[x], x = top, up
+            return top
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+                parent.setdefault(min(x, y), min(x, y))
+        stars = [(x, root(x)) for x in parent]
+        yield _batch([(x, top) for x, top in stars if x != top], arrow)
+
+    return pairs.mapInArrow(run, schema)
+
+
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller one at most, which itself has none."""
+    ends = pairs.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionAll(
+        pairs.select(F.col("b").alias("node"), F.lit(0).alias("up"))
+    )
+    ups = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count_if(F.col("up") == 0).alias("downs"))
+    return not ups.where("ups > 1 or (ups = 1 and downs > 0)").take(1)
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
@@ -551,7 +614,7 @@ def _ordered(edges: DataFrame) -> DataFrame:
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """Large star, of edges in both directions, or small star, of edges to smaller ends."""
-    least = stage(edges.groupBy("a").agg(F.min("b").alias("least"))).withColumn("least", F.least("a", "least"))
+    least = edges.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
     joined = edges.join(least, "a")
     if larger:
         return joined.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
@@ -564,9 +627,6 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 # -- the join -----------------------------------------------------------------------------
 
 
-CELL_KEY = ["key", "i", "j"]
-
-
 def _pairs_of(edges: DataFrame) -> DataFrame:
     """The distinct pairs of edges of cells, each in a direction that one of them has."""
     pairs = edges.groupBy(F.greatest("a", "b").alias("_a"), F.least("a", "b").alias("_b"))
@@ -583,14 +643,15 @@ def _lost(edges: DataFrame, known: DataFrame) -> DataFrame:
 def _class_components(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(cid, component) for the classes that link to another one."""
     entries = _entries(classes, _boundary(classes), percent)
-    cells = _cells(entries, _groups(entries), classes)
+    cells = _cells(_groups(entries), classes)
     no_loss = F.lit(None).cast("long").alias("lost")
     new = stage(_forests(cells.select("*", F.col("cid").alias("component"), no_loss), percent))
-    edges, pairs, known = new, _pairs_of(new).drop("_a", "_b"), None
+    edges, pairs, known, found = new, _pairs_of(new).drop("_a", "_b"), None, None
     while True:
         checked = _checked(stage(pairs), docs, classes, percent)
         known = checked if known is None else known.unionAll(checked)
-        found = stage(components(known.where("ok").select("a", "b")))
+        joined = checked.where("ok").select("a", "b")
+        found = stage(components(joined if found is None else joined.unionAll(found)))
         active = stage(_lost(new, known).select(*CELL_KEY).distinct())
         if not active.take(1):
             return found
