@@ -88,7 +88,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _SIZE = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
 
+
+
+def _license_sql() -> str:
+    """The licence scan in SQL, with the known digests as a table of values."""
+    line = "translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    line = f"CASE WHEN regexp_matches({line}, '{licenses.COPYRIGHT_LINE}') THEN '' ELSE {line} END"
+    for other, ours in licenses.SPELLINGS:
+        line = f"replace({line}, '{other}', '{ours}')"
+    line = f"trim(regexp_replace({line}, '{licenses.PUNCTUATION}', ' ', 'g'))"
+    known = ", ".join(f"('{digest}', '{name}')" for digest, name in licenses.known_digests().items())
+    return f"""
+WITH k(digest, name) AS (VALUES {known}),
+l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), x -> {line}), x -> x <> '') AS lines
+      FROM documents),
+d AS (SELECT doc_id, md5(coalesce(array_to_string(lines, ' '), '')) AS digest, lines FROM l),
+n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices
+      FROM (SELECT doc_id, md5(unnest(lines)) AS digest FROM l) JOIN k USING (digest) GROUP BY doc_id)
+SELECT d.doc_id, d.digest, k.name AS license, coalesce(n.notices, '') AS notices
+FROM d LEFT JOIN k USING (digest) LEFT JOIN n ON d.doc_id = n.doc_id"""
+
+
 ORACLES: dict[str, str] = {
+    "op8_license_scan": _license_sql(),
     "op1_mix": f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce({_SIZE}, 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w

@@ -28,10 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from asterism.llm.common import map_rows, small, to_arrow
-from asterism.llm.token_counts import byte_symbols
 from asterism.sources.json_tree import dataset_path
 from asterism.sources.staging import scratch_root
 
@@ -42,7 +41,7 @@ SCALE, LOW = 20, 31
 LANES = 512
 SEGMENT = 1 << 16
 BLOCK = 1 << 19
-CACHED_WORDS = 400_000
+CACHED_PIECES = 1_000_000
 
 BLOCKS = "part int, block int, first long, n_docs int, n_tokens long, payload binary"
 RESULT = "doc_id long, first long, n_tokens long, ids_crc32 long, part int"
@@ -51,64 +50,91 @@ RESULT = "doc_id long, first long, n_tokens long, ids_crc32 long, part int"
 # lower-cased, composed form is plain; and words that show whether a tokenizer cuts so.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
-PROBES = ("Word's", "Édith,", "x12-Ñandú!!", "###$$", "(it'll", "É", "ÿßÞð", "A.B_c", "")
+PLAIN_TEXT = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+WHOLE = "\0"
+PROBES = ("Word's", "Édith,", "x12-Ñandú!!", "###$$", "(it'll", "É", "ÿßÞð", "A.B_c", "", "two words\n3")
 
 U32, U64 = np.dtype("<u4"), np.dtype("<u8")
 
 
-class PieceIds(dict):
-    """Lower-cased piece of plain letters, a digit or a run of marks -> its ids, by the library's model."""
-
-    def __init__(self, tokenizer: Tokenizer, kind: np.dtype):
-        self.tokenize, self.kind = tokenizer.model.tokenize, kind
-        self.table = {b: symbol for b, symbol in enumerate(byte_symbols())}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        symbols = piece.encode().decode("latin-1").translate(self.table)
-        ids = self[piece] = np.array([t.id for t in self.tokenize(symbols)], self.kind).tobytes()
-        return ids
-
-
-class WordIds(dict):
-    """Word of a text -> its ids as little-endian bytes; a missing word is encoded and kept.
+class PieceIds:
+    """Ids of whole texts by the tokenizers library, with the ids of pieces kept.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are
-    those of its parts between spaces and line ends. A word of ASCII and Latin-1
-    letters and marks, which composed forms and odd cases don't touch, is lower-cased
-    and cut into pieces here, so that its pieces, far fewer than words, can be kept too;
-    any other word goes through the library whole. ``by_piece`` tells whether the
-    tokenizer is of that kind, as ``word_ids`` finds out.
+    those of its words, and those of a word are those of its pieces. A word of ASCII
+    and Latin-1 letters and marks, which composed forms and odd cases don't touch, is
+    lower-cased and cut into pieces here; the library's model encodes each new piece,
+    many in one call, and up to CACHED_PIECES are kept. Any other word goes through the
+    library whole. ``by_piece`` tells whether the tokenizer cuts so, tried on PROBES.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if self.size <= 1 << 16 else U32
-        self.pieces = PieceIds(self.tokenizer, self.kind)
-        self.by_piece = all(self.whole(word) == self.in_pieces(word) for word in PROBES)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.kept: dict[str, bytes] = {}
+        self.by_piece = True
+        self.by_piece = all(self.of_texts([word]) == [self.whole(word)] for word in PROBES)
 
     def whole(self, word: str) -> bytes:
         return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def in_pieces(self, word: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        plain = self.by_piece and PLAIN.fullmatch(word) and "<|" not in word
-        ids = self[word] = self.in_pieces(word) if plain else self.whole(word)
-        return ids
-
-    def of_text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text, and as WHOLE and the word those words that aren't cut."""
+        if self.by_piece and PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+            return PIECES.findall(text.lower())
+        found: list[str] = []
+        for word in text.replace("\n", " ").split(" "):
+            if self.by_piece and PLAIN.fullmatch(word) and "<|" not in word:
+                found += PIECES.findall(word.lower())
+            else:
+                found.append(WHOLE + word)
+        return found
+
+    def encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of new pieces."""
+        new = {p: self.whole(p[1:]) for p in pieces if p[0] == WHOLE}
+        cut = [p for p in pieces if p[0] != WHOLE]
+        for begin in range(0, len(cut), 1000):
+            some = cut[begin : begin + 1000]
+            encoding = self.model.encode(" ".join(some), add_special_tokens=False)
+            raw = np.array(encoding.ids, self.kind).tobytes()
+            ends = (np.bincount(encoding.word_ids, minlength=len(some)).cumsum() * self.kind.itemsize).tolist()
+            new.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+        return new
+
+    def of_texts(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        some: list[list[str]] = []
+        for text in texts:
+            some.append(self.pieces(text))
+            if sum(map(len, some)) > 100_000:
+                out += self._of_pieces(some)
+                some = []
+        return out + self._of_pieces(some)
+
+    def _of_pieces(self, texts: list[list[str]]) -> list[bytes]:
+        found = [[*map(self.kept.get, pieces)] for pieces in texts]
+        missing = {p for pieces, ids in zip(texts, found) if None in ids for p, known in zip(pieces, ids) if known is None}
+        if not missing:
+            return [*map(b"".join, found)]
+        if len(self.kept) + len(missing) > CACHED_PIECES:
+            self.kept.clear()
+        new = self.encoded([*missing])
+        self.kept.update(new)
+        return [
+            b"".join([new[p] if known is None else known for p, known in zip(pieces, ids)])
+            for pieces, ids in zip(texts, found)
+        ]
 
 
 @lru_cache(2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def encode_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
@@ -117,11 +143,11 @@ def encode_ids(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     """
 
     def batch(columns: dict[str, list]) -> dict[str, list]:
-        words = word_ids(path)
-        last = np.array(end, words.kind).tobytes()
+        library = piece_ids(path)
+        last = np.array(end, library.kind).tobytes()
         return {
             "doc_id": columns["doc_id"],
-            "ids": [words.of_text(text or "") + last for text in columns["text"]],
+            "ids": [ids + last for ids in library.of_texts([text or "" for text in columns["text"]])],
         }
 
     return map_rows(docs.select("doc_id", "text"), batch, "doc_id long, ids binary")
@@ -295,7 +321,7 @@ def write_token_files(docs: DataFrame, root: str, path: str, end: int = END) ->
     has the closing id only. An empty table gives a file set without blocks.
     """
     spark = docs.sparkSession
-    kind = word_ids(path).kind
+    kind = piece_ids(path).kind
     numbered = encode_ids(docs, path, end).withColumn("row", F.monotonically_increasing_id())
     numbered.write.option("compression", "zstd").parquet(staging := scratch_root(spark))
     encoded = spark.read.schema(numbered.schema).parquet(staging)

@@ -1,0 +1,110 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from asterism.llm import jaccard_join as J
+
+
+def ngrams(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(zip(words, words[1:], words[2:])) if len(words) > 2 else frozenset([tuple(words)] if words else [])
+
+
+def brute_force(rows):
+    """(doc_id, size, component) of every row, by comparing all with all."""
+    sets = [ngrams(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 90 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    low = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            low[find(i)] = min(doc_id, low.get(find(i), doc_id))
+    return sorted(
+        ((d, len(s), low.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=repr
+    )
+
+
+def near(rng, words, share, vocabulary):
+    return [rng.choice(vocabulary) if rng.random() < share else w for w in words]
+
+
+def planted(seed):
+    """Groups of copies and near copies of many sizes, and a passage that many texts share."""
+    rng = random.Random(seed)
+    vocabulary = [f"{rng.choice('abcdef')}{i}" for i in range(900)]
+    texts = []
+    for size in (8, 11, 12, 20, 40, 130, 600):
+        for copies in (1, 2, 12):
+            base = rng.choices(vocabulary, k=size)
+            texts += [" ".join(near(rng, base, rng.choice([0, 0.004, 0.01, 0.02]), vocabulary)) for _ in range(copies)]
+    base = rng.choices(vocabulary, k=150)
+    texts += [" ".join(near(rng, base, 0.01, vocabulary)) for _ in range(60)]
+    passage = rng.choices(vocabulary, k=60)
+    texts += [" ".join(rng.choices(vocabulary, k=25) + passage + rng.choices(vocabulary, k=25)) for _ in range(40)]
+    texts += ["", None, " \n", "A", "a", "a B", "A b", "a b c", "A B C", texts[0].upper(), texts[40].upper()]
+    rng.shuffle(texts)
+    return [*enumerate(texts)]
+
+
+@pytest.mark.parametrize("cell", [1024, 8])
+def test_components_against_brute_force(documents, monkeypatch, cell):
+    monkeypatch.setattr(J, "CELL", cell)
+    rows = planted(1)
+    got = J.jaccard_components(documents(rows).repartition(4)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_force(rows)
+
+
+def test_odd_rows(messy):
+    rows = [(r["doc_id"], r["text"]) for r in messy.collect()]
+    got = J.jaccard_components(messy).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_force(rows)
+
+
+def test_empty_table(messy):
+    assert J.jaccard_components(messy.limit(0)).count() == 0
+
+
+@given(st.text(alphabet="aB é\n\t\x0b c", max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_sets_have_the_right_size(text):
+    assert len(J.ngram_set(text)) == len(ngrams(text))
+
+
+def test_pieces_of_long_texts_make_no_difference(monkeypatch):
+    text = " ".join(f"word{i % 977}" for i in range(4000)) + " " + "y" * 500 + " end\nof it"
+    want = J.ngram_set(text)
+    monkeypatch.setattr(J, "_PIECE", 100)
+    assert (J.ngram_set(text) == want).all()
+
+
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60))
+@settings(max_examples=100, deadline=None)
+def test_bitmaps_never_hide_a_link(common, only_a, only_b):
+    rng = np.random.default_rng([common, only_a, only_b])
+    values = np.unique(rng.integers(0, 1 << 63, common + only_a + only_b, np.uint64))
+    a, b = np.sort(values[: common + only_a]), np.sort(np.concatenate([values[:common], values[common + only_a :]]))
+    cell = J._Cell(np.array([1, 2]), np.array([len(a), len(b)]), [J.parity_bitmap(x).tobytes() for x in (a, b)], 90)
+    possible = len(cell.possible(0, np.array([1])))
+    assert possible or not J.links(a, b)
+
+
+def test_components_of_long_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 40)] + [(7, 7)]
+    random.Random(1).shuffle(edges)
+    table = spark.createDataFrame(edges, "a long, b long")
+    got = dict(map(tuple, J.components(table).collect()))
+    assert got == {i: 100 for i in range(100, 161)} | {500 + i: 500 for i in range(40)}

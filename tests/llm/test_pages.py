@@ -1,0 +1,142 @@
+import gzip
+import html
+import re
+
+import pytest
+from conftest import rows_of
+
+from asterism.llm import html_main, page_makers, warc
+from asterism.llm.html_tree import parse
+
+PAGE = """<html><head><title>T &amp; t</title><style>p{}</style></head><body>
+<nav class="menu"><a href="/">Home</a> <a href="/a">About</a></nav>
+<div class="cookie-notice"><p>We use cookies. Accept all?</p></div>
+<article><h1>Big   news</h1><p>First para &lt;graph&gt; with <b>bo</b>ld
+text that goes on for a while, as it should.<br>Next line &amp; more of it here.
+<p>Second paragraph has a <a href="x">link</a> and quite a few more words than that.
+<script>var x = "<p>no</p>";</script><p>Third paragraph ends the article, and is of use.</article>
+<div class="comments"><h3>Comments</h3><p>Nice one, I liked that a lot!</p><p>Me too, really.</p></div>
+<form><label>Search</label><input></form><footer>&copy; 2024 Somebody</footer></body></html>"""
+MAIN = (
+    "Big news First para <graph> with bold text that goes on for a while, as it should. Next line & more of it"
+    " here. Second paragraph has a link and quite a few more words than that. Third paragraph ends the article,"
+    " and is of use."
+)
+ODD = [
+    None,
+    "",
+    "no markup at all",
+    "<",
+    "<p",
+    "</p></div>",
+    "<!-- open",
+    "<script>never ends",
+    "&amp;&#x41;&bogus;&#1114112;",
+    "<div>" * 5000 + "deep" + "</div>" * 5000,
+    "<b>" * 5000 + "<p>x" * 50,
+    "\0퟿<a b='c>d\">e",
+]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(i, f"http://h/{i}", page, "x", "y") for i, page in enumerate([PAGE, *ODD])]
+    rows += [(None, None, PAGE, None, None), (0, "http://h/0", PAGE, "x", "y")]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, text string, headers string")
+
+
+def test_main_text(pages):
+    rows = html_main.extract_main_text(pages).collect()
+    assert len(rows) == pages.count()
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    assert [r["text"] for r in rows if r["page_id"] in (0, None)] == [MAIN] * 3
+    assert {r["text"] for r in rows if r["page_id"] in (1, 2)} == {""}
+    assert html_main.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_invented_pages_that_were_not_learned_from():
+    model, made = html_main.trained(), [*page_makers.training_pages(120, seed=77)]
+    right = 0
+    for (source, _), got in zip(made, html_main.main_texts(model, [source for source, _ in made])):
+        blocks, runs = html_main.read_blocks(source)
+        marked = " ".join("".join(t if page_makers.MARK in t else " " if t.isspace() else "" for _, t in runs).split())
+        right += got.replace(page_makers.MARK, "") == marked.replace(page_makers.MARK, "")
+    assert right >= 0.95 * len(made)
+
+
+def test_given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    model = html_main.trained()
+    for r, got in zip(rows, html_main.main_texts(model, [r["html"] for r in rows])):
+        inside = "".join(re.findall(r"<article>(.*?)(?:</article>|$)", r["html"], re.S)[:1])
+        assert got == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inside)).split())
+
+
+def test_no_choice_contradicts_one_above_it():
+    blocks, _ = html_main.read_blocks(PAGE)
+    for p in ([0.9] * len(blocks), [0.1] * len(blocks), [i % 2 * 0.98 + 0.01 for i in range(len(blocks))]):
+        kept = html_main.decode(blocks, html_main.np.array(p))
+        assert len(kept) == len(blocks)
+        if len(set(p)) == 1:
+            assert set(kept) == {p[0] > 0.5}
+
+
+@pytest.mark.parametrize("source", [x or "" for x in ODD])
+def test_anything_is_parsed(source):
+    assert parse(source).name == "#root"
+    html_main.read_blocks(source)
+    warc.plain_text(source)
+
+
+def test_derivatives(pages):
+    responses = warc.responses_from_pages(pages)
+    rows = warc.derivatives(responses, "page_id").collect()
+    assert len(rows) == 2 * pages.count()
+    for r in rows:
+        ((headers, block),) = warc.records(r["record"])
+        fields = dict(headers)
+        assert fields["WARC-Refers-To"] == r["refers_to"] and fields["WARC-Record-ID"] == r["record_id"]
+        assert fields["WARC-Block-Digest"] == r["block_digest"] == warc.sha1(block)
+        assert int(fields["Content-Length"]) == len(block) == r["content_length"]
+        assert fields["WARC-Type"] == r["type"]
+    of = {(r["page_id"], r["type"]): r for r in rows}
+    meta = dict(warc._fields(next(warc.records(of[0, "metadata"]["record"]))[1].decode().split("\r\n")))
+    assert meta["title"] == "T & t" and meta["http-status"] == "HTTP/1.1 200 OK"
+    assert meta["source-payload-digest"] == warc.sha1(PAGE.encode()) == of[0, "metadata"]["payload_digest"]
+    text = next(warc.records(of[0, "conversion"]["record"]))[1].decode()
+    assert text.split("\n")[:3] == ["Home About", "We use cookies. Accept all?", "Big news"]
+    assert "var x" not in text and "T & t" not in text
+    assert len({r["record_id"] for r in rows}) == len(rows) - 2  # the repeated page has the same two again
+
+
+def test_files_are_read_back(spark, tmp_path, pages):
+    rows = warc.derivatives(warc.responses_from_pages(pages)).select("record").collect()
+    whole = b"".join(bytes(r[0]) for r in rows)
+    (tmp_path / "plain.warc").write_bytes(whole)
+    (tmp_path / "each.warc.gz").write_bytes(b"".join(gzip.compress(bytes(r[0])) for r in rows))
+    read = warc.read_warc(spark.read.format("binaryFile").load(str(tmp_path)))
+    assert read.count() == 2 * len(rows)
+    assert warc.derivatives(read).count() == 0  # none of them is a response
+    again = sorted(warc.serialise([(h["name"], h["value"]) for h in r["headers"]], bytes(r["block"])) for r in read.collect())
+    assert again == sorted(2 * [bytes(r[0]) for r in rows])
+
+
+def test_other_records_and_odd_blocks(spark):
+    rows = [
+        ([("WARC-Type", "request")], b"GET /"),
+        ([("warc-type", "Response")], b"HTTP/1.0 404 Not Found\r\nContent-Type: image/png\r\n\r\n\x89PNG"),
+        ([("WARC-Type", "response"), ("X", "a\r\nb")], None),
+        (None, b"x"),
+        ([("WARC-Type", "response")], "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\né".encode("latin-1")),
+    ]
+    table = spark.createDataFrame(rows, warc.RECORD)
+    got = warc.derivatives(table).collect()
+    assert [r["type"] for r in got].count("conversion") == 3
+    texts = {bytes(next(warc.records(r["record"]))[1]) for r in got if r["type"] == "conversion"}
+    assert texts == {b"", "é".encode()}
+    with pytest.raises(ValueError):
+        [*warc.records(b"WARC/1.1\r\nContent-Length: 99\r\n\r\nshort")]
+
+
+def test_empty_table(pages):
+    assert rows_of(warc.derivatives(warc.responses_from_pages(pages.limit(0)))) == []

@@ -1,0 +1,68 @@
+import zlib
+
+import numpy as np
+from conftest import LONG
+
+from asterism.llm import quality_cnn as C
+
+
+def test_gradient_matches_differences():
+    net = C.Network.fresh(3)
+    text = "some words of a text, long enough for several chunks. " * 30
+    grads = [np.zeros_like(p) for p in net.parameters()]
+    C._backward(net, text, 1, 1.0, grads)
+
+    def loss():
+        return -np.log(C.score(net, text))
+
+    for p, g in zip(net.parameters(), grads):
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        step, kept = 1e-3, float(p[at])
+        p[at] = kept + step
+        up = loss()
+        p[at] = kept - step
+        down = loss()
+        p[at] = kept
+        assert abs((up - down) / (2 * step) - g[at]) < 0.05 * max(1e-3, abs(g[at]))
+
+
+def test_blocks_cover_the_whole_text():
+    net = C.Network.fresh(1)
+    text = LONG + "!!%%%"
+    assert abs(C.score(net, text) - C.score(net, text, 512)) < 1e-6
+    assert C.score(net, text) != C.score(net, LONG)
+
+
+def test_odd_texts_have_a_score():
+    net = C.train([], [])
+    assert [C.score(net, t) for t in (None, "", "a", "é")] == [0.5] * 4
+
+
+def test_held_out_accuracy_and_order(spark, documents):
+    good = "calm plain words of text number {} flow along the quiet page without noise. "
+    bad = "LOUD!! WORDS%%% OF### JUNK$$$ NUMBER {} SHOUT!! "
+    rows = [(i, (bad if i % 5 == 0 else good).format(i) * (1 + i % 4)) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 != 0), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = C.classify(documents(rows), labels).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["predicted"] == (r["doc_id"] % 5 != 0) for r in held) >= 0.97 * len(held)
+    assert all(r["predicted"] == (r["score"] >= C.THRESHOLD) for r in got)
+
+
+def test_held_out_labels_are_not_read(spark, documents):
+    rows = [(i, f"text {i}") for i in range(50)]
+    labels = [(i, 1, 0) for i in range(50)]
+    table = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    held = {i for i in range(50) if zlib.crc32(str(i).encode()) % 4 == 2}
+    other = [(i, 0 if i in held else q, t) for i, q, t in labels]
+    docs = documents(rows)
+    assert C.training_sample(docs, table(labels)) == C.training_sample(docs, table(other))
+    assert len(C.training_sample(docs, table(labels))[0]) == 50 - len(held)
+
+
+def test_odd_rows(messy, labels):
+    got = C.classify(messy, labels).collect()
+    assert len(got) == messy.count()
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert C.classify(messy.limit(0), labels.limit(0)).count() == 0

@@ -1,0 +1,141 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from conftest import LONG, PLAIN, rows_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from asterism.llm import token_counts, token_files
+from asterism.sources.staging import scratch_root
+
+TEXTS = [
+    None,
+    "",
+    PLAIN,
+    LONG,
+    "naïve İstanbul ΣΑΣ Σ ﬁ é é ̈x",
+    "<|endoftext|>a<|endoftext|> <|startoftext|>b <|nothing|>",
+    "it's WE'LL x'Re 'd''s 12345 3.14 a_b --- $$$### ÿßÞð ª²½µ",
+    "  \t\r\n\x0b\x0c\x1c\u0085   x  \n\n  y ",
+    "日本語 テスト العربية 🙂🙂 z",
+    "x" * 5000,
+    "ab" * 3000 + " " * 50,
+]
+
+
+@given(st.text(max_size=80))
+@settings(max_examples=300, deadline=None)
+def test_counts_are_those_of_the_library(text):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    assert token_counts.counter(path).count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_count_rows(documents, byte_bpe):
+    library = Tokenizer.from_file(byte_bpe)
+    got = {r["doc_id"]: r for r in token_counts.count_tokens(documents([*enumerate(TEXTS)]), byte_bpe).collect()}
+    for i, text in enumerate(TEXTS):
+        want = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert (got[i]["n_tokens"], got[i]["n_bytes"]) == (want, len((text or "").encode()))
+        assert got[i]["over_limit"] == (want > 512)
+
+
+def test_a_full_cache_changes_nothing(byte_bpe, word_bpe, monkeypatch):
+    texts = [t or "" for t in TEXTS]
+    want = [token_counts.PieceCounter(byte_bpe).count(t) for t in texts]
+    ids = token_files.PieceIds(word_bpe).of_texts(texts)
+    monkeypatch.setattr(token_counts, "CACHED_PIECES", 3)
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 3)
+    small = token_counts.PieceCounter(byte_bpe)
+    assert [small.count(t) for t in texts] == want
+    assert token_files.PieceIds(word_bpe).of_texts(texts) == ids
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_ids_are_those_of_the_library(text):
+    import public_tokenizers
+
+    kept = token_files.piece_ids(public_tokenizers.path("word_bpe_49k.json"))
+    assert kept.by_piece
+    assert kept.of_texts([text]) == [kept.whole(text)]
+
+
+@given(st.lists(st.integers(0, 300), max_size=400), st.integers(0, 10**6))
+@settings(max_examples=60, deadline=None)
+def test_blocks_round_trip(ids, seed):
+    rng = random.Random(seed)
+    counts = np.bincount(np.array([*ids, 299], np.int64), minlength=301)
+    model = token_files.Model(token_files.frequencies(counts))
+    cuts = sorted(rng.randint(0, len(ids)) for _ in range(3))
+    lengths = np.diff([0, *cuts, len(ids)])
+    payload = token_files.encode_block(np.array(ids, np.uint32), [5, None, -1, 7], lengths, model)
+    docs, sizes, decoded = token_files.decode_block(payload, model)
+    assert (docs, sizes.tolist(), decoded.tolist()) == ([5, None, -1, 7], lengths.tolist(), ids)
+
+
+def test_segments_and_checkpoints_round_trip():
+    rng = np.random.default_rng(1)
+    ids = np.minimum(rng.zipf(1.3, 3 * token_files.SEGMENT + 777), 40_000).astype(np.uint32)
+    model = token_files.Model(token_files.frequencies(np.bincount(ids)))
+    payload = token_files.encode_block(ids, [1], np.array([len(ids)]), model)
+    assert (token_files.decode_block(payload, model)[2] == ids).all()
+    assert len(payload) < 2 * len(ids)
+
+
+def test_one_symbol_and_damage():
+    model = token_files.Model(token_files.frequencies(np.array([0, 9])))
+    payload = token_files.encode_block(np.ones(1000, np.uint32), [1], np.array([1000]), model)
+    assert token_files.decode_block(payload, model)[2].tolist() == [1] * 1000
+    with pytest.raises(ValueError):
+        token_files.decode_block(payload[:-1] + b"\xff" if payload[-1] != 255 else payload[:-1] + b"\0", model)
+
+
+@pytest.mark.parametrize("total", [1, 3, 10**7])
+def test_frequencies_fill_the_scale(total):
+    counts = np.array([0, 1, total, 5, 0, 1])
+    freq = token_files.frequencies(counts)
+    assert freq.sum() == 1 << token_files.SCALE
+    assert ((freq > 0) == (counts > 0)).all()
+
+
+def expected(rows, path):
+    library = Tokenizer.from_file(path)
+    start, want = 0, []
+    for doc_id, ids in sorted(
+        ((d, library.encode(t or "", add_special_tokens=False).ids + [1]) for d, t in rows),
+        key=lambda r: (r[0] is not None, r[0] or 0),
+    ):
+        raw = np.array(ids, "<u4").tobytes()
+        want.append((doc_id, start, len(ids), zlib.crc32(raw)))
+        start += len(ids)
+    return sorted(want, key=repr)
+
+
+def test_files_round_trip(spark, documents, word_bpe, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK", 500)
+    rows = [*((7 * i % 101, f"{t or ''} {i}" if t else t) for i, t in enumerate(TEXTS * 3)), (None, None), (None, "")]
+    root = scratch_root(spark)
+    token_files.write_token_files(documents(rows).repartition(5), root, word_bpe)
+    assert rows_of(token_files.read_token_files(spark, root)) == expected(rows, word_bpe)
+
+
+def test_odd_rows(spark, messy, word_bpe):
+    root = scratch_root(spark)
+    token_files.write_token_files(messy, root, word_bpe)
+    got = token_files.read_token_files(spark, root).collect()
+    assert len(got) == messy.count()
+    spans = sorted((r["start"], r["start"] + r["n_tokens"]) for r in got)
+    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[0][0] == 0
+
+
+def test_empty_table(spark, messy, word_bpe, byte_bpe):
+    root = scratch_root(spark)
+    token_files.write_token_files(messy.limit(0), root, word_bpe)
+    assert token_files.read_token_files(spark, root).count() == 0
+    assert token_counts.count_tokens(messy.limit(0), byte_bpe).count() == 0
