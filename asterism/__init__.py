@@ -2,10 +2,11 @@
 
 from asterism.plans.jobs import load_star, preview, run_catalogue, run_log, run_star
 from asterism.session import create_session, object_store_conf
-from asterism.sources.schemas import SONG_KEYS_YEAR_ARTIST, SONG_KEYS_YEAR_TWICE
+from asterism.sources.schemas import SONG_KEYS_YEAR_ARTIST, SONG_KEYS_YEAR_BUCKET, SONG_KEYS_YEAR_TWICE
 
 __all__ = [
     "SONG_KEYS_YEAR_ARTIST",
+    "SONG_KEYS_YEAR_BUCKET",
     "SONG_KEYS_YEAR_TWICE",
     "create_session",
     "load_star",

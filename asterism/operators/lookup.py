@@ -3,10 +3,13 @@
 Three ways, each taken only if the one before does not do, and all with the same
 rows as a plain inner join:
 
-* measure the lookup; if it is small broadcast it, and nothing is shuffled;
+* measure the lookup; if it is small broadcast it, and nothing is shuffled, unless some
+  split of the rows would give too many pairs: then the rows are dealt out evenly first;
 * count the keys on both sides; if few lookup rows are asked for, broadcast those;
 * shuffle both sides, but first cut the keys with a large share of the work into a
   grid of cells, so that no task gets a whole hot key.
+
+Choosing the way runs one to five Spark jobs while the plan is built.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Sequence
 from functools import reduce
 from math import ceil
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,12 +29,12 @@ from asterism.sources.staging import stage, staged
 BROADCAST_LIMIT = 64 << 20
 # a hot key's cells fall on tasks by hash, so smaller ones even out better
 CELLS_PER_TASK = 4
-# input rows and output pairs, above which a task's sort and output would spill or drag;
-# but no more tasks than a driver can keep track of
+# input rows and output pairs, above which a task's sort and output would spill or drag
 WORK_PER_TASK = 4_000_000
+# tasks of one shuffle that a driver can keep track of; more work is joined in slices
 MOST_TASKS = 100_000
 
-_HASH, _ROWS, _COLS = "_key_hash", "_grid_rows", "_grid_cols"
+_HASH, _ROWS, _COLS, _IDENTITY = "_key_hash", "_grid_rows", "_grid_cols", "_row_identity"
 # types in which equal values have equal bytes, so equal hashes
 _EXACT_KEYS = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
@@ -39,19 +43,25 @@ Pairs = Sequence[tuple[str, str]]
 
 
 def table_bytes(df: DataFrame) -> float:
-    """Upper bound of the bytes all rows of ``df`` take as a hash table.
+    """Upper bound of the bytes all rows of ``df`` take as a hash table, but for its last page.
 
-    Runs one aggregate over ``df`` and brings a single number to the driver. Per
-    row it counts 32 bytes of table overhead and, per column, an 8-byte slot plus
-    the padded text length. Nested columns have no bound.
+    Runs one aggregate over ``df`` and brings a single number to the driver. A row is
+    stored twice at most, as key and as value: null bits, a slot of 8 bytes for each
+    column, 16 bytes for a wide decimal or an interval, and texts to the next 8 bytes.
+    To that come lengths, a chain pointer and up to four entries of 16 bytes in the
+    pointer array. Nested columns have no bound.
     """
     if any(isinstance(f.dataType, _NESTED) for f in df.schema):
         return float("inf")
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    row = F.lit(32 + 8 * len(df.columns))
-    for name in texts:
-        row = row + F.coalesce(F.octet_length(name) + 8, F.lit(0))
-    return df.agg(F.sum(row.cast("double"))).first()[0] or 0.0
+    row = F.lit(8 * ceil(len(df.columns) / 64) + 8 * len(df.columns))
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            row = row + F.coalesce(F.octet_length(f.name) + 7, F.lit(0))
+        elif isinstance(f.dataType, T.CalendarIntervalType) or (
+            isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18
+        ):
+            row = row + 16
+    return df.agg(F.sum((2 * row + 24 + 64).cast("double"))).first()[0] or 0.0
 
 
 def lookup_join(
@@ -60,29 +70,33 @@ def lookup_join(
     on: Pairs,
     broadcast_limit: int = BROADCAST_LIMIT,
     min_tasks: int | None = None,
+    most_tasks: int = MOST_TASKS,
 ) -> DataFrame:
     """Inner join on ``[(rows column, lookup column)]``, keeping both sides' columns.
 
     Null keys match nothing, text compares exactly, and a key present several
     times on both sides gives every pair. The shuffle join has as many tasks as the
     counted work asks for, and at least ``min_tasks`` (default:
-    ``spark.sql.shuffle.partitions``).
+    ``spark.sql.shuffle.partitions``); where that is above ``most_tasks`` it is done in
+    several shuffles of that size, over slices of the keys and cells.
     Pass ``rows`` from a scan or a staged table: beyond the broadcast limit its keys
     are read once more to count them.
     """
     _check(rows, lookup, on)
     size = table_bytes(lookup)
     if size <= broadcast_limit:
-        return rows.join(F.broadcast(lookup), _equal(on), "inner")
+        return _broadcast_join(rows, lookup, on)
     with staged(_count_keys(rows, lookup, on)) as counts:
         if size * _asked_share(counts) <= broadcast_limit:
-            asked_for = stage(_asked_for(lookup, on, counts))
-            if table_bytes(asked_for) <= broadcast_limit:
-                return rows.join(F.broadcast(asked_for), _equal(on), "inner")
-        return _join_in_cells(rows, lookup, on, counts, min_tasks)
+            lookup = stage(_asked_for(lookup, on, counts))
+            if table_bytes(lookup) <= broadcast_limit:
+                return _broadcast_join(rows, lookup, on)
+        return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks)
 
 
-def grid_join(rows: DataFrame, lookup: DataFrame, on: Pairs, min_tasks: int | None = None) -> DataFrame:
+def grid_join(
+    rows: DataFrame, lookup: DataFrame, on: Pairs, min_tasks: int | None = None, most_tasks: int = MOST_TASKS
+) -> DataFrame:
     """The shuffle join of ``lookup_join``, in which every hot key is spread over a grid of cells.
 
     A key with more than one task's share of all input rows and output pairs is
@@ -94,7 +108,29 @@ def grid_join(rows: DataFrame, lookup: DataFrame, on: Pairs, min_tasks: int | No
     """
     _check(rows, lookup, on)
     with staged(_count_keys(rows, lookup, on)) as counts:
-        return _join_in_cells(rows, lookup, on, counts, min_tasks)
+        return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks)
+
+
+def _broadcast_join(rows: DataFrame, lookup: DataFrame, on: Pairs) -> DataFrame:
+    """Join with a lookup that fits a broadcast.
+
+    If keys repeat in the lookup, the pairs that each split of the rows gives are
+    counted. Where a split has too many, the rows are dealt out one by one to as many
+    tasks as the pairs ask for, so equal rows part ways; Spark orders a split before
+    dealing it, so a retried task deals alike.
+    """
+    left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
+    of_key = drop_null(lookup, right_keys).groupBy(F.xxhash64(*right_keys).alias(_HASH)).agg(
+        F.count(F.lit(1)).alias("n_right")
+    )
+    if (of_key.agg(F.max("n_right")).first()[0] or 0) > 1:
+        asked = drop_null(rows, left_keys).select(F.xxhash64(*left_keys).alias(_HASH), F.spark_partition_id().alias("split"))
+        pairs = asked.join(F.broadcast(of_key), _HASH).groupBy("split").agg(F.sum("n_right").alias("pairs"))
+        most, total = pairs.agg(F.max("pairs"), F.sum("pairs")).first()
+        if (most or 0) > WORK_PER_TASK:
+            least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            rows = rows.repartition(max(least, ceil(total / WORK_PER_TASK)))
+    return rows.join(F.broadcast(lookup), _equal(on), "inner")
 
 
 def _check(rows: DataFrame, lookup: DataFrame, on: Pairs) -> None:
@@ -143,7 +179,7 @@ def _asked_for(lookup: DataFrame, on: Pairs, counts: DataFrame) -> DataFrame:
 
 
 def _join_in_cells(
-    rows: DataFrame, lookup: DataFrame, on: Pairs, counts: DataFrame, min_tasks: int | None
+    rows: DataFrame, lookup: DataFrame, on: Pairs, counts: DataFrame, min_tasks: int | None, most_tasks: int
 ) -> DataFrame:
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
@@ -152,7 +188,7 @@ def _join_in_cells(
     work = F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right")
     total = counts.agg(F.sum(work)).first()[0] or 0.0
     min_tasks = min_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(min_tasks, min(MOST_TASKS, ceil(total / WORK_PER_TASK)))
+    tasks = max(min_tasks, ceil(total / WORK_PER_TASK))
     hot = _grid_shapes(counts.withColumn("fair_shares", work / F.lit(total / tasks))).toArrow() if total else None
 
     if hot is not None and hot.num_rows:
@@ -163,10 +199,19 @@ def _join_in_cells(
         left = _to_cells(left, left_keys, shapes, "_left", _ROWS, used)
         right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
         on = [*on, *((f"_left{count}", f"_right{count}") for count in used)]
-    # an explicit count, since small inputs with a large output must not be merged into few tasks
-    left = left.repartition(tasks, *(name for name, _ in on))
-    right = right.repartition(tasks, *(name for _, name in on))
-    return left.join(right.hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
+    slices = ceil(tasks / most_tasks)
+    names = [left for left, _ in on], [right for _, right in on]
+
+    def joined(number: int) -> DataFrame:
+        # an explicit count, since small inputs with a large output must not be merged into few tasks
+        sides = []
+        for df, keys in zip((left, right), names):
+            if slices > 1:
+                df = df.where(F.pmod(F.xxhash64(F.lit("slice"), *keys), F.lit(slices)) == number)
+            sides.append(df.repartition(ceil(tasks / slices), *keys))
+        return sides[0].join(sides[1].hint("merge"), _equal(on), "inner").select(*rows.columns, *lookup.columns)
+
+    return reduce(DataFrame.unionAll, map(joined, range(slices)))
 
 
 def _grid_shapes(counts: DataFrame) -> DataFrame:
@@ -189,11 +234,13 @@ def _to_cells(
 ) -> DataFrame:
     """Give each row one coordinate in its ``own`` dimension, and a copy for each in the other.
 
-    The own coordinate hashes the row with its input partition: equal copies from
-    different partitions part ways, and a retried task repeats its choice.
+    The own coordinate hashes the row's place in its file: equal copies part ways, and
+    a retried task repeats its choice.
     """
-    hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spread = F.xxhash64(F.spark_partition_id(), *hashable)
+    columns = df.columns
+    if own in used:
+        df = _with_identity(df)
+    spread = F.col(_IDENTITY)
     marked = df.withColumn(_HASH, F.xxhash64(*keys)).join(shapes, _HASH, "left")
     marked = marked.where(F.coalesce(_ROWS, F.lit(1)) > 0)
     coordinates = []
@@ -203,4 +250,14 @@ def _to_cells(
         else:
             place = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1))
         coordinates.append(place.alias(f"{prefix}{count}"))
-    return marked.select(*df.columns, *coordinates)
+    return marked.select(*columns, *coordinates)
+
+
+def _with_identity(df: DataFrame) -> DataFrame:
+    """``df`` with a hash of each row's file and place in it; rows that come from no
+    Parquet scan are staged first."""
+    try:
+        place = df.metadataColumn("_metadata")
+        return df.withColumn(_IDENTITY, F.xxhash64(place["file_path"], place["row_index"]))
+    except AnalysisException:
+        return _with_identity(stage(df))

@@ -32,9 +32,16 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def copy_columns(df: DataFrame, copies: Mapping[str, str]) -> DataFrame:
+def copy_columns(df: DataFrame, copies: Mapping[str, str | Column]) -> DataFrame:
     """Add ``{new name: source column}``, so a directory key also stays in the file."""
-    return df.withColumns({name: F.col(source) for name, source in copies.items()})
+    return df.withColumns(
+        {name: F.col(source) if isinstance(source, str) else source for name, source in copies.items()}
+    )
+
+
+def hash_bucket(column: str, size: int) -> Column:
+    """One of ``size`` buckets, by the first 16 bits of a text's MD5 digest; null for null."""
+    return F.conv(F.substring(F.md5(F.col(column)), 1, 4), 16, 10).cast("int") % size
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from asterism.functions.timeparts import CALENDAR, add_calendar
 from asterism.operators.layout import rebalance
-from asterism.operators.transforms import copy_columns, distinct_rows, project
+from asterism.operators.transforms import copy_columns, distinct_rows, hash_bucket, project
+from asterism.sources.schemas import SONG_COLUMNS, Bucket
 
 # Output column -> input field of each dimension.
-SONG_FIELDS = {name: name for name in ("song_id", "title", "artist_id", "year", "duration")}
+SONG_FIELDS = {name: name for name in SONG_COLUMNS}
 ARTIST_FIELDS = {
     "artist_id": "artist_id",
     "name": "artist_name",
@@ -29,13 +30,16 @@ USER_FIELDS = {
 }
 
 
-def build_songs(catalogue: DataFrame, song_keys: Mapping[str, str]) -> DataFrame:
-    """Distinct songs with directory keys ``{key: source column}``.
+def build_songs(catalogue: DataFrame, song_keys: Mapping[str, str | Bucket]) -> DataFrame:
+    """Distinct songs with directory keys ``{key: source column or bucket of one}``.
 
     The keys repeat columns, so they are added after the distinct: the same rows
     for a narrower shuffle.
     """
-    return copy_columns(distinct_rows(project(catalogue, SONG_FIELDS)), song_keys)
+    return copy_columns(
+        distinct_rows(project(catalogue, SONG_FIELDS)),
+        {k: hash_bucket(of.column, of.size) if isinstance(of, Bucket) else of for k, of in song_keys.items()},
+    )
 
 
 def build_artists(catalogue: DataFrame) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterism.functions.keys import add_surrogate_key
+from asterism.functions.keys import add_ordered_key, add_surrogate_key
 from asterism.operators.layout import rebalance
-from asterism.operators.lookup import BROADCAST_LIMIT, lookup_join
+from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, lookup_join
 from asterism.operators.transforms import distinct_rows, project
 
 # Fact column -> column of the play or of the matched song.
@@ -24,6 +24,8 @@ PLAY_FIELDS = {
     "user_agent": "userAgent",
 }
 SONG_SIDE = ("song_id", "artist_id")
+# by time first, then by every other column, so that only equal rows are ties
+ORDER = tuple(PLAY_FIELDS)
 TITLE_ONLY = (("song", "title"),)
 
 
@@ -35,6 +37,8 @@ def build_songplays(
     broadcast_limit: int = BROADCAST_LIMIT,
     min_tasks: int | None = None,
     compact: bool = False,
+    ordered_key: bool = False,
+    most_tasks: int = MOST_TASKS,
 ) -> DataFrame:
     """One row per play and matching song, with a surrogate key and month keys.
 
@@ -42,19 +46,27 @@ def build_songplays(
     ``on`` may add further ``(play column, song column)`` pairs. No distinct
     follows the key, as a unique key leaves nothing to remove;
     ``dedup_before_id`` removes repeated rows while they can still be told apart
-    from distinct ones. ``compact`` gathers each month for the write, before the
-    key is added.
+    from distinct ones: of the plays and of the songs before they multiply each other,
+    which costs a shuffle of the plays, and of the matched rows. ``compact`` gathers
+    each month for the write, before the key is added. With ``ordered_key`` the keys
+    are 1, 2, 3 ... in the order of ORDER, the same in every run; the rows are then
+    laid out by time, so that needs no gathering.
     """
     song_columns = dict.fromkeys([*(right for _, right in on), *SONG_SIDE])
     play_columns = dict.fromkeys(
         [*(left for left, _ in on), *(source for source in PLAY_FIELDS.values() if source not in SONG_SIDE)]
     )
-    matched = lookup_join(plays.select(*play_columns), songs.select(*song_columns), on, broadcast_limit, min_tasks)
+    plays, songs = plays.select(*play_columns), songs.select(*song_columns)
+    if dedup_before_id:
+        plays, songs = distinct_rows(plays), distinct_rows(songs)
+    matched = lookup_join(plays, songs, on, broadcast_limit, min_tasks, most_tasks)
     rows = project(matched, PLAY_FIELDS)
     if dedup_before_id:
         rows = distinct_rows(rows)
     keys = {"year_partition": F.year("start_time"), "month_partition": F.month("start_time")}
     rows = rows.withColumns(keys)
+    if ordered_key:
+        return add_ordered_key(rows, "songplay_id", F.lit(0), ORDER)
     if compact:
         rows = rebalance(rows, [*keys])
     return add_surrogate_key(rows, "songplay_id")

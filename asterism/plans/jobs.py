@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from asterism.functions.timeparts import epoch_ms_to_timestamp
-from asterism.operators.lookup import BROADCAST_LIMIT
+from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS
 from asterism.operators.transforms import keep_equal
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import TITLE_ONLY, build_songplays
@@ -24,27 +24,26 @@ from asterism.sources.schemas import (
     SONGPLAYS,
     TIME,
     USERS,
+    Bucket,
     songs_table,
     star_tables,
 )
-from asterism.sources.staging import staged
+from asterism.sources.staging import freed, staged
 from asterism.sources.tables import read_table, write_table
 
 
 def read_catalogue(
-    spark: SparkSession, input_root: str, schema: str | None = CATALOGUE_SCHEMA, by_directory: bool = False
+    spark: SparkSession, input_root: str, schema: str | None = CATALOGUE_SCHEMA, required: Sequence[str] = ()
 ) -> DataFrame:
-    """The song catalogue tree."""
-    return read_json_tree(
-        spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH, schema, by_directory=by_directory
-    )
+    """The song catalogue tree, without rows that have a null in a ``required`` column."""
+    return read_json_tree(spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH, schema, required)
 
 
 def read_log(
-    spark: SparkSession, input_root: str, schema: str | None = LOG_SCHEMA, by_directory: bool = False
+    spark: SparkSession, input_root: str, schema: str | None = LOG_SCHEMA, required: Sequence[str] = ()
 ) -> DataFrame:
-    """The activity log tree."""
-    return read_json_tree(spark, input_root, LOG_DATASET, LOG_DEPTH, schema, by_directory=by_directory)
+    """The activity log tree, without rows that have a null in a ``required`` column."""
+    return read_json_tree(spark, input_root, LOG_DATASET, LOG_DEPTH, schema, required)
 
 
 def select_plays(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
@@ -57,17 +56,18 @@ def run_catalogue(
     spark: SparkSession,
     input_root: str,
     output_root: str,
-    song_keys: Mapping[str, str],
+    song_keys: Mapping[str, str | Bucket],
     stage_inputs: bool = True,
-    by_directory: bool = False,
+    required: Sequence[str] = (),
 ) -> None:
     """Catalogue tree to the ``songs`` and ``artists`` tables.
 
     ``stage_inputs`` parses the JSON once into Parquet instead of once per table.
+    Lines with a null in a ``required`` field, malformed ones among them, are dropped.
     """
     songs = songs_table(song_keys)
-    with staged(read_catalogue(spark, input_root, by_directory=by_directory), stage_inputs) as catalogue:
-        write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys])
+    with staged(read_catalogue(spark, input_root, required=required), stage_inputs) as catalogue:
+        write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys], compact=True)
         write_table(build_artists(catalogue), output_root, ARTISTS.name)
 
 
@@ -75,51 +75,66 @@ def run_log(
     spark: SparkSession,
     input_root: str,
     output_root: str,
-    song_keys: Mapping[str, str],
+    song_keys: Mapping[str, str | Bucket],
     page: str = PLAY_PAGE,
     on: Sequence[tuple[str, str]] = TITLE_ONLY,
     dedup_before_id: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
     stage_inputs: bool = True,
     compact_fact: bool = True,
-    by_directory: bool = False,
+    required: Sequence[str] = (),
+    ordered_key: bool = False,
+    most_tasks: int = MOST_TASKS,
 ) -> None:
     """Log tree and the stored ``songs`` to the ``users``, ``time`` and ``songplays`` tables.
 
     ``stage_inputs`` parses and filters the JSON once into Parquet instead of once per
     table. ``compact_fact=False`` saves the one shuffle of the fact rows when the
     songs are broadcast and the log files are large and hold one month each.
+    ``ordered_key`` numbers the fact in a fixed order instead of by layout, ``required``
+    drops lines with a null in one of these fields, and ``most_tasks`` bounds the tasks
+    of one shuffle of the fact's join.
     """
-    log = read_log(spark, input_root, by_directory=by_directory)
+    log = read_log(spark, input_root, required=required)
     stored = songs_table(song_keys)
-    with staged(select_plays(log, page), stage_inputs) as plays:
+    with freed(spark), staged(select_plays(log, page), stage_inputs) as plays:
         write_table(build_users(plays), output_root, USERS.name)
-        write_table(build_time(plays, compact=True), output_root, TIME.name, [*TIME.keys], compact=False)
+        write_table(build_time(plays, compact=True), output_root, TIME.name, [*TIME.keys])
         songs = read_table(spark, output_root, stored.name, stored.schema)
-        fact = build_songplays(plays, songs, on, dedup_before_id, broadcast_limit, compact=compact_fact)
-        write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys], compact=False)
+        fact = build_songplays(
+            plays,
+            songs,
+            on,
+            dedup_before_id,
+            broadcast_limit,
+            compact=compact_fact,
+            ordered_key=ordered_key,
+            most_tasks=most_tasks,
+        )
+        write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys])
 
 
 def run_star(
     spark: SparkSession,
     input_root: str,
     output_root: str,
-    song_keys: Mapping[str, str],
+    song_keys: Mapping[str, str | Bucket],
     stage_inputs: bool = True,
-    by_directory: bool = False,
+    required_song: Sequence[str] = (),
+    required_log: Sequence[str] = (),
     **log_options,
 ) -> None:
     """Both jobs in order; the log job needs the stored songs."""
-    run_catalogue(spark, input_root, output_root, song_keys, stage_inputs, by_directory)
+    run_catalogue(spark, input_root, output_root, song_keys, stage_inputs, required_song)
     run_log(
-        spark, input_root, output_root, song_keys, stage_inputs=stage_inputs, by_directory=by_directory, **log_options
+        spark, input_root, output_root, song_keys, stage_inputs=stage_inputs, required=required_log, **log_options
     )
 
 
 def load_star(
     spark: SparkSession,
     output_root: str,
-    song_keys: Mapping[str, str],
+    song_keys: Mapping[str, str | Bucket],
     leaf_glob: bool = False,
     only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:

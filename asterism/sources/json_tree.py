@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asterism.operators.transforms import drop_null
 
@@ -21,26 +22,36 @@ def read_json_tree(
     depth: int | None,
     schema: str | None = None,
     required: Sequence[str] = (),
-    by_directory: bool = False,
 ) -> DataFrame:
     """Read the ``*.json`` files lying exactly ``depth`` directories below a dataset.
 
-    Files at any other depth are not read; ``depth=None`` reads every depth.
+    Files at any other depth give no rows; ``depth=None`` reads every depth.
     With a schema the scan is lazy and a bad value or line becomes null; without
-    one Spark first runs a job over all the data to infer it. Rows with a null
-    in a ``required`` column are dropped.
+    one Spark first runs a job over all the data to infer it, to which a file one
+    level too high may add columns. Rows with a null in a ``required`` column are
+    dropped.
 
-    ``by_directory`` matches the lowest directories instead of every file, so that
-    a tree of many files is listed by directory and not file by file. It is for
-    trees that hold nothing above or below that depth.
+    The tree is listed by its lowest directories and not file by file. Their glob
+    also matches files one level up, so the depth is checked by the file's path.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = (spark.read if schema is None else spark.read.schema(schema)).option("pathGlobFilter", "*.json")
     base = dataset_path(root, dataset)
-    levels = "/".join([base, *["*"] * (depth or 0)])
     if depth is None:
-        rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(base)
-    elif by_directory:
-        rows = reader.option("pathGlobFilter", "*.json").json(levels)
+        rows = reader.option("recursiveFileLookup", True).json(base)
     else:
-        rows = reader.json(f"{levels}/*.json")
+        rows = reader.json("/".join([base, *["*"] * depth]))
+        path = rows.metadataColumn("_metadata")["file_path"]
+        rows = rows.where(_names(path) == _depth(spark, base) + depth + 1)
     return drop_null(rows, required)
+
+
+def _names(path: Column) -> Column:
+    """Number of names in a qualified path."""
+    local = F.regexp_replace(path, r"^[^:/]+:(//[^/]*)?", "")
+    return F.size(F.filter(F.split(local, "/"), lambda name: name != ""))
+
+
+def _depth(spark: SparkSession, path: str) -> int:
+    """Number of names in the qualified form of a path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).depth()

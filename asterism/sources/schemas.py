@@ -38,7 +38,7 @@ class Table:
 
 
 # Names, column order and directory keys of the five tables.
-_SONG_COLUMNS = {
+SONG_COLUMNS = {
     "song_id": "STRING",
     "title": "STRING",
     "artist_id": "STRING",
@@ -94,16 +94,28 @@ SONGPLAYS = Table(
     {"year_partition": "INT", "month_partition": "INT"},
 )
 
-# The two ways to fill the directory keys of ``songs``. The first repeats the
-# year under the artist's name; the second gives each artist a directory.
+
+@dataclass(frozen=True)
+class Bucket:
+    """A directory key of bounded number: a hash of ``column``, from 0 to ``size`` - 1."""
+
+    column: str
+    size: int
+
+
+# The ways to fill the directory keys of ``songs``. The first repeats the year under
+# the artist's name; the second gives each artist a directory, which suits few artists
+# only; the third gives them 64 buckets a year, whatever their number.
 SONG_KEYS_YEAR_TWICE = {"year_partition": "year", "artist_id_partition": "year"}
 SONG_KEYS_YEAR_ARTIST = {"year_partition": "year", "artist_id_partition": "artist_id"}
+SONG_KEYS_YEAR_BUCKET = {"year_partition": "year", "artist_bucket": Bucket("artist_id", 64)}
 
 
-def songs_table(song_keys: Mapping[str, str]) -> Table:
-    """The ``songs`` table with directory keys ``{key: source column}``."""
-    return Table("songs", _SONG_COLUMNS, {key: _SONG_COLUMNS[source] for key, source in song_keys.items()})
+def songs_table(song_keys: Mapping[str, str | Bucket]) -> Table:
+    """The ``songs`` table with directory keys ``{key: source column or bucket of one}``."""
+    kinds = {k: "INT" if isinstance(of, Bucket) else SONG_COLUMNS[of] for k, of in song_keys.items()}
+    return Table("songs", SONG_COLUMNS, kinds)
 
 
-def star_tables(song_keys: Mapping[str, str]) -> tuple[Table, ...]:
+def star_tables(song_keys: Mapping[str, str | Bucket]) -> tuple[Table, ...]:
     return (songs_table(song_keys), ARTISTS, USERS, TIME, SONGPLAYS)

@@ -15,14 +15,14 @@ def write_table(
     root: str,
     name: str,
     keys: Sequence[str] = (),
-    compact: bool = True,
+    compact: bool = False,
 ) -> str:
     """Replace the table ``name`` under ``root`` with ``df`` and return its path.
 
     ``keys`` become directory levels. ``compact`` adds one exchange that gathers
     each directory's rows into files of the advisory size, and splits a directory
-    too large for one task. Leave it off when the rows of a task already belong
-    to few directories, or when an earlier step has laid them out.
+    too large for one task. It is for rows that no earlier step has laid out, and
+    never for rows with a surrogate key, which must not be shuffled again.
     The overwrite is static whatever the session says: the whole table goes.
     """
     path = dataset_path(root, name)

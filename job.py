@@ -1,6 +1,6 @@
 """Command line of the jobs, for ``spark-submit`` or plain Python.
 
-    job.py build INPUT_ROOT OUTPUT_ROOT [--song-folders year|artist] ...
+    job.py build INPUT_ROOT OUTPUT_ROOT [--song-folders year|artist|bucket] ...
     job.py preview OUTPUT_ROOT [--rows 10]
 """
 
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from asterism import (
     SONG_KEYS_YEAR_ARTIST,
+    SONG_KEYS_YEAR_BUCKET,
     SONG_KEYS_YEAR_TWICE,
     create_session,
     load_star,
@@ -20,7 +21,9 @@ from asterism import (
 )
 from asterism.sources.schemas import PLAY_PAGE
 
-SONG_FOLDERS = {"year": SONG_KEYS_YEAR_TWICE, "artist": SONG_KEYS_YEAR_ARTIST}
+SONG_FOLDERS = {"year": SONG_KEYS_YEAR_TWICE, "artist": SONG_KEYS_YEAR_ARTIST, "bucket": SONG_KEYS_YEAR_BUCKET}
+# what a line needs to be of use
+REQUIRED = {"required_song": ["song_id"], "required_log": ["userId", "ts"]}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -34,8 +37,9 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("input_root")
     build.add_argument("output_root")
     build.add_argument("--page", default=PLAY_PAGE, help="log event that counts as a play")
-    build.add_argument("--by-directory", action="store_true", help="list inputs by directory, for trees of many files")
     build.add_argument("--dedup-before-id", action="store_true", help="drop repeated fact rows")
+    build.add_argument("--drop-null-keys", action="store_true", help="drop lines without song_id, userId or ts")
+    build.add_argument("--ordered-key", action="store_true", help="number the fact in a fixed order")
     show = commands.add_parser("preview", parents=[common], help="a few rows of each stored table")
     show.add_argument("output_root")
     show.add_argument("--rows", type=int, default=10)
@@ -52,7 +56,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = create_session(conf=conf)
     song_keys = SONG_FOLDERS[args.song_folders]
     if args.command == "build":
-        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "by_directory": args.by_directory}
+        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "ordered_key": args.ordered_key}
+        if args.drop_null_keys:
+            options |= REQUIRED
         run_star(spark, args.input_root, args.output_root, song_keys, **options)
     else:
         for name, df in load_star(spark, args.output_root, song_keys).items():

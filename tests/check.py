@@ -15,6 +15,7 @@ TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -111,12 +111,24 @@ def test_scratch_root_is_fresh_and_shared(spark):
     assert all(root.startswith(shared) for root in roots)
 
 
+@few_examples
+@given(st.lists(st.integers(-(1 << 63), (1 << 63) - 1), min_size=1, max_size=50))
+def test_epoch_ms_of_any_count(spark, values):
+    most = ((1 << 63) - 1) // 1000
+    df = spark.createDataFrame([(v,) for v in values], "ms bigint").select("ms", epoch_ms_to_timestamp("ms").alias("t"))
+    df = add_calendar(df, "t")
+    for ms, there in df.select("ms", F.col("t").isNotNull()).collect():
+        assert there == (-most <= ms <= most)
+    assert df.select("week", "year").count() == len(values)
+
+
 class _Session:
     """Only the settings of a session."""
 
-    def __init__(self, settings):
+    def __init__(self, settings, folder=None):
         self.settings = settings
-        self.conf = self
+        self.conf = self.sparkContext = self
+        self.getCheckpointDir = lambda: folder
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
@@ -126,12 +138,16 @@ def test_scratch_root_refuses_a_machine_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError):
         scratch_root(_Session({"spark.master": "yarn"}))
     assert scratch_root(_Session({"spark.master": "local[2]"}))
+    assert scratch_root(_Session({"spark.master": "yarn"}, "hdfs://h/set")).startswith("hdfs://h/set/")
 
 
 def test_session(spark):
     assert create_session(conf={"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true"}) is spark
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    assert object_store_conf("group:artifact:1", "a.Provider") == {
+    conf = object_store_conf("group:artifact:1", "a.Provider")
+    assert create_session(conf={k: v for k, v in conf.items() if k.startswith("spark.hadoop")}) is spark
+    assert spark.conf.get("spark.hadoop.fs.s3a.aws.credentials.provider") == "a.Provider"
+    assert conf == {
         "spark.jars.packages": "group:artifact:1",
         "spark.hadoop.fs.s3a.aws.credentials.provider": "a.Provider",
     }

@@ -151,10 +151,76 @@ def test_tasks_grow_with_the_work(spark, monkeypatch):
     assert 15 < joined.groupBy(F.spark_partition_id()).count().count() <= 21
 
 
+def test_equal_rows_of_one_split_are_spread(spark, root):
+    spark.range(0, 200_000, 1, 1).select(F.lit("hot").alias("a")).write.parquet(root + "/rows")
+    rows = spark.read.parquet(root + "/rows")
+    lookup = spark.createDataFrame([("hot",)], "b string")
+    for side in (rows, rows.union(rows.limit(0))):  # as scanned, and where a row has no place in a file
+        joined = grid_join(side, lookup, [("a", "b")], min_tasks=16)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 200_000
+        assert max(per_task) < 200_000 / 4
+
+
+def test_a_large_output_of_a_small_lookup_is_spread(spark, root, monkeypatch):
+    monkeypatch.setattr(lookup_module, "WORK_PER_TASK", 20_000)
+    spark.range(0, 2000, 1, 1).select(F.lit("hot").alias("a")).write.parquet(root + "/rows")
+    rows = spark.read.parquet(root + "/rows")
+    lookup = spark.range(100).select(F.lit("hot").alias("b"), "id")
+    joined = lookup_join(rows, lookup, [("a", "b")])
+    per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 200_000
+    assert max(per_task) < 2 * 20_000
+
+
+@pytest.mark.parametrize("most", [1, 3, 7])
+def test_slices_give_the_same_rows(spark, most):
+    left, right = skewed(5, 400, 200, "k1", "k1")
+    ldf = spark.createDataFrame(left, "a string, x int, y string")
+    rdf = spark.createDataFrame(right, "b string, u int, v string")
+    assert collected(grid_join(ldf, rdf, [("a", "b")], 16, most)) == brute(left, right)
+
+
+TABLES = {
+    "short texts": ["concat('k', id)", "concat('x', id)", "concat('y', id)"],
+    "long text": ["concat(repeat('k', 60), id)"],
+    "empty texts": ["concat('', id)", "''", "cast(null as string)"],
+    "wide decimals": ["cast(id as decimal(38, 0))", "cast(id as decimal(38, 5))", "cast(1 as decimal(20, 0))"],
+    "numbers": ["id", "cast(id as int)", "cast(id as double)"],
+}
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_table_bytes_bounds_the_table_that_is_broadcast(spark, name):
+    """The size Spark reports for the built table, less a page, is never above the estimate."""
+    columns = [F.expr(sql).alias(f"c{i}") for i, sql in enumerate(TABLES[name])]
+    lookup = spark.range(200_000).select(*columns)
+    rows = spark.range(10).select(F.expr(TABLES[name][0]).alias("a"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = rows.join(F.broadcast(lookup), F.col("a") == F.col("c0"))
+        joined.collect()
+        size = broadcast_size(joined._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert size > 1 << 20
+    page = 64 << 20 if size > 64 << 20 else 0
+    assert size - page <= table_bytes(lookup)
+
+
+def broadcast_size(node):
+    """``data size`` of the one broadcast in a plan that ran."""
+    if node.nodeName().startswith("BroadcastExchange"):
+        return node.metrics().apply("dataSize").value()
+    children = node.children()
+    return max([0, *(broadcast_size(children.apply(i)) for i in range(children.size()))])
+
+
 def test_table_bytes_measures_text(spark):
-    assert table_bytes(spark.range(10).select(F.lit("x").alias("t"))) == 10 * (32 + 8 + 8 + 1)
-    assert table_bytes(spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))) > 10_000
-    assert table_bytes(spark.range(10).select(F.lit(None).cast("string").alias("t"))) == 10 * (32 + 8)
+    row = 2 * (8 + 8) + 24 + 64
+    assert table_bytes(spark.range(10).select(F.lit("x").alias("t"))) == 10 * (row + 2 * 8)
+    assert table_bytes(spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))) > 20_000
+    assert table_bytes(spark.range(10).select(F.lit(None).cast("string").alias("t"))) == 10 * row
     assert table_bytes(spark.range(0)) == 0
     assert table_bytes(spark.range(1).select(F.array("id").alias("t"))) == float("inf")
 

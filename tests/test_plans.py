@@ -93,12 +93,24 @@ def test_the_fact_is_gathered_before_it_is_keyed(inputs):
     assert text.index("monotonically_increasing_id") < text.index("REBALANCE_PARTITIONS_BY_COL")
 
 
-def test_dedup_happens_once_before_the_key(inputs):
+def test_dedup_happens_below_the_join_and_before_the_key(inputs):
     text = plan(build_songplays(*inputs, dedup_before_id=True))
-    assert len(exchanges(text)) == 1
+    assert len(exchanges(text)) == 3  # plays, songs, matched rows
     assert "HashAggregate" in text[: text.index("Exchange")]  # the key is added in the final aggregate
 
 
+def test_repeated_plays_do_not_multiply(spark):
+    fields = "start_time timestamp_ntz, userId string, level string, song string, sessionId long, location string, userAgent string"
+    one = spark.createDataFrame([(None, "1", "free", "T", 1, "L", "U")], fields)
+    plays = spark.range(50_000).join(one).drop("id")
+    songs = spark.range(20).select(F.lit("T").alias("title"), F.col("id").cast("string").alias("song_id"), F.lit("A").alias("artist_id"))
+    fact = build_songplays(plays, songs, dedup_before_id=True)
+    assert fact.count() == 20
+    joins = [line for line in plan(fact).split("\n") if "Join" in line]
+    below = plan(fact)[plan(fact).index(joins[-1]) if len(joins) == 1 else plan(fact).index(joins[0]) :]
+    assert "HashAggregate" in below
+
+
 def test_a_large_lookup_of_which_little_is_asked_for_is_broadcast(spark):
     rows = spark.range(1000).select((F.col("id") % 20).alias("a"), F.col("id").alias("x"))
     lookup = spark.range(100_000).select(F.col("id").alias("b"), F.repeat(F.lit("x"), 50).alias("t"))
@@ -147,7 +159,7 @@ def test_a_hot_directory_is_written_by_several_tasks(spark, root):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        path = write_table(rows, root, "t", ["k"])
+        path = write_table(rows, root, "t", ["k"], compact=True)
     finally:
         for name in settings:
             spark.conf.unset(name)

@@ -23,8 +23,10 @@ from asterism.sources.json_tree import read_json_tree
 from asterism.sources.schemas import (
     CATALOGUE_SCHEMA,
     SONG_KEYS_YEAR_ARTIST,
+    SONG_KEYS_YEAR_BUCKET,
     SONG_KEYS_YEAR_TWICE,
 )
+from asterism.sources.staging import staged
 from asterism.sources.tables import read_table
 
 KEYS = SONG_KEYS_YEAR_TWICE
@@ -119,7 +121,8 @@ def test_artist_directories(spark, star, root):
     [
         {"stage_inputs": False},
         {"compact_fact": False},
-        {"by_directory": True},
+        {"ordered_key": True},
+        {"broadcast_limit": 0, "most_tasks": 3},
         {"broadcast_limit": 0},
         {"broadcast_limit": 0, "stage_inputs": False, "compact_fact": False},
     ],
@@ -180,8 +183,9 @@ def test_staged_inputs_are_freed(spark, star, root):
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(shared.iterdir())
     run_star(spark, star[0], root, KEYS)
+    run_star(spark, star[0], root, KEYS, ordered_key=True, broadcast_limit=0)
     left = set(shared.iterdir()) - before
-    assert len(left) == 2  # catalogue and plays
+    assert len(left) > 4  # catalogue and plays twice, and more
     assert all(spark.read.parquet(str(path)).count() == 0 for path in left)
 
 
@@ -233,6 +237,58 @@ def test_null_key_has_a_directory(spark, root):
     same(songs, [("S1", None), ("S2", 1)], "song_id", "year_partition")
 
 
+def test_strays_at_any_depth_are_not_read(spark, star, root):
+    source = fx.write_inputs(root + "/in %20 put")
+    for name in ("song_data/9.json", "song_data/A/9.json", "song_data/A/B/9.json", "song_data/A/B/C/D/9.json"):
+        write_song(source, name.removeprefix("song_data/"), song_id="stray")
+    for name in ("9.json", "2018/9.json", "2018/11/x/9.json"):
+        fx.write_lines(Path(source) / "log_data" / name, [json.dumps({"page": "NextSong", "song": "Alpha", "ts": 1})])
+    run_star(spark, source, root + "/out", KEYS)
+    tables = load_star(spark, root + "/out", KEYS)
+    for name, df in star[2].items():
+        same(tables[name].drop("songplay_id"), rows(df.drop("songplay_id")))
+
+
+def test_directories_that_look_like_keys(spark, root):
+    write_song(root, "a=1/b=2/c=3/1.json", song_id="S1")
+    write_song(root, "a=1/b=2/2.json", song_id="S2")
+    same(read_catalogue(spark, root), [("S1",)], "song_id")
+
+
+def test_a_line_without_a_time_does_not_end_the_job(spark, root):
+    write_song(root + "/in", "A/A/A/1.json", song_id="S1", title="T", artist_id="A", year=1)
+    line = {"page": "NextSong", "song": "T", "userId": "1", "sessionId": 1}
+    stamps = [(1 << 63) - 1, -(1 << 63), 1541106106796000000, 1541106106796]
+    fx.write_lines(Path(root) / "in/log_data/1/1/a.json", [json.dumps(line | {"ts": ts}) for ts in stamps])
+    run_star(spark, root + "/in", root + "/out", KEYS)
+    fact = load_star(spark, root + "/out", KEYS)["songplays"]
+    assert fact.count() == 4
+    same(fact.where("start_time is null"), [("S1", None, None)] * 3, "song_id", "year_partition", "month_partition")
+
+
+def test_required_fields(spark, root):
+    write_song(root + "/in", "A/A/A/1.json", song_id="S1", title="T", artist_id="A", year=1)
+    fx.write_lines(Path(root) / "in/song_data/A/A/A/2.json", ["{not json"])
+    fx.write_lines(Path(root) / "in/log_data/1/1/a.json", ["{", json.dumps({"page": "NextSong", "userId": "1", "ts": 5})])
+    job.main(["build", root + "/in", root + "/out", "--drop-null-keys", "--song-folders", "bucket"])
+    tables = load_star(spark, root + "/out", SONG_KEYS_YEAR_BUCKET)
+    assert [tables[n].count() for n in ("songs", "artists", "users")] == [1, 1, 1]
+
+
+def test_ordered_keys_are_the_same_in_every_run(spark, star, root):
+    found = []
+    for name in ("a", "b"):
+        run_star(spark, star[0], f"{root}/{name}", KEYS, ordered_key=True)
+        found.append(rows(load_star(spark, f"{root}/{name}", KEYS)["songplays"]))
+    assert found[0] == found[1]
+    assert sorted(r[0] for r in found[0]) == [*range(1, len(fx.SONGPLAYS) + 1)]
+
+
+def test_the_first_error_is_kept(spark):
+    with pytest.raises(KeyError, match="mine"), staged(spark.range(3)):
+        raise KeyError("mine")
+
+
 def test_hidden_files_are_skipped(spark, root):
     write_song(root, "A/A/A/1.json", song_id="S1")
     write_song(root, "A/A/A/_2.json", song_id="S2")

@@ -20,6 +20,10 @@ _LOG = f"""
     FROM events
 """
 
+_LOG_LINES = f"""SELECT page, song, ms AS ts, user_id AS "userId", first_name AS "firstName",
+    last_name AS "lastName", gender, level, session_id AS "sessionId", location,
+    user_agent AS "userAgent" FROM ({_LOG})"""
+
 _PLAYS = f"SELECT * FROM ({_LOG}) WHERE page = 'purchase'"
 
 _CUSTOMER_SONGS = """
@@ -105,6 +109,7 @@ ORACLES: dict[str, str] = {
     "dim_artists": _artists(_PART_SONGS),
     "dim_users": _FINISHED_ORDERS,
     "epoch_ms_to_timestamp": f"SELECT event_id, {_START} AS start_time FROM events",
+    "epoch_out_of_range": f"SELECT event_id, CASE WHEN event_id % 7 > 1 THEN {_START} END AS start_time FROM events",
     "calendar_parts": f"SELECT event_id, {_parts('ts')} FROM events",
     "dim_time": _time("events", "ts"),
     "dim_time_orders": _time("orders", "o_orderdate"),
@@ -133,7 +138,9 @@ ORACLES: dict[str, str] = {
     "scan_songs_leaf": _songs(_CUSTOMER_SONGS),
     "scan_songs_root": _songs(_CUSTOMER_SONGS, *_TWICE),
     "scan_songs_by_artist": _songs(
-        _CUSTOMER_SONGS, "year AS year_partition", "artist_id AS artist_id_partition"
+        _CUSTOMER_SONGS,
+        "year AS year_partition",
+        "CAST(('0x' || substr(md5(artist_id), 1, 4)) AS INT) % 64 AS artist_bucket",
     ),
     "scan_songs_null_key": _songs(
         f"""SELECT * REPLACE (CASE WHEN artist_location IS NOT NULL THEN artist_id END AS artist_id)
@@ -147,19 +154,21 @@ ORACLES: dict[str, str] = {
     "sink_users": _FINISHED_ORDERS,
     "sink_time_by_month": _time("orders", "o_orderdate"),
     "sink_overwrite": _songs(_CUSTOMER_SONGS, *_TWICE),
-    "scan_json_log": f"""SELECT page, song, ms AS ts, user_id AS "userId", first_name AS "firstName",
-        last_name AS "lastName", gender, level, session_id AS "sessionId", location,
-        user_agent AS "userAgent" FROM ({_LOG})""",
-    "scan_json_log_inferred": f"""SELECT session_id AS "sessionId", page, ms AS ts FROM ({_LOG})""",
+    "scan_json_log": _LOG_LINES,
+    "scan_json_log_inferred": _LOG_LINES,
+    "scan_json_log_strays": _LOG_LINES,
     "scan_json_catalogue": _CUSTOMER_SONGS,
-    "preview": "SELECT count(*) AS n FROM (SELECT * FROM part LIMIT 10)",
+    "preview": "SELECT count(*) AS n, true AS all_there FROM (SELECT * FROM part LIMIT 10)",
     "star_songs": _songs(_CUSTOMER_SONGS, *_TWICE),
     "star_artists": _artists(_CUSTOMER_SONGS),
     "star_users": _SHOWN["users"],
     "star_time": _time(f"({_PLAYS})", "start_time"),
     "star_songplays": _UNIQUE,
+    "star_ordered_key": f"""SELECT row_number() OVER (ORDER BY start_time, user_id, level, song_id, artist_id,
+        session_id, location, user_agent) AS songplay_id, * FROM ({_UNIQUE})""",
+    "star_required": f"SELECT DISTINCT user_id, first_name, last_name, gender, level FROM ({_PLAYS}) WHERE gender = 'F'",
     "star_preview": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n FROM (SELECT * FROM ({sql}) LIMIT 10)"
+        f"SELECT '{name}' AS table_name, count(*) AS n, true AS all_there FROM (SELECT * FROM ({sql}) LIMIT 10)"
         for name, sql in _SHOWN.items()
     ),
 }

@@ -16,14 +16,17 @@ from asterism.plans.fact import build_songplays
 from asterism.plans.jobs import load_star, preview, read_catalogue, read_log, run_catalogue, run_star
 from asterism.sources.schemas import (
     ARTISTS,
+    LOG_DATASET,
     SONG_KEYS_YEAR_ARTIST,
+    SONG_KEYS_YEAR_BUCKET,
     SONG_KEYS_YEAR_TWICE,
     SONGPLAYS,
     TIME,
     USERS,
     songs_table,
 )
-from asterism.sources.staging import scratch_root
+from asterism.sources.json_tree import dataset_path
+from asterism.sources.staging import scratch_root, stage
 from asterism.sources.tables import read_table, write_table
 from workload.standins import (
     PAGE,
@@ -31,6 +34,7 @@ from workload.standins import (
     catalogue_from_part,
     epoch_ms,
     fanout_inputs,
+    log_from_events,
     plays_from_events,
     table,
     write_catalogue_tree,
@@ -93,6 +97,15 @@ def dim_time(spark: SparkSession, sf: str) -> DataFrame:
     return build_time(table(spark, sf, "events"), "ts")
 
 
+def epoch_out_of_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Some epochs are nanoseconds or the largest count there is: they have no time."""
+    ms = F.when(F.col("event_id") % 7 == 0, epoch_ms("ts") * 1_000_000).when(
+        F.col("event_id") % 7 == 1, F.lit((1 << 63) - 1)
+    )
+    events = table(spark, sf, "events").select("event_id", F.coalesce(ms, epoch_ms("ts")).alias("ms"))
+    return events.select("event_id", epoch_ms_to_timestamp("ms").alias("start_time"))
+
+
 def dim_time_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Dates over several years: ISO weeks at year ends, leap days."""
     return build_time(table(spark, sf, "orders"), "o_orderdate")
@@ -177,7 +190,8 @@ def surrogate_key_stable(spark: SparkSession, sf: str) -> DataFrame:
 def _stored_songs(spark: SparkSession, sf: str, song_keys: dict[str, str]) -> str:
     root = scratch_root(spark)
     stored = songs_table(song_keys)
-    write_table(build_songs(catalogue_from_customer(spark, sf), song_keys), root, stored.name, [*stored.keys])
+    songs = build_songs(catalogue_from_customer(spark, sf), song_keys)
+    write_table(songs, root, stored.name, [*stored.keys], compact=True)
     return root
 
 
@@ -191,8 +205,9 @@ def scan_songs_root(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_songs_by_artist(spark: SparkSession, sf: str) -> DataFrame:
-    root = _stored_songs(spark, sf, SONG_KEYS_YEAR_ARTIST)
-    return read_table(spark, root, "songs", songs_table(SONG_KEYS_YEAR_ARTIST).schema)
+    """By bucket of the artist: a bounded number of directories for any number of artists."""
+    root = _stored_songs(spark, sf, SONG_KEYS_YEAR_BUCKET)
+    return read_table(spark, root, "songs", songs_table(SONG_KEYS_YEAR_BUCKET).schema)
 
 
 def scan_songs_null_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,7 +215,7 @@ def scan_songs_null_key(spark: SparkSession, sf: str) -> DataFrame:
     root, stored = scratch_root(spark), songs_table(SONG_KEYS_YEAR_ARTIST)
     catalogue = catalogue_from_customer(spark, sf)
     catalogue = catalogue.withColumn("artist_id", F.when(F.col("artist_location").isNotNull(), F.col("artist_id")))
-    write_table(build_songs(catalogue, SONG_KEYS_YEAR_ARTIST), root, stored.name, [*stored.keys])
+    write_table(build_songs(catalogue, SONG_KEYS_YEAR_ARTIST), root, stored.name, [*stored.keys], compact=True)
     return read_table(spark, root, stored.name, stored.schema)
 
 
@@ -219,7 +234,7 @@ def sink_users(spark: SparkSession, sf: str) -> DataFrame:
 def _stored_time(spark: SparkSession, sf: str) -> str:
     root = scratch_root(spark)
     times = build_time(table(spark, sf, "orders"), "o_orderdate", compact=True)
-    write_table(times, root, TIME.name, [*TIME.keys], compact=False)
+    write_table(times, root, TIME.name, [*TIME.keys])
     return root
 
 
@@ -234,7 +249,7 @@ def scan_time_leaf(spark: SparkSession, sf: str) -> DataFrame:
 def _stored_fact(spark: SparkSession, sf: str) -> str:
     root = scratch_root(spark)
     fact = build_songplays(plays_from_events(spark, sf), catalogue_from_customer(spark, sf), compact=True)
-    write_table(fact, root, SONGPLAYS.name, [*SONGPLAYS.keys], compact=False)
+    write_table(fact, root, SONGPLAYS.name, [*SONGPLAYS.keys])
     return root
 
 
@@ -252,12 +267,24 @@ def sink_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     stored = songs_table(SONG_KEYS_YEAR_TWICE)
     for catalogue in (catalogue_from_part(spark, sf), catalogue_from_customer(spark, sf)):
         catalogue = catalogue.withColumn("song_id", F.col("song_id").cast("string"))
-        write_table(build_songs(catalogue, SONG_KEYS_YEAR_TWICE), root, stored.name, [*stored.keys])
+        write_table(build_songs(catalogue, SONG_KEYS_YEAR_TWICE), root, stored.name, [*stored.keys], compact=True)
     return read_table(spark, root, stored.name, stored.schema)
 
 
+def _count_shown(df: DataFrame) -> DataFrame:
+    """How many rows a preview shows, and how many of those, distinct, are in the table."""
+    shown = stage(preview(df))
+    different = shown.distinct().count()
+    counts = [
+        shown.agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("there")),
+        shown.intersect(df).agg(F.lit(0).alias("n"), F.count(F.lit(1)).alias("there")),
+    ]
+    both = counts[0].unionAll(counts[1]).agg(F.sum("n").alias("n"), F.sum("there").alias("there"))
+    return both.select("n", (F.col("there") == different).alias("all_there"))
+
+
 def preview_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return preview(table(spark, sf, "part")).agg(F.count(F.lit(1)).alias("n"))
+    return _count_shown(table(spark, sf, "part"))
 
 
 # -- JSON trees and whole jobs ---------------------------------------------------
@@ -268,8 +295,16 @@ def scan_json_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_json_log_inferred(spark: SparkSession, sf: str) -> DataFrame:
-    log = read_log(spark, write_log_tree(spark, sf), schema=None)
-    return log.select("sessionId", "page", "ts")
+    return read_log(spark, write_log_tree(spark, sf), schema=None)
+
+
+def scan_json_log_strays(spark: SparkSession, sf: str) -> DataFrame:
+    """The log tree with files of its lines also above and below the depth: these are not read."""
+    root = write_log_tree(spark, sf)
+    log = log_from_events(spark, sf).withColumn("userAgent", F.lit("stray"))
+    for place in ("", "/s", "/s/t/u", "/s/t/u/v"):
+        log.write.mode("append").json(dataset_path(root, LOG_DATASET) + place)
+    return read_log(spark, root)
 
 
 def scan_json_catalogue(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,16 +314,16 @@ def scan_json_catalogue(spark: SparkSession, sf: str) -> DataFrame:
 def _catalogue_table(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         output = scratch_root(spark)
-        run_catalogue(spark, write_catalogue_tree(spark, sf), output, SONG_KEYS_YEAR_TWICE, by_directory=True)
+        run_catalogue(spark, write_catalogue_tree(spark, sf), output, SONG_KEYS_YEAR_TWICE)
         return load_star(spark, output, SONG_KEYS_YEAR_TWICE, only=[name])[name]
 
     return run
 
 
-def _stored_star(spark: SparkSession, sf: str) -> str:
+def _stored_star(spark: SparkSession, sf: str, **options) -> str:
     source, output = write_log_tree(spark, sf), scratch_root(spark)
     write_catalogue_tree(spark, sf, source)
-    run_star(spark, source, output, SONG_KEYS_YEAR_TWICE, page=PAGE, by_directory=True)
+    run_star(spark, source, output, SONG_KEYS_YEAR_TWICE, page=PAGE, **options)
     return output
 
 
@@ -299,13 +334,26 @@ def _star_table(name: str) -> Query:
     return run
 
 
+def star_ordered_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored fact with keys in a fixed order, which are the same in every run."""
+    output = _stored_star(spark, sf, ordered_key=True)
+    return load_star(spark, output, SONG_KEYS_YEAR_TWICE, only=["songplays"])["songplays"]
+
+
+def star_required(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored users from a log in which some lines have no location; those are dropped."""
+    source, output = scratch_root(spark), scratch_root(spark)
+    write_catalogue_tree(spark, sf, source)
+    log = log_from_events(spark, sf).withColumn("location", F.when(F.col("gender") == "F", F.col("location")))
+    log.write.json(dataset_path(source, LOG_DATASET) + "/y/m")
+    run_star(spark, source, output, SONG_KEYS_YEAR_TWICE, page=PAGE, required_log=["location"])
+    return load_star(spark, output, SONG_KEYS_YEAR_TWICE, only=["users"])["users"]
+
+
 def star_preview(spark: SparkSession, sf: str) -> DataFrame:
-    """How many rows the preview of each stored table shows."""
+    """What the preview of each stored table shows."""
     star = load_star(spark, _stored_star(spark, sf), SONG_KEYS_YEAR_TWICE, leaf_glob=True)
-    shown = [
-        preview(df).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name, df in star.items()
-    ]
+    shown = [_count_shown(df).select(F.lit(name).alias("table_name"), "n", "all_there") for name, df in star.items()]
     return reduce(DataFrame.unionAll, shown)
 
 
@@ -316,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "dim_artists": dim_artists,
     "dim_users": dim_users,
     "epoch_ms_to_timestamp": epoch_ms_round_trip,
+    "epoch_out_of_range": epoch_out_of_range,
     "calendar_parts": calendar_parts,
     "dim_time": dim_time,
     "dim_time_orders": dim_time_orders,
@@ -342,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "sink_overwrite": sink_overwrite,
     "scan_json_log": scan_json_log,
     "scan_json_log_inferred": scan_json_log_inferred,
+    "scan_json_log_strays": scan_json_log_strays,
     "scan_json_catalogue": scan_json_catalogue,
     "preview": preview_rows,
     "star_songs": _catalogue_table("songs"),
@@ -349,5 +399,7 @@ QUERIES: dict[str, Query] = {
     "star_users": _star_table("users"),
     "star_time": _star_table("time"),
     "star_songplays": _star_table("songplays"),
+    "star_ordered_key": star_ordered_key,
+    "star_required": star_required,
     "star_preview": star_preview,
 }
