@@ -100,7 +100,7 @@ def _license_sql() -> str:
     known = ", ".join(f"('{digest}', '{name}')" for digest, name in licenses.known_digests().items())
     return f"""
 WITH k(digest, name) AS (VALUES {known}),
-l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), x -> {line}), x -> x <> '') AS lines
+l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {line}), lambda x: x <> '') AS lines
       FROM documents),
 d AS (SELECT doc_id, md5(coalesce(array_to_string(lines, ' '), '')) AS digest, lines FROM l),
 n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices
