@@ -97,9 +97,9 @@ def fanout_inputs(
     asked = plays_from_events(spark, sf_dir).drop("song").withColumn("part", F.col("location").cast("bigint"))
     names = project(part, {"p_partkey": "p_partkey", "song": "p_name"})
     plays = lookup_join(asked, names, [("part", "p_partkey")], broadcast_limit)
-    if broadcast_limit == 0:
-        plays = stage(plays)
     songs = distinct_rows(project(part, {"title": "p_name", "song_id": "p_brand", "artist_id": "p_brand"}))
+    if broadcast_limit == 0:  # both sides are read several times
+        plays, songs = stage(plays), stage(songs)
     return plays, songs
 
 
