@@ -16,6 +16,8 @@ from asterism.sources.json_tree import dataset_path
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
+ROWS_AT_ONCE = 512
+
 
 def share_package(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the driver has it.
@@ -50,18 +52,27 @@ def small(df: DataFrame) -> DataFrame:
 def map_rows(
     df: DataFrame, per_batch: Callable[[dict[str, list]], dict[str, list]], schema: str
 ) -> DataFrame:
-    """Apply a function of column lists to each Arrow batch; its result has the columns of ``schema``."""
+    """Apply a function of column lists to rows, some at once; its result has the columns of ``schema``."""
     spark = df.sparkSession
     arrow = to_arrow(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             got = per_batch(batch.to_pydict())
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, so that little is held as Python objects; at
+    the end what the batches took is given back, as workers are used again."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+    pa.default_memory_pool().release_unused()
+
+
 def to_arrow(spark: SparkSession, schema: str) -> pa.Schema:
     """The Arrow form of a schema given as Spark DDL."""
     from pyspark.sql.pandas.types import to_arrow_schema

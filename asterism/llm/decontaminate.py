@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asterism.llm.common import ROWS_AT_ONCE
+
 SIMILARITY = 0.8
 RECALL = 0.99
 # places in a key, keys from one walk, and walks at most
@@ -274,7 +276,8 @@ def _searched(docs: DataFrame, items: list[tuple[int, str | None]], text: Column
     shared = docs.sparkSession.sparkContext.broadcast(found)  # of one block
 
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.search(texts.tolist()), dtype=object)
+        parts = (texts.iloc[at : at + ROWS_AT_ONCE].tolist() for at in range(0, len(texts), ROWS_AT_ONCE))
+        return pd.Series([leaks for part in parts for leaks in shared.value.search(part)], dtype=object)
 
     return docs.withColumn("leaks", F.pandas_udf(of, LEAKS)(text))
 

@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asterism.llm.common import small, to_arrow
+from asterism.llm.common import in_parts, small, to_arrow
+from asterism.llm.spans import MULTIPLIERS, PIECE, mix, span_hashes
 from asterism.sources.staging import stage
 
 NGRAM, PERCENT = 3, 90
@@ -65,43 +66,17 @@ EDGE = "anchor long, i int, j int, a long, b long"
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_rng = np.random.default_rng(20)
-_BYTE = _rng.integers(0, 1 << 64, 256, np.uint64)
-_MULTIPLIERS = _rng.integers(0, 1 << 64, 8, np.uint64) | np.uint64(1)
-_BASE = int(_MULTIPLIERS[0])
-_PIECE = 1 << 16
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    factors = np.full(n + 1, base, np.uint64)
-    factors[0] = 1
-    return factors.cumprod(dtype=np.uint64)
-
-
-_POWER, _INVERSE = (_powers(b, _PIECE) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 # -- sets ---------------------------------------------------------------------------
 
 
 def _word_hashes(piece: bytes) -> np.ndarray:
-    """Hashes of the words of a piece of text: sums of its bytes' numbers times powers,
-    as differences of running sums."""
+    """Hashes of the words of a piece of text."""
     data = np.frombuffer(piece, np.uint8)
     word = np.concatenate([[False], ~_SPACE[data], [False]])
     edges = np.flatnonzero(word[1:] != word[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    power, inverse = _POWER, _INVERSE
-    if len(data) > _PIECE:  # a word longer than a piece
-        power, inverse = (_powers(b, len(data)) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-    sums = np.concatenate([np.zeros(1, np.uint64), (_BYTE[data] * power[: len(data)]).cumsum(dtype=np.uint64)])
-    return _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return span_hashes(data, edges[::2], edges[1::2])
 
 
 def ngram_set(text: str | None, ngram: int = NGRAM) -> np.ndarray:
@@ -113,7 +88,7 @@ def ngram_set(text: str | None, ngram: int = NGRAM) -> np.ndarray:
     raw = (text or "").encode().lower()  # of bytes: A-Z only
     hashes, at = [], 0
     while at < len(raw):
-        end = min(len(raw), at + _PIECE)
+        end = min(len(raw), at + PIECE)
         if end < len(raw):
             cut = max(raw.rfind(b" ", at, end), raw.rfind(b"\n", at, end))
             if cut < 0:  # no white space: go on to the next
@@ -128,8 +103,8 @@ def ngram_set(text: str | None, ngram: int = NGRAM) -> np.ndarray:
     size = min(ngram, len(words))
     value = np.full(len(words) - size + 1, size, np.uint64)
     for k in range(size):
-        value = value + words[k : len(words) - size + 1 + k] * _MULTIPLIERS[1 + k]
-    return np.unique(_mix(value))
+        value = value + words[k : len(words) - size + 1 + k] * MULTIPLIERS[1 + k]
+    return np.unique(mix(value))
 
 
 def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -177,11 +152,10 @@ def count_table(docs: DataFrame) -> np.ndarray:
         from pyspark import TaskContext
 
         counts = np.zeros(COUNTERS, np.uint32)
-        for batch in batches:
-            sets = [ngram_set(text) for text in batch.column(0).to_pylist()]
-            if sets:
-                spots = np.concatenate(sets) & np.uint64(COUNTERS - 1)
-                counts += np.bincount(spots.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+        for batch in in_parts(batches):
+            spots = np.concatenate([ngram_set(text) for text in batch.column(0).to_pylist()])
+            some, often = np.unique((spots & np.uint64(COUNTERS - 1)).astype(np.uint32), return_counts=True)
+            counts[some] += often.astype(np.uint32)
         if counts.any():
             task = TaskContext.get().partitionId()
             packed = [zlib.compress(part.tobytes(), 1) for part in counts.reshape(BLOCKS, width)]
@@ -236,7 +210,7 @@ def _nodes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
-        for batch in batches:
+        for batch in in_parts(batches):
             sizes, digests, starts, bitmaps, scans = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 values = ngram_set(text)
@@ -520,7 +494,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     arrow = to_arrow(docs.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             sets = [ngram_set(text).tobytes() for text in batch.column("text").to_pylist()]
             columns = [batch.column("m1"), batch.column("m2"), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
@@ -537,7 +511,7 @@ def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int
     arrow = to_arrow(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             sets = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
             ok = [links(*(np.frombuffer(s, np.uint64) for s in both), percent) for both in sets]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], schema=arrow)

@@ -31,41 +31,99 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from asterism.llm.common import map_rows, small, to_arrow
+from asterism.llm.spans import PIECE, span_hashes
 from asterism.sources.json_tree import dataset_path
-from asterism.sources.staging import scratch_root
+from asterism.sources.staging import stage
 
 END = 1
 MAGIC = 0x31534E41  # "ANS1"
 # frequencies add up to 1 << SCALE; states stay from 1 << LOW up
-SCALE, LOW = 20, 31
+SCALE, LOW = 18, 31
 LANES = 512
 SEGMENT = 1 << 16
 BLOCK = 1 << 19
-CACHED_PIECES = 1_000_000
+# places for pieces that a worker keeps, of which half are filled
+SLOTS = 1 << 19
 
 BLOCKS = "part int, block int, first long, n_docs int, n_tokens long, payload binary"
 RESULT = "doc_id long, first long, n_tokens long, ids_crc32 long, part int"
 
-# The pieces of a word, for words of ASCII and Latin-1 characters whose
-# lower-cased, composed form is plain; and words that show whether a tokenizer cuts so.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
-PLAIN_TEXT = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-WHOLE = "\0"
-PROBES = ("Word's", "Édith,", "x12-Ñandú!!", "###$$", "(it'll", "É", "ÿßÞð", "A.B_c", "", "two words\n3")
+# Texts that are cut into pieces here, kinds of bytes in them, and texts
+# that show whether a tokenizer cuts alike.
+PLAIN = re.compile(r"[\t\n\r !-&(-~À-ÖØ-öø-ÿ]*")
+WHITE, LETTER, DIGIT, MARK = range(4)
+KINDS = np.full(256, MARK, np.uint8)
+KINDS[[0x09, 0x0A, 0x0D, 0x20]] = WHITE
+KINDS[ord("0") : ord("9") + 1] = DIGIT
+KINDS[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = LETTER
+PROBES = ("Édith, x12-Ñandú!!", "###$$", "(it", "É", "ÿßÞð", "A.B_c", "", "two words\n3 4\t5", "1a2.3")
+# the first bytes of a piece up to eight
+HEADS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 U32, U64 = np.dtype("<u4"), np.dtype("<u8")
 
 
+class PieceTable:
+    """Ids of pieces by hash, length and first eight bytes, in arrays with open addresses."""
+
+    def __init__(self, kind: np.dtype):
+        self.hash, self.head = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)
+        self.length, self.at, self.count = (np.zeros(SLOTS, np.int32) for _ in range(3))
+        self.ids, self.used, self.filled = np.zeros(1 << 16, kind), 0, 0
+
+    def find(self, pieces: np.ndarray) -> np.ndarray:
+        """The slot of each of ``pieces`` (hash, head, length), or -1."""
+        out, left = np.full(pieces.shape[1], -1), np.arange(pieces.shape[1])
+        slot = (pieces[0] >> np.uint64(1) & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(left):
+            here = slot[left]
+            found = self.hash[here]
+            hash_, head, length = pieces[:, left]
+            hit = (found == hash_) & (self.head[here] == head) & (self.length[here] == length.astype(np.int32))
+            out[left[hit]] = here[hit]
+            left = left[~hit & (found != 0)]
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+        return out
+
+    def add(self, pieces: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Put in pieces that aren't there, each once, with as many of ``ids`` as it has."""
+        total = len(ids)
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + total] = ids
+        at = self.used + np.cumsum(counts) - counts
+        self.used += total
+        self.filled += len(counts)
+        left = np.arange(len(counts))
+        slot = (pieces[0] >> np.uint64(1) & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(left):
+            free = left[self.hash[slot[left]] == 0]
+            here, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.hash[here], self.head[here] = pieces[0, put], pieces[1, put]
+            self.length[here], self.at[here], self.count[here] = pieces[2, put], at[put], counts[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+
+    def joined(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and where each piece's begin, and the end."""
+        counts = self.count[slots]
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        index = np.repeat(self.at[slots] - begins[:-1], counts) + np.arange(begins[-1])
+        return self.ids[index], begins
+
+
 class PieceIds:
     """Ids of whole texts by the tokenizers library, with the ids of pieces kept.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are
-    those of its words, and those of a word are those of its pieces. A word of ASCII
-    and Latin-1 letters and marks, which composed forms and odd cases don't touch, is
-    lower-cased and cut into pieces here; the library's model encodes each new piece,
-    many in one call, and up to CACHED_PIECES are kept. Any other word goes through the
-    library whole. ``by_piece`` tells whether the tokenizer cuts so, tried on PROBES.
+    those of its words, and those of a word are those of its pieces: runs of letters,
+    single digits and runs of other marks. A text of ASCII and Latin-1 letters and marks
+    without apostrophes, which composed forms, odd cases and contractions don't touch,
+    is lower-cased and cut here, many texts in one array. The library's model encodes
+    each new piece, many in one call, and the ids are kept until the table is full. Any
+    other text goes through the library whole, as does one with a run beyond PIECE bytes. ``by_piece`` tells whether the tokenizer
+    cuts so, tried on PROBES.
     """
 
     def __init__(self, path: str):
@@ -76,60 +134,92 @@ class PieceIds:
         self.model.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        self.kept: dict[str, bytes] = {}
+        self.table = PieceTable(self.kind)
         self.by_piece = True
-        self.by_piece = all(self.of_texts([word]) == [self.whole(word)] for word in PROBES)
-
-    def whole(self, word: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a text, and as WHOLE and the word those words that aren't cut."""
-        if self.by_piece and PLAIN_TEXT.fullmatch(text) and "<|" not in text:
-            return PIECES.findall(text.lower())
-        found: list[str] = []
-        for word in text.replace("\n", " ").split(" "):
-            if self.by_piece and PLAIN.fullmatch(word) and "<|" not in word:
-                found += PIECES.findall(word.lower())
-            else:
-                found.append(WHOLE + word)
-        return found
-
-    def encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of new pieces."""
-        new = {p: self.whole(p[1:]) for p in pieces if p[0] == WHOLE}
-        cut = [p for p in pieces if p[0] != WHOLE]
-        for begin in range(0, len(cut), 1000):
-            some = cut[begin : begin + 1000]
-            encoding = self.model.encode(" ".join(some), add_special_tokens=False)
-            raw = np.array(encoding.ids, self.kind).tobytes()
-            ends = (np.bincount(encoding.word_ids, minlength=len(some)).cumsum() * self.kind.itemsize).tolist()
-            new.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
-        return new
+        self.by_piece = self.of_texts([*PROBES]) == [*map(self.whole, PROBES)]
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        some: list[list[str]] = []
-        for text in texts:
-            some.append(self.pieces(text))
-            if sum(map(len, some)) > 100_000:
-                out += self._of_pieces(some)
-                some = []
-        return out + self._of_pieces(some)
-
-    def _of_pieces(self, texts: list[list[str]]) -> list[bytes]:
-        found = [[*map(self.kept.get, pieces)] for pieces in texts]
-        missing = {p for pieces, ids in zip(texts, found) if None in ids for p, known in zip(pieces, ids) if known is None}
-        if not missing:
-            return [*map(b"".join, found)]
-        if len(self.kept) + len(missing) > CACHED_PIECES:
-            self.kept.clear()
-        new = self.encoded([*missing])
-        self.kept.update(new)
-        return [
-            b"".join([new[p] if known is None else known for p, known in zip(pieces, ids)])
-            for pieces, ids in zip(texts, found)
-        ]
+        """The ids of each text, as little-endian bytes."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        some: list[tuple[int, bytes]] = []
+        held = 0
+        for i, text in enumerate(texts):
+            parts = _parts(text) if self.by_piece and PLAIN.fullmatch(text) and "<|" not in text else None
+            if parts is None:
+                out[i].append(self.whole(text))
+                continue
+            for part in parts:
+                some.append((i, part))
+                held += len(part) + 1
+                if held > PIECE // 2:
+                    self._by_pieces(some, out)
+                    some, held = [], 0
+        if some:
+            self._by_pieces(some, out)
+        return [*map(b"".join, out)]
+
+    def _by_pieces(self, texts: list[tuple[int, bytes]], out: list[list[bytes]]) -> None:
+        raw = b"\n".join([*(text for _, text in texts), b"\0" * 8])
+        data = np.frombuffer(raw, np.uint8).copy()
+        data[(data >= 0x80) & (data <= 0x9E)] += 0x20  # the second byte of a capital with an accent
+        kind = KINDS[data[:-8]]
+        cut = np.flatnonzero((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) + 1
+        starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(kind)]])
+        there = kind[starts] != WHITE
+        starts, ends = starts[there], ends[there]
+        eights = np.ndarray(len(kind), np.dtype("<u8"), data, strides=(1,))
+        pieces = np.stack(
+            [
+                span_hashes(data, starts, ends) | np.uint64(1),
+                eights[starts] & HEADS[np.minimum(ends - starts, 8)],
+                (ends - starts).astype(np.uint64),
+            ]
+        )
+        slots = self.table.find(pieces)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            _, first = np.unique(pieces[0, missing], return_index=True)
+            new = missing[first]
+            if self.table.filled + len(new) > SLOTS // 2:
+                self.table = PieceTable(self.kind)
+                missing, new = np.arange(len(starts)), np.unique(pieces[0], return_index=True)[1]
+            lowered = data.tobytes()
+            spans = zip(starts[new].tolist(), ends[new].tolist())
+            self.table.add(pieces[:, new], *self._encoded([lowered[a:b].decode() for a, b in spans]))
+            slots[missing] = self.table.find(pieces[:, missing])
+        ids, begins = self.table.joined(slots)
+        ids = ids.tobytes()
+        edges = np.cumsum([0, *(len(text) + 1 for _, text in texts)])
+        at = (begins[np.searchsorted(starts, edges)] * self.kind.itemsize).tolist()
+        for (i, _), a, b in zip(texts, at, at[1:]):
+            out[i].append(ids[a:b])
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces one after another, and how many each has."""
+        parts = []
+        for begin in range(0, len(pieces), 1000):
+            some = pieces[begin : begin + 1000]
+            encoding = self.model.encode(" ".join(some), add_special_tokens=False)
+            counts = np.bincount(encoding.word_ids, minlength=len(some))
+            parts.append((np.array(encoding.ids, self.kind), counts))
+        return tuple(np.concatenate(part) for part in zip(*parts))
+
+
+def _parts(text: str) -> list[bytes] | None:
+    """A text's bytes, lower-cased, in parts of a bounded length that end at white space;
+    None where there is none to cut at."""
+    raw = text.encode().lower()
+    parts, at = [], 0
+    while len(raw) - at > PIECE // 2:
+        cut = max(raw.rfind(space, at, at + PIECE // 2) for space in (b" ", b"\n"))
+        if cut < 0:
+            return None
+        parts.append(raw[at:cut])
+        at = cut + 1
+    return [*parts, raw[at:]]
 
 
 @lru_cache(2)
@@ -209,7 +299,8 @@ class Model:
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype(np.uint64)
         self.first = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
-        self.of_slot = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
+        ids = np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32)
+        self.of_slot = np.repeat(ids, freq.astype(np.int64))
 
 
 # -- blocks -----------------------------------------------------------------------
@@ -317,14 +408,13 @@ def write_token_files(docs: DataFrame, root: str, path: str, end: int = END) ->
     """Encode ``docs`` (doc_id, text) with the tokenizer file ``path`` and write the file set to ``root``.
 
     Documents lie in ascending order of doc_id, null first; rows of one doc_id follow
-    their ids. Every row is a document, also a repeated one, and a null or empty text
+    a hash of their ids. Every row is a document, also a repeated one, and a null or empty text
     has the closing id only. An empty table gives a file set without blocks.
     """
     spark = docs.sparkSession
     kind = piece_ids(path).kind
     numbered = encode_ids(docs, path, end).withColumn("row", F.monotonically_increasing_id())
-    numbered.write.option("compression", "zstd").parquet(staging := scratch_root(spark))
-    encoded = spark.read.schema(numbered.schema).parquet(staging)
+    encoded = stage(numbered)
     freq = frequencies(count_ids(encoded, kind))
     shared = spark.sparkContext.broadcast(freq)  # a number for each id of the vocabulary
     schema = to_arrow(spark, BLOCKS)
@@ -354,7 +444,7 @@ def write_token_files(docs: DataFrame, root: str, path: str, end: int = END) ->
         if doc_ids:
             yield close()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("ids"), F.col("row")]
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"), F.col("row")]
     ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
     ordered.mapInArrow(run, BLOCKS).write.mode("overwrite").parquet(dataset_path(root, "blocks"))
     rows = pa.table({"id": np.flatnonzero(freq), "n": freq[np.flatnonzero(freq)].astype(np.int64)})

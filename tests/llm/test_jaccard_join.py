@@ -87,7 +87,7 @@ def test_sets_have_the_right_size(text):
 def test_pieces_of_long_texts_make_no_difference(monkeypatch):
     text = " ".join(f"word{i % 977}" for i in range(4000)) + " " + "y" * 500 + " end\nof it"
     want = J.ngram_set(text)
-    monkeypatch.setattr(J, "_PIECE", 100)
+    monkeypatch.setattr(J, "PIECE", 100)
     assert (J.ngram_set(text) == want).all()
 
 

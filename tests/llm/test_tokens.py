@@ -50,10 +50,20 @@ def test_a_full_cache_changes_nothing(byte_bpe, word_bpe, monkeypatch):
     want = [token_counts.PieceCounter(byte_bpe).count(t) for t in texts]
     ids = token_files.PieceIds(word_bpe).of_texts(texts)
     monkeypatch.setattr(token_counts, "CACHED_PIECES", 3)
-    monkeypatch.setattr(token_files, "CACHED_PIECES", 3)
+    monkeypatch.setattr(token_files, "SLOTS", 1 << 10)
     small = token_counts.PieceCounter(byte_bpe)
     assert [small.count(t) for t in texts] == want
-    assert token_files.PieceIds(word_bpe).of_texts(texts) == ids
+    tiny = token_files.PieceIds(word_bpe)
+    many = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(90)) for i in range(26)]
+    assert [tiny.of_texts([t])[0] for t in texts] == ids
+    assert [tiny.of_texts([t])[0] for t in many] == [*map(tiny.whole, many)]
+    assert tiny.table.filled <= 1 << 9
+
+
+@pytest.mark.parametrize("text", ["word " * 20_000, "ab" * 50_000, "a!" * 40_000 + " b" * 40_000, "x\n" * 70_000])
+def test_long_texts(word_bpe, text):
+    kept = token_files.piece_ids(word_bpe)
+    assert kept.of_texts([text, "z"]) == [kept.whole(text), kept.whole("z")]
 
 
 @given(st.text(max_size=60))
