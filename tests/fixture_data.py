@@ -6,6 +6,7 @@ import json
 from datetime import datetime
 from pathlib import Path
 
+# The field names of the two inputs.
 CATALOGUE_FIELDS = (
     "song_id",
     "title",
