@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -70,7 +71,15 @@ def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):
             yield batch.slice(at, ROWS_AT_ONCE)
+    give_back()
+
+
+def give_back() -> None:
+    """Return to the system what a finished task has freed; only glibc needs the second call."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def to_arrow(spark: SparkSession, schema: str) -> pa.Schema:

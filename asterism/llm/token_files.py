@@ -43,7 +43,7 @@ LANES = 512
 SEGMENT = 1 << 16
 BLOCK = 1 << 19
 # places for pieces that a worker keeps, of which half are filled
-SLOTS = 1 << 19
+SLOTS = 1 << 21
 
 BLOCKS = "part int, block int, first long, n_docs int, n_tokens long, payload binary"
 RESULT = "doc_id long, first long, n_tokens long, ids_crc32 long, part int"
