@@ -5,7 +5,7 @@ import corpus_pipeline
 from asterism.llm.decontaminate import words_of
 from asterism.sources.staging import stage
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"  # 0.001 has too few labelled rows to reject any
 
 
 def test_everything_is_registered():
