@@ -1,6 +1,6 @@
 """Similarity join of texts by Jaccard similarity of their word n-grams, as components.
 
-Two texts link if ``100 * intersection >= PERCENT * union`` of their sets of distinct
+Two texts link if ``100 * intersection >= percent * union`` of their sets of distinct
 n-grams. Sets are kept as 64-bit hashes of the n-grams.
 
 1. Texts with equal sets are one class. From here on a class is a node, once.
@@ -137,7 +137,7 @@ def needed(n: int, percent: int = PERCENT) -> int:
 # -- order of the n-grams -------------------------------------------------------------
 
 
-def count_table(docs: DataFrame) -> np.ndarray:
+def count_table(docs: DataFrame, ngram: int = NGRAM) -> np.ndarray:
     """Occurrences of all n-grams of ``docs`` (text) by COUNTERS hash values.
 
     Tasks give blocks of their counts; blocks are added in two steps, so no task adds
@@ -153,7 +153,7 @@ def count_table(docs: DataFrame) -> np.ndarray:
 
         counts = np.zeros(COUNTERS, np.uint32)
         for batch in in_parts(batches):
-            spots = np.concatenate([ngram_set(text) for text in batch.column(0).to_pylist()])
+            spots = np.concatenate([ngram_set(text, ngram) for text in batch.column(0).to_pylist()])
             some, often = np.unique((spots & np.uint64(COUNTERS - 1)).astype(np.uint32), return_counts=True)
             counts[some] += often.astype(np.uint32)
         if counts.any():
@@ -201,7 +201,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _nodes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def _nodes(docs: DataFrame, counts: np.ndarray, percent: int, ngram: int) -> DataFrame:
     """A row for each document: its set's size, digest, beginning, bitmap and cost to scan."""
     spark = docs.sparkSession
     arrow = to_arrow(spark, NODE)
@@ -213,7 +213,7 @@ def _nodes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
         for batch in in_parts(batches):
             sizes, digests, starts, bitmaps, scans = [], [], [], [], []
             for text in batch.column("text").to_pylist():
-                values = ngram_set(text)
+                values = ngram_set(text, ngram)
                 n = len(values)
                 level = levels[(values & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 first = np.argsort(level, kind="stable")[: n - needed(n, percent) + 2]
@@ -488,14 +488,14 @@ def _maybe_among(docs: DataFrame, some: DataFrame) -> tuple[DataFrame, DataFrame
     return marked.where("_there").drop(*drop), marked.where("not _there").drop(*drop)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
     """(cid, set) for the classes of ``wanted`` (cid, m1, m2), made anew from their texts."""
     schema = "m1 long, m2 long, set binary"
     arrow = to_arrow(docs.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            sets = [ngram_set(text).tobytes() for text in batch.column("text").to_pylist()]
+            sets = [ngram_set(text, ngram).tobytes() for text in batch.column("text").to_pylist()]
             columns = [batch.column("m1"), batch.column("m2"), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
@@ -504,7 +504,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return made.join(wanted, ["m1", "m2"]).select("cid", "set")
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, ngram: int) -> DataFrame:
     """(a, b, ok) for pairs (a, b), by their whole sets."""
     spark = docs.sparkSession
     schema = "a long, b long, ok boolean"
@@ -520,7 +520,7 @@ def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int
     with_sets = pairs
     for side in ("a", "b"):
         wanted = stage(marks.join(pairs.select(F.col(side).alias("cid")).distinct(), "cid"))
-        sets = _sets(docs, wanted).select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}"))
+        sets = _sets(docs, wanted, ngram).select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}"))
         with_sets = with_sets.join(sets, side)
     return stage(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(run, schema).distinct())
 
@@ -614,7 +614,7 @@ def _lost(edges: DataFrame, known: DataFrame) -> DataFrame:
     return ends.join(bad, ["_a", "_b"]).drop("_a", "_b")
 
 
-def _class_components(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _class_components(docs: DataFrame, classes: DataFrame, percent: int, ngram: int) -> DataFrame:
     """(cid, component) for the classes that link to another one."""
     entries = _entries(classes, _boundary(classes), percent)
     cells = _cells(_groups(entries), classes)
@@ -622,7 +622,7 @@ def _class_components(docs: DataFrame, classes: DataFrame, percent: int) -> Data
     new = stage(_forests(cells.select("*", F.col("cid").alias("component"), no_loss), percent))
     edges, pairs, known, found = new, _pairs_of(new).drop("_a", "_b"), None, None
     while True:
-        checked = _checked(stage(pairs), docs, classes, percent)
+        checked = _checked(stage(pairs), docs, classes, percent, ngram)
         known = checked if known is None else known.unionAll(checked)
         joined = checked.where("ok").select("a", "b")
         found = stage(components(joined if found is None else joined.unionAll(found)))
@@ -656,14 +656,14 @@ def _by_digest(nodes: DataFrame, of_class: DataFrame) -> DataFrame:
     return nodes.join(many, "digest").unionByName(rest.join(few, "digest"))
 
 
-def _joined(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _joined(docs: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` as nodes, and (digest, copies, component, low, one) of each class.
 
     ``low`` and ``one`` are the smallest id and the first document of its component.
     """
-    nodes = stage(_nodes(docs, count_table(docs), percent))
+    nodes = stage(_nodes(docs, count_table(docs, ngram), percent, ngram))
     classes = _classes(nodes)
-    found = _class_components(docs, classes, percent)
+    found = _class_components(docs, classes, percent, ngram)
     slim = classes.select("cid", "digest", "copies", "low", "one").join(found, "cid", "left")
     slim = stage(slim.withColumn("component", F.coalesce("component", "cid")).drop("cid"))
     firsts = slim.groupBy("component").agg(F.min("low").alias("low"), F.min("one").alias("one"))
@@ -673,7 +673,7 @@ def _joined(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return nodes.select("doc_id", "m1", "m2", "n", "digest"), stage(alone.unionByName(together))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) for each
     row of ``docs`` (doc_id, text).
 
@@ -682,20 +682,20 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     never the smallest while another is in the component. An empty table gives an
     empty one.
     """
-    nodes, of_class = _joined(docs, percent)
+    nodes, of_class = _joined(docs, percent, ngram)
     linked = _by_digest(nodes.where("n > 0"), of_class.select("digest", "copies", F.col("low").alias("component_id")))
     empty = nodes.where("n = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"]
     return linked.select(*columns).unionAll(empty.select(*columns))
 
 
-def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def distinct_documents(docs: DataFrame, percent: int = PERCENT, ngram: int = NGRAM) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others), with all their columns, but
     only one of each component: that of the smallest id, null first.
 
     Rows without words are all kept. Of repeated rows one stays.
     """
-    nodes, of_class = _joined(docs, percent)
+    nodes, of_class = _joined(docs, percent, ngram)
     judged = _by_digest(nodes.where("n > 0"), of_class.select("digest", "copies", "one"))
     first = (F.col("m1") == F.col("one.m1")) & (F.col("m2") == F.col("one.m2"))
     marks = stage(judged.groupBy("m1", "m2").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("rows")))

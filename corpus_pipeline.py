@@ -13,6 +13,9 @@ from asterism.llm import decontaminate, jaccard_join, mixing, quality_cnn, token
 from asterism.llm.common import read, share_package
 from asterism.sources.staging import scratch_root, stage
 
+# near copies of the second stage: words of an n-gram, and percent of their union that two sets share
+NEAR_NGRAM, NEAR_PERCENT = 5, 80
+
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
@@ -22,7 +25,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that the n-gram Jaccard join links."""
     share_package(spark)
-    return jaccard_join.distinct_documents(docs)
+    return jaccard_join.distinct_documents(docs, NEAR_PERCENT, NEAR_NGRAM)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
