@@ -3,7 +3,8 @@
 A text's canonical form has its letters lowered, copyright lines left out, variant
 spellings made one and punctuation and white space turned into single spaces. Its
 digest is joined to the digests of the known texts. The whole document is looked up,
-and so is each of its lines as a text of its own, which finds one-line notices.
+and so is each of its lines and paragraphs as a text of its own, which finds notices.
+A paragraph ends at a line whose canonical form is empty.
 """
 
 from __future__ import annotations
@@ -51,6 +52,14 @@ def canonical_text(text: str) -> str:
     return " ".join(filter(None, lines))
 
 
+def texts_of(table: DataFrame) -> dict[str, list[str]]:
+    """The known texts from a table (name, text) with a row for each text of a licence."""
+    found: dict[str, list[str]] = {}
+    for row in table.where("name is not null and text is not null").select("name", "text").toLocalIterator():
+        found.setdefault(row["name"], []).append(row["text"])
+    return found
+
+
 def known_digests(texts: dict[str, list[str]] = TEXTS) -> dict[str, str]:
     """Canonical digest to licence name."""
     return {
@@ -58,21 +67,27 @@ def known_digests(texts: dict[str, list[str]] = TEXTS) -> dict[str, str]:
     }
 
 
-def license_scan(docs: DataFrame, texts: dict[str, list[str]] = TEXTS) -> DataFrame:
+def license_scan(docs: DataFrame, texts: dict[str, list[str]] | DataFrame = TEXTS) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, digest of the canonical text,
     license (that of the whole text, or null) and notices (names of the licences that
-    lines give, sorted, separated by commas; empty if none).
+    lines or paragraphs give, sorted, separated by commas; empty if none). ``texts``
+    are the known ones, by name or as a table (name, text).
 
     A null text counts as empty and has the digest of the empty text, which is no
     licence. Repeated rows stay apart; one line in many copies names its licence once.
     """
     spark = docs.sparkSession
-    known = known_digests(texts)
+    known = known_digests(texts_of(texts) if isinstance(texts, DataFrame) else texts)
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    digests = F.transform("_lines", lambda line: F.md5(line))
-    scanned = docs.select(
-        "doc_id", F.filter(F.transform(lines, canonical_line), lambda line: line != "").alias("_lines")
+    scanned = docs.select("doc_id", F.transform(lines, canonical_line).alias("_all"))
+    # no canonical line has a line feed, so one stands for each empty line
+    marked = F.array_join(F.transform("_all", lambda line: F.when(line == "", "\n").otherwise(line)), " ")
+    scanned = scanned.select(
+        "doc_id",
+        F.filter("_all", lambda line: line != "").alias("_lines"),
+        F.split(marked, " ?\n[ \n]*", -1).alias("_paragraphs"),
     )
+    digests = F.transform(F.concat("_lines", "_paragraphs"), lambda part: F.md5(part))
     scanned = scanned.select(
         "doc_id",
         F.md5(F.array_join("_lines", " ")).alias("digest"),

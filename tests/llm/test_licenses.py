@@ -1,6 +1,8 @@
 import hashlib
 import os
+from importlib import resources
 
+import pytest
 from check import assert_same, connect
 from conftest import rows_of
 
@@ -55,3 +57,36 @@ def test_odd_rows(messy):
     empty = hashlib.md5(b"").hexdigest()
     assert sum(r[1] == empty for r in rows_of(rows)) == 3
     assert licenses.license_scan(messy.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "BSD-3-Clause", "Unlicense"])
+def test_whole_texts_of_usual_licences(documents, name):
+    text = resources.files("asterism.llm").joinpath(f"license_files/{name}.txt").read_text()
+    assert licenses.license_scan(documents([(1, "Copyright (c) 2020 me\n\n" + text.upper())])).first()["license"] == name
+
+
+def test_notices_of_several_lines(documents):
+    gpl = """/*
+ * Copyright (C) 2020 Some One
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * more words
+ */"""
+    apache = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+x = 1"""
+    rows = licenses.license_scan(documents([(1, gpl), (2, apache), (3, f"{apache}\n\n{gpl}"), (4, gpl[:200])])).collect()
+    assert {r["doc_id"]: r["notices"] for r in rows} == {1: "GPL-3.0", 2: "Apache-2.0", 3: "Apache-2.0,GPL-3.0", 4: ""}
+
+
+def test_known_texts_from_a_table(spark, documents):
+    table = spark.createDataFrame([("Ours", "You may\nread this."), ("Ours", "Read on."), (None, "x"), ("y", None)], "name string, text string")
+    rows = licenses.license_scan(documents([(1, "you may read this"), (2, "a\n\nYou may\nread this\n\nb"), (3, MIT)]), table)
+    got = {r["doc_id"]: (r["license"], r["notices"]) for r in rows.collect()}
+    assert got == {1: ("Ours", "Ours"), 2: (None, "Ours"), 3: (None, "")}
