@@ -12,14 +12,16 @@ leak of an item of m words if its edit distance to the item, in words, is at mos
   word under the pointer is put out, and a random bit for step and word tells whether
   the pointer goes on. Texts a few edits apart fall into step again, so edit distance
   becomes Hamming distance. A few sampled places of an embedding make a key; an item
-  whose key a window has is a candidate. As many walks are used as a simulation with
-  the items themselves needs to reach the target recall at the largest distance.
+  whose key a window has is a candidate. For each class of item sizes, a power of two
+  wide, as many walks are used as a simulation with the items themselves needs to reach
+  the target recall at the largest distance; a class that does not is warned of.
 * Verification. The exact edit distance of the item to the best passage at the window.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from collections import defaultdict
 from collections.abc import Iterator
 from math import ceil
@@ -35,6 +37,8 @@ SIMILARITY = 0.8
 RECALL = 0.99
 # places in a key, keys from one walk, and walks at most
 PLACES, KEYS, MOST_WALKS = 2, 4, 64
+# changed items that a simulation tries at least, and numbers of an embedding at once
+TRIALS, AT_ONCE = 128, 1 << 22
 # bytes of item texts that are searched for in one pass over the documents
 BLOCK_BYTES = 8 << 20
 SEED = 17
@@ -84,6 +88,9 @@ def embed(rows: np.ndarray, walks: int, seed: int = SEED) -> np.ndarray:
 def keys_of(rows: np.ndarray, walks: int, seed: int = SEED) -> np.ndarray:
     """LSH keys (rows, walks * KEYS): sampled places of each embedding, with walk and size."""
     n, m = rows.shape
+    step = max(1, AT_ONCE // (walks * 2 * max(1, m)))
+    if n > step:
+        return np.concatenate([keys_of(rows[at : at + step], walks, seed) for at in range(0, n, step)])
     rng = np.random.default_rng([seed, m])
     places = rng.integers(0, 2 * m, (walks, KEYS, PLACES))
     embedded = embed(rows, walks, seed)
@@ -136,10 +143,10 @@ class Items:
         self.sorted_runs = np.array(sorted(self.runs), np.int64)
         self.maybe = np.zeros(1 << _BITS, bool)
         self.maybe[self._bit(self.sorted_runs)] = True
-        self.walks = self._walks(recall)
+        self.walks = self._walks(recall)  # of each class of sizes
         self.tables: dict[int, list[int]] = defaultdict(list)
         for size, members in self._by_size().items():
-            for i, row in zip(members, keys_of(np.stack([self.items[i] for i in members]), self.walks)):
+            for i, row in zip(members, keys_of(np.stack([self.items[i] for i in members]), self.walks[size.bit_length()])):
                 for key in row.tolist():
                     self.tables[key].append(i)
 
@@ -149,16 +156,26 @@ class Items:
             sizes[len(item)].append(i)
         return sizes
 
-    def _walks(self, recall: float) -> int:
-        """Walks that find the share ``recall`` of items changed as much as is allowed.
+    def _walks(self, recall: float) -> dict[int, int]:
+        """For each class of sizes (bits of the number of words) the walks that find the
+        share ``recall`` of items changed as much as is allowed."""
+        classes: dict[int, list[np.ndarray]] = defaultdict(list)
+        for item in sorted(self.items, key=len):
+            classes[len(item).bit_length()].append(item)
+        return {bits: self._walks_of(bits, items, recall) for bits, items in classes.items()}
 
-        Up to 64 items are tried, twice each, with random replaced, left-out and added words.
+    @staticmethod
+    def _walks_of(bits: int, items: list[np.ndarray], recall: float) -> int:
+        """Walks for a class of items, in order of size.
+
+        64 items or more are tried, or all, TRIALS times in all at least, with random
+        replaced, left-out and added words.
         """
-        rng = np.random.default_rng(SEED)
+        rng = np.random.default_rng([SEED, bits])
+        some = items[:: max(1, len(items) // 64)]
         changed: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
-        for i in range(0, len(self.items), max(1, len(self.items) // 64)):
-            for _ in range(2):
-                item = self.items[i]
+        for item in some:
+            for _ in range(max(2, ceil(TRIALS / len(some)))):
                 words = item.tolist()
                 for _ in range(allowed_edits(len(item))):
                     at, kind = int(rng.integers(len(words))), int(rng.integers(3))
@@ -167,15 +184,21 @@ class Items:
                 changed[len(item)].append((item, np.array(words)))
         total = sum(map(len, changed.values()))
         walks = 4
-        while walks < MOST_WALKS:
+        while True:
             found = 0
             for pairs in changed.values():
                 ours, theirs = (keys_of(np.stack([p[k] for p in pairs]), walks) for k in (0, 1))
                 found += int((ours == theirs).any(axis=1).sum())
             if found >= recall * total:
-                break
+                return walks
+            if walks >= MOST_WALKS:
+                warnings.warn(
+                    f"items of {len(items[0])} to {len(items[-1])} words: {walks} walks find {found / total:.3f}"
+                    f" of those changed as much as is allowed, less than {recall}",
+                    stacklevel=2,
+                )
+                return walks
             walks *= 2
-        return walks
 
     @staticmethod
     def _bit(codes: np.ndarray) -> np.ndarray:
@@ -229,7 +252,7 @@ class Items:
                     words = kept[number]
                     a, b = max(start, 0), min(start + m, len(words))
                     row[a - start : b - start] = words[a:b]
-                for (number, start), keys in zip(part, keys_of(rows, self.walks).tolist()):
+                for (number, start), keys in zip(part, keys_of(rows, self.walks[m.bit_length()]).tolist()):
                     for i in {i for key in keys for i in self.tables.get(key, ())}:
                         candidates[number, i].add(start)
         best = {(number, i): self._nearest(i, kept[number], at) for (number, i), at in candidates.items()}

@@ -43,6 +43,22 @@ def test_best_passage_is_exact():
         assert found == nearest(item, text) == distance(item, text[first:last])
 
 
+def test_recall_of_few_long_items_among_many_short_ones():
+    rng = random.Random(5)
+    items = [words(rng, rng.randint(15, 30)) for _ in range(400)] + [words(rng, 600, 4000) for _ in range(3)]
+    found = D.Items([(i, " ".join(x)) for i, x in enumerate(items)])
+    want = [400 + i % 3 for i in range(120)]
+    leaks = found.search([" ".join(changed(rng, items[i], D.allowed_edits(600))) for i in want])
+    assert sum(any(x["item_id"] == i for x in of) for of, i in zip(leaks, want)) >= 0.97 * len(want)
+
+
+def test_a_target_that_is_not_reached_is_warned_of(monkeypatch):
+    monkeypatch.setattr(D, "MOST_WALKS", 4)
+    rng = random.Random(6)
+    with pytest.warns(UserWarning, match="600 to 600 words"):
+        D.Items([(i, " ".join(words(rng, 600, 4000))) for i in range(2)])
+
+
 def test_recall_at_the_limit_and_precision():
     rng = random.Random(2)
     items = [words(rng, rng.randint(15, 60)) for _ in range(60)]
