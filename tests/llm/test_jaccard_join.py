@@ -102,6 +102,23 @@ def test_bitmaps_never_hide_a_link(common, only_a, only_b):
     assert possible or not J.links(a, b)
 
 
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.sampled_from([80, 90]))
+@settings(max_examples=100, deadline=None)
+def test_a_link_is_among_the_possible_ones(common, only_a, only_b, percent):
+    rng = np.random.default_rng([common, only_a, only_b])
+    values = np.unique(rng.integers(0, 1 << 63, common + only_a + only_b, np.uint64))
+    a, b = np.sort(values[: common + only_a]), np.sort(np.concatenate([values[:common], values[common + only_a :]]))
+    maps = [J.parity_bitmap(x).tobytes() for x in (a, b)]
+    found, _ = J._Cell(np.array([1, 2]), np.array([len(a), len(b)]), maps, percent).possible(0, np.array([1]))
+    assert len(found) or not J.links(a, b, percent)
+
+
+def test_far_sets_are_not_possible_links():
+    a, b = np.arange(100, dtype=np.uint64), np.arange(60, 160, dtype=np.uint64)
+    cell = J._Cell(np.array([1, 2]), np.array([100, 100]), [J.parity_bitmap(x).tobytes() for x in (a, b)], 90)
+    assert not len(cell.possible(0, np.array([1]))[0])
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 40)] + [(7, 7)]
     random.Random(1).shuffle(edges)
