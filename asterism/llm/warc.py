@@ -14,6 +14,7 @@ import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
@@ -94,6 +95,61 @@ def split_http(block: bytes) -> tuple[str, Headers, bytes]:
     return status, _fields(lines), payload
 
 
+def unchunked(payload: bytes) -> bytes:
+    """The data of a chunked payload up to its last whole or cut chunk; one that isn't chunked stays."""
+    parts, at = [], 0
+    while at < len(payload):
+        end = payload.find(b"\r\n", at)
+        size = re.fullmatch(rb"[ \t]*([0-9A-Fa-f]+)[ \t]*(;.*)?", payload[at:end] if end >= 0 else b"", re.S)
+        if not size:
+            return b"".join(parts) if parts else payload
+        length = int(size[1], 16)
+        if not length:
+            break
+        parts.append(payload[end + 2 : end + 2 + length])
+        at = end + 2 + length + 2
+    return b"".join(parts)
+
+
+def _inflated(payload: bytes, wbits: int) -> bytes:
+    """All members of compressed data, as far as they are whole."""
+    parts = []
+    while payload:
+        member = zlib.decompressobj(wbits)
+        try:
+            parts.append(member.decompress(payload) + member.flush())
+        except zlib.error:
+            if not parts:
+                raise
+            break
+        if wbits < 0 and not member.eof:  # without a header plain bytes may look like a beginning
+            raise zlib.error("no end")
+        if not member.eof or wbits < 0:
+            break
+        payload = member.unused_data
+    return b"".join(parts)
+
+
+def decoded(payload: bytes, http: Headers) -> bytes:
+    """A payload without its transfer and content codings: chunked, gzip and deflate.
+
+    Several codings are undone from the last to the first. What isn't so coded in spite
+    of its header, as where a crawler undid it, or is coded in another way, stays as it is.
+    """
+    for header in ("Transfer-Encoding", "Content-Encoding"):
+        codings = ",".join(value for name, value in http if name.lower() == header.lower())
+        for coding in reversed([c.partition(";")[0].strip().lower() for c in codings.split(",")]):
+            if coding == "chunked":
+                payload = unchunked(payload)
+            for wbits in {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(coding, ()):
+                try:
+                    payload = _inflated(payload, wbits)
+                    break
+                except zlib.error:
+                    continue
+    return payload
+
+
 def plain_text(source: str) -> tuple[str, str]:
     """(title, text) of a page: all text but scripts, styles and other raw elements, a line for each block."""
     title, pieces = "", []
@@ -135,7 +191,7 @@ def derive(headers: Headers, block: bytes) -> list[dict]:
     uri, date = first(headers, "WARC-Target-URI") or "", first(headers, "WARC-Date") or ""
     status, http, payload = split_http(block)
     payload_digest = first(headers, "WARC-Payload-Digest") or sha1(payload)
-    text = decode_payload(payload, http)
+    text = decode_payload(decoded(payload, http), http)
     kind = (first(http, "Content-Type") or "text/html").partition(";")[0].strip().lower()
     title, plain = plain_text(text) if kind in HTML_TYPES else ("", text if kind.startswith("text/") else "")
     fields = [

@@ -1,6 +1,7 @@
 import gzip
 import html
 import re
+import zlib
 
 import pytest
 from conftest import rows_of
@@ -138,5 +139,37 @@ def test_other_records_and_odd_blocks(spark):
         [*warc.records(b"WARC/1.1\r\nContent-Length: 99\r\n\r\nshort")]
 
 
+def raw_deflate(data):
+    packer = zlib.compressobj(wbits=-15)
+    return packer.compress(data) + packer.flush()
+
+
+def chunked(data):
+    parts = [data[i : i + 7] for i in range(0, len(data), 7)]
+    return b"".join(b"%x;x=y\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\nTrailer: t\r\n\r\n"
+
+
+@pytest.mark.parametrize(
+    ("coding", "payload"),
+    [
+        ("Transfer-Encoding: chunked", chunked),
+        ("Content-Encoding: gzip", gzip.compress),
+        ("Content-Encoding: gzip", lambda data: gzip.compress(data[:9]) + gzip.compress(data[9:])),
+        ("Content-Encoding: deflate", zlib.compress),
+        ("Content-Encoding: deflate", raw_deflate),
+        ("Content-Encoding: deflate, gzip\r\nTransfer-Encoding: chunked", lambda d: chunked(gzip.compress(zlib.compress(d)))),
+        ("Transfer-Encoding: gzip, chunked", lambda data: chunked(gzip.compress(data))),
+        ("Content-Encoding: gzip\r\nTransfer-Encoding: chunked", bytes),  # a crawler undid both
+        ("Content-Encoding: deflate", bytes),
+    ],
+)
+def test_codings_of_a_payload_are_undone(coding, payload):
+    stored = payload("<title>T</title><p>Grüße an alle, one by one</p>".encode())
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{coding}\r\n\r\n".encode() + stored
+    metadata, conversion = warc.derive([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], block)
+    assert "Grüße an alle, one by one\r\n\r\n".encode() in conversion["record"]
+    assert metadata["payload_digest"] == warc.sha1(stored)
+
+
 def test_empty_table(pages):
     assert rows_of(warc.derivatives(warc.responses_from_pages(pages.limit(0)))) == []
