@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -5,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from asterism.llm.decontaminate import words_of
+from asterism.llm.decontaminate import allowed_edits, words_of
 from asterism.sources.staging import stage
 
 SF_DIR = "/root/testdata/sf0.01"  # 0.001 has too few labelled rows to reject any
@@ -68,6 +69,39 @@ def test_one_document_of_each_group_of_near_copies_stays(steps):
     assert sorted(r["doc_id"] for r in steps[2].collect()) == sorted(d for d in sets if find(d) == d)
 
 
+def passage_distance(item, text):
+    """Least edit distance in words of an item to any passage of a text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_edited_leaks_go_and_others_stay(spark, documents, tmp_path):
+    rng = random.Random(3)
+    items = [[f"w{rng.randrange(300)}" for _ in range(rng.randint(15, 40))] for _ in range(8)]
+    spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    rows = []
+    for n in range(120):
+        passage = list(items[n % 8])
+        for _ in range(rng.randint(0, 2 * allowed_edits(len(passage)))):  # to twice the limit
+            at, kind = rng.randrange(len(passage)), rng.randrange(3)
+            passage[at : at + (kind != 1)] = [] if kind == 2 else [f"q{n}"]
+        around = [[f"v{rng.randrange(300)}" for _ in range(rng.randint(0, 20))] for _ in range(2)]
+        rows.append((n, " ".join(around[0] + passage + around[1])))
+    want = {
+        n for n, text in rows if all(passage_distance(item, text.split()) > allowed_edits(len(item)) for item in items)
+    }
+    got = {r["doc_id"] for r in corpus_pipeline.drop_leaks(spark, documents(rows), str(tmp_path)).collect()}
+    assert 20 < len(want) < 100
+    assert got >= want and len(got - want) <= 1  # the recall is 0.99, the precision exact
+
+
 def test_poor_documents_go_and_clean_ones_stay(spark, steps):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     kept = {r["doc_id"] for r in steps[1].collect()}
