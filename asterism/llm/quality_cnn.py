@@ -186,12 +186,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_sample(
-    docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = TRAIN_ROWS,
+    size: int = TRAIN_BYTES,
+    longest: int | None = None,
 ) -> tuple[list[str | None], list[int], float | None]:
     """Labelled texts, their labels and the share of label 1 among all rows that may be learned from.
 
     The texts are those that aren't held out, drawn by a hash of the id: at most about
-    ``rows``, and ``size`` bytes, half of either for each label.
+    ``rows``, and ``size`` bytes, half of either for each label. Texts of more than
+    ``longest`` bytes, by default a fiftieth of ``size``, are never learned from, so that the driver holds few bytes at once;
+    they are scored by a network that saw only shorter ones.
 
     An id with several labels counts by its lowest one. Whole texts only.
     """
@@ -205,7 +211,7 @@ def training_sample(
     texts = docs.select("doc_id", "text").join(F.broadcast(marked.where(keep)), "doc_id")  # about ``rows`` rows
     drawn = texts.select("text", "quality", draw.alias("draw"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
     # the driver gets no more than the bound: rows of each label while their sizes fit
-    found = sorted(drawn.where(F.col("n") <= size // 50).toLocalIterator(), key=lambda r: (r["draw"], r["text"] or ""))
+    found = sorted(drawn.where(F.col("n") <= (size // 50 if longest is None else longest)).toLocalIterator(), key=lambda r: (r["draw"], r["text"] or ""))
     left = {0: size // 2, 1: size // 2}
     chosen = []
     for r in found:

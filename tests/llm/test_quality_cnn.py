@@ -61,6 +61,14 @@ def test_held_out_labels_are_not_read(spark, documents):
     assert len(C.training_sample(docs, table(labels))[0]) == 50 - len(held)
 
 
+def test_the_longest_text_to_learn_from_is_a_parameter(spark, documents):
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = documents([(i, "x" * 200_000 if i == ids[0] else "short") for i in ids])
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    assert len(C.training_sample(docs, marks)[0]) == len(ids) - 1
+    assert len(C.training_sample(docs, marks, longest=200_000)[0]) == len(ids)
+
+
 def test_odd_rows(messy, labels):
     got = C.classify(messy, labels).collect()
     assert len(got) == messy.count()
