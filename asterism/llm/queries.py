@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from asterism.llm import (
+    collocations,
     decontaminate,
     html_main,
     jaccard_join,
     licenses,
     mixing,
+    personal_data,
     quality_cnn,
     quality_rules,
     token_counts,
     token_files,
     warc,
+    whitening,
 )
 from asterism.llm.common import read
 from asterism.sources.staging import scratch_root
@@ -73,6 +76,18 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.jaccard_components(read(spark, sf, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf, "documents"))
+
+
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data.span_digests(personal_data.find_personal_data(read(spark, sf, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -84,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_personal_data": op13_personal_data,
 }
 
 _SIZE = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
@@ -109,7 +127,35 @@ SELECT d.doc_id, d.digest, k.name AS license, coalesce(n.notices, '') AS notices
 FROM d LEFT JOIN k USING (digest) LEFT JOIN n ON d.doc_id = n.doc_id"""
 
 
+_COLLOCATIONS = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT lang, 1 AS words, unnest(w) AS phrase FROM w
+      UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+      UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+t AS (SELECT lang, count(*) AS n FROM o WHERE words = 1 GROUP BY lang),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM o GROUP BY lang, words, phrase HAVING count(*) >= 10),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS x FROM f WHERE words >= 2),
+k AS (SELECT lang, words, phrase, a, 1 AS cut, x[1] AS part, array_to_string(x[2:], ' ') AS rest FROM c
+      UNION ALL SELECT lang, words, phrase, a, 2, x[1] || ' ' || x[2], x[3] FROM c WHERE words = 3),
+s AS (SELECT k.*, l.f AS l, r.f AS r,
+             CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.part JOIN f r ON r.lang = k.lang AND r.phrase = k.rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+u AS (SELECT lang, phrase, max(a) AS most
+      FROM (SELECT lang, a, x[1] || ' ' || x[2] AS phrase FROM c WHERE words = 3
+            UNION ALL SELECT lang, a, x[2] || ' ' || x[3] FROM c WHERE words = 3) GROUP BY lang, phrase)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+       b.phrase, a, l, r, n, score
+FROM b JOIN t ON t.lang = b.lang LEFT JOIN u ON u.lang = b.lang AND u.phrase = b.phrase
+WHERE most IS NULL OR 100 * most < 50 * a
+QUALIFY rank <= 2000"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_collocations": _COLLOCATIONS,
     "op8_license_scan": _license_sql(),
     "op1_mix": f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce({_SIZE}, 0) AS BIGINT) AS size FROM documents),
