@@ -76,9 +76,10 @@ class Block:
     def __init__(self, texts: list[str], groups: list[int]) -> None:
         data = _LOWER[np.frombuffer("\n".join([*texts, ""]).encode(), np.uint8)]
         kind = _KIND[data]
-        edges = np.diff(np.concatenate([[0], (kind == 0).view(np.int8), [0]]))
+        edge = np.zeros(1, np.int8)
+        edges = np.diff(np.concatenate([edge, (kind == 0).view(np.int8), edge]))
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        piece = np.cumsum(kind == 2)[starts]
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
         sizes = [len(t.encode()) + 1 for t in texts]
         # words have no separators inside, so what is left of the data is the words in a row
         offsets = np.concatenate([[0], (ends - starts).cumsum()]).astype(np.int64)
@@ -91,7 +92,6 @@ class Block:
         self.word_hash = _hashes(self.words)
         text_ends = np.cumsum(sizes)
         self.group = np.asarray(groups, np.int64)[np.searchsorted(text_ends, starts, "right")]
-        self.piece = piece
 
     def levels(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For phrases of 1, 2 ... words: the length, where they begin, the number of the
@@ -255,10 +255,38 @@ def mine_shards(docs: DataFrame, lengths: range, support: int, shards: int, freq
                 yield from _batches([pa.array(packed.view(np.int64)), pa.array(n.astype(np.int32))], arrow)
         give_back()
 
-    counted = _prepared(docs, shards).mapInArrow(run, schema).groupBy("packed").agg(F.sum("n").alias("n"))
-    least = -(-support // shards)
-    key = F.col("packed").bitwiseAND(F.lit(-(1 << SHARD_BITS)))
-    return counted.where(F.col("n") >= least).select(key.alias("key")).distinct()
+    key = F.shiftright("packed", SHARD_BITS)
+    dealt = _prepared(docs, shards).mapInArrow(run, schema).repartition(key).sortWithinPartitions("packed")
+    return dealt.mapInArrow(_frequent_runs(spark, -(-support // shards)), "key long")
+
+
+def _frequent_runs(spark, least: int):
+    """From rows (packed, n) in order of packed: the keys with ``least`` or more in some shard."""
+    arrow = to_arrow(spark, "key long")
+
+    def keys(packed: np.ndarray, n: np.ndarray) -> np.ndarray:
+        first = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]]))
+        found = packed[first][np.add.reduceat(n, first) >= least] & ~np.int64((1 << SHARD_BITS) - 1)
+        return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the rows of the last key, which may go on in the next batch
+        packed, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            packed = np.concatenate([packed, batch.column("packed").to_numpy()])
+            n = np.concatenate([n, batch.column("n").to_numpy()])
+            if not len(packed):
+                continue
+            cut = int(np.searchsorted(packed >> SHARD_BITS, packed[-1] >> SHARD_BITS))
+            if cut:
+                yield from _batches([pa.array(keys(packed[:cut], n[:cut]))], arrow)
+            first = np.flatnonzero(np.concatenate([[True], packed[cut + 1 :] != packed[cut:-1]])) + cut
+            packed, n = packed[first], np.add.reduceat(n, first)
+        if len(packed):
+            yield from _batches([pa.array(keys(packed, n))], arrow)
+        give_back()
+
+    return run
 
 
 def count_phrases(docs: DataFrame, longest: int, candidates: Bitmap | None) -> DataFrame:
