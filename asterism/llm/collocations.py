@@ -18,7 +18,7 @@ frequent, sized by their measured count. Where that would exceed BITMAP_BITS, th
 are not filtered before the exchange; the result is the same.
 
 Within a task words have exact numbers, so phrases are combined before any row is made,
-and a common word, phrase or language costs one row a task. No step gathers the rows of a
+and a common word, phrase or language costs one row a block of texts. No step gathers the rows of a
 word or language in one task: parts are looked up by ``lookup_join``, which splits hot keys, and the
 best of a language are first found within hashed parts of it.
 
@@ -39,13 +39,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterism.llm.common import give_back, small, to_arrow
+from asterism.llm.common import give_back, in_parts, small, to_arrow
 from asterism.llm.spans import MULTIPLIERS, mix, span_hashes
 from asterism.operators.lookup import lookup_join
 from asterism.sources.staging import stage
 
 LONGEST, SUPPORT, COVER_PERCENT, BEST = 3, 10, 50, 2000
-SHARDS = 4
+# the fewer shards, the higher the support in each, and the fewer the candidates
+SHARDS = 2
 # low bits of a hash, which hold the shard
 SHARD_BITS = 4
 BLOCK_BYTES = 8 << 20
@@ -141,7 +142,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple[Bl
         langs, of = zip(*known) if known else ((), ())
         return Block(texts, groups), list(langs), list(of)
 
-    for batch in batches:
+    for batch in in_parts(batches):
         for text, lang, shard in zip(*(batch.column(n).to_pylist() for n in ("text", "lang", "shard"))):
             texts.append(text)
             groups.append(known.setdefault((lang, shard if shards > 1 else 0), len(known)))
@@ -319,7 +320,9 @@ def count_phrases(docs: DataFrame, longest: int, candidates: Bitmap | None) -> D
                     yield pa.RecordBatch.from_arrays(columns, schema=arrow)
         give_back()
 
-    rows = _prepared(docs, 1).mapInArrow(run, schema)
+    # a block sends a phrase once, and most phrases are in few blocks: to combine them
+    # again before the exchange would take more than it saves
+    rows = _prepared(docs, 1).mapInArrow(run, schema).repartition("lang", "phrase", "words")
     return rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
 
 

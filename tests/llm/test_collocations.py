@@ -58,7 +58,7 @@ def corpus(seed, docs=150, vocabulary=25):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"longest": 4, "support": 4}, {"longest": 2, "best": 3}, {"support": 3, "shards": 7}, {"percent": 90, "shards": 1}])
+@pytest.mark.parametrize("options", [{}, {"longest": 4, "support": 4}, {"longest": 2, "best": 3}, {"support": 3, "shards": 7}, {"shards": 16}, {"percent": 90, "shards": 1}])
 def test_equals_brute_force(spark, texts, options):
     rows = corpus(1)
     plain = {k: v for k, v in options.items() if k != "shards"}
@@ -81,8 +81,8 @@ def test_a_shard_is_mined_at_its_share(spark, texts):
     rows = [(i, f"rare pair{j}", "en") for j in range(8) for i in range(j * 100, j * 100 + 10)]
     got = {(r["phrase"], r["f"]) for r in phrase_counts(texts(rows)).where("words = 2").collect()}
     assert got == {(f"rare pair{j}", 10) for j in range(8)}
-    keys = mine_shards(texts(rows), range(2, 3), 10, 4, None)
-    assert keys.count() == 8
+    for shards in (1, 2, 4, 9, 16):
+        assert mine_shards(texts(rows), range(2, 3), 10, shards, None).count() == 8
     # one occurrence less in every shard than its share asks for gives no candidate
     few = [(i, "once only", "en") for i in range(2)]
     assert mine_shards(texts(few), range(2, 3), 12, 4, None).count() == 0
