@@ -7,14 +7,15 @@ rows as a plain inner join:
   split of the rows would give too many pairs: then the rows are dealt out evenly first;
 * count the keys on both sides; if few lookup rows are asked for, broadcast those;
 * shuffle both sides, but first cut the keys with a large share of the work into a
-  grid of cells, so that no task gets a whole hot key.
+  grid of cells, so that no task gets a whole hot key. Rows whose key the other side
+  lacks are dropped before that, by a broadcast filter of bounded size.
 
 Choosing the way runs one to five Spark jobs while the plan is built.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from math import ceil
 
@@ -34,6 +35,12 @@ WORK_PER_TASK = 4_000_000
 # tasks of one shuffle that a driver can keep track of; more work is joined in slices
 MOST_TASKS = 100_000
 
+# bytes that ``table_bytes`` allows for a hash
+HASH_BYTES = 120
+# share of matched rows from which a filter before the shuffle would not pay
+MOST_MATCHED = 0.9
+
+_FILTER_ROW, _FILTER_BITS = "_filter_row", "_filter_bits"
 _HASH, _ROWS, _COLS, _IDENTITY = "_key_hash", "_grid_rows", "_grid_cols", "_row_identity"
 # types in which equal values have equal bytes, so equal hashes
 _EXACT_KEYS = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -51,8 +58,14 @@ def table_bytes(df: DataFrame) -> float:
     To that come lengths, a chain pointer and up to four entries of 16 bytes in the
     pointer array. Nested columns have no bound.
     """
+    row = _row_bytes(df)
+    return float("inf") if row is None else df.agg(F.sum(row)).first()[0] or 0.0
+
+
+def _row_bytes(df: DataFrame) -> Column | None:
+    """What ``table_bytes`` adds up; None if there is no bound."""
     if any(isinstance(f.dataType, _NESTED) for f in df.schema):
-        return float("inf")
+        return None
     row = F.lit(8 * ceil(len(df.columns) / 64) + 8 * len(df.columns))
     for f in df.schema:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -61,7 +74,7 @@ def table_bytes(df: DataFrame) -> float:
             isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18
         ):
             row = row + 16
-    return df.agg(F.sum((2 * row + 24 + 64).cast("double"))).first()[0] or 0.0
+    return (2 * row + 24 + 64).cast("double")
 
 
 def lookup_join(
@@ -83,14 +96,15 @@ def lookup_join(
     are read once more to count them.
     """
     _check(rows, lookup, on)
-    size = table_bytes(lookup)
+    size, repeated = _measured(lookup, on)
     if size <= broadcast_limit:
-        return _broadcast_join(rows, lookup, on)
+        return _broadcast_join(rows, lookup, on, repeated)
     with staged(_count_keys(rows, lookup, on)) as counts:
         if size * _asked_share(counts) <= broadcast_limit:
             lookup = stage(_asked_for(lookup, on, counts))
-            if table_bytes(lookup) <= broadcast_limit:
-                return _broadcast_join(rows, lookup, on)
+            size, repeated = _measured(lookup, on)
+            if size <= broadcast_limit:
+                return _broadcast_join(rows, lookup, on, repeated)
         return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks)
 
 
@@ -111,7 +125,24 @@ def grid_join(
         return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks)
 
 
-def _broadcast_join(rows: DataFrame, lookup: DataFrame, on: Pairs) -> DataFrame:
+def _measured(lookup: DataFrame, on: Pairs) -> tuple[float, bool]:
+    """``table_bytes`` of the lookup, and whether a key is there twice, from one job.
+
+    Rows are first added up by key, which sends each key once.
+    """
+    row = _row_bytes(lookup)
+    if row is None:
+        return float("inf"), True
+    keys = [right for _, right in on]
+    whole = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    of_key = lookup.groupBy(F.when(whole, F.xxhash64(*keys)).alias(_HASH)).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(row).alias("bytes")
+    )
+    size, most = of_key.agg(F.sum("bytes"), F.max(F.when(F.col(_HASH).isNotNull(), F.col("rows")))).first()
+    return size or 0.0, (most or 0) > 1
+
+
+def _broadcast_join(rows: DataFrame, lookup: DataFrame, on: Pairs, repeated: bool) -> DataFrame:
     """Join with a lookup that fits a broadcast.
 
     If keys repeat in the lookup, the pairs that each split of the rows gives are
@@ -119,11 +150,11 @@ def _broadcast_join(rows: DataFrame, lookup: DataFrame, on: Pairs) -> DataFrame:
     tasks as the pairs ask for, so equal rows part ways; Spark orders a split before
     dealing it, so a retried task deals alike.
     """
-    left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
-    of_key = drop_null(lookup, right_keys).groupBy(F.xxhash64(*right_keys).alias(_HASH)).agg(
-        F.count(F.lit(1)).alias("n_right")
-    )
-    if (of_key.agg(F.max("n_right")).first()[0] or 0) > 1:
+    if repeated:
+        left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
+        of_key = drop_null(lookup, right_keys).groupBy(F.xxhash64(*right_keys).alias(_HASH)).agg(
+            F.count(F.lit(1)).alias("n_right")
+        )
         asked = drop_null(rows, left_keys).select(F.xxhash64(*left_keys).alias(_HASH), F.spark_partition_id().alias("split"))
         pairs = asked.join(F.broadcast(of_key), _HASH).groupBy("split").agg(F.sum("n_right").alias("pairs"))
         most, total = pairs.agg(F.max("pairs"), F.sum("pairs")).first()
@@ -186,16 +217,33 @@ def _join_in_cells(
     spark = rows.sparkSession
 
     work = F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right")
-    total = counts.agg(F.sum(work)).first()[0] or 0.0
+    meets = (F.col("n_left") > 0) & (F.col("n_right") > 0)
+    matched = F.when(meets, F.col("n_left") + F.col("n_right"))
+    keys, share, total, least = counts.agg(
+        F.count(matched), F.sum(matched) / F.sum(F.col("n_left") + F.col("n_right")), F.sum(work), F.sum(F.when(meets, work))
+    ).first()
+    total = total or 0.0
+    only_matched = _key_filter(counts.where(meets).select(_HASH), keys) if (share or 0.0) < MOST_MATCHED else None
+    if not only_matched:
+        least = total
+    least = least or 0.0
     min_tasks = min_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(min_tasks, ceil(total / WORK_PER_TASK))
-    hot = _grid_shapes(counts.withColumn("fair_shares", work / F.lit(total / tasks))).toArrow() if total else None
+    tasks = max(min_tasks, ceil(least / WORK_PER_TASK))
+    # a filter of hashes lets some rows without a match pass: a hot key of those is still left out
+    fair = F.when(meets, F.lit(least / tasks)).otherwise(F.lit(total / tasks))
+    hot = _grid_shapes(counts.withColumn("fair_shares", work / fair)).toArrow() if total else None
 
     if hot is not None and hot.num_rows:
         # a dimension of the grid that no key uses is left out: a constant would be dropped
         # from the join condition and the two sides would no longer be partitioned alike
         used = [count for count in (_ROWS, _COLS) if max(hot.column(count).to_pylist()) > 1]
         shapes = F.broadcast(spark.createDataFrame(hot))
+        # the place in a file is known at the scan only
+        left = _with_identity(left) if _ROWS in used else left
+        right = _with_identity(right) if _COLS in used else right
+    if only_matched:
+        left, right = only_matched(left, left_keys), only_matched(right, right_keys)
+    if hot is not None and hot.num_rows:
         left = _to_cells(left, left_keys, shapes, "_left", _ROWS, used)
         right = _to_cells(right, right_keys, shapes, "_right", _COLS, used)
         on = [*on, *((f"_left{count}", f"_right{count}") for count in used)]
@@ -214,6 +262,43 @@ def _join_in_cells(
     return reduce(DataFrame.unionAll, map(joined, range(slices)))
 
 
+def _key_filter(hashes: DataFrame, count: int) -> Callable[[DataFrame, list[str]], DataFrame] | None:
+    """A function that keeps the rows whose key has one of ``hashes``; None if there are too
+    many of them for a broadcast to tell them from others.
+
+    Up to the broadcast limit the hashes themselves are looked up. Beyond it they become a
+    bitmap of 64 bits a hash, which lets one in 64 other rows pass, and more where the
+    limit leaves fewer bits, until most others would.
+    """
+    if count * HASH_BYTES <= BROADCAST_LIMIT:
+        few = F.broadcast(stage(hashes))
+        return lambda df, keys: df.join(few, F.xxhash64(*keys) == F.col(_HASH), "left_semi")
+    words = min(1 << (count - 1).bit_length(), BROADCAST_LIMIT // 16)
+    if count > words * 32:
+        return None
+    bits = (words * 64).bit_length() - 1
+
+    def place(of: Column) -> tuple[Column, Column, Column]:
+        spot = F.shiftrightunsigned(of, 64 - bits)
+        return F.shiftright(spot, 12), F.shiftright(spot, 6).bitwiseAND(63).cast("int"), spot.bitwiseAND(63).cast("int")
+
+    # 64 words of 64 bits to a row
+    row, word, bit = place(F.col(_HASH))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    found = hashes.groupBy(row.alias("row"), word.alias("word")).agg(F.bit_or(one).alias("bits"))
+    by_word = F.map_from_entries(F.collect_list(F.struct("word", "bits")))
+    dense = F.expr("transform(sequence(0, 63), w -> coalesce(by_word[w], 0L))")
+    rows = found.groupBy(F.col("row").alias(_FILTER_ROW)).agg(by_word.alias("by_word"))
+    bitmap = F.broadcast(stage(rows.select(_FILTER_ROW, dense.alias(_FILTER_BITS))))
+
+    def keep(df: DataFrame, keys: list[str]) -> DataFrame:
+        row, word, bit = place(F.xxhash64(*keys))
+        there = F.call_function("shiftrightunsigned", F.get(_FILTER_BITS, word), bit).bitwiseAND(1) == 1
+        return df.join(bitmap, row == F.col(_FILTER_ROW)).where(there).select(*df.columns)
+
+    return keep
+
+
 def _grid_shapes(counts: DataFrame) -> DataFrame:
     """Key hash and grid shape of each hot key: fewer rows of 16 bytes than there are tasks.
 
@@ -234,12 +319,10 @@ def _to_cells(
 ) -> DataFrame:
     """Give each row one coordinate in its ``own`` dimension, and a copy for each in the other.
 
-    The own coordinate hashes the row's place in its file: equal copies part ways, and
-    a retried task repeats its choice.
+    The own coordinate comes from a hash of the row's place in its file: equal copies part
+    ways, and a retried task repeats its choice.
     """
-    columns = df.columns
-    if own in used:
-        df = _with_identity(df)
+    columns = [c for c in df.columns if c != _IDENTITY]
     spread = F.col(_IDENTITY)
     marked = df.withColumn(_HASH, F.xxhash64(*keys)).join(shapes, _HASH, "left")
     marked = marked.where(F.coalesce(_ROWS, F.lit(1)) > 0)

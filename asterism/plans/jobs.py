@@ -11,7 +11,7 @@ from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS
 from asterism.operators.transforms import keep_equal
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import TITLE_ONLY, build_songplays
-from asterism.sources.json_tree import read_json_tree
+from asterism.sources.json_tree import dataset_path, read_json_tree
 from asterism.sources.schemas import (
     ARTISTS,
     CATALOGUE_DATASET,
@@ -30,6 +30,7 @@ from asterism.sources.schemas import (
 )
 from asterism.sources.staging import freed, staged
 from asterism.sources.tables import read_table, write_table
+from asterism.sources.versions import expire_versions
 
 
 def read_catalogue(
@@ -150,6 +151,12 @@ def load_star(
     return tables
 
 
+def expire_star(spark: SparkSession, output_root: str, song_keys: Mapping[str, str | Bucket], keep: int = 1) -> None:
+    """Free what all but the newest ``keep`` versions of the stored tables take."""
+    for table in star_tables(song_keys):
+        expire_versions(spark, dataset_path(output_root, table.name), keep)
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """Any ``n`` rows."""
     return df.limit(n)

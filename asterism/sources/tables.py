@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from asterism.operators.layout import rebalance
 from asterism.sources.json_tree import dataset_path
+from asterism.sources.versions import current_version, finish_version, next_version
 
 
 def write_table(
@@ -17,21 +18,32 @@ def write_table(
     keys: Sequence[str] = (),
     compact: bool = False,
 ) -> str:
-    """Replace the table ``name`` under ``root`` with ``df`` and return its path.
+    """Replace the table ``name`` under ``root`` with ``df`` and return the address of its files.
 
     ``keys`` become directory levels. ``compact`` adds one exchange that gathers
     each directory's rows into files of the advisory size, and splits a directory
     too large for one task. It is for rows that no earlier step has laid out, and
     never for rows with a surrogate key, which must not be shuffled again.
-    The overwrite is static whatever the session says: the whole table goes.
+
+    The rows go to a new version, which becomes the table when all of it is written: a
+    write that fails leaves the table as it was, and ``df`` may read the table itself.
+    The whole table is replaced whatever the session says of partitions.
+    ``expire_versions`` frees what earlier versions take.
     """
-    path = dataset_path(root, name)
+    spark = df.sparkSession
+    version = next_version(spark, dataset_path(root, name))
     rows = rebalance(df, keys) if keys and compact else df
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = rows.write.mode("errorifexists")
     if keys:
         writer = writer.partitionBy(*keys)
-    writer.parquet(path)
-    return path
+    writer.parquet(version)
+    finish_version(spark, version)
+    return version
+
+
+def table_path(spark: SparkSession, root: str, name: str) -> str:
+    """Address of the files that are the table ``name`` now."""
+    return current_version(spark, dataset_path(root, name))
 
 
 def read_table(
@@ -40,16 +52,23 @@ def read_table(
     name: str,
     schema: str | None = None,
     leaf_depth: int | None = None,
+    only: str | None = None,
 ) -> DataFrame:
-    """Read a table back.
+    """Read a table back, as it is now.
 
     By default the root is read, so directory keys are columns and prune the
     listing; with a schema an empty table gives no rows, not an error.
     ``leaf_depth`` reads the data files under that many directory levels by glob
-    instead, which loses the keys.
+    instead, which loses the keys. ``only`` is a glob of key directories, for
+    instance ``year_partition=2018`` or ``year_partition=2018/month_partition=1*``: no
+    other directory is listed, and the keys are columns.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    path = dataset_path(root, name)
+    path = table_path(spark, root, name)
+    if leaf_depth is not None and only is not None:
+        raise ValueError("either leaf_depth or only")
     if leaf_depth is not None:
         path = "/".join([path, *["*"] * leaf_depth, "*.parquet"])
+    elif only is not None:
+        reader, path = reader.option("basePath", path), dataset_path(path, only.strip("/"))
     return reader.parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import job
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from asterism.functions.keys import add_ordered_key, add_surrogate_key
 from asterism.functions.timeparts import CALENDAR, add_calendar, epoch_ms_to_timestamp
 from asterism.operators.transforms import copy_columns, distinct_rows, keep_equal, project, rename_columns
-from asterism.session import create_session, object_store_conf
+from asterism.session import COMMITTERS, create_session, object_store_conf
 from asterism.sources.staging import scratch_root, stage
 from workload.standins import epoch_ms
 
@@ -151,3 +152,23 @@ def test_session(spark):
         "spark.jars.packages": "group:artifact:1",
         "spark.hadoop.fs.s3a.aws.credentials.provider": "a.Provider",
     }
+
+
+@pytest.mark.parametrize("committer", COMMITTERS)
+def test_object_store_committers(committer):
+    conf = object_store_conf("group:artifact:1", "a.Provider", "org:cloud:2", committer)
+    assert conf["spark.jars.packages"] == "group:artifact:1,org:cloud:2"
+    assert conf["spark.hadoop.fs.s3a.committer.name"] == committer
+    assert conf["spark.hadoop.fs.s3a.committer.magic.enabled"] == ("true" if committer == "magic" else "false")
+    # both the protocol of the job and the committer of Parquet files bind to the store's
+    assert conf["spark.sql.sources.commitProtocolClass"].endswith("cloud.PathOutputCommitProtocol")
+    assert conf["spark.sql.parquet.output.committer.class"].endswith("cloud.BindingParquetOutputCommitter")
+    factory = conf["spark.hadoop.mapreduce.outputcommitter.factory.scheme.s3a"]
+    assert factory == "org.apache.hadoop.fs.s3a.commit.S3ACommitterFactory"
+
+
+def test_unknown_committers_are_refused():
+    with pytest.raises(ValueError):
+        object_store_conf("group:artifact:1", "a.Provider", "org:cloud:2", "file")
+    with pytest.raises(SystemExit):
+        job.main(["preview", "out", "--s3a-cloud-module", "org:cloud:2"])

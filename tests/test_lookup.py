@@ -181,6 +181,62 @@ def test_slices_give_the_same_rows(spark, most):
     assert collected(grid_join(ldf, rdf, [("a", "b")], 16, most)) == brute(left, right)
 
 
+def records_shuffled(node):
+    """Rows that each exchange of a plan has written, the largest first."""
+    found = []
+    if node.nodeName().startswith("Exchange"):
+        found.append(node.metrics().apply("shuffleRecordsWritten").value())
+    children = node.children()
+    return sorted(sum((records_shuffled(children.apply(i)) for i in range(children.size())), found), reverse=True)
+
+
+@pytest.mark.parametrize("bitmap", [False, True])
+@pytest.mark.parametrize("skewed", [False, True])
+def test_rows_without_a_match_are_not_shuffled(spark, root, monkeypatch, bitmap, skewed):
+    if bitmap:
+        monkeypatch.setattr(lookup_module, "HASH_BYTES", 1 << 40)
+    every = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")) if skewed else F.col("id")
+    spark.range(0, 400_000, 1, 8).select(every.alias("a"), F.col("id").alias("x")).write.parquet(root + "/rows")
+    rows = spark.read.parquet(root + "/rows")
+    lookup = spark.range(0, 40_000, 10, 4).select(F.col("id").alias("b"), F.lit("s").alias("s"))
+    want = rows.join(lookup, F.col("a") == F.col("b")).count()
+    assert want == (2666 if skewed else 4000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = grid_join(rows, lookup, [("a", "b")], min_tasks=16)
+        found = collected(joined)
+        assert found == collected(rows.join(lookup, F.col("a") == F.col("b")))
+        most = records_shuffled(joined._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # rows of the plays, then of the lookup
+    assert len(most) == 2
+    assert most[0] <= (4000 + 400_000 // 50 if bitmap else 4000)
+
+
+def test_a_key_filter_keeps_every_match(spark, monkeypatch):
+    monkeypatch.setattr(lookup_module, "HASH_BYTES", 1 << 40)
+    hashes = spark.range(0, 30_000, 1, 4).select(F.xxhash64("id").alias("_key_hash"))
+    keep = lookup_module._key_filter(hashes, 30_000)
+    kept = keep(spark.range(0, 300_000, 1, 4).withColumnRenamed("id", "row"), ["row"])
+    assert kept.columns == ["row"]
+    assert kept.where("row < 30000").count() == 30_000
+    assert kept.count() <= 30_000 + 270_000 * 0.02
+    # as full as the limit asks for, and none where it would let most rows pass
+    monkeypatch.setattr(lookup_module, "BROADCAST_LIMIT", 1 << 14)
+    kept = lookup_module._key_filter(hashes, 30_000)(spark.range(100_000).withColumnRenamed("id", "row"), ["row"])
+    assert kept.where("row < 30000").count() == 30_000
+    assert kept.count() < 80_000
+    assert lookup_module._key_filter(hashes, 40_000) is None
+
+
+def test_the_broadcast_way_measures_in_one_job(spark):
+    before = lookup_module._measured(spark.createDataFrame([("a", "x")] * 2, "b string, v string"), [("b", "b")])
+    assert before[1] and before[0] == 2 * (2 * (8 + 16 + 16) + 24 + 64)
+    assert not lookup_module._measured(spark.createDataFrame([("a",), (None,), (None,)], "b string"), [("b", "b")])[1]
+    assert lookup_module._measured(spark.range(0), [("id", "id")]) == (0.0, False)
+
+
 TABLES = {
     "short texts": ["concat('k', id)", "concat('x', id)", "concat('y', id)"],
     "long text": ["concat(repeat('k', 60), id)"],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 import fixture_data as fx
@@ -27,7 +28,7 @@ from asterism.sources.schemas import (
     SONG_KEYS_YEAR_TWICE,
 )
 from asterism.sources.staging import staged
-from asterism.sources.tables import read_table
+from asterism.sources.tables import read_table, table_path
 
 KEYS = SONG_KEYS_YEAR_TWICE
 
@@ -96,7 +97,7 @@ def test_preview(star):
 
 def test_directories_are_the_key_values(star):
     _, output, _ = star
-    found = {str(p.parent.relative_to(output)) for p in Path(output).glob("*/*=*/*=*/*.parquet")}
+    found = {re.sub("_versions/[^/]*/", "", str(p.parent.relative_to(output))) for p in Path(output).glob("*/*/*/*=*/*=*/*.parquet")}
     assert found == {
         "songs/year_partition=0/artist_id_partition=0",
         "songs/year_partition=2000/artist_id_partition=2000",
@@ -113,7 +114,7 @@ def test_artist_directories(spark, star, root):
     run_catalogue(spark, star[0], root, SONG_KEYS_YEAR_ARTIST)
     songs = load_star(spark, root, SONG_KEYS_YEAR_ARTIST, only=["songs"])["songs"]
     same(songs, [(*song, song[3], song[2]) for song in fx.SONGS])
-    assert (Path(root) / "songs/year_partition=2000/artist_id_partition=A1").is_dir()
+    assert (Path(table_path(spark, root, "songs")) / "year_partition=2000/artist_id_partition=A1").is_dir()
 
 
 @pytest.mark.parametrize(
@@ -159,7 +160,12 @@ def test_rerun_replaces(spark, star, root):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     same(load_star(spark, root, KEYS)["songplays"].drop("songplay_id"), fx.ALPHA_PLAYS * 2)
-    assert not list(Path(root).glob("songplays/year_partition=2019*"))
+    assert not list(Path(table_path(spark, root, "songplays")).glob("year_partition=2019*"))
+    # the first run's files stay until they are expired
+    assert list(Path(root).glob("songplays/*/*/year_partition=2019*"))
+    job.main(["expire", root])
+    assert not list(Path(root).glob("songplays/*/*/year_partition=2019*"))
+    same(load_star(spark, root, KEYS)["songplays"].drop("songplay_id"), fx.ALPHA_PLAYS * 2)
 
 
 def test_no_plays_gives_empty_tables(spark, star, root):
@@ -232,7 +238,7 @@ def test_null_key_has_a_directory(spark, root):
     write_song(root, "in/A/A/1.json", song_id="S1", title="T", artist_id="A")
     write_song(root, "in/A/A/2.json", song_id="S2", title="U", artist_id="A", year=1)
     run_catalogue(spark, root, root + "/out", KEYS)
-    assert Path(root, "out/songs/year_partition=__HIVE_DEFAULT_PARTITION__").is_dir()
+    assert Path(table_path(spark, root + "/out", "songs"), "year_partition=__HIVE_DEFAULT_PARTITION__").is_dir()
     songs = load_star(spark, root + "/out", KEYS, only=["songs"])["songs"]
     same(songs, [("S1", None), ("S2", 1)], "song_id", "year_partition")
 
