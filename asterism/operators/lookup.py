@@ -20,7 +20,7 @@ from functools import reduce
 from math import ceil
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,21 @@ _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 Pairs = Sequence[tuple[str, str]]
 
 
+class JoinFigures:
+    """How many rows of a ``lookup_join`` match nothing, once its result has been computed.
+
+    The number comes out of jobs that run anyway. Stages that are run again after a lost
+    executor may be counted again in it.
+    """
+
+    def __init__(self) -> None:
+        self.observation = Observation()
+        self.counted: int | None = None
+
+    def unmatched(self) -> int:
+        return int(self.observation.get["unmatched"]) if self.counted is None else self.counted
+
+
 def table_bytes(df: DataFrame) -> float:
     """Upper bound of the bytes all rows of ``df`` take as a hash table, but for its last page.
 
@@ -84,6 +99,7 @@ def lookup_join(
     broadcast_limit: int = BROADCAST_LIMIT,
     min_tasks: int | None = None,
     most_tasks: int = MOST_TASKS,
+    figures: JoinFigures | None = None,
 ) -> DataFrame:
     """Inner join on ``[(rows column, lookup column)]``, keeping both sides' columns.
 
@@ -93,23 +109,28 @@ def lookup_join(
     ``spark.sql.shuffle.partitions``); where that is above ``most_tasks`` it is done in
     several shuffles of that size, over slices of the keys and cells.
     Pass ``rows`` from a scan or a staged table: beyond the broadcast limit its keys
-    are read once more to count them.
+    are read once more to count them. ``figures`` learns how many rows match nothing.
     """
     _check(rows, lookup, on)
     size, repeated = _measured(lookup, on)
     if size <= broadcast_limit:
-        return _broadcast_join(rows, lookup, on, repeated)
+        return _broadcast_join(rows, lookup, on, repeated, figures)
     with staged(_count_keys(rows, lookup, on)) as counts:
         if size * _asked_share(counts) <= broadcast_limit:
             lookup = stage(_asked_for(lookup, on, counts))
             size, repeated = _measured(lookup, on)
             if size <= broadcast_limit:
-                return _broadcast_join(rows, lookup, on, repeated)
-        return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks)
+                return _broadcast_join(rows, lookup, on, repeated, figures)
+        return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks, figures)
 
 
 def grid_join(
-    rows: DataFrame, lookup: DataFrame, on: Pairs, min_tasks: int | None = None, most_tasks: int = MOST_TASKS
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: Pairs,
+    min_tasks: int | None = None,
+    most_tasks: int = MOST_TASKS,
+    figures: JoinFigures | None = None,
 ) -> DataFrame:
     """The shuffle join of ``lookup_join``, in which every hot key is spread over a grid of cells.
 
@@ -122,7 +143,7 @@ def grid_join(
     """
     _check(rows, lookup, on)
     with staged(_count_keys(rows, lookup, on)) as counts:
-        return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks)
+        return _join_in_cells(rows, lookup, on, counts, min_tasks, most_tasks, figures)
 
 
 def _measured(lookup: DataFrame, on: Pairs) -> tuple[float, bool]:
@@ -142,7 +163,9 @@ def _measured(lookup: DataFrame, on: Pairs) -> tuple[float, bool]:
     return size or 0.0, (most or 0) > 1
 
 
-def _broadcast_join(rows: DataFrame, lookup: DataFrame, on: Pairs, repeated: bool) -> DataFrame:
+def _broadcast_join(
+    rows: DataFrame, lookup: DataFrame, on: Pairs, repeated: bool, figures: JoinFigures | None
+) -> DataFrame:
     """Join with a lookup that fits a broadcast.
 
     If keys repeat in the lookup, the pairs that each split of the rows gives are
@@ -161,7 +184,12 @@ def _broadcast_join(rows: DataFrame, lookup: DataFrame, on: Pairs, repeated: boo
         if (most or 0) > WORK_PER_TASK:
             least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             rows = rows.repartition(max(least, ceil(total / WORK_PER_TASK)))
-    return rows.join(F.broadcast(lookup), _equal(on), "inner")
+    if figures is None:
+        return rows.join(F.broadcast(lookup), _equal(on), "inner")
+    # a row without a match comes out once, is counted and dropped
+    joined = rows.join(F.broadcast(lookup), _equal(on), "left")
+    found = F.col(on[0][1]).isNotNull()
+    return joined.observe(figures.observation, F.count(F.when(~found, 1)).alias("unmatched")).where(found)
 
 
 def _check(rows: DataFrame, lookup: DataFrame, on: Pairs) -> None:
@@ -180,14 +208,15 @@ def _equal(on: Pairs) -> Column:
 
 
 def _count_keys(rows: DataFrame, lookup: DataFrame, on: Pairs) -> DataFrame:
-    """Rows on each side per key hash, combined in the map tasks.
+    """Rows on each side per key hash, combined in the map tasks; those with a null key have no hash.
 
     Two keys that share a hash are counted and later placed together, which costs
     nothing: the join still compares keys.
     """
     sides = []
     for df, keys, name in ((rows, [k for k, _ in on], "n_left"), (lookup, [k for _, k in on], "n_right")):
-        counted = drop_null(df, keys).groupBy(F.xxhash64(*keys).alias(_HASH)).agg(F.count(F.lit(1)).alias(name))
+        whole = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+        counted = df.groupBy(F.when(whole, F.xxhash64(*keys)).alias(_HASH)).agg(F.count(F.lit(1)).alias(name))
         sides.append(counted.withColumn(name, F.col(name).cast("double")))
     return sides[0].join(sides[1], _HASH, "full").na.fill(0.0, ["n_left", "n_right"])
 
@@ -210,7 +239,13 @@ def _asked_for(lookup: DataFrame, on: Pairs, counts: DataFrame) -> DataFrame:
 
 
 def _join_in_cells(
-    rows: DataFrame, lookup: DataFrame, on: Pairs, counts: DataFrame, min_tasks: int | None, most_tasks: int
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: Pairs,
+    counts: DataFrame,
+    min_tasks: int | None,
+    most_tasks: int,
+    figures: JoinFigures | None,
 ) -> DataFrame:
     left_keys, right_keys = [left for left, _ in on], [right for _, right in on]
     left, right = drop_null(rows, left_keys), drop_null(lookup, right_keys)
@@ -219,10 +254,16 @@ def _join_in_cells(
     work = F.col("n_left") * F.col("n_right") + F.col("n_left") + F.col("n_right")
     meets = (F.col("n_left") > 0) & (F.col("n_right") > 0)
     matched = F.when(meets, F.col("n_left") + F.col("n_right"))
-    keys, share, total, least = counts.agg(
-        F.count(matched), F.sum(matched) / F.sum(F.col("n_left") + F.col("n_right")), F.sum(work), F.sum(F.when(meets, work))
+    keys, share, total, least, unmatched = counts.agg(
+        F.count(matched),
+        F.sum(matched) / F.sum(F.col("n_left") + F.col("n_right")),
+        F.sum(F.when(F.col(_HASH).isNotNull(), work)),
+        F.sum(F.when(meets, work)),
+        F.sum(F.when(~meets, F.col("n_left"))),
     ).first()
     total = total or 0.0
+    if figures is not None:
+        figures.counted = int(unmatched or 0)
     only_matched = _key_filter(counts.where(meets).select(_HASH), keys) if (share or 0.0) < MOST_MATCHED else None
     if not only_matched:
         least = total
@@ -231,7 +272,8 @@ def _join_in_cells(
     tasks = max(min_tasks, ceil(least / WORK_PER_TASK))
     # a filter of hashes lets some rows without a match pass: a hot key of those is still left out
     fair = F.when(meets, F.lit(least / tasks)).otherwise(F.lit(total / tasks))
-    hot = _grid_shapes(counts.withColumn("fair_shares", work / fair)).toArrow() if total else None
+    shares = counts.where(F.col(_HASH).isNotNull()).withColumn("fair_shares", work / fair)
+    hot = _grid_shapes(shares).toArrow() if total else None
 
     if hot is not None and hot.num_rows:
         # a dimension of the grid that no key uses is left out: a constant would be dropped

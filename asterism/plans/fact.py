@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from asterism.functions.keys import add_ordered_key, add_surrogate_key
 from asterism.operators.layout import rebalance
-from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, lookup_join
+from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, JoinFigures, lookup_join
 from asterism.operators.transforms import distinct_rows, project
 
 # Fact column -> column of the play or of the matched song.
@@ -39,6 +39,7 @@ def build_songplays(
     compact: bool = False,
     ordered_key: bool = False,
     most_tasks: int = MOST_TASKS,
+    figures: JoinFigures | None = None,
 ) -> DataFrame:
     """One row per play and matching song, with a surrogate key and month keys.
 
@@ -50,7 +51,8 @@ def build_songplays(
     which costs a shuffle of the plays, and of the matched rows. ``compact`` gathers
     each month for the write, before the key is added. With ``ordered_key`` the keys
     are 1, 2, 3 ... in the order of ORDER, the same in every run; the rows are then
-    laid out by time, so that needs no gathering.
+    laid out by time, so that needs no gathering. ``figures`` learns how many plays match
+    no song (of the distinct ones, where repeated rows are removed first).
     """
     song_columns = dict.fromkeys([*(right for _, right in on), *SONG_SIDE])
     play_columns = dict.fromkeys(
@@ -59,7 +61,7 @@ def build_songplays(
     plays, songs = plays.select(*play_columns), songs.select(*song_columns)
     if dedup_before_id:
         plays, songs = distinct_rows(plays), distinct_rows(songs)
-    matched = lookup_join(plays, songs, on, broadcast_limit, min_tasks, most_tasks)
+    matched = lookup_join(plays, songs, on, broadcast_limit, min_tasks, most_tasks, figures)
     rows = project(matched, PLAY_FIELDS)
     if dedup_before_id:
         rows = distinct_rows(rows)

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from asterism.functions.timeparts import epoch_ms_to_timestamp
-from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS
-from asterism.operators.transforms import keep_equal
+from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, JoinFigures
+from asterism.operators.transforms import drop_null, keep_equal
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import TITLE_ONLY, build_songplays
-from asterism.sources.json_tree import dataset_path, read_json_tree
+from asterism.sources.json_tree import BAD_LINE, dataset_path, read_json_tree, split_bad_lines
 from asterism.sources.schemas import (
     ARTISTS,
     CATALOGUE_DATASET,
@@ -32,19 +34,30 @@ from asterism.sources.staging import freed, staged
 from asterism.sources.tables import read_table, write_table
 from asterism.sources.versions import expire_versions
 
+# added to a dataset's name, the table of its lines that couldn't be read
+BAD_LINES = "_bad_lines"
+
 
 def read_catalogue(
-    spark: SparkSession, input_root: str, schema: str | None = CATALOGUE_SCHEMA, required: Sequence[str] = ()
+    spark: SparkSession,
+    input_root: str,
+    schema: str | None = CATALOGUE_SCHEMA,
+    required: Sequence[str] = (),
+    bad_lines: bool = False,
 ) -> DataFrame:
     """The song catalogue tree, without rows that have a null in a ``required`` column."""
-    return read_json_tree(spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH, schema, required)
+    return read_json_tree(spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH, schema, required, bad_lines)
 
 
 def read_log(
-    spark: SparkSession, input_root: str, schema: str | None = LOG_SCHEMA, required: Sequence[str] = ()
+    spark: SparkSession,
+    input_root: str,
+    schema: str | None = LOG_SCHEMA,
+    required: Sequence[str] = (),
+    bad_lines: bool = False,
 ) -> DataFrame:
     """The activity log tree, without rows that have a null in a ``required`` column."""
-    return read_json_tree(spark, input_root, LOG_DATASET, LOG_DEPTH, schema, required)
+    return read_json_tree(spark, input_root, LOG_DATASET, LOG_DEPTH, schema, required, bad_lines)
 
 
 def select_plays(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
@@ -60,16 +73,36 @@ def run_catalogue(
     song_keys: Mapping[str, str | Bucket],
     stage_inputs: bool = True,
     required: Sequence[str] = (),
-) -> None:
+    bad_lines: bool = False,
+) -> dict[str, int]:
     """Catalogue tree to the ``songs`` and ``artists`` tables.
 
     ``stage_inputs`` parses the JSON once into Parquet instead of once per table.
     Lines with a null in a ``required`` field, malformed ones among them, are dropped.
+    With ``bad_lines`` those that couldn't be read go to the table ``song_data_bad_lines``
+    instead. Returns how many ``lines`` there were, and how many of them were
+    ``incomplete``, lacking a required field, and ``bad``; no job is added for that.
     """
     songs = songs_table(song_keys)
-    with staged(read_catalogue(spark, input_root, required=required), stage_inputs) as catalogue:
+    seen = Observation()
+    lines = _watched(read_catalogue(spark, input_root, bad_lines=bad_lines), seen, required)
+    with staged(lines if bad_lines else drop_null(lines, required), stage_inputs or bad_lines) as catalogue:
+        if bad_lines:
+            catalogue, bad = split_bad_lines(catalogue)
+            write_table(bad, output_root, CATALOGUE_DATASET + BAD_LINES)
+            catalogue = drop_null(catalogue, required)
         write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys], compact=True)
         write_table(build_artists(catalogue), output_root, ARTISTS.name)
+    return dict(seen.get)
+
+
+def _watched(lines: DataFrame, seen: Observation, required: Sequence[str], **more: Column) -> DataFrame:
+    """``lines``, counted as they pass by."""
+    lacks = reduce(Column.__or__, (F.col(c).isNull() for c in required), F.lit(False))
+    counts = {"incomplete": lacks, **more}
+    if BAD_LINE in lines.columns:
+        counts["bad"] = F.col(BAD_LINE).isNotNull()
+    return lines.observe(seen, F.count(F.lit(1)).alias("lines"), *(F.count_if(c).alias(n) for n, c in counts.items()))
 
 
 def run_log(
@@ -86,7 +119,8 @@ def run_log(
     required: Sequence[str] = (),
     ordered_key: bool = False,
     most_tasks: int = MOST_TASKS,
-) -> None:
+    bad_lines: bool = False,
+) -> dict[str, int]:
     """Log tree and the stored ``songs`` to the ``users``, ``time`` and ``songplays`` tables.
 
     ``stage_inputs`` parses and filters the JSON once into Parquet instead of once per
@@ -94,11 +128,27 @@ def run_log(
     songs are broadcast and the log files are large and hold one month each.
     ``ordered_key`` numbers the fact in a fixed order instead of by layout, ``required``
     drops lines with a null in one of these fields, and ``most_tasks`` bounds the tasks
-    of one shuffle of the fact's join.
+    of one shuffle of the fact's join. ``bad_lines`` puts the lines that couldn't be read
+    into the table ``log_data_bad_lines``.
+
+    Returns how many ``lines`` there were, how many of them were ``incomplete``, ``bad``
+    and ``plays``, and how many plays were ``unmatched``: had no song, so no row in the fact. The figures
+    come out of the passes that run anyway.
     """
-    log = read_log(spark, input_root, required=required)
+    seen, figures = Observation(), JoinFigures()
+    lines = read_log(spark, input_root, bad_lines=bad_lines)
+    complete = reduce(Column.__and__, (F.col(c).isNotNull() for c in required), F.lit(True))
+    lines = _watched(lines, seen, required, plays=(F.col("page") == page) & complete)
     stored = songs_table(song_keys)
-    with freed(spark), staged(select_plays(log, page), stage_inputs) as plays:
+    if bad_lines:
+        wanted = lines.where((F.col("page") == page) | F.col(BAD_LINE).isNotNull())
+    else:
+        wanted = select_plays(drop_null(lines, required), page)
+    with freed(spark), staged(wanted, stage_inputs or bad_lines) as plays:
+        if bad_lines:
+            rows, bad = split_bad_lines(plays)
+            write_table(bad, output_root, LOG_DATASET + BAD_LINES)
+            plays = select_plays(drop_null(rows, required), page)
         write_table(build_users(plays), output_root, USERS.name)
         write_table(build_time(plays, compact=True), output_root, TIME.name, [*TIME.keys])
         songs = read_table(spark, output_root, stored.name, stored.schema)
@@ -111,8 +161,10 @@ def run_log(
             compact=compact_fact,
             ordered_key=ordered_key,
             most_tasks=most_tasks,
+            figures=figures,
         )
         write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys])
+    return {**seen.get, "unmatched": figures.unmatched()}
 
 
 def run_star(
@@ -123,13 +175,17 @@ def run_star(
     stage_inputs: bool = True,
     required_song: Sequence[str] = (),
     required_log: Sequence[str] = (),
+    bad_lines: bool = False,
     **log_options,
-) -> None:
-    """Both jobs in order; the log job needs the stored songs."""
-    run_catalogue(spark, input_root, output_root, song_keys, stage_inputs, required_song)
-    run_log(
-        spark, input_root, output_root, song_keys, stage_inputs=stage_inputs, required=required_log, **log_options
-    )
+) -> dict[str, dict[str, int]]:
+    """Both jobs in order; the log job needs the stored songs. Returns the figures of both."""
+    log_options |= {"stage_inputs": stage_inputs, "required": required_log, "bad_lines": bad_lines}
+    return {
+        CATALOGUE_DATASET: run_catalogue(
+            spark, input_root, output_root, song_keys, stage_inputs, required_song, bad_lines
+        ),
+        LOG_DATASET: run_log(spark, input_root, output_root, song_keys, **log_options),
+    }
 
 
 def load_star(

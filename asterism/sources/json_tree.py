@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from asterism.operators.transforms import drop_null
 
+# columns that a tree read with ``bad_lines`` has besides its fields
+BAD_LINE, BAD_FILE, BAD_BLOCK = "_bad_line", "_bad_file", "_bad_block"
+_BAD = (BAD_LINE, BAD_FILE, BAD_BLOCK)
+
 
 def dataset_path(root: str, name: str) -> str:
     """Address of a dataset below any Hadoop-readable root."""
@@ -22,6 +26,7 @@ def read_json_tree(
     depth: int | None,
     schema: str | None = None,
     required: Sequence[str] = (),
+    bad_lines: bool = False,
 ) -> DataFrame:
     """Read the ``*.json`` files lying exactly ``depth`` directories below a dataset.
 
@@ -31,10 +36,18 @@ def read_json_tree(
     level too high may add columns. Rows with a null in a ``required`` column are
     dropped.
 
+    With ``bad_lines`` no row is dropped, and each line that couldn't be read as it is,
+    wholly or in one value, also has its text, file and the start of its block in it, for
+    ``split_bad_lines``. Stage the result: Spark can't read such lines alone.
+
     The tree is listed by its lowest directories and not file by file. Their glob
     also matches files one level up, so the depth is checked by the file's path.
     """
+    if bad_lines and schema is not None:
+        schema = f"{schema}, {BAD_LINE} STRING"
     reader = (spark.read if schema is None else spark.read.schema(schema)).option("pathGlobFilter", "*.json")
+    if bad_lines:
+        reader = reader.option("columnNameOfCorruptRecord", BAD_LINE)
     base = dataset_path(root, dataset)
     if depth is None:
         rows = reader.option("recursiveFileLookup", True).json(base)
@@ -42,7 +55,38 @@ def read_json_tree(
         rows = reader.json("/".join([base, *["*"] * depth]))
         path = rows.metadataColumn("_metadata")["file_path"]
         rows = rows.where(_names(path) == _depth(spark, base) + depth + 1)
-    return drop_null(rows, required)
+    return _with_places(rows) if bad_lines else drop_null(rows, required)
+
+
+def _with_places(rows: DataFrame) -> DataFrame:
+    """``rows`` with the place of each bad line. A schema that was inferred has no column for
+    them if there were none."""
+    place = rows.metadataColumn("_metadata")
+    if BAD_LINE not in rows.columns:
+        rows = rows.withColumn(BAD_LINE, F.lit(None).cast("string"))
+    bad = F.col(BAD_LINE).isNotNull()
+    return rows.withColumns(
+        {BAD_FILE: F.when(bad, place["file_path"]), BAD_BLOCK: F.when(bad, place["file_block_start"])}
+    )
+
+
+def unreadable(df: DataFrame) -> Column:
+    """Whether a line of a tree read with ``bad_lines`` has no value at all."""
+    fields = [F.col(c) for c in df.columns if c not in _BAD]
+    return F.col(BAD_LINE).isNotNull() & F.coalesce(*(f.cast("string") for f in fields)).isNull()
+
+
+def split_bad_lines(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of a staged tree read with ``bad_lines``, and its bad lines.
+
+    The second holds line, file, block and whether the line is a row too, with null for the
+    value that couldn't be read. So the rows, and the bad lines that are none, are all lines.
+    """
+    gone = unreadable(df)
+    bad = df.where(F.col(BAD_LINE).isNotNull()).select(
+        F.col(BAD_LINE).alias("line"), F.col(BAD_FILE).alias("file"), F.col(BAD_BLOCK).alias("block"), (~gone).alias("kept")
+    )
+    return df.where(~gone).drop(*_BAD), bad
 
 
 def _names(path: Column) -> Column:

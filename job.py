@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
 
 from asterism import (
@@ -45,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--dedup-before-id", action="store_true", help="drop repeated fact rows")
     build.add_argument("--drop-null-keys", action="store_true", help="drop lines without song_id, userId or ts")
     build.add_argument("--ordered-key", action="store_true", help="number the fact in a fixed order")
+    build.add_argument("--bad-lines", action="store_true", help="keep lines that can't be read in tables of their own")
     show = commands.add_parser("preview", parents=[common], help="a few rows of each stored table")
     show.add_argument("output_root")
     show.add_argument("--rows", type=int, default=10)
@@ -66,10 +68,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = create_session(conf=conf)
     song_keys = SONG_FOLDERS[args.song_folders]
     if args.command == "build":
-        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "ordered_key": args.ordered_key}
+        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "ordered_key": args.ordered_key, "bad_lines": args.bad_lines}
         if args.drop_null_keys:
             options |= REQUIRED
-        run_star(spark, args.input_root, args.output_root, song_keys, **options)
+        print(json.dumps(run_star(spark, args.input_root, args.output_root, song_keys, **options)))
     elif args.command == "expire":
         expire_star(spark, args.output_root, song_keys, args.keep)
     else:
