@@ -14,14 +14,19 @@ n-grams. Sets are kept as 64-bit hashes of the n-grams.
    boundary is where the number of pairs passes what the scan of the lists would cost;
    sets just below it have keys of both kinds, to meet those above.
 4. The sets with a common key are a group; groups with the same smallest member are
-   one. A group above CELL members is cut into cells of pairs of its chunks, so a task never
-   has more than two chunks. Within a cell sets are compared by parity bitmaps: the
+   one. A group above CELL members is first cut into cells of one chunk each, all with the same
+   HUBS members besides, through which the near copies of all chunks connect. What is then
+   apart from the group's largest component meets, in cells of two chunks, each other
+   and that component, where sizes allow a link: so the rows of the cells grow
+   with the group, and with its square only as far as its sets are really apart. A task
+   never has more than two chunks. Within a cell sets are compared by parity bitmaps: the
    number of different bits never exceeds the number of different n-grams, so a pair
    that has too many has no link. Clear links give a spanning forest: what is found
    is not compared again, so near copies cost about a comparison each, and not one for
    each pair. Each set that is still apart from others it may link to, within what a
    bitmap can tell, adds the nearest ALTERNATIVES of each part of the cell.
-5. These possible links are checked on whole sets. A cell that loses one is done again
+5. These possible links are checked on whole sets, which are made from the texts once, for
+   the members of groups, however often cells are done again. A cell that loses one is done again
    without it, knowing the components found; when none is lost, any two sets of a cell
    are either connected or known to have no link.
 6. Components by alternating stars, on links of ids only.
@@ -32,16 +37,17 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from math import ceil, sqrt
+from math import ceil, log, sqrt
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from asterism.llm.common import in_parts, small, to_arrow
 from asterism.llm.spans import MULTIPLIERS, PIECE, mix, span_hashes
+from asterism.operators.lookup import BROADCAST_LIMIT
 from asterism.sources.staging import stage
 
 NGRAM, PERCENT = 3, 90
@@ -49,14 +55,16 @@ NGRAM, PERCENT = 3, 90
 COUNTERS, BLOCKS = 1 << 22, 16
 # members of a chunk of a group
 CELL = 1024
+# members that all chunks of a group have, about
+HUBS = 32
 # uncertain links to each part of a cell that a set adds at once
 ALTERNATIVES = 8
 # beginnings of more n-grams than this have no pairs
 MOST_LIGHT = 64
 # edges that one task reduces to stars
 EDGES = 500_000
-# bits of the filter for rows of a set of documents
-SPOTS = 1 << 24
+# bits of the filter for some of the documents: so many for each, in all as many as a broadcast may have
+SPOTS_EACH = 16
 
 NODE = (
     "doc_id long, m1 long, m2 long, n int, digest binary, start array<long>, bitmap binary, scan double"
@@ -308,16 +316,74 @@ def _groups(entries: DataFrame) -> DataFrame:
     return stage(entries.join(shared, "key").select("anchor", "cid", "n").distinct())
 
 
-def _cells(groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """(anchor, i, j, cid, n, bitmap): the members of each cell of chunks i and j of a group."""
-    many = groups.groupBy("anchor").count().where(F.col("count") > CELL)
-    many = small(many.select("anchor", F.ceil(F.col("count") / CELL).cast("int").alias("chunks")))
-    joined = groups.join(many, "anchor", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    joined = joined.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
-    joined = joined.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    members = joined.select(
-        "anchor", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "cid", "n"
+def _large(groups: DataFrame) -> DataFrame:
+    """(anchor, members) of the groups above CELL members."""
+    return stage(groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CELL))
+
+
+def _first_cells(groups: DataFrame, large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(anchor, i, j, cid, n, bitmap): small groups whole, large ones by chunks with the hubs in each."""
+    joined = groups.join(small(large), "anchor", "left")
+    chunks = F.coalesce(F.ceil(F.col("members") / CELL), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("cid"), chunks).cast("int")
+    hub = F.pmod(F.xxhash64(F.lit("hub"), "cid"), F.ceil(F.col("members") / HUBS)) == 0
+    every = F.when(F.coalesce(hub, F.lit(False)), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(own))
+    members = joined.withColumn("i", F.explode(every)).select("anchor", "i", F.col("i").alias("j"), "cid", "n")
+    return _with_bitmaps(members, classes)
+
+
+def _further_cells(
+    groups: DataFrame, large: DataFrame, classes: DataFrame, found: DataFrame, percent: int
+) -> DataFrame | None:
+    """The cells that large groups still need, given the components that were ``found``.
+
+    Of a group, the members that aren't in its largest component are its rest. Blocks of
+    rest and other members, of sizes between two powers of the least ratio that a link
+    allows, meet if one of them is of the rest and their powers are the same or
+    neighbours. None if no group has a rest.
+    """
+    members = groups.join(small(large.select("anchor")), "anchor").join(found, "cid", "left")
+    members = stage(members.withColumn("component", F.coalesce("component", "cid")))
+    sizes = members.groupBy("anchor", "component").agg(F.count(F.lit(1)).alias("rows"))
+    main = sizes.groupBy("anchor").agg(
+        F.max(F.struct("rows", "component")).alias("main"), F.count(F.lit(1)).alias("components")
+    )
+    main = stage(main.where("components > 1").select("anchor", "main.component").withColumnRenamed("component", "main"))
+    if not main.take(1):
+        return None
+    # a little above the ratio, so that rounding can't put two sizes too far apart
+    unit = max(log(100 / percent), 1e-6) * (1 + 1e-9)
+    power = F.floor(F.log(F.col("n").cast("double")) / unit).cast("int")
+    members = members.join(small(main), "anchor").withColumns({"rest": F.col("component") != F.col("main"), "power": power})
+    kinds = ["anchor", "rest", "power"]
+    counts = members.groupBy(*kinds).agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("chunks"))
+    before = Window.partitionBy("anchor").orderBy("rest", "power")  # a few hundred rows at most
+    blocks = stage(counts.withColumn("first", (F.sum("chunks").over(before) - F.col("chunks")).cast("int")))
+    mine, theirs = blocks.alias("mine"), blocks.alias("theirs")
+    near = (F.col("mine.anchor") == F.col("theirs.anchor")) & (F.abs(F.col("mine.power") - F.col("theirs.power")) <= 1)
+    first, last = F.col("theirs.first"), F.col("theirs.first") + F.col("theirs.chunks") - 1
+    of_rest = F.col("theirs.rest")
+    ranges = (
+        mine.join(theirs, near)
+        .groupBy(*(F.col(f"mine.{c}").alias(c) for c in [*kinds, "first", "chunks"]))
+        .agg(
+            F.min(F.when(of_rest, first)).alias("rest_first"),
+            F.max(F.when(of_rest, last)).alias("rest_last"),
+            F.min(F.when(~of_rest, first)).alias("main_first"),
+            F.max(F.when(~of_rest, last)).alias("main_last"),
+        )
     )
+    none = F.expr("cast(array() as array<int>)")
+    with_rest = F.when(F.col("rest_first").isNotNull(), F.sequence("rest_first", "rest_last")).otherwise(none)
+    with_main = F.when(F.col("rest") & F.col("main_first").isNotNull(), F.sequence("main_first", "main_last")).otherwise(none)
+    block = F.col("first") + F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int")
+    met = members.join(small(ranges), kinds).withColumn("block", block)
+    met = met.withColumn("other", F.explode(F.concat(with_rest, with_main)))
+    rows = met.select("anchor", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cid", "n")
+    return _with_bitmaps(rows, classes)
+
+
+def _with_bitmaps(members: DataFrame, classes: DataFrame) -> DataFrame:
     return stage(members.join(classes.select("cid", "bitmap"), "cid").select(*CELL_KEY, "cid", "n", "bitmap"))
 
 
@@ -417,7 +483,7 @@ class _Cell:
         return edges
 
 
-def _forests(cells: DataFrame, percent: int) -> DataFrame:
+def _forests(cells: DataFrame, percent: int, tasks: int) -> DataFrame:
     """EDGE rows for rows of cells with ``component`` and, for lost edges, ``lost``."""
     arrow = to_arrow(cells.sparkSession, EDGE)
 
@@ -455,7 +521,8 @@ def _forests(cells: DataFrame, percent: int) -> DataFrame:
         if held:
             yield _batch(solve(pa.concat_tables(held)), arrow)
 
-    dealt = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY, "cid")
+    # with a number: adaptive execution would merge cells, which are small but take long
+    dealt = cells.repartition(tasks, *CELL_KEY).sortWithinPartitions(*CELL_KEY, "cid")
     return dealt.mapInArrow(run, EDGE)
 
 
@@ -470,9 +537,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def _maybe_among(docs: DataFrame, some: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs`` (m1 and others) in two parts: those whose m1 may be in ``some``, and the rest.
 
-    A bitmap of SPOTS bits stands for ``some``; it says yes too often, never no.
+    A bitmap sized by the rows of ``some``, which is staged, stands for it; it says yes too
+    often, never no. If too many for the bitmap that may be broadcast, all are in the first part.
     """
-    spot = F.pmod(F.col("m1"), F.lit(SPOTS)) + 1
+    spots = 1 << 15
+    count = some.count()
+    while spots < SPOTS_EACH * count and spots < 4 * BROADCAST_LIMIT:
+        spots *= 2
+    if count > spots // 2:
+        return docs, docs.limit(0)
+    spot = F.pmod(F.col("m1"), F.lit(spots)) + 1
     bits = some.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits")
     )
@@ -504,24 +578,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
     return made.join(wanted, ["m1", "m2"]).select("cid", "set")
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, ngram: int) -> DataFrame:
-    """(a, b, ok) for pairs (a, b), by their whole sets."""
-    spark = docs.sparkSession
+def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, ok) for pairs (a, b), by their whole sets (cid, set)."""
     schema = "a long, b long, ok boolean"
-    arrow = to_arrow(spark, schema)
+    arrow = to_arrow(pairs.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches):
-            sets = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
-            ok = [links(*(np.frombuffer(s, np.uint64) for s in both), percent) for both in sets]
+            both = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
+            ok = [links(*(np.frombuffer(s, np.uint64) for s in pair), percent) for pair in both]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], schema=arrow)
 
-    marks = classes.select("cid", F.col("one.m1").alias("m1"), F.col("one.m2").alias("m2"))
     with_sets = pairs
     for side in ("a", "b"):
-        wanted = stage(marks.join(pairs.select(F.col(side).alias("cid")).distinct(), "cid"))
-        sets = _sets(docs, wanted, ngram).select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}"))
-        with_sets = with_sets.join(sets, side)
+        with_sets = with_sets.join(sets.select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}")), side)
     return stage(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(run, schema).distinct())
 
 
@@ -616,27 +686,45 @@ def _lost(edges: DataFrame, known: DataFrame) -> DataFrame:
 
 def _class_components(docs: DataFrame, classes: DataFrame, percent: int, ngram: int) -> DataFrame:
     """(cid, component) for the classes that link to another one."""
-    entries = _entries(classes, _boundary(classes), percent)
-    cells = _cells(_groups(entries), classes)
+    groups = _groups(_entries(classes, _boundary(classes), percent))
+    marks = classes.select("cid", F.col("one.m1").alias("m1"), F.col("one.m2").alias("m2"))
+    wanted = stage(marks.join(groups.select("cid").distinct(), "cid", "left_semi"))
+    sets = stage(_sets(docs, wanted, ngram))
+    large = _large(groups)
+    found = _linked(_first_cells(groups, large, classes), sets, None, percent)
+    further = _further_cells(groups, large, classes, found, percent) if large.take(1) else None
+    return found if further is None else _linked(further, sets, found, percent)
+
+
+def _linked(cells: DataFrame, sets: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
+    """(cid, component) from the links within cells and the components ``found`` before."""
+    usual = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(usual, ceil(cells.count() / (2 * CELL)))
     no_loss = F.lit(None).cast("long").alias("lost")
-    new = stage(_forests(cells.select("*", F.col("cid").alias("component"), no_loss), percent))
-    edges, pairs, known, found = new, _pairs_of(new).drop("_a", "_b"), None, None
+
+    def with_components(members: DataFrame) -> DataFrame:
+        if found is None:
+            return members.select("*", F.col("cid").alias("component"), no_loss)
+        joined = members.join(found, "cid", "left")
+        return joined.withColumn("component", F.coalesce("component", "cid")).select("*", no_loss)
+
+    columns = [*CELL_KEY, "cid", "n", "bitmap", "component", "lost"]
+    new = stage(_forests(with_components(cells).select(*columns), percent, tasks))
+    edges, pairs, known = new, _pairs_of(new).drop("_a", "_b"), None
     while True:
-        checked = _checked(stage(pairs), docs, classes, percent, ngram)
+        checked = _checked(stage(pairs), sets, percent)
         known = checked if known is None else known.unionAll(checked)
         joined = checked.where("ok").select("a", "b")
         found = stage(components(joined if found is None else joined.unionAll(found)))
         active = stage(_lost(new, known).select(*CELL_KEY).distinct())
         if not active.take(1):
             return found
-        members = cells.join(active, CELL_KEY).join(found, "cid", "left")
-        members = members.withColumns({"component": F.coalesce("component", "cid"), "lost": F.lit(None).cast("long")})
+        members = with_components(cells.join(active, CELL_KEY))
         gone = _lost(edges.join(active, CELL_KEY, "left_semi"), known).distinct().withColumnRenamed("a", "cid")
         gone = gone.withColumns(
             {"n": F.lit(0), "bitmap": F.lit(b""), "component": F.lit(0).cast("long"), "lost": F.col("b")}
         )
-        columns = [*CELL_KEY, "cid", "n", "bitmap", "component", "lost"]
-        new = stage(_forests(members.select(*columns).unionAll(gone.select(*columns)), percent))
+        new = stage(_forests(members.select(*columns).unionAll(gone.select(*columns)), percent, tasks))
         edges = edges.unionAll(new)
         seen = known.select(F.greatest("a", "b").alias("_a"), F.least("a", "b").alias("_b"))
         pairs = _pairs_of(new).join(seen, ["_a", "_b"], "left_anti").drop("_a", "_b")
@@ -701,7 +789,7 @@ def distinct_documents(docs: DataFrame, percent: int = PERCENT, ngram: int = NGR
     marks = stage(judged.groupBy("m1", "m2").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("rows")))
     dropped, repeated = marks.where("not first"), marks.where("first and rows > 1")
     rows = _marked(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).select("row", "m1", "m2")
-    some, kept = _maybe_among(rows, marks.where("not first or rows > 1"))
+    some, kept = _maybe_among(rows, stage(marks.where("not first or rows > 1")))
     some = some.join(dropped.select("m1", "m2"), ["m1", "m2"], "left_anti")
     once = some.join(repeated.select("m1", "m2"), ["m1", "m2"], "left_semi").dropDuplicates(["m1", "m2"])
     others = some.join(repeated.select("m1", "m2"), ["m1", "m2"], "left_anti")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from asterism.llm import jaccard_join as J
 
@@ -60,14 +61,81 @@ def planted(seed):
     return [*enumerate(texts)]
 
 
-@pytest.mark.parametrize("cell", [1024, 8])
-def test_components_against_brute_force(documents, monkeypatch, cell):
+@pytest.mark.parametrize("cell, hubs", [(1024, 32), (8, 3), (8, 1 << 40), (3, 1)])
+def test_components_against_brute_force(documents, monkeypatch, cell, hubs):
     monkeypatch.setattr(J, "CELL", cell)
+    monkeypatch.setattr(J, "HUBS", hubs)
     rows = planted(1)
     got = J.jaccard_components(documents(rows).repartition(4)).collect()
     assert sorted(map(tuple, got), key=repr) == brute_force(rows)
 
 
+def test_texts_are_read_as_often_however_many_rounds(documents, monkeypatch):
+    """Two groups of near copies that just don't link: with few alternatives at once more
+    links are lost one after the other, in more rounds, which read no text."""
+    rng = random.Random(4)
+    one = [f"w{i}" for i in range(662)]
+    other = [f"x{w}" if i % 54 == 30 and i < 600 else w for i, w in enumerate(one)]
+    rows = [
+        (i, " ".join(f"y{i}" if k == 640 else w for k, w in enumerate(base)))
+        for i, base in enumerate([one, other] * 20)
+    ]
+    rng.shuffle(rows)
+    assert len({row[2] for row in brute_force(rows)}) == 2
+    made, rounds = [], []
+    sets, checked = J._sets, J._checked
+    monkeypatch.setattr(J, "_sets", lambda *a: made.append(1) or sets(*a))
+    monkeypatch.setattr(J, "_checked", lambda *a: rounds.append(1) or checked(*a))
+    counts = []
+    monkeypatch.setattr(J, "ALTERNATIVES", 1)
+    for table in ([(1, " ".join(one)), (2, " ".join(one[1:])), (3, "other")], rows):
+        made.clear(), rounds.clear()
+        assert sorted(map(tuple, J.jaccard_components(documents(table)).collect()), key=repr) == brute_force(table)
+        assert len(made) == 1
+        counts.append(len(rounds))
+    assert counts[0] == 1 and counts[1] >= 4
+
+
+def test_cells_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    """All connected through the hubs: no cells of two chunks are needed."""
+    for members in (2000, 8000):
+        groups = spark.range(members).select(F.lit(0).cast("long").alias("anchor"), F.col("id").alias("cid"), F.lit(100).alias("n"))
+        classes = groups.select("cid", F.lit(b"x" * 8).alias("bitmap"))
+        monkeypatch.setattr(J, "CELL", 100)
+        large = J._large(groups)
+        first = J._first_cells(groups, large, classes).count()
+        assert members < first < members + 2 * J.HUBS * members / 100
+        one = groups.select("cid", F.lit(0).cast("long").alias("component"))
+        assert J._further_cells(groups, large, classes, one, 90) is None
+        # a few that stand apart meet each other and all the others, once
+        apart = one.where("cid % 200 != 7")
+        further = J._further_cells(groups, large, classes, apart, 90)
+        # its largest component once, and the others with each chunk of it
+        assert further.count() <= members + (members // 200) * (members // 100 + 2)
+        # others are too small or too large for a link with them
+        sizes = groups.withColumn("n", F.when(F.col("cid") % 200 == 7, 100).otherwise(F.lit(50)))
+        assert J._further_cells(sizes, large, classes, apart, 90).count() == members // 200
+
+
+@given(st.integers(1, 100_000), st.integers(50, 100))
+@settings(max_examples=300, deadline=None)
+def test_sizes_that_can_link_are_in_neighbouring_powers(n, percent):
+    least = -(-percent * n // 100)
+    unit = max(np.log(100 / percent), 1e-6) * (1 + 1e-9)
+    assert np.floor(np.log(n) / unit) - np.floor(np.log(least) / unit) <= 1
+
+
+def test_filter_of_documents(spark, monkeypatch):
+    docs = spark.range(20_000).select("id", F.xxhash64("id").alias("m1"))
+    some = docs.where("id % 20 = 0").select("m1")
+    found, rest = J._maybe_among(docs, some)
+    assert found.where("id % 20 = 0").count() == 1000 and found.count() < 3000
+    assert found.count() + rest.count() == 20_000
+    monkeypatch.setattr(J, "BROADCAST_LIMIT", 100)
+    found, rest = J._maybe_among(docs, docs)  # too many for a bitmap
+    assert found.count() == 20_000 and rest.count() == 0
+
+
 def test_odd_rows(messy):
     rows = [(r["doc_id"], r["text"]) for r in messy.collect()]
     got = J.jaccard_components(messy).collect()
@@ -91,17 +159,6 @@ def test_pieces_of_long_texts_make_no_difference(monkeypatch):
     assert (J.ngram_set(text) == want).all()
 
 
-@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60))
-@settings(max_examples=100, deadline=None)
-def test_bitmaps_never_hide_a_link(common, only_a, only_b):
-    rng = np.random.default_rng([common, only_a, only_b])
-    values = np.unique(rng.integers(0, 1 << 63, common + only_a + only_b, np.uint64))
-    a, b = np.sort(values[: common + only_a]), np.sort(np.concatenate([values[:common], values[common + only_a :]]))
-    cell = J._Cell(np.array([1, 2]), np.array([len(a), len(b)]), [J.parity_bitmap(x).tobytes() for x in (a, b)], 90)
-    possible = len(cell.possible(0, np.array([1])))
-    assert possible or not J.links(a, b)
-
-
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.sampled_from([80, 90]))
 @settings(max_examples=100, deadline=None)
 def test_a_link_is_among_the_possible_ones(common, only_a, only_b, percent):
