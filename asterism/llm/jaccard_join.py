@@ -25,8 +25,10 @@ n-grams. Sets are kept as 64-bit hashes of the n-grams.
    is not compared again, so near copies cost about a comparison each, and not one for
    each pair. Each set that is still apart from others it may link to, within what a
    bitmap can tell, adds the nearest ALTERNATIVES of each part of the cell.
-5. These possible links are checked on whole sets, which are made from the texts once, for
-   the members of groups, however often cells are done again. A cell that loses one is done again
+5. These possible links are checked on whole sets. Those of all members that may link to
+   any other by their bitmaps are made from the texts beforehand, so cells are done again
+   without reading a text: the texts are read once for the first cells, and once for
+   those of two chunks if there are any. A cell that loses one is done again
    without it, knowing the components found; when none is lost, any two sets of a cell
    are either connected or known to have no link.
 6. Components by alternating stars, on links of ids only.
@@ -36,7 +38,8 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from math import ceil, log, sqrt
 
 import numpy as np
@@ -435,11 +438,17 @@ class _Cell:
         there = different <= most
         return among[there], (different + slack - most)[there]
 
-    def forest(self, component: np.ndarray, lost: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    def forest(self, component: np.ndarray, lost: set[tuple[int, int]]) -> tuple[list[tuple[int, int]], np.ndarray]:
         """Edges (member, found from): clear links that connect what they can, given the
-        components that are known, and uncertain ones between what is then apart."""
+        components that are known, and uncertain ones between what is then apart.
+
+        Then all members that may be in an edge, now or when some edges are lost: of two
+        that may link, the one that is visited first finds the other, or both came into one
+        tree by edges or as members of known components.
+        """
         edges: list[tuple[int, int]] = []
         cids = self.cids
+        seen = np.zeros(len(cids), bool)
         order = np.argsort(cids, kind="stable")
 
         def near(x: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -448,6 +457,8 @@ class _Cell:
                 mine = int(cids[x])
                 new = np.array([(min(mine, o), max(mine, o)) not in lost for o in cids[found].tolist()])
                 found, doubt = found[new], doubt[new]
+            seen[x] |= len(found) > 0
+            seen[found] = True
             return found, doubt
 
         left, cluster = order, np.full(len(cids), -1)
@@ -480,11 +491,16 @@ class _Cell:
             first = np.searchsorted(of[by_cluster], of[by_cluster])
             nearest = found[by_cluster[np.arange(len(found)) - first < ALTERNATIVES]]
             edges += [(int(cids[y]), int(cids[x])) for y in nearest.tolist()]
-        return edges
+        if known:
+            seen |= np.isin(component, component[seen])
+        return edges, cids[seen]
+
 
+def _forests(cells: DataFrame, percent: int, tasks: int, mark: bool) -> DataFrame:
+    """EDGE rows for rows of cells with ``component`` and, for lost edges, ``lost``.
 
-def _forests(cells: DataFrame, percent: int, tasks: int) -> DataFrame:
-    """EDGE rows for rows of cells with ``component`` and, for lost edges, ``lost``."""
+    To ``mark`` gives an edge from each member that may be in one to itself besides.
+    """
     arrow = to_arrow(cells.sparkSession, EDGE)
 
     def solve(rows: pa.Table) -> list[tuple]:
@@ -495,7 +511,9 @@ def _forests(cells: DataFrame, percent: int, tasks: int) -> DataFrame:
         bitmaps = [b for b, m in zip(rows.column("bitmap").to_pylist(), members) if m]
         cell = _Cell(cids[members], rows.column("n").to_numpy()[members], bitmaps, percent)
         at = [rows.column(name)[0].as_py() for name in CELL_KEY]
-        return [(*at, a, b) for a, b in cell.forest(rows.column("component").to_numpy()[members], lost)]
+        edges, seen = cell.forest(rows.column("component").to_numpy()[members], lost)
+        marks = [(a, a) for a in seen.tolist()] if mark else []
+        return [(*at, a, b) for a, b in edges + marks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -575,7 +593,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
 
     some, _ = _maybe_among(_marked(docs.select("doc_id", "text")), wanted)
     made = some.select("m1", "m2", "text").mapInArrow(run, schema)
-    return made.join(wanted, ["m1", "m2"]).select("cid", "set")
+    # repeated rows have the same set
+    return made.join(small(wanted), ["m1", "m2"]).select("cid", "set").dropDuplicates(["cid"])
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -589,10 +608,15 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = [links(*(np.frombuffer(s, np.uint64) for s in pair), percent) for pair in both]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], schema=arrow)
 
+    ends = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select("b")).distinct()
+    sets = sets.join(small(ends), "cid", "left_semi")
     with_sets = pairs
     for side in ("a", "b"):
         with_sets = with_sets.join(sets.select(F.col("cid").alias(side), F.col("set").alias(f"set_{side}")), side)
-    return stage(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(run, schema).distinct())
+    checked = stage(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(run, schema).distinct())
+    if checked.count() != pairs.count():
+        raise RuntimeError("a set that a link is checked with was not made")
+    return checked
 
 
 # -- components -------------------------------------------------------------------------
@@ -688,15 +712,24 @@ def _class_components(docs: DataFrame, classes: DataFrame, percent: int, ngram:
     """(cid, component) for the classes that link to another one."""
     groups = _groups(_entries(classes, _boundary(classes), percent))
     marks = classes.select("cid", F.col("one.m1").alias("m1"), F.col("one.m2").alias("m2"))
-    wanted = stage(marks.join(groups.select("cid").distinct(), "cid", "left_semi"))
-    sets = stage(_sets(docs, wanted, ngram))
+    parts: list[DataFrame] = []
+
+    def sets_of(cids: DataFrame) -> DataFrame:
+        """(cid, set) of these classes at least; each is made once."""
+        for made in parts:
+            cids = cids.join(made.select("cid"), "cid", "left_anti")
+        parts.append(stage(_sets(docs, stage(marks.join(cids, "cid", "left_semi")), ngram)))
+        return reduce(DataFrame.unionAll, parts)
+
     large = _large(groups)
-    found = _linked(_first_cells(groups, large, classes), sets, None, percent)
+    found = _linked(_first_cells(groups, large, classes), sets_of, None, percent)
     further = _further_cells(groups, large, classes, found, percent) if large.take(1) else None
-    return found if further is None else _linked(further, sets, found, percent)
+    return found if further is None else _linked(further, sets_of, found, percent)
 
 
-def _linked(cells: DataFrame, sets: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
+def _linked(
+    cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame], found: DataFrame | None, percent: int
+) -> DataFrame:
     """(cid, component) from the links within cells and the components ``found`` before."""
     usual = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(usual, ceil(cells.count() / (2 * CELL)))
@@ -709,7 +742,9 @@ def _linked(cells: DataFrame, sets: DataFrame, found: DataFrame | None, percent:
         return joined.withColumn("component", F.coalesce("component", "cid")).select("*", no_loss)
 
     columns = [*CELL_KEY, "cid", "n", "bitmap", "component", "lost"]
-    new = stage(_forests(with_components(cells).select(*columns), percent, tasks))
+    new = stage(_forests(with_components(cells).select(*columns), percent, tasks, True))
+    sets = sets_of(new.where("a = b").select(F.col("a").alias("cid")).distinct())
+    new = new.where("a != b")
     edges, pairs, known = new, _pairs_of(new).drop("_a", "_b"), None
     while True:
         checked = _checked(stage(pairs), sets, percent)
@@ -724,7 +759,7 @@ def _linked(cells: DataFrame, sets: DataFrame, found: DataFrame | None, percent:
         gone = gone.withColumns(
             {"n": F.lit(0), "bitmap": F.lit(b""), "component": F.lit(0).cast("long"), "lost": F.col("b")}
         )
-        new = stage(_forests(members.select(*columns).unionAll(gone.select(*columns)), percent, tasks))
+        new = stage(_forests(members.select(*columns).unionAll(gone.select(*columns)), percent, tasks, False))
         edges = edges.unionAll(new)
         seen = known.select(F.greatest("a", "b").alias("_a"), F.least("a", "b").alias("_b"))
         pairs = _pairs_of(new).join(seen, ["_a", "_b"], "left_anti").drop("_a", "_b")
