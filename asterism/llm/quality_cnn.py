@@ -26,6 +26,8 @@ THRESHOLD = 0.7
 # rows and bytes of text that training sees, at most
 TRAIN_ROWS, TRAIN_BYTES = 2400, 6_000_000
 EPOCHS, BATCH, RATE = 6, 32, 0.02
+# few texts are gone through more often, until there were so many steps
+LEAST_STEPS = 400
 # share of training steps on an excerpt, and its range of lengths
 EXCERPTS, EXCERPT = 0.3, (5, 200)
 SEED = 5
@@ -141,10 +143,15 @@ def _backward(net: Network, text: str | None, label: float, weight: float, grads
 
 
 def train(
-    texts: list[str | None], labels: list[int], good: float | None = None, epochs: int = EPOCHS, seed: int = SEED
+    texts: list[str | None],
+    labels: list[int],
+    good: float | None = None,
+    epochs: int = EPOCHS,
+    seed: int = SEED,
+    least_steps: int = LEAST_STEPS,
 ) -> Network:
     """A network fitted by Adam to labelled texts, weighted so that ``good`` is the share
-    of label 1 (None: as they are).
+    of label 1 (None: as they are), in ``epochs`` passes over them or more.
 
     Without texts the fresh network is returned, with an output of one half.
     """
@@ -158,7 +165,9 @@ def train(
     weights = [float(p / s) if s else 0.0 for p, s in zip(prior, share)]
     first = [np.zeros_like(p) for p in net.parameters()]
     second = [np.zeros_like(p) for p in net.parameters()]
-    step, total = 0, epochs * -(-len(texts) // BATCH)
+    steps = -(-len(texts) // BATCH)
+    epochs = max(epochs, -(-least_steps // steps))
+    step, total = 0, epochs * steps
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
@@ -196,8 +205,8 @@ def training_sample(
 
     The texts are those that aren't held out, drawn by a hash of the id: at most about
     ``rows``, and ``size`` bytes, half of either for each label. Texts of more than
-    ``longest`` bytes, by default a fiftieth of ``size``, are never learned from, so that the driver holds few bytes at once;
-    they are scored by a network that saw only shorter ones.
+    ``longest`` bytes, by default a fiftieth of ``size``, are never learned from, so that no
+    few of them use up the bytes; they are scored by a network that saw only shorter ones.
 
     An id with several labels counts by its lowest one. Whole texts only.
     """
@@ -208,16 +217,22 @@ def training_sample(
     keep = F.lit(False)
     for label, count in there.items():
         keep = keep | ((F.col("quality") == label) & (draw < min(1.0, rows / 2 / count) * (1 << 20)))
-    texts = docs.select("doc_id", "text").join(F.broadcast(marked.where(keep)), "doc_id")  # about ``rows`` rows
-    drawn = texts.select("text", "quality", draw.alias("draw"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
-    # the driver gets no more than the bound: rows of each label while their sizes fit
-    found = sorted(drawn.where(F.col("n") <= (size // 50 if longest is None else longest)).toLocalIterator(), key=lambda r: (r["draw"], r["text"] or ""))
+    drawn = marked.where(keep)  # about ``rows`` rows
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).join(
+        F.broadcast(drawn), "doc_id"
+    )
+    sizes = sizes.groupBy("doc_id", "quality").agg(F.max("n").alias("longest"), F.sum("n").alias("n"))
+    sizes = sizes.where(F.col("longest") <= (size // 50 if longest is None else longest))
+    # of each label the first by their draw while their sizes fit: only these texts come to the driver
     left = {0: size // 2, 1: size // 2}
     chosen = []
-    for r in found:
+    for r in sizes.select("doc_id", "quality", "n", draw.alias("draw")).orderBy("draw", "doc_id").toLocalIterator():
         if left[r["quality"]] >= r["n"]:
             left[r["quality"]] -= r["n"]
-            chosen.append(r)
+            chosen.append((r["doc_id"], r["quality"], r["draw"]))
+    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, quality int, draw long")
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("text", "quality", "draw")
+    chosen = sorted(texts.toLocalIterator(), key=lambda r: (r["draw"], r["text"] or ""))
     good = there.get(1, 0) / sum(there.values()) if there else None
     return [r["text"] for r in chosen], [r["quality"] for r in chosen], good
 

@@ -16,10 +16,13 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, groupby
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from asterism.llm.common import map_rows
+from asterism.llm.common import ROWS_AT_ONCE, map_rows, to_arrow
 from asterism.llm.html_tree import INLINE, RAW, Node, parse
 
 # Names and types of the WARC 1.1 and HTTP formats.
@@ -27,6 +30,8 @@ VERSION = b"WARC/1.1"
 HTTP_TYPE = "application/http; msgtype=response"
 FIELDS_TYPE = "application/warc-fields"
 TEXT_TYPE = "text/plain; charset=utf-8"
+# bytes of a file that go to Python at once, and that the header lines of a record may take
+SLICE, MOST_HEADERS = 1 << 16, 1 << 20
 HTML_TYPES = ("text/html", "application/xhtml+xml")
 
 RECORD = "headers array<struct<name:string,value:string>>, block binary"
@@ -179,7 +184,7 @@ def decode_payload(payload: bytes, http: Headers) -> str:
     name = declared[1] if declared else inside[1].decode() if inside else "utf-8"
     try:
         return payload.decode(name, "replace")
-    except LookupError:
+    except (LookupError, ValueError):  # no such charset, or one that isn't for such bytes
         return payload.decode("utf-8", "replace")
 
 
@@ -263,17 +268,121 @@ def responses_from_pages(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -
     return map_rows(pages.select("page_id", "url", "html"), batch, f"page_id long, {RECORD}")
 
 
-def read_warc(files: DataFrame) -> DataFrame:
-    """Records (headers, block) of WARC files, given as rows with ``content``, as ``binaryFile`` reads them."""
+def _inflated_pieces(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """The bytes of a file in pieces of bounded size, without its compression."""
+    pieces = iter(pieces)
+    head = b""
+    for piece in pieces:
+        head += piece
+        if len(head) > 1:
+            break
+    if head[:2] != b"\x1f\x8b":
+        yield head
+        yield from pieces
+        return
+    member = zlib.decompressobj(31)
+    for piece in chain([head], pieces):
+        while piece:
+            if member.eof:
+                piece = piece.lstrip(b"\0")  # padding between members
+                if not piece:
+                    break
+                member = zlib.decompressobj(31)
+            try:
+                yield member.decompress(piece, SLICE)
+            except zlib.error as error:
+                raise ValueError(f"damaged compression: {error}") from error
+            piece = member.unused_data if member.eof else member.unconsumed_tail
+    if not member.eof:
+        raise ValueError("the compression ends early")
+
+
+def stream_records(pieces: Iterable[bytes]) -> Iterator[tuple[Headers, bytes] | str]:
+    """The records of a file that comes in pieces, holding one at a time.
+
+    A damaged record ends the file: what is wrong is given in its place, as text.
+    """
+    data, at = bytearray(), 0
+    source = _inflated_pieces(pieces)
+    try:
+        while True:
+            while not data.lstrip(b"\r\n"):
+                at += len(data)
+                data.clear()
+                if (piece := next(source, None)) is None:
+                    return
+                data += piece
+            skipped = len(data) - len(data.lstrip(b"\r\n"))
+            del data[:skipped]
+            at += skipped
+            while (end := data.find(b"\r\n\r\n")) < 0:
+                if len(data) >= 5 and not data.startswith(b"WARC/") or len(data) > MOST_HEADERS:
+                    raise ValueError(f"no record at byte {at}")
+                if (piece := next(source, None)) is None:
+                    raise ValueError(f"the record at byte {at} is cut")
+                data += piece
+            if not data.startswith(b"WARC/"):
+                raise ValueError(f"no record at byte {at}")
+            headers = _fields(data[:end].decode("utf-8", "replace").split("\r\n")[1:])
+            length = first(headers, "Content-Length") or ""
+            if not (length.isascii() and length.isdigit()):
+                raise ValueError(f"no length of the record at byte {at}")
+            whole = end + 4 + int(length)
+            while len(data) < whole:
+                if (piece := next(source, None)) is None:
+                    raise ValueError(f"the record at byte {at} is cut")
+                data += piece
+            yield headers, bytes(data[end + 4 : whole])
+            del data[:whole]
+            at += whole
+    except ValueError as error:
+        yield str(error)
 
-    def batch(columns: dict[str, list]) -> dict[str, list]:
-        found = [r for data in columns["content"] for r in records(data or b"")]
-        return {
-            "headers": [[{"name": name, "value": value} for name, value in headers] for headers, _ in found],
-            "block": [block for _, block in found],
-        }
 
-    return map_rows(files.select("content"), batch, RECORD)
+def read_warc(files: DataFrame) -> DataFrame:
+    """Records (headers, block, error) of WARC files, given as rows with ``content``, as
+    ``binaryFile`` reads them.
+
+    A damaged file gives the records before the damage and one row with the ``error`` and
+    nothing else. A null or empty file gives none. A file is handed on in slices, so a
+    task's Python holds a batch of them and one record, not whole files.
+    """
+    schema = f"{RECORD}, error string"
+    arrow = to_arrow(files.sparkSession, schema)
+    # slices of a file stay together and in order: nothing is shuffled
+    ends = F.sequence(F.lit(0), F.expr(f"(octet_length(content) - 1) div {SLICE}"))
+    slices = files.where(F.octet_length("content") > 0).select(
+        F.monotonically_increasing_id().alias("file"), "content"
+    )
+    slices = slices.select("file", "content", F.explode(ends).alias("k"))
+    slices = slices.select("file", F.expr(f"substring(content, cast(k * {SLICE} + 1 as int), {SLICE})").alias("slice"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (
+            (file, piece)
+            for batch in batches
+            for at in range(batch.num_rows)
+            for file, piece in [(batch.column("file")[at].as_py(), batch.column("slice")[at].as_py())]
+        )
+        for _, of_file in groupby(rows, key=lambda row: row[0]):
+            found, held = [], 0
+            for record in stream_records(piece for _, piece in of_file):
+                if isinstance(record, str):
+                    found.append((None, None, record))
+                else:
+                    headers, block = record
+                    found.append(([{"name": name, "value": value} for name, value in headers], block, None))
+                    held += len(block)
+                if held > 16 * SLICE or len(found) >= ROWS_AT_ONCE:
+                    yield _rows(found)
+                    found, held = [], 0
+            if found:
+                yield _rows(found)
+
+    def _rows(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+
+    return slices.mapInArrow(run, schema)
 
 
 def derivatives(responses: DataFrame, key: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@ import os
 import pytest
 from check import assert_same, connect
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from asterism.llm import mixing
 from asterism.llm.queries import ORACLES, QUERIES
@@ -67,6 +68,14 @@ def test_odd_rows(messy):
 
 def test_a_hot_source_is_spread(spark, documents):
     docs = documents([(i, "a b c d", "hot" if i % 3 else "cold") for i in range(3000)]).repartition(8)
-    numbered = mixing.add_ordered_key(docs.select("doc_id", "source"), "place", docs["source"], ["doc_id"])
-    sizes = numbered.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
-    assert max(sizes) < 1500
+    # as on a cluster, where each slice is large: so small ones would be merged
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        numbered = mixing.add_ordered_key(docs.select("doc_id", "source"), "place", docs["source"], ["doc_id"])
+        hot = numbered.where("source = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(r["count"] for r in hot) == 2000
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < 1000

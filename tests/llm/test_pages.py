@@ -1,6 +1,9 @@
+import base64
 import gzip
+import hashlib
 import html
 import re
+import uuid
 import zlib
 
 import pytest
@@ -171,5 +174,77 @@ def test_codings_of_a_payload_are_undone(coding, payload):
     assert metadata["payload_digest"] == warc.sha1(stored)
 
 
+@pytest.mark.parametrize("name", ["undefined", "idna", "punycode", "base64", "rot13", "unicode_escape", "utf-7", "nope", "é", "utf-16"])
+@pytest.mark.parametrize("inside", [False, True])
+def test_any_charset_gives_text(name, inside):
+    header = "" if inside else f"; charset={name}"
+    page = f"<meta charset={name}>" * inside + "<p>plain.. text-- \\x"
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html{header}\r\n\r\n{page}".encode()
+    made = warc.derive([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], block)
+    assert [m["type"] for m in made] == ["metadata", "conversion"]
+    if name in ("undefined", "idna", "nope", "base64"):
+        assert b"plain.. text--" in made[1]["record"]
+
+
+def some_records(n):
+    return [warc.serialise([("WARC-Type", "resource"), ("Content-Length", str(i * 1000))], b"x" * (i * 1000)) for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000, 1 << 20])
+def test_records_of_pieces(size):
+    plain = b"".join(some_records(6))
+    cut = lambda data: [data[at : at + size] for at in range(0, len(data), size)]
+    want = [*warc.records(plain)]
+    for data in (plain, gzip.compress(plain), b"".join(map(gzip.compress, some_records(6))) + b"\0" * 5):
+        assert [*warc.stream_records(cut(data))] == want
+    for broken in (plain[:-2000], plain + b"not a record\r\n\r\n", gzip.compress(plain)[:-9], plain.replace(b"Content-Length: 3000", b"Content-Length: xyz")):
+        *good, error = warc.stream_records(cut(broken))
+        assert isinstance(error, str) and good == want[: len(good)] and len(good) >= 3 * (size != 1 or broken[:1] != b"\x1f")
+    assert [*warc.stream_records([])] == [*warc.stream_records([b"", b"\r\n"])] == []
+
+
+def test_a_damaged_file_gives_its_good_records_and_an_error(spark, tmp_path):
+    good = some_records(100)
+    (tmp_path / "a.warc").write_bytes(b"".join(good))
+    (tmp_path / "b.warc").write_bytes(b"".join(good)[:-5000])
+    (tmp_path / "c.warc.gz").write_bytes(b"".join(map(gzip.compress, good[:3])) + b"\x1f\x8bdamaged")
+    (tmp_path / "d.warc").write_bytes(b"")
+    (tmp_path / "e.html").write_bytes(b"<p>no record")
+    rows = warc.read_warc(spark.read.format("binaryFile").load(str(tmp_path))).collect()
+    errors = [r["error"] for r in rows if r["error"]]
+    assert len(errors) == 3 and all(r["headers"] is None for r in rows if r["error"])
+    assert len(rows) - 3 == 100 + 99 + 3
+    assert warc.derivatives(warc.read_warc(spark.createDataFrame([(None,)], "content binary"))).count() == 0
+
+
+def plain_derivatives(page_id, url, html):
+    """Headers and digests of the two records, from the format's definition."""
+    sha = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    payload = (html or "").encode()
+    source = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>"
+    return source, url or "", sha(payload), sha
+
+
+def test_registered_query_against_plain_python(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = {r["page_id"]: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = warc.derivatives(warc.responses_from_pages(spark.read.parquet(f"{sf}/pages.parquet")), "page_id").collect()
+    assert len(got) == 2 * len(rows)
+    for r in got:
+        page = rows[r["page_id"]]
+        source, url, payload_digest, sha = plain_derivatives(page["page_id"], page["url"], page["html"])
+        head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
+        body = rest[: r["content_length"]]
+        assert rest[r["content_length"] :] == b"\r\n\r\n"
+        fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        assert (r["refers_to"], r["target_uri"]) == (source, url) == (fields["WARC-Refers-To"], fields["WARC-Target-URI"])
+        assert fields["WARC-Block-Digest"] == r["block_digest"] == sha(body)
+        assert r["payload_digest"] == (payload_digest if r["type"] == "metadata" else sha(body))
+        if r["type"] == "metadata":
+            lines = dict(line.split(": ", 1) for line in body.decode().split("\r\n") if ": " in line)
+            assert lines["source-payload-digest"] == payload_digest
+            assert lines["source-payload-length"] == str(len((page["html"] or "").encode()))
+
+
 def test_empty_table(pages):
     assert rows_of(warc.derivatives(warc.responses_from_pages(pages.limit(0)))) == []

@@ -26,6 +26,59 @@ def test_gradient_matches_differences():
         assert abs((up - down) / (2 * step) - g[at]) < 0.05 * max(1e-3, abs(g[at]))
 
 
+def naive_score(net, text):
+    """One chunk, position and filter after the other, as the docstring says."""
+    data = (text or "").encode().ljust(C.WIDTH, b"\0")
+    positions = len(data) - C.WIDTH + 1
+    value = [
+        [
+            max(0.0, sum(float(net.table[k][data[i + k]][f]) for k in range(C.WIDTH)) + float(net.bias[f]))
+            for f in range(C.FILTERS)
+        ]
+        for i in range(positions)
+    ]
+    starts = range(0, max(1, positions - C.HALF), C.HALF)
+    hidden = []
+    for at in starts:
+        pooled = [max(row[f] for row in value[at : at + C.CHUNK]) for f in range(C.FILTERS)]
+        hidden.append(
+            [max(0.0, sum(p * float(net.dense[f][h]) for f, p in enumerate(pooled)) + float(net.dense_bias[h])) for h in range(C.HIDDEN)]
+        )
+    features = [sum(row[h] for row in hidden) / len(hidden) for h in range(C.HIDDEN)]
+    features += [max(row[h] for row in hidden) for h in range(C.HIDDEN)]
+    z = sum(f * float(w) for f, w in zip(features, net.out)) + float(net.out_bias[0])
+    return 1 / (1 + np.exp(-z))
+
+
+def test_score_equals_a_naive_forward_pass():
+    net = C.Network.fresh(7)
+    net.bias += 0.1
+    net.dense_bias -= 0.2
+    words = "Größe of words, 日本 and 12 more! "
+    for text in (None, "", "a", "abcd", words * 3, words * 8, words * 40, "x" * C.HALF, "y" * (C.HALF + 3), "z" * (C.CHUNK + 3), words * 33 + "q"):
+        assert abs(C.score(net, text) - naive_score(net, text)) < 1e-5, len(text or "")
+
+
+def test_few_labels_are_enough(spark):
+    """Some 300 labelled texts: most of the held-out poor ones go, nearly all good ones stay."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    assert len(C.training_sample(docs, labels)[0]) < 400
+    held = C.classify(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    poor = [r["predicted"] for r in held if r["quality"] == 0]
+    good = [r["predicted"] for r in held if r["quality"] == 1]
+    assert poor.count(0) >= 0.6 * len(poor) > 5
+    assert good.count(1) >= 0.95 * len(good)
+
+
+def test_the_budget_of_bytes_holds_on_the_driver(spark, documents):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = documents([(i, "w" * 100) for i in ids] + [(ids[0], "w" * 50)])
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    texts, labels, _ = C.training_sample(docs, marks, size=5200)
+    assert 5000 <= sum(map(len, texts)) <= 5200 and abs(labels.count(0) - labels.count(1)) <= 1
+
+
 def test_blocks_cover_the_whole_text():
     net = C.Network.fresh(1)
     text = LONG + "!!%%%"

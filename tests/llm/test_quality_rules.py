@@ -1,7 +1,9 @@
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from asterism.llm import quality_rules as Q
 
@@ -44,17 +46,82 @@ def test_stats(documents):
 
 
 def noisy(spark, documents, n=400):
-    """Documents in which a sixth are bad: every word with a symbol; one good one has few."""
-    good = "plain words make up this text number {} and none of them is odd at all " * 5
-    bad = "ugly### words%%% make$$$ up### this%%% text$$$ number### {} " * 8
-    rows = [(i, (bad if i % 6 == 0 else good).format(i) + " ".join(f"w{i}x{k}" for k in range(60))) for i in range(n)]
-    rows.append((n, good.format(n) + "costs 5% & more " + " ".join(f"v{k}" for k in range(60))))
+    """Documents in which a sixth are bad: two words of five have symbols; one good one has few."""
+    def text(i, symbols):
+        return " ".join(f"word{i}x{k}" + "#%$" * (k % 5 < symbols) for k in range(80))
+
+    rows = [(i, text(i, 2 * (i % 6 == 0))) for i in range(n)]
+    rows.append((n, text(n, 0) + " costs 5% & more"))
     labels = spark.createDataFrame(
         [(i, int(i % 6 != 0), 0) for i in range(n)], "doc_id long, quality int, toxic int"
     )
     return documents(rows), labels
 
 
+def planted(spark, rows):
+    """Labelled statistics: all features 0 but those given, and whether the row is bad."""
+    names = [*Q.FEATURES]
+    table = [
+        (*(float(values.get(name, 0)) for name in names), bad, i % 3 < 2) for i, (values, bad) in enumerate(rows)
+    ]
+    return spark.createDataFrame(table, ", ".join(f"{n} double" for n in names) + ", bad boolean, grow boolean")
+
+
+def test_a_rule_of_two_conditions_is_found(spark):
+    """Bad are short texts in capitals; short ones and ones in capitals alone are good."""
+    rng = random.Random(1)
+    rows = []
+    for _ in range(1200):
+        words, upper = rng.uniform(50, 500), rng.uniform(0, 100)
+        rows.append(({"f_words": words, "f_upper_pct": upper}, words < 200 and upper > 60))
+    table = planted(spark, [r for r in rows if not 180 < r[0]["f_words"] < 220 and not 55 < r[0]["f_upper_pct"] < 65])
+    rules = Q.learn_rules(table)
+    assert len(rules) == 1
+    found = {(c.feature, c.above) for c in rules[0]}
+    assert found == {("f_words", False), ("f_upper_pct", True)}
+    at = {c.feature: c.threshold for c in rules[0]}
+    assert 150 <= at["f_words"] <= 220 and 55 <= at["f_upper_pct"] <= 65
+    met = F.count_if(Q.decision_list(rules).isNotNull())
+    found = {r["bad"]: (r["met"], r["rows"]) for r in table.groupBy("bad").agg(met.alias("met"), F.count("*").alias("rows")).collect()}
+    assert found[False][0] == 0 and found[True][0] >= 0.97 * found[True][1]
+
+
+def test_each_rule_is_learned_on_what_the_ones_before_leave(spark):
+    """Three kinds of bad rows, the most frequent one first, and noise that no rule may follow."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(2000):
+        kind = rng.choice(["symbols"] * 3 + ["lines"] * 2 + ["repeat"] + ["good"] * 10)
+        values = {
+            "f_symbol_pct": rng.uniform(30, 60) if kind == "symbols" else rng.uniform(0, 20),
+            "f_dup_line_pct": rng.uniform(50, 90) if kind == "lines" else rng.uniform(0, 40),
+            "f_repeat_pct": rng.uniform(30, 45) if kind == "repeat" else rng.uniform(0, 20),
+            "f_word_length": rng.uniform(3, 9),
+        }
+        rows.append((values, kind != "good" or rng.random() < 0.004))
+    table = planted(spark, rows)
+    rules = Q.learn_rules(table)
+    assert [r[0].feature for r in rules] == ["f_symbol_pct", "f_dup_line_pct", "f_repeat_pct"]
+    assert all(len(r) == 1 and r[0].above for r in rules)
+    numbers = table.select("bad", Q.decision_list(rules).alias("n")).where("n is null and bad").count()
+    assert numbers <= 20  # the noise
+
+
+def test_a_rule_that_does_not_hold_elsewhere_is_dropped(spark):
+    """What separates only the rows that a rule is grown on is no rule."""
+    rows = [({"f_word_length": 9 if i % 4 == 0 and i % 3 < 2 else 3}, i % 4 == 0) for i in range(900)]
+    assert Q.learn_rules(planted(spark, rows)) == []
+
+
+def test_no_rule_without_precision(spark):
+    rng = random.Random(3)
+    rows = [({name: rng.uniform(0, 100) for name in Q.FEATURES}, rng.random() < 0.3) for _ in range(1500)]
+    table = planted(spark, rows)
+    for rule in Q.learn_rules(table):  # chance may give some, but only precise ones
+        found = table.where(Q._all_of(rule)).agg(F.count_if("bad").alias("p"), F.count("*").alias("n")).first()
+        assert found["p"] >= Q.MIN_PRECISION * found["n"]
+
+
 def test_rules_are_learned_and_keep_clean_documents(spark, documents):
     docs, labels = noisy(spark, documents)
     rows = Q.quality_verdicts(docs, labels).where("not base_failed").collect()
