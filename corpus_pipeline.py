@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from asterism.llm import decontaminate, jaccard_join, mixing, quality_cnn, token_files
 from asterism.llm.common import read, share_package
-from asterism.sources.staging import scratch_root, stage
+from asterism.sources.staging import freed, scratch_root, stage
 
 # near copies of the second stage: words of an n-gram, and percent of their union that two sets share
 NEAR_NGRAM, NEAR_PERCENT = 5, 80
@@ -59,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read by the next."""
+    """All stages over ``documents``, each written as Parquet and read by the next.
+
+    What a stage stages on its way is freed when its result is written.
+    """
     docs = read(spark, sf_dir, "documents")
     for _, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir))
+        with freed(spark):
+            docs = stage(function(spark, docs, sf_dir), scratch_root(spark))
     return STAGES[-1][1](spark, docs, sf_dir)
