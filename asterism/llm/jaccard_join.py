@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from asterism.llm.common import in_parts, small, to_arrow
+from asterism.llm.common import give_back, in_parts, small, to_arrow
 from asterism.llm.spans import MULTIPLIERS, PIECE, mix, span_hashes
 from asterism.operators.lookup import BROADCAST_LIMIT
 from asterism.sources.staging import stage
@@ -218,6 +218,7 @@ def _nodes(docs: DataFrame, counts: np.ndarray, percent: int, ngram: int) -> Dat
     arrow = to_arrow(spark, NODE)
     shared = spark.sparkContext.broadcast(_levels(counts))  # COUNTERS bytes
     usual = float(counts.mean())
+    give_back()  # what the driver took for the table
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
@@ -632,7 +633,7 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = stage(_ordered(edges))
     blocks = max(1, ceil(pairs.count() / EDGES))
     pairs = stage(_contracted(pairs.coalesce(blocks)))
-    while not _are_stars(pairs):
+    while blocks > 1 and not _are_stars(pairs):  # one block is whole when it is reduced
         large = _star(pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), True)
         pairs = stage(_contracted(_star(stage(large), False).coalesce(blocks)))
     ends = pairs.select(F.col("a").alias("cid"), F.col("b").alias("component"))

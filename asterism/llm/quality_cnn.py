@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asterism.llm.common import give_back
+
 WIDTH, FILTERS, HIDDEN = 4, 16, 8
 HALF = 256  # a chunk is two halves
 CHUNK = 2 * HALF
@@ -244,6 +246,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     gives to no bytes. Repeated rows get the same score each.
     """
     net = train(*training_sample(docs, labels))
+    give_back()  # what the driver took for the texts
 
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([score(net, text) for text in texts], dtype="float64")

@@ -176,7 +176,9 @@ def test_far_sets_are_not_possible_links():
     assert not len(cell.possible(0, np.array([1]))[0])
 
 
-def test_components_of_long_paths_and_stars(spark):
+@pytest.mark.parametrize("at_once", [500_000, 9])
+def test_components_of_long_paths_and_stars(spark, monkeypatch, at_once):
+    monkeypatch.setattr(J, "EDGES", at_once)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 40)] + [(7, 7)]
     random.Random(1).shuffle(edges)
     table = spark.createDataFrame(edges, "a long, b long")
