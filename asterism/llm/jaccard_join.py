@@ -60,8 +60,9 @@ COUNTERS, BLOCKS = 1 << 22, 16
 CELL = 1024
 # members that all chunks of a group have, about
 HUBS = 32
-# uncertain links to each part of a cell that a set adds at once
-ALTERNATIVES = 8
+# uncertain links to each part of a cell that a set adds at once, and how many times more in each
+# further round, so that rounds grow with the logarithm of what turns out to be no link
+ALTERNATIVES, FURTHER = 8, 4
 # beginnings of more n-grams than this have no pairs
 MOST_LIGHT = 64
 # edges that one task reduces to stars
@@ -439,7 +440,9 @@ class _Cell:
         there = different <= most
         return among[there], (different + slack - most)[there]
 
-    def forest(self, component: np.ndarray, lost: set[tuple[int, int]]) -> tuple[list[tuple[int, int]], np.ndarray]:
+    def forest(
+        self, component: np.ndarray, lost: set[tuple[int, int]], alternatives: int
+    ) -> tuple[list[tuple[int, int]], np.ndarray]:
         """Edges (member, found from): clear links that connect what they can, given the
         components that are known, and uncertain ones between what is then apart.
 
@@ -490,14 +493,14 @@ class _Cell:
             of = cluster[found]
             by_cluster = np.lexsort((doubt, of))  # the nearest of each cluster
             first = np.searchsorted(of[by_cluster], of[by_cluster])
-            nearest = found[by_cluster[np.arange(len(found)) - first < ALTERNATIVES]]
+            nearest = found[by_cluster[np.arange(len(found)) - first < alternatives]]
             edges += [(int(cids[y]), int(cids[x])) for y in nearest.tolist()]
         if known:
             seen |= np.isin(component, component[seen])
         return edges, cids[seen]
 
 
-def _forests(cells: DataFrame, percent: int, tasks: int, mark: bool) -> DataFrame:
+def _forests(cells: DataFrame, percent: int, tasks: int, mark: bool, alternatives: int) -> DataFrame:
     """EDGE rows for rows of cells with ``component`` and, for lost edges, ``lost``.
 
     To ``mark`` gives an edge from each member that may be in one to itself besides.
@@ -512,7 +515,7 @@ def _forests(cells: DataFrame, percent: int, tasks: int, mark: bool) -> DataFram
         bitmaps = [b for b, m in zip(rows.column("bitmap").to_pylist(), members) if m]
         cell = _Cell(cids[members], rows.column("n").to_numpy()[members], bitmaps, percent)
         at = [rows.column(name)[0].as_py() for name in CELL_KEY]
-        edges, seen = cell.forest(rows.column("component").to_numpy()[members], lost)
+        edges, seen = cell.forest(rows.column("component").to_numpy()[members], lost, alternatives)
         marks = [(a, a) for a in seen.tolist()] if mark else []
         return [(*at, a, b) for a, b in edges + marks]
 
@@ -743,11 +746,13 @@ def _linked(
         return joined.withColumn("component", F.coalesce("component", "cid")).select("*", no_loss)
 
     columns = [*CELL_KEY, "cid", "n", "bitmap", "component", "lost"]
-    new = stage(_forests(with_components(cells).select(*columns), percent, tasks, True))
+    new = stage(_forests(with_components(cells).select(*columns), percent, tasks, True, ALTERNATIVES))
     sets = sets_of(new.where("a = b").select(F.col("a").alias("cid")).distinct())
     new = new.where("a != b")
     edges, pairs, known = new, _pairs_of(new).drop("_a", "_b"), None
+    alternatives = ALTERNATIVES
     while True:
+        alternatives *= FURTHER
         checked = _checked(stage(pairs), sets, percent)
         known = checked if known is None else known.unionAll(checked)
         joined = checked.where("ok").select("a", "b")
@@ -760,7 +765,7 @@ def _linked(
         gone = gone.withColumns(
             {"n": F.lit(0), "bitmap": F.lit(b""), "component": F.lit(0).cast("long"), "lost": F.col("b")}
         )
-        new = stage(_forests(members.select(*columns).unionAll(gone.select(*columns)), percent, tasks, False))
+        new = stage(_forests(members.select(*columns).unionAll(gone.select(*columns)), percent, tasks, False, alternatives))
         edges = edges.unionAll(new)
         seen = known.select(F.greatest("a", "b").alias("_a"), F.least("a", "b").alias("_b"))
         pairs = _pairs_of(new).join(seen, ["_a", "_b"], "left_anti").drop("_a", "_b")

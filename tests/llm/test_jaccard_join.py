@@ -88,12 +88,17 @@ def test_texts_are_read_as_often_however_many_rounds(documents, monkeypatch):
     monkeypatch.setattr(J, "_checked", lambda *a: rounds.append(1) or checked(*a))
     counts = []
     monkeypatch.setattr(J, "ALTERNATIVES", 1)
+    monkeypatch.setattr(J, "FURTHER", 1)
     for table in ([(1, " ".join(one)), (2, " ".join(one[1:])), (3, "other")], rows):
         made.clear(), rounds.clear()
         assert sorted(map(tuple, J.jaccard_components(documents(table)).collect()), key=repr) == brute_force(table)
         assert len(made) == 1  # no group is large, so only the first cells ask for sets
         counts.append(len(rounds))
     assert counts[0] == 1 and counts[1] >= 4
+    monkeypatch.setattr(J, "FURTHER", 4)
+    rounds.clear()
+    assert sorted(map(tuple, J.jaccard_components(documents(rows)).collect()), key=repr) == brute_force(rows)
+    assert len(rounds) <= counts[1]
 
 
 def test_cells_of_near_copies_grow_with_the_group(spark, monkeypatch):
