@@ -19,6 +19,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from math import ceil
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -61,7 +62,17 @@ class JoinFigures:
         self.counted: int | None = None
 
     def unmatched(self) -> int:
-        return int(self.observation.get["unmatched"]) if self.counted is None else self.counted
+        if self.counted is None:  # without rows there is nothing to observe
+            self.counted = int(observed(self.observation).get("unmatched", 0))
+        return self.counted
+
+
+def observed(observation: Observation) -> dict[str, int]:
+    """The figures of an observation; none if adaptive execution found nothing to run there."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return {}
 
 
 def table_bytes(df: DataFrame) -> float:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from asterism.functions.timeparts import epoch_ms_to_timestamp
-from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, JoinFigures
+from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, JoinFigures, observed
 from asterism.operators.transforms import drop_null, keep_equal
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import TITLE_ONLY, build_songplays
@@ -93,7 +93,7 @@ def run_catalogue(
             catalogue = drop_null(catalogue, required)
         write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys], compact=True)
         write_table(build_artists(catalogue), output_root, ARTISTS.name)
-    return dict(seen.get)
+    return observed(seen)
 
 
 def _watched(lines: DataFrame, seen: Observation, required: Sequence[str], **more: Column) -> DataFrame:
@@ -164,7 +164,7 @@ def run_log(
             figures=figures,
         )
         write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys])
-    return {**seen.get, "unmatched": figures.unmatched()}
+    return {**observed(seen), "unmatched": figures.unmatched()}
 
 
 def run_star(
