@@ -28,9 +28,11 @@ n-grams. Sets are kept as 64-bit hashes of the n-grams.
 5. These possible links are checked on whole sets. Those of all members that may link to
    any other by their bitmaps are made from the texts beforehand, so cells are done again
    without reading a text: the texts are read once for the first cells, and once for
-   those of two chunks if there are any. A cell that loses one is done again
-   without it, knowing the components found; when none is lost, any two sets of a cell
-   are either connected or known to have no link.
+   those of two chunks if there are any. A cell that loses one is done again with its
+   whole sets, knowing the components found, which leaves nothing open. Where these are
+   more than a task should hold (SET_VALUES), it is done again by bitmaps, without the lost
+   links, until none is lost: then any two sets of a cell are either connected or known
+   to have no link.
 6. Components by alternating stars, on links of ids only.
 """
 
@@ -67,6 +69,8 @@ ALTERNATIVES, FURTHER = 8, 4
 MOST_LIGHT = 64
 # edges that one task reduces to stars
 EDGES = 500_000
+# n-grams, of eight bytes, of the sets of a cell that are compared at once
+SET_VALUES = 1 << 22
 # bits of the filter for some of the documents: so many for each, in all as many as a broadcast may have
 SPOTS_EACH = 16
 
@@ -505,8 +509,6 @@ def _forests(cells: DataFrame, percent: int, tasks: int, mark: bool, alternative
 
     To ``mark`` gives an edge from each member that may be in one to itself besides.
     """
-    arrow = to_arrow(cells.sparkSession, EDGE)
-
     def solve(rows: pa.Table) -> list[tuple]:
         lost_to = rows.column("lost").to_pylist()
         cids = rows.column("cid").to_numpy()
@@ -519,6 +521,58 @@ def _forests(cells: DataFrame, percent: int, tasks: int, mark: bool, alternative
         marks = [(a, a) for a in seen.tolist()] if mark else []
         return [(*at, a, b) for a, b in edges + marks]
 
+    return _by_cell(cells, tasks, solve)
+
+
+def _exact_forests(cells: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """EDGE rows, all of them links, for rows of cells with ``component`` and ``set``."""
+
+    def solve(rows: pa.Table) -> list[tuple]:
+        at = [rows.column(name)[0].as_py() for name in CELL_KEY]
+        sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
+        found = exact_forest(rows.column("cid").to_numpy(), rows.column("component").to_numpy(), sets, percent)
+        return [(*at, a, b) for a, b in found]
+
+    return _by_cell(cells, tasks, solve)
+
+
+def exact_forest(
+    cids: np.ndarray, component: np.ndarray, sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Links (member, found from) that connect all that links and known components connect."""
+    sizes = np.array([len(s) for s in sets])
+    numbers, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    own = np.split(codes, np.cumsum(sizes)[:-1])
+    of = np.repeat(np.arange(len(sets)), sizes)
+    mine = np.zeros(len(numbers), bool)
+    edges: list[tuple[int, int]] = []
+    left = np.argsort(cids, kind="stable")
+    listed = len(left)  # members whose n-grams are in ``codes``, about
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            x = queue.pop()
+            mates = component[left] == component[x]
+            queue += left[mates].tolist()
+            left = left[~mates]
+            if 2 * len(left) < listed:
+                there = np.zeros(len(sets), bool)
+                there[left] = True
+                codes, of, listed = codes[there[of]], of[there[of]], len(left)
+            mine[own[x]] = True
+            common = np.bincount(of[mine[codes]], minlength=len(sets))[left]
+            mine[own[x]] = False
+            linked = 100 * common >= percent * (sizes[x] + sizes[left] - common)
+            edges += [(int(cids[y]), int(cids[x])) for y in left[linked].tolist()]
+            queue += left[linked].tolist()
+            left = left[~linked]
+    return edges
+
+
+def _by_cell(cells: DataFrame, tasks: int, solve: Callable[[pa.Table], list[tuple]]) -> DataFrame:
+    """EDGE rows from each cell's rows, given to ``solve`` together."""
+    arrow = to_arrow(cells.sparkSession, EDGE)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in batches:
@@ -750,7 +804,7 @@ def _linked(
     sets = sets_of(new.where("a = b").select(F.col("a").alias("cid")).distinct())
     new = new.where("a != b")
     edges, pairs, known = new, _pairs_of(new).drop("_a", "_b"), None
-    alternatives = ALTERNATIVES
+    alternatives, first = ALTERNATIVES, True
     while True:
         alternatives *= FURTHER
         checked = _checked(stage(pairs), sets, percent)
@@ -760,6 +814,16 @@ def _linked(
         active = stage(_lost(new, known).select(*CELL_KEY).distinct())
         if not active.take(1):
             return found
+        if first:
+            first = False
+            again = cells.join(active, CELL_KEY)
+            active = again.groupBy(*CELL_KEY).agg(F.sum("n").alias("values")).where(F.col("values") > SET_VALUES)
+            active = stage(active.drop("values"))
+            whole = with_components(again.join(small(active), CELL_KEY, "left_anti")).join(sets, "cid")
+            exact = _exact_forests(whole.select(*CELL_KEY, "cid", "component", "set"), percent, tasks)
+            found = stage(components(exact.select("a", "b").unionAll(found)))
+            if not active.take(1):
+                return found
         members = with_components(cells.join(active, CELL_KEY))
         gone = _lost(edges.join(active, CELL_KEY, "left_semi"), known).distinct().withColumnRenamed("a", "cid")
         gone = gone.withColumns(

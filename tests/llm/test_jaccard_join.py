@@ -72,7 +72,8 @@ def test_components_against_brute_force(documents, monkeypatch, cell, hubs):
 
 def test_texts_are_read_as_often_however_many_rounds(documents, monkeypatch):
     """Two groups of near copies that just don't link: with few alternatives at once more
-    links are lost one after the other, in more rounds, which read no text."""
+    links are lost one after the other, in more rounds, which read no text. That is where
+    whole sets are too many for a cell; else a second look at whole sets ends it."""
     rng = random.Random(4)
     one = [f"w{i}" for i in range(662)]
     other = [f"x{w}" if i % 54 == 30 and i < 600 else w for i, w in enumerate(one)]
@@ -87,6 +88,8 @@ def test_texts_are_read_as_often_however_many_rounds(documents, monkeypatch):
     monkeypatch.setattr(J, "_sets", lambda *a: made.append(1) or sets(*a))
     monkeypatch.setattr(J, "_checked", lambda *a: rounds.append(1) or checked(*a))
     counts = []
+    at_once = J.SET_VALUES
+    monkeypatch.setattr(J, "SET_VALUES", 0)
     monkeypatch.setattr(J, "ALTERNATIVES", 1)
     monkeypatch.setattr(J, "FURTHER", 1)
     for table in ([(1, " ".join(one)), (2, " ".join(one[1:])), (3, "other")], rows):
@@ -99,6 +102,47 @@ def test_texts_are_read_as_often_however_many_rounds(documents, monkeypatch):
     rounds.clear()
     assert sorted(map(tuple, J.jaccard_components(documents(rows)).collect()), key=repr) == brute_force(rows)
     assert len(rounds) <= counts[1]
+    monkeypatch.setattr(J, "SET_VALUES", at_once)
+    monkeypatch.setattr(J, "FURTHER", 1)
+    made.clear(), rounds.clear()
+    assert sorted(map(tuple, J.jaccard_components(documents(rows)).collect()), key=repr) == brute_force(rows)
+    assert len(made) == len(rounds) == 1
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_whole_sets_of_a_cell_against_brute_force(percent):
+    for seed in range(60):
+        rng = np.random.default_rng([seed, percent])
+        bases = [rng.integers(0, 1 << 62, 30, np.uint64) for _ in range(3)]
+        sets = []
+        for _ in range(40):
+            base = bases[rng.integers(3)]
+            other = rng.integers(0, 1 << 62, rng.integers(1, 9), np.uint64)
+            sets.append(np.unique(np.concatenate([rng.choice(base, rng.integers(20, 31), replace=False), other])))
+        cids = rng.permutation(1000)[:40]
+        component = np.where(rng.random(40) < 0.1, -1, cids)  # some are known to be connected
+        parent = {c: c for c in [*cids.tolist(), -1]}
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        def parts(edges):
+            parent.update({c: c for c in parent})
+            for a, b in edges:
+                parent[root(a)] = root(b)
+            tops = [root(c) for c in cids.tolist()]
+            return [tops.index(t) for t in tops]
+
+        known = [(int(c), int(k)) for c, k in zip(cids, component)]
+        all_links = [
+            (int(cids[a]), int(cids[b])) for a in range(40) for b in range(a) if J.links(sets[a], sets[b], percent)
+        ]
+        found = J.exact_forest(cids, component, sets, percent)
+        assert parts(found + known) == parts(all_links + known)
+        assert {frozenset(e) for e in found} <= {frozenset(e) for e in all_links}
+        assert len(found) < 40
 
 
 def test_cells_of_near_copies_grow_with_the_group(spark, monkeypatch):
