@@ -1,108 +1,180 @@
 """Licence scan: look up canonical digests of whole texts among those of known licences.
 
 A text's canonical form has its letters lowered, copyright lines left out, variant
-spellings made one and punctuation and white space turned into single spaces. Its
-digest is joined to the digests of the known texts. The whole document is looked up,
-and so is each of its lines and paragraphs as a text of its own, which finds notices.
-A paragraph ends at a line whose canonical form is empty.
+spellings made one, bullets and numbers of lists taken off, and punctuation and white
+space turned into single spaces. It is made of paragraphs and not of lines, so it is the
+same however the text is wrapped, indented or commented. A text with copyright lines also
+has a form that keeps them, for texts in which such a line was joined to its neighbours.
+
+The digests of both forms are joined to those of the known texts. The whole document is
+looked up, and so is each of its lines and paragraphs as a text of its own, which finds
+notices. A paragraph ends at a copyright line and at one without words.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from asterism.llm.common import small
 from asterism.llm.license_texts import TEXTS
+from asterism.operators.lookup import BROADCAST_LIMIT, table_bytes
 from asterism.sources.staging import stage
 
-# Pairs of equivalent spellings, in the form they have after lowering.
+# Equivalent spellings of the public matching guidelines, as parts of
+# lowered words, and then as words of a form without punctuation.
 SPELLINGS = (
-    ("licence", "license"),
-    ("licenced", "licensed"),
-    ("sub-license", "sublicense"),
-    ("non-commercial", "noncommercial"),
+    ("acknowledgement", "acknowledgment"),
+    ("analogue", "analog"),
+    ("analyse", "analyze"),
+    ("artefact", "artifact"),
+    ("authoris", "authoriz"),
+    ("calibre", "caliber"),
+    ("cancelled", "canceled"),
+    ("capitalis", "capitaliz"),
+    ("catalogue", "catalog"),
+    ("categoris", "categoriz"),
+    ("centre", "center"),
+    ("emphasised", "emphasized"),
+    ("favour", "favor"),
+    ("fulfill", "fulfil"),
     ("https:", "http:"),
+    ("initialis", "initializ"),
+    ("judgement", "judgment"),
+    ("labelling", "labeling"),
+    ("labour", "labor"),
+    ("licence", "license"),
+    ("maximis", "maximiz"),
+    ("modelled", "modeled"),
+    ("modelling", "modeling"),
+    ("offence", "offense"),
+    ("optimis", "optimiz"),
+    ("organis", "organiz"),
+    ("practise", "practice"),
+    ("programme", "program"),
+    ("realis", "realiz"),
+    ("recognis", "recogniz"),
+    ("signalling", "signaling"),
+    ("utilis", "utiliz"),
+    ("whilst", "while"),
+)
+PHRASES = (
+    ("copyright owner", "copyright holder"),
+    ("non commercial", "noncommercial"),
+    ("per cent", "percent"),
+    ("sub license", "sublicense"),
+    ("wish list", "wishlist"),
+)
+# what comments and bullets put before the words of a line
+DECORATION = r"^[\x00-\x20*#/;!%|>=_+~•·-]+"
+# a lowered line, without decoration, that tells whose the text is
+COPYRIGHT_LINE = (
+    r"^(?:copyright[\x00-\x20:]*(?:\(c\)|©|by[\x00-\x20]|[\[<{(]*(?:[0-9]{4}|yyyy|19yy|years?[\]>})]))"
+    r"|©|\(c\)[\x00-\x20]*(?:copyright|[\[<{(]*(?:[0-9]{4}|yyyy))"
+    r"|all rights reserved[.!]*[\x00-\x20*/#]*$)"
+)
+# numbers and letters of list items, where a paragraph begins or a clause has ended
+ITEM = (
+    r"(^|[a-z0-9)\x22”]{2}[.;:](?:[\x00-\x20]+(?:and|or))?[\x00-\x20]+)"
+    r"(?:[(\[]?(?:[0-9]{1,2}(?:\.[0-9]{1,2})*|[a-z]|[ivx]{2,4})[.)\]:]+[\x00-\x20]+)+"
 )
-COPYRIGHT_LINE = r"^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—…•·©]+"
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—…•·©]"
+BREAK = " ?\n[ \n]*"
 _ASCII_UPPER, _ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def canonical_line(line: Column) -> Column:
-    """Canonical form of one line; empty for a copyright line or a line without words."""
-    lowered = F.translate(line, _ASCII_UPPER, _ASCII_LOWER)
-    lowered = F.when(lowered.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(lowered)
-    for other, ours in SPELLINGS:
-        lowered = F.replace(lowered, F.lit(other), F.lit(ours))
-    return F.trim(F.regexp_replace(lowered, PUNCTUATION, " "))
+def _canonical(part: Column) -> Column:
+    """Canonical form of a lowered line or paragraph."""
+    form = F.regexp_replace(F.trim(part), ITEM, "$1")
+    form = F.trim(F.regexp_replace(form, PUNCTUATION, " "))
+    for other, ours in PHRASES:
+        form = F.replace(form, F.lit(other), F.lit(ours))
+    return form
 
 
-def canonical_text(text: str) -> str:
-    """The same on the driver, for the known texts."""
-    lines = []
-    for line in text.translate(str.maketrans(_ASCII_UPPER, _ASCII_LOWER)).split("\n"):
-        if re.match(COPYRIGHT_LINE, line):
-            continue
-        for other, ours in SPELLINGS:
-            line = line.replace(other, ours)
-        lines.append(re.sub(PUNCTUATION, " ", line).strip(" "))
-    return " ".join(filter(None, lines))
+def _paragraphs(lines: Column) -> Column:
+    """Canonical paragraphs of lines, of which some are but a line feed. Others have none."""
+    joined = F.array_join(lines, " ")
+    return F.filter(F.transform(F.split(joined, BREAK, -1), _canonical), lambda part: part != "")
 
 
-def texts_of(table: DataFrame) -> dict[str, list[str]]:
-    """The known texts from a table (name, text) with a row for each text of a licence."""
-    found: dict[str, list[str]] = {}
-    for row in table.where("name is not null and text is not null").select("name", "text").toLocalIterator():
-        found.setdefault(row["name"], []).append(row["text"])
-    return found
+def forms(texts: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and, for the text of each row: ``digest`` of its canonical form, ``as_is``, that
+    with its copyright lines (null if it has none), and ``parts``, those of its lines and
+    paragraphs, as bytes."""
+    lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), _ASCII_UPPER, _ASCII_LOWER)
+    for other, ours in SPELLINGS:
+        lowered = F.replace(lowered, F.lit(other), F.lit(ours))
+    lines = F.transform(F.split(lowered, "\n", -1), lambda line: F.regexp_replace(line, DECORATION, ""))
+    rows = texts.select(*keep, lines.alias("_lines"))
+
+    def where_words(line: Column) -> Column:
+        return F.when(line.rlike(WORDS), line).otherwise("\n")
+
+    owned = F.transform("_lines", lambda line: F.when(line.rlike(COPYRIGHT_LINE), "\n").otherwise(where_words(line)))
+    rows = rows.select(*keep, "_lines", owned.alias("_kept"))
+    rows = rows.select(
+        *keep,
+        F.when(
+            F.exists("_lines", lambda line: line.rlike(COPYRIGHT_LINE)),
+            F.md5(F.array_join(_paragraphs(F.transform("_lines", where_words)), " ")),
+        ).alias("as_is"),
+        F.transform(F.filter("_kept", lambda line: line != "\n"), _canonical).alias("_single"),
+        _paragraphs(F.col("_kept")).alias("_paragraphs"),
+    )
+    parts = F.array_distinct(F.concat("_single", "_paragraphs"))
+    return rows.select(
+        *keep,
+        F.md5(F.array_join("_paragraphs", " ")).alias("digest"),
+        "as_is",
+        F.transform(parts, lambda part: F.unhex(F.md5(part))).alias("parts"),
+    )
+
 
+def text_table(spark: SparkSession, texts: dict[str, list[str]] = TEXTS) -> DataFrame:
+    """(name, text) of texts by name."""
+    rows = [(name, text) for name, of in texts.items() for text in of]
+    return spark.createDataFrame(rows, "name string, text string")
 
-def known_digests(texts: dict[str, list[str]] = TEXTS) -> dict[str, str]:
-    """Canonical digest to licence name."""
-    return {
-        hashlib.md5(canonical_text(text).encode()).hexdigest(): name for name, of in texts.items() for text in of
-    }
+
+def known_digests(table: DataFrame) -> DataFrame:
+    """(known, name): the digests that stand for the texts of a table (name, text). Of
+    two names for one digest the first in order stays; texts without words have none."""
+    rows = forms(table.where("name is not null and text is not null"), "name")
+    rows = rows.select("name", F.explode(F.array_distinct(F.array("digest", F.coalesce("as_is", "digest")))).alias("known"))
+    rows = rows.where(F.col("known") != F.md5(F.lit("")))
+    return stage(rows.groupBy("known").agg(F.min("name").alias("name")))
 
 
 def license_scan(docs: DataFrame, texts: dict[str, list[str]] | DataFrame = TEXTS) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, digest of the canonical text,
     license (that of the whole text, or null) and notices (names of the licences that
     lines or paragraphs give, sorted, separated by commas; empty if none). ``texts``
-    are the known ones, by name or as a table (name, text).
+    are the known ones, by name or as a table (name, text) of any size.
 
     A null text counts as empty and has the digest of the empty text, which is no
     licence. Repeated rows stay apart; one line in many copies names its licence once.
     """
     spark = docs.sparkSession
-    known = known_digests(texts_of(texts) if isinstance(texts, DataFrame) else texts)
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    scanned = docs.select("doc_id", F.transform(lines, canonical_line).alias("_all"))
-    # no canonical line has a line feed, so one stands for each empty line
-    marked = F.array_join(F.transform("_all", lambda line: F.when(line == "", "\n").otherwise(line)), " ")
-    scanned = scanned.select(
+    known = known_digests(texts if isinstance(texts, DataFrame) else text_table(spark, texts))
+    rows = stage(forms(docs.select("doc_id", "text"), "doc_id").withColumn("_row", F.monotonically_increasing_id()))
+    parts = rows.select("_row", F.explode("parts").alias("part"))
+    if table_bytes(known) > BROADCAST_LIMIT:  # only what is asked for: a row for each licence that is there
+        asked = rows.select(F.explode(F.array("digest", "as_is")).alias("known")).unionAll(
+            parts.select(F.lower(F.hex("part")).alias("known"))
+        )
+        known = stage(known.join(asked.distinct(), "known", "left_semi"))
+    known = small(known)
+    hits = parts.join(known.withColumn("part", F.unhex("known")).drop("known"), "part")
+    notices = hits.groupBy("_row").agg(F.array_join(F.sort_array(F.collect_set("name")), ",").alias("notices"))
+    whole = rows.select("_row", "doc_id", "digest", "as_is")
+    for form in ("digest", "as_is"):
+        names = known.select(F.col("known").alias(form), F.col("name").alias(f"_{form}"))
+        whole = whole.join(names, form, "left")
+    return whole.join(small(stage(notices)), "_row", "left").select(
         "doc_id",
-        F.filter("_all", lambda line: line != "").alias("_lines"),
-        F.split(marked, " ?\n[ \n]*", -1).alias("_paragraphs"),
+        "digest",
+        F.coalesce("_digest", "_as_is").alias("license"),
+        F.coalesce("notices", F.lit("")).alias("notices"),
     )
-    digests = F.transform(F.concat("_lines", "_paragraphs"), lambda part: F.md5(part))
-    scanned = scanned.select(
-        "doc_id",
-        F.md5(F.array_join("_lines", " ")).alias("digest"),
-        F.array_intersect(digests, F.array(*map(F.lit, known))).alias("_hits"),
-    )
-    scanned = stage(scanned.withColumn("_row", F.monotonically_increasing_id()))
-    names = F.broadcast(_name_table(spark, known))  # a row for each licence of the argument
-    whole = scanned.join(names, F.col("digest") == F.col("_digest"), "left").withColumnRenamed("_name", "license")
-    hits = scanned.select("_row", F.explode("_hits").alias("_hit")).join(names, F.col("_hit") == F.col("_digest"))
-    notices = hits.groupBy("_row").agg(F.array_join(F.sort_array(F.collect_set("_name")), ",").alias("notices"))
-    return whole.join(notices, "_row", "left").select(
-        "doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices")
-    )
-
-
-def _name_table(spark: SparkSession, known: dict[str, str]) -> DataFrame:
-    rows = [F.struct(F.lit(digest).alias("_digest"), F.lit(name).alias("_name")) for digest, name in known.items()]
-    return spark.range(1).select(F.inline(F.array(*rows)))

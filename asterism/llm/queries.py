@@ -27,6 +27,7 @@ from asterism.llm import (
     whitening,
 )
 from asterism.llm.common import read
+from asterism.llm.license_texts import TEXTS
 from asterism.sources.staging import scratch_root
 
 
@@ -108,23 +109,49 @@ _SIZE = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
 
 
 
-def _license_sql() -> str:
-    """The licence scan in SQL, with the known digests as a table of values."""
-    line = "translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    line = f"CASE WHEN regexp_matches({line}, '{licenses.COPYRIGHT_LINE}') THEN '' ELSE {line} END"
-    for other, ours in licenses.SPELLINGS:
-        line = f"replace({line}, '{other}', '{ours}')"
-    line = f"trim(regexp_replace({line}, '{licenses.PUNCTUATION}', ' ', 'g'))"
-    known = ", ".join(f"('{digest}', '{name}')" for digest, name in licenses.known_digests().items())
+def license_sql(texts: dict[str, list[str]] = TEXTS, docs: str = "documents") -> str:
+    """The licence scan in SQL, digests of the known texts and all."""
+
+    def replaced(text: str, pairs: tuple[tuple[str, str], ...]) -> str:
+        for other, ours in pairs:
+            text = f"replace({text}, '{other}', '{ours}')"
+        return text
+
+    def canonical(part: str) -> str:
+        form = f"regexp_replace(trim({part}), '{licenses.ITEM}', '\\1', 'g')"
+        form = f"trim(regexp_replace({form}, '{licenses.PUNCTUATION}', ' ', 'g'))"
+        return replaced(form, licenses.PHRASES)
+
+    def paragraphs(lines: str) -> str:
+        parts = f"regexp_split_to_array(array_to_string({lines}, ' '), '{licenses.BREAK}')"
+        return f"list_filter(list_transform({parts}, lambda p: {canonical('p')}), lambda p: p <> '')"
+
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    lowered = replaced(lowered, licenses.SPELLINGS)
+    owned = f"regexp_matches(x, '{licenses.COPYRIGHT_LINE}')"
+    words = f"CASE WHEN regexp_matches(x, '{licenses.WORDS}') THEN x ELSE chr(10) END"
+    quoted = {name: [text.replace("'", "''") for text in of] for name, of in texts.items()}
+    values = ", ".join(f"('{name}', '{text}')" for name, of in quoted.items() for text in of)
     return f"""
-WITH k(digest, name) AS (VALUES {known}),
-l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {line}), lambda x: x <> '') AS lines
-      FROM documents),
-d AS (SELECT doc_id, md5(coalesce(array_to_string(lines, ' '), '')) AS digest, lines FROM l),
-n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices
-      FROM (SELECT doc_id, md5(unnest(lines)) AS digest FROM l) JOIN k USING (digest) GROUP BY doc_id)
-SELECT d.doc_id, d.digest, k.name AS license, coalesce(n.notices, '') AS notices
-FROM d LEFT JOIN k USING (digest) LEFT JOIN n ON d.doc_id = n.doc_id"""
+WITH t(doc_id, name, text) AS (
+  SELECT NULL, * FROM (VALUES {values}) UNION ALL SELECT doc_id, NULL, text FROM {docs}),
+l AS (SELECT *, list_transform(string_split({lowered}, chr(10)), lambda x: regexp_replace(x, '{licenses.DECORATION}', '')) AS all_lines
+      FROM (SELECT *, row_number() OVER () AS i FROM t)),
+o AS (SELECT *, list_transform(all_lines, lambda x: CASE WHEN {owned} THEN chr(10) ELSE {words} END) AS kept FROM l),
+f AS (SELECT i, doc_id, name, {paragraphs("kept")} AS ps,
+             list_transform(list_filter(kept, lambda x: x <> chr(10)), lambda x: {canonical("x")}) AS singles,
+             CASE WHEN len(list_filter(all_lines, lambda x: {owned})) > 0
+                  THEN md5(coalesce(array_to_string({paragraphs(f"list_transform(all_lines, lambda x: {words})")}, ' '), '')) END AS as_is
+      FROM o),
+d AS (SELECT *, md5(coalesce(array_to_string(ps, ' '), '')) AS digest FROM f),
+k AS (SELECT known, min(name) AS name
+      FROM (SELECT name, unnest([digest, as_is]) AS known FROM d WHERE name IS NOT NULL)
+      WHERE known <> md5('') GROUP BY known),
+n AS (SELECT i, string_agg(DISTINCT k.name, ',' ORDER BY k.name) AS notices
+      FROM (SELECT i, md5(unnest(list_concat(singles, ps))) AS known FROM d WHERE name IS NULL) JOIN k USING (known) GROUP BY i)
+SELECT d.doc_id, d.digest, coalesce(a.name, b.name) AS license, coalesce(n.notices, '') AS notices
+FROM d LEFT JOIN k a ON d.digest = a.known LEFT JOIN k b ON d.as_is = b.known LEFT JOIN n USING (i)
+WHERE d.name IS NULL"""
 
 
 _COLLOCATIONS = r"""
@@ -156,7 +183,7 @@ QUALIFY rank <= 2000"""
 
 ORACLES: dict[str, str] = {
     "op12_collocations": _COLLOCATIONS,
-    "op8_license_scan": _license_sql(),
+    "op8_license_scan": license_sql(),
     "op1_mix": f"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce({_SIZE}, 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w

@@ -1,5 +1,7 @@
 import hashlib
 import os
+import re
+import textwrap
 from importlib import resources
 
 import pytest
@@ -8,7 +10,7 @@ from conftest import rows_of
 
 from asterism.llm import licenses
 from asterism.llm.license_texts import TEXTS
-from asterism.llm.queries import ORACLES, QUERIES
+from asterism.llm.queries import ORACLES, QUERIES, license_sql
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 MIT = TEXTS["MIT"][0]
@@ -21,6 +23,102 @@ VARIANTS = [
 ]
 
 
+FILES = {f.name.removesuffix(".txt"): f.read_text("utf-8") for f in resources.files("asterism.llm").joinpath("license_files").iterdir()}
+WHOLE = FILES | {"MIT": MIT, "ISC": TEXTS["ISC"][0], "Zlib": TEXTS["Zlib"][0]}
+OWN_NOTICE = re.compile(r"\s*(copyright\s*(\(c\)|[\[<{(]?(\d{4}|yyyy))|\(c\)\s*\d{4})", re.I)
+
+
+def canonical_text(text):
+    """The canonical form in Python."""
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    for other, ours in licenses.SPELLINGS:
+        text = text.replace(other, ours)
+    lines = [re.sub(licenses.DECORATION, "", line) for line in text.split("\n")]
+    lines = ["\n" if re.search(licenses.COPYRIGHT_LINE, x) or not re.search(licenses.WORDS, x) else x for x in lines]
+    parts = []
+    for part in re.split(licenses.BREAK, " ".join(lines)):
+        part = re.sub(licenses.PUNCTUATION, " ", re.sub(licenses.ITEM, r"\1", part.strip(" "))).strip(" ")
+        for other, ours in licenses.PHRASES:
+            part = part.replace(other, ours)
+        parts.append(part)
+    return " ".join(filter(None, parts))
+
+
+def refilled(text, width):
+    """The paragraphs wrapped anew, but for copyright lines, which stay as they are."""
+    out, held = [], []
+    for line in [*text.split("\n"), ""]:
+        if line.strip() and not OWN_NOTICE.match(line):
+            held.append(line.strip())
+            continue
+        if held:
+            out.append(textwrap.fill(" ".join(held), width, break_long_words=False, break_on_hyphens=False))
+            held = []
+        out.append(line)
+    return "\n".join(out)
+
+
+def commented(text, first, each, last):
+    return "\n".join([first, *(f"{each}{line}" for line in text.split("\n")), last])
+
+
+FORMS = {
+    "as it is": lambda t: t,
+    **{f"{w} columns": (lambda t, w=w: refilled(t, w)) for w in (60, 72, 100)},
+    "a line a paragraph": lambda t: refilled(t, 1 << 20),
+    "in C": lambda t: commented(t, "/*", " * ", " */"),
+    "in a script, wrapped": lambda t: commented(refilled(t, 64), "#!/bin/sh", "# ", "#").removeprefix("#!/bin/sh"),
+    "in Java": lambda t: commented(t, "//", "//   ", "//"),
+    "bullets": lambda t: re.sub(r"(?m)(^\s*\n|[.;:]\s*\n)(\s*)\(?([0-9]{1,2}|[a-z])[.)]\s", r"\1\2* ", t),
+    "shouted, with an owner": lambda t: "Copyright (c) 2021 Some One\n\n" + t.upper(),
+}
+
+
+def test_known_texts_in_any_form(documents):
+    """Each whole text is found however it is wrapped, commented or numbered."""
+    cases = [(name, form) for name in WHOLE for form in FORMS]
+    rows = [(i, FORMS[form](WHOLE[name])) for i, (name, form) in enumerate(cases)]
+    got = {r["doc_id"]: r["license"] for r in licenses.license_scan(documents(rows)).collect()}
+    assert [(n, f, got[i]) for i, (n, f) in enumerate(cases) if got[i] != n] == []
+
+
+def test_copyright_lines_joined_to_others(documents):
+    """A line that was joined to its neighbours isn't left out, so the form that keeps them is looked up."""
+    text = re.sub(r"(?<=\S)\n(?=[ \t]*\S)", " ", WHOLE["GPL-2.0"])
+    assert licenses.license_scan(documents([(1, text)])).first()["license"] == "GPL-2.0"
+
+
+def test_versions_are_no_list_items(documents):
+    rows = [(i, f"This is licensed under the GNU General Public License, v. {i}.0. That is all.") for i in (1, 2, 3)]
+    assert len({r["digest"] for r in licenses.license_scan(documents(rows)).collect()}) == 3
+
+
+def test_spellings(documents):
+    one = "The licence was authorised whilst the copyright owner labelled 5 per cent of the programme non-commercial."
+    other = "The license was authorized while the copyright holder labelled 5 percent of the program noncommercial."
+    rows = licenses.license_scan(documents([(1, one), (2, other), (3, other.replace("5", "6"))])).collect()
+    digests = {r["doc_id"]: r["digest"] for r in rows}
+    assert digests[1] == digests[2] != digests[3]
+
+
+def test_sql_on_licences(spark, documents, tmp_path):
+    """Paragraphs, notices and whole texts, with digests that the SQL makes itself."""
+    rows = [(i, FORMS[form](WHOLE[name])) for i, (name, form) in enumerate([(n, f) for n in ("MIT", "BSD-3-Clause", "GPL-2.0") for f in FORMS])]
+    rows += [(100, f"some words\n\n{MIT}\n\nmore words"), (101, "\n".join(t for of in TEXTS.values() for t in of if len(t) < 300))]
+    rows += [(102, None), (103, ""), (104, "/* SPDX-License-Identifier: GPL-2.0+ */\n\n" + TEXTS["Apache-2.0"][-1])]
+    documents(rows).write.parquet(str(tmp_path / "d"))
+    table = spark.read.parquet(str(tmp_path / "d"))
+    sql = license_sql(docs=f"read_parquet('{tmp_path}/d/*.parquet')")
+    assert assert_same(licenses.license_scan(table), connect(SF_DIR), sql) == len(rows)
+
+
+def test_a_large_table_of_texts_gives_the_same(documents, monkeypatch):
+    docs = documents([*enumerate([*WHOLE.values(), "none", None, "x\n\nReleased under the MIT License"])])
+    want = rows_of(licenses.license_scan(docs))
+    monkeypatch.setattr(licenses, "BROADCAST_LIMIT", 10)
+    assert rows_of(licenses.license_scan(docs)) == want
+
+
 def test_variants_have_one_digest(documents):
     rows = licenses.license_scan(documents([*enumerate(VARIANTS)])).collect()
     assert {r["license"] for r in rows} == {"MIT"}
@@ -43,7 +141,7 @@ def test_both_forms_of_the_canonical_text_agree(documents):
     texts = [*VARIANTS, "Ünïcode — “quotes” … İ\n\x00\x7f(c) gone\nEND", "", *(t for of in TEXTS.values() for t in of)]
     got = {r["doc_id"]: r["digest"] for r in licenses.license_scan(documents([*enumerate(texts)])).collect()}
     for i, text in enumerate(texts):
-        assert got[i] == hashlib.md5(licenses.canonical_text(text).encode()).hexdigest()
+        assert got[i] == hashlib.md5(canonical_text(text).encode()).hexdigest()
 
 
 def test_oracle(spark):
