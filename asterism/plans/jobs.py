@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,7 +14,7 @@ from asterism.operators.lookup import BROADCAST_LIMIT, MOST_TASKS, JoinFigures,
 from asterism.operators.transforms import drop_null, keep_equal
 from asterism.plans.dimensions import build_artists, build_songs, build_time, build_users
 from asterism.plans.fact import TITLE_ONLY, build_songplays
-from asterism.sources.json_tree import BAD_LINE, dataset_path, read_json_tree, split_bad_lines
+from asterism.sources.json_tree import BAD_LINE, dataset_path, read_json_tree, split_bad_lines, tree_fingerprint
 from asterism.sources.schemas import (
     ARTISTS,
     CATALOGUE_DATASET,
@@ -31,7 +32,7 @@ from asterism.sources.schemas import (
     star_tables,
 )
 from asterism.sources.staging import freed, staged
-from asterism.sources.tables import read_table, write_table
+from asterism.sources.tables import made_from, read_table, table_path, write_table
 from asterism.sources.versions import expire_versions
 
 # added to a dataset's name, the table of its lines that couldn't be read
@@ -66,6 +67,43 @@ def select_plays(log: DataFrame, page: str = PLAY_PAGE) -> DataFrame:
     return kept.withColumn("start_time", epoch_ms_to_timestamp("ts")).drop("page", "ts")
 
 
+class Ledger:
+    """The tables of a job under ``output_root``, and what each was made from.
+
+    To ``resume`` leaves out the tables that were made from the same files, by the same
+    options and from the same version of other tables. The record is part of the table's
+    version, so there is no other state that could be at odds with it.
+    """
+
+    def __init__(self, spark: SparkSession, output_root: str, resume: bool, *sources: Callable[[], object]):
+        self.spark, self.root = spark, output_root
+        # before anything is read: what changes later is another origin
+        self.base = repr([source() for source in sources]) if resume else None
+
+    def origin(self, *more: object) -> str | None:
+        """Name for the job's sources and more that a table was made from."""
+        if self.base is None:
+            return None
+        return hashlib.blake2b(repr((self.base, more)).encode(), digest_size=16).hexdigest()
+
+    def lacks(self, name: str, *more: object) -> bool:
+        """Whether the table is to be made."""
+        origin = self.origin(*more)
+        return origin is None or made_from(self.spark, self.root, name) != origin
+
+    def write(
+        self,
+        make: Callable[[], DataFrame],
+        name: str,
+        keys: Sequence[str] = (),
+        compact: bool = False,
+        more: Sequence[object] = (),
+    ) -> None:
+        """Make and write a table, if it is lacking."""
+        if self.lacks(name, *more):
+            write_table(make(), self.root, name, keys, compact, self.origin(*more))
+
+
 def run_catalogue(
     spark: SparkSession,
     input_root: str,
@@ -74,6 +112,7 @@ def run_catalogue(
     stage_inputs: bool = True,
     required: Sequence[str] = (),
     bad_lines: bool = False,
+    resume: bool = False,
 ) -> dict[str, int]:
     """Catalogue tree to the ``songs`` and ``artists`` tables.
 
@@ -82,17 +121,30 @@ def run_catalogue(
     With ``bad_lines`` those that couldn't be read go to the table ``song_data_bad_lines``
     instead. Returns how many ``lines`` there were, and how many of them were
     ``incomplete``, lacking a required field, and ``bad``; no job is added for that.
+    With ``resume`` tables that an earlier run with ``resume`` made from the same files and
+    options stay; if all do, nothing is read and there are no figures.
     """
     songs = songs_table(song_keys)
+    ledger = Ledger(
+        spark,
+        output_root,
+        resume,
+        lambda: tree_fingerprint(spark, input_root, CATALOGUE_DATASET, CATALOGUE_DEPTH),
+        lambda: (list(required), bad_lines),
+    )
+    by_keys = [sorted((key, repr(of)) for key, of in song_keys.items())]
+    bad_table = CATALOGUE_DATASET + BAD_LINES
+    if not (ledger.lacks(songs.name, *by_keys) or ledger.lacks(ARTISTS.name) or bad_lines and ledger.lacks(bad_table)):
+        return {}
     seen = Observation()
     lines = _watched(read_catalogue(spark, input_root, bad_lines=bad_lines), seen, required)
     with staged(lines if bad_lines else drop_null(lines, required), stage_inputs or bad_lines) as catalogue:
         if bad_lines:
             catalogue, bad = split_bad_lines(catalogue)
-            write_table(bad, output_root, CATALOGUE_DATASET + BAD_LINES)
+            ledger.write(lambda: bad, bad_table)
             catalogue = drop_null(catalogue, required)
-        write_table(build_songs(catalogue, song_keys), output_root, songs.name, [*songs.keys], compact=True)
-        write_table(build_artists(catalogue), output_root, ARTISTS.name)
+        ledger.write(lambda: build_songs(catalogue, song_keys), songs.name, [*songs.keys], True, by_keys)
+        ledger.write(lambda: build_artists(catalogue), ARTISTS.name)
     return observed(seen)
 
 
@@ -120,6 +172,7 @@ def run_log(
     ordered_key: bool = False,
     most_tasks: int = MOST_TASKS,
     bad_lines: bool = False,
+    resume: bool = False,
 ) -> dict[str, int]:
     """Log tree and the stored ``songs`` to the ``users``, ``time`` and ``songplays`` tables.
 
@@ -134,12 +187,27 @@ def run_log(
     Returns how many ``lines`` there were, how many of them were ``incomplete``, ``bad``
     and ``plays``, and how many plays were ``unmatched``: had no song, so no row in the fact. The figures
     come out of the passes that run anyway.
+
+    With ``resume`` tables that an earlier run with ``resume`` made from the same files,
+    options and songs stay; if all do, nothing is read and there are no figures.
     """
+    ledger = Ledger(
+        spark,
+        output_root,
+        resume,
+        lambda: tree_fingerprint(spark, input_root, LOG_DATASET, LOG_DEPTH),
+        lambda: (page, list(required), bad_lines),
+    )
+    stored = songs_table(song_keys)
+    of_fact = [table_path(spark, output_root, stored.name), [*map(tuple, on)], dedup_before_id, ordered_key]
+    bad_table = LOG_DATASET + BAD_LINES
+    fact_lacks = ledger.lacks(SONGPLAYS.name, *of_fact)
+    if not (fact_lacks or ledger.lacks(USERS.name) or ledger.lacks(TIME.name) or bad_lines and ledger.lacks(bad_table)):
+        return {}
     seen, figures = Observation(), JoinFigures()
     lines = read_log(spark, input_root, bad_lines=bad_lines)
     complete = reduce(Column.__and__, (F.col(c).isNotNull() for c in required), F.lit(True))
     lines = _watched(lines, seen, required, plays=(F.col("page") == page) & complete)
-    stored = songs_table(song_keys)
     if bad_lines:
         wanted = lines.where((F.col("page") == page) | F.col(BAD_LINE).isNotNull())
     else:
@@ -147,10 +215,12 @@ def run_log(
     with freed(spark), staged(wanted, stage_inputs or bad_lines) as plays:
         if bad_lines:
             rows, bad = split_bad_lines(plays)
-            write_table(bad, output_root, LOG_DATASET + BAD_LINES)
+            ledger.write(lambda: bad, bad_table)
             plays = select_plays(drop_null(rows, required), page)
-        write_table(build_users(plays), output_root, USERS.name)
-        write_table(build_time(plays, compact=True), output_root, TIME.name, [*TIME.keys])
+        ledger.write(lambda: build_users(plays), USERS.name)
+        ledger.write(lambda: build_time(plays, compact=True), TIME.name, [*TIME.keys])
+        if not fact_lacks:
+            return observed(seen)
         songs = read_table(spark, output_root, stored.name, stored.schema)
         fact = build_songplays(
             plays,
@@ -163,7 +233,7 @@ def run_log(
             most_tasks=most_tasks,
             figures=figures,
         )
-        write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys])
+        write_table(fact, output_root, SONGPLAYS.name, [*SONGPLAYS.keys], origin=ledger.origin(*of_fact))
     return {**observed(seen), "unmatched": figures.unmatched()}
 
 
@@ -176,13 +246,17 @@ def run_star(
     required_song: Sequence[str] = (),
     required_log: Sequence[str] = (),
     bad_lines: bool = False,
+    resume: bool = False,
     **log_options,
 ) -> dict[str, dict[str, int]]:
-    """Both jobs in order; the log job needs the stored songs. Returns the figures of both."""
-    log_options |= {"stage_inputs": stage_inputs, "required": required_log, "bad_lines": bad_lines}
+    """Both jobs in order; the log job needs the stored songs. Returns the figures of both.
+
+    With ``resume`` a run that was stopped goes on with the tables it had not finished.
+    """
+    log_options |= {"stage_inputs": stage_inputs, "required": required_log, "bad_lines": bad_lines, "resume": resume}
     return {
         CATALOGUE_DATASET: run_catalogue(
-            spark, input_root, output_root, song_keys, stage_inputs, required_song, bad_lines
+            spark, input_root, output_root, song_keys, stage_inputs, required_song, bad_lines, resume
         ),
         LOG_DATASET: run_log(spark, input_root, output_root, song_keys, **log_options),
     }

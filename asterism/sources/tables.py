@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from asterism.operators.layout import rebalance
 from asterism.sources.json_tree import dataset_path
-from asterism.sources.versions import current_version, finish_version, next_version
+from asterism.sources.versions import current_origin, current_version, finish_version, next_version
 
 
 def write_table(
@@ -17,6 +17,7 @@ def write_table(
     name: str,
     keys: Sequence[str] = (),
     compact: bool = False,
+    origin: str | None = None,
 ) -> str:
     """Replace the table ``name`` under ``root`` with ``df`` and return the address of its files.
 
@@ -28,7 +29,8 @@ def write_table(
     The rows go to a new version, which becomes the table when all of it is written: a
     write that fails leaves the table as it was, and ``df`` may read the table itself.
     The whole table is replaced whatever the session says of partitions.
-    ``expire_versions`` frees what earlier versions take.
+    ``expire_versions`` frees what earlier versions take. ``origin`` names what the
+    rows were made from, for ``made_from``.
     """
     spark = df.sparkSession
     version = next_version(spark, dataset_path(root, name))
@@ -37,10 +39,15 @@ def write_table(
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(version)
-    finish_version(spark, version)
+    finish_version(spark, version, origin)
     return version
 
 
+def made_from(spark: SparkSession, root: str, name: str) -> str | None:
+    """What the table ``name`` was made from as it is now, if its writer told."""
+    return current_origin(spark, dataset_path(root, name))
+
+
 def table_path(spark: SparkSession, root: str, name: str) -> str:
     """Address of the files that are the table ``name`` now."""
     return current_version(spark, dataset_path(root, name))

@@ -6,6 +6,10 @@ the table. The marker's name says all and it is made in one step, so this holds
 stores too, where a rename is a copy. A write that fails leaves a folder without a marker,
 which nobody reads. A reader keeps the version it began with.
 
+A version may also have an origin, a name for what it was made from: an empty file of
+the version's name and that one, made before the marker, so a finished version has it or
+never had one.
+
 A folder without ``_versions`` is a plain table, written by others or by an earlier
 release, and is read as it is.
 """
@@ -17,7 +21,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-VERSIONS, MARKER = "_versions", ".done"
+VERSIONS, MARKER, ORIGIN = "_versions", ".done", ".from-"
 # a writer may still be at work on a version without a marker
 UNFINISHED_HOURS = 48.0
 
@@ -56,8 +60,19 @@ def next_version(spark: SparkSession, table: str) -> str:
     return f"{table}/{VERSIONS}/v-{max(numbers, default=0) + 1:012d}-{uuid.uuid4().hex}"
 
 
-def finish_version(spark: SparkSession, version: str) -> None:
+def current_origin(spark: SparkSession, table: str) -> str | None:
+    """Origin of the newest finished version, if it has one."""
+    statuses = _listed(spark, table)
+    names = [s.getPath().getName() for s in statuses]
+    newest = [f"{name}{ORIGIN}" for name in _finished(statuses)[-1:]]
+    return next((n.removeprefix(start) for start in newest for n in names if n.startswith(start)), None)
+
+
+def finish_version(spark: SparkSession, version: str, origin: str | None = None) -> None:
     """Make a version whose files are all written the one that readers get."""
+    if origin is not None:
+        fs, where = _hadoop(spark, f"{version}{ORIGIN}{origin}")
+        fs.createNewFile(where)
     fs, marker = _hadoop(spark, version + MARKER)
     if not fs.createNewFile(marker):
         raise FileExistsError(version + MARKER)
@@ -82,8 +97,10 @@ def expire_versions(
         name = status.getPath().getName()
         if status.isDirectory() and name not in finished and status.getModificationTime() / 1000 < stale:
             gone.append(name)
+    names = [s.getPath().getName() for s in statuses]
     for name in gone:
-        for path in (f"{table}/{VERSIONS}/{name}{MARKER}", f"{table}/{VERSIONS}/{name}"):
-            fs, where = _hadoop(spark, path)
+        origins = [n for n in names if n.startswith(f"{name}{ORIGIN}")]
+        for file in (f"{name}{MARKER}", *origins, name):
+            fs, where = _hadoop(spark, f"{table}/{VERSIONS}/{file}")
             fs.delete(where, True)
     return gone
