@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-TREES, DEPTH, BINS, RATE, LEAST = 50, 4, 32, 0.2, 20.0
+TREES, DEPTH, BINS, RATE, LEAST = 100, 5, 32, 0.2, 20.0
 
 
 @dataclass

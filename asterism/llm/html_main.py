@@ -42,11 +42,18 @@ TOKENS = {
     "more": "related share sharing social recommended more trending popular tags tag meta author byline",
 }
 _GROUPS = {word: group for group, words in enumerate(TOKENS.values()) for word in words.split()}
+# elements around a block, at any distance, that tell what it is
+_AROUND = ("article", "main", "nav", "header", "footer", "aside", "form")
+_BIT = {name: 1 << i for i, name in enumerate(_AROUND)}
+_MAIN = _BIT["article"] | _BIT["main"]
+# groups that a heading names, for what follows it
+_SAID = ("comment", "more")
 _NAMES = (
     "article main section div p li ul table td nav footer header aside form h1 h2 h3 blockquote pre figure body"
 ).split()
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _STOP = re.compile(r"[.!?…]")
+_HEADING = re.compile(r"h[1-6]")
 
 
 @dataclass(slots=True)
@@ -56,6 +63,9 @@ class Block:
     depth: int
     groups: int  # bits of TOKENS
     above: int  # those of the blocks around it
+    within: int = 0  # bits of _AROUND
+    holds: int = 0  # the same of what is inside of it
+    said: int = 0  # bits of TOKENS that a heading at its beginning names
     own: int = 0  # characters of its own text
     own_stops: int = 0
     links: int = 0  # characters in links
@@ -71,7 +81,10 @@ class Block:
 def _groups(node: Node) -> int:
     if not node.attributes:
         return 0
-    words = " ".join(node.get(name) for name in ("class", "id", "role"))
+    return _groups_of(" ".join(node.get(name) for name in ("class", "id", "role")))
+
+
+def _groups_of(words: str) -> int:
     bits = 0
     for word in _TOKEN.findall(words):
         if (group := _GROUPS.get(word.lower())) is not None:
@@ -115,6 +128,8 @@ def read_blocks(source: str) -> tuple[list[Block], list[tuple[int, str]]]:
             runs.append((at, item))
             length = len(item) if not item.isspace() else 0
             block = blocks[at]
+            if _HEADING.fullmatch(block.name) and blocks[block.parent].start == block.start:
+                blocks[block.parent].said |= _groups_of(item)
             block.own += length
             block.own_stops += len(_STOP.findall(item))
             block.links += length if linked else 0
@@ -129,7 +144,9 @@ def read_blocks(source: str) -> tuple[list[Block], list[tuple[int, str]]]:
         else:
             above = blocks[at]
             here = len(blocks)
-            blocks.append(Block(item.name, at, above.depth + 1, _groups(item), above.above | above.groups, start=total))
+            around = above.within | _BIT.get(above.name, 0)
+            block = Block(item.name, at, above.depth + 1, _groups(item), above.above | above.groups, around, start=total)
+            blocks.append(block)
             above.children.append(here)
             runs.append((here, " "))
             stack.append((here, here, False))
@@ -139,6 +156,7 @@ def read_blocks(source: str) -> tuple[list[Block], list[tuple[int, str]]]:
         block.stops += block.own_stops
         if block.parent >= 0:
             above = blocks[block.parent]
+            above.holds |= block.holds | _BIT.get(block.name, 0)
             above.text += block.text
             above.stops += block.stops
             above.links += block.links
@@ -154,8 +172,13 @@ def node_features(blocks: list[Block]) -> np.ndarray:
     for block in blocks:
         for i, child in enumerate(block.children):
             place[child] = i
+    said = [0] * len(blocks)  # by headings in the blocks around
+    groups = [1 << [*TOKENS].index(name) for name in _SAID]
+    has_main = blocks[0].holds & _MAIN != 0
     rows = []
     for i, b in enumerate(blocks):
+        if b.parent >= 0:
+            said[i] = said[b.parent] | blocks[b.parent].said
         above = blocks[b.parent] if b.parent >= 0 else b
         among = above.children if b.parent >= 0 else [0]
         k = place[i]
@@ -186,25 +209,29 @@ def node_features(blocks: list[Block]) -> np.ndarray:
                 *(b.name == name for name in _NAMES),
                 *(b.groups >> g & 1 for g in range(len(TOKENS))),
                 *(around >> g & 1 for g in range(len(TOKENS))),
-                *(_within(blocks, i, name) for name in ("article", "main", "nav", "footer", "aside", "form")),
+                *(b.within >> k & 1 for k in range(len(_AROUND))),
+                *(b.holds >> k & 1 for k in range(len(_AROUND))),
+                *(b.said & g != 0 for g in groups),
+                *(said[i] & g != 0 for g in groups),
+                has_main,
+                has_main and not (b.within | b.holds | _BIT.get(b.name, 0)) & _MAIN,
             ]
         )
     return np.array(rows, np.float32)
 
 
-def _within(blocks: list[Block], i: int, name: str) -> bool:
-    """Whether a block lies in an element of that name; looked for a few levels up."""
-    for _ in range(6):
-        i = blocks[i].parent
-        if i < 0:
-            return False
-        if blocks[i].name == name:
-            return True
-    return False
+def _parts(blocks: list[Block], b: Block) -> int:
+    """In how many parts a block's text is, its own and its children's."""
+    return (b.own > 0) + sum(blocks[c].text > 0 for c in b.children)
 
 
 def decode(blocks: list[Block], main: np.ndarray) -> list[bool]:
-    """Whether each block's own text is kept, by the most likely choice for the tree."""
+    """Whether each block's own text is kept, by the most likely choice for the tree.
+
+    Of equally likely ones a block's own probability decides. A block with all its text
+    in one child has nothing to choose, so it opens without a price: any number of plain
+    elements around a part makes no difference.
+    """
     n = len(blocks)
     p = np.clip(main, 1e-4, 1 - 1e-4)
     weight = [1 + log1p(b.text) if b.text else 0.0 for b in blocks]
@@ -214,9 +241,10 @@ def decode(blocks: list[Block], main: np.ndarray) -> list[bool]:
         b, yes, no = blocks[i], log(p[i]), log(1 - p[i])
         inside[i] = weight[i] * yes + sum(inside[c] for c in b.children)
         outside[i] = weight[i] * no + sum(outside[c] for c in b.children)
-        opened = sum(best[c] for c in b.children) - OPENING
+        opened = sum(best[c] for c in b.children) - (OPENING if _parts(blocks, b) > 1 else 0.0)
         opened += (1 + log1p(b.own)) * max(yes, no) if b.own else 0.0
-        options = {"in": inside[i], "out": outside[i]} | ({"open": opened} if b.children else {})
+        options = {"in": inside[i], "out": outside[i]} if p[i] > 0.5 else {"out": outside[i], "in": inside[i]}
+        options |= {"open": opened} if b.children else {}
         choice[i] = max(options, key=options.__getitem__)
         best[i] = options[choice[i]]
     kept = [False] * n

@@ -2,6 +2,9 @@ import base64
 import gzip
 import hashlib
 import html
+import itertools
+import math
+import random
 import re
 import uuid
 import zlib
@@ -76,6 +79,83 @@ def test_given_pages(spark):
         assert got == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inside)).split())
 
 
+TITLE = "A wet spring in the valley"
+SENTENCES = [
+    "The river rose by two metres overnight and the lower fields were under water by dawn.",
+    "Farmers moved their animals to the hills, as they have done in every wet year since the bridge was built.",
+    "The council met in the afternoon and agreed to open the old school as a shelter for the night.",
+    "By the evening the rain had stopped, but the water was expected to stay high for three more days.",
+]
+ARTICLE = f"<h1>{TITLE}</h1>" + "".join(f"<p>{x}</p>" for x in SENTENCES)
+# parts with prose that aren't main text, as people write them; those that come before the article first
+FURNITURE = {
+    "header": "<header><p>Your daily source of news from the whole county</p></header>",
+    "header line": "<header>Your daily source of news from the whole county</header>",
+    "nav": "<nav><p>Choose one of the sections below to read more of what we have written about the region.</p>"
+    '<a href="/x">Sport</a></nav>',
+    "notice": '<div class="cookie-notice"><p>We use cookies to make this site work. By reading on you agree.</p></div>',
+    "footer": "<footer><h4>About us</h4><p>We are a small team of reporters who have covered the county since 1987.</p>"
+    '<ul><li><a href="/a">Contact</a></li><li><a href="/b">Jobs</a></li></ul><p>Copyright 2024 The Paper</p></footer>',
+    "footer class": '<div class="footer"><div><p>We are a small team of reporters, here since 1987.</p></div></div>',
+    "aside": "<aside><p>Sign up today and get the best of our stories by mail every morning at six.</p></aside>",
+    "form": "<form><p>Tell us what you think of this page, we read every message.</p><input name=q></form>",
+    "comments": '<div class="comments"><h3>Comments</h3><p>I was there and it was worse than you say.</p>'
+    "<p>Stay safe, all of you.</p></div>",
+    "comments by heading": "<section><h3>Comments</h3><ul><li>I was there and it was worse than you say.</li>"
+    "<li>Stay safe, all of you.</li></ul></section>",
+}
+BEFORE = ("header", "header line", "nav", "notice")
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", '<div class="content">%s</div>', "%s"])
+def test_prose_beside_the_article_goes_at_any_depth(around):
+    sources, names = [], []
+    for (name, part), deep in itertools.product(FURNITURE.items(), (*range(9), 40)):
+        part, article = "<div>" * deep + part + "</div>" * deep, around % ARTICLE
+        sources.append(f"<html><body>{part + article if name in BEFORE else article + part}</body></html>")
+        names.append((name, deep))
+    got = html_main.main_texts(html_main.trained(), sources)
+    assert [n for n, text in zip(names, got) if text != " ".join([TITLE, *SENTENCES])] == []
+
+
+def every_choice(blocks, p, i):
+    """(score, places of kept text) of each choice for a block and what is below it."""
+    def whole(at, main):
+        b = blocks[at]
+        weight = 1 + math.log1p(b.text) if b.text else 0.0
+        below = [whole(c, main) for c in b.children]
+        return weight * math.log(p[at] if main else 1 - p[at]) + sum(s for s, _ in below), {at}.union(*(k for _, k in below))
+
+    b = blocks[i]
+    yield whole(i, True)
+    yield whole(i, False)[0], set()
+    if b.children:
+        own = (1 + math.log1p(b.own)) * max(math.log(p[i]), math.log(1 - p[i])) if b.own else 0.0
+        parts = (b.own > 0) + sum(blocks[c].text > 0 for c in b.children)
+        price = html_main.OPENING if parts > 1 else 0.0
+        for below in itertools.product(*(list(every_choice(blocks, p, c)) for c in b.children)):
+            kept = set().union(*(k for _, k in below)) | ({i} if p[i] > 0.5 else set())
+            yield own - price + sum(s for s, _ in below), kept
+
+
+def test_the_best_choice_of_all_is_found():
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.randint(1, 10)
+        parents = [-1] + [rng.randrange(max(0, i - 3), i) for i in range(1, n)]
+        blocks = [html_main.Block("div", parent, 0, 0, 0) for parent in parents]
+        for i in range(n - 1, -1, -1):
+            blocks[i].own = rng.choice([0, 0, 3, 40])
+            blocks[i].text += blocks[i].own
+            if i:
+                blocks[parents[i]].text += blocks[i].text
+                blocks[parents[i]].children.insert(0, i)
+        p = [rng.uniform(0.01, 0.99) for _ in range(n)]
+        score, kept = max(every_choice(blocks, p, 0), key=lambda x: x[0])
+        got = html_main.decode(blocks, html_main.np.array(p))
+        assert {i for i in range(n) if got[i] and blocks[i].own} == {i for i in kept if blocks[i].own}, score
+
+
 def test_no_choice_contradicts_one_above_it():
     blocks, _ = html_main.read_blocks(PAGE)
     for p in ([0.9] * len(blocks), [0.1] * len(blocks), [i % 2 * 0.98 + 0.01 for i in range(len(blocks))]):
