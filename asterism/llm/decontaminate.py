@@ -1,8 +1,8 @@
 """Find passages of benchmark items in documents, also if words were changed.
 
-Texts are sequences of words, lower-cased and without punctuation. A passage is a
-leak of an item of m words if its edit distance to the item, in words, is at most
-``allowed_edits(m)``, a fifth of m.
+Texts are sequences of words, lower-cased and without punctuation; in scripts that set
+no spaces, such as Han, kana and Thai, each character is a word. A passage is a leak of an item of m words if its edit distance to the item, in words, is at most
+``allowed_edits(m)``, a fifth of m. Items of one or two words are looked up as they are.
 
 * Windows. A passage so close to an item keeps at least ``m - 2 - 3 * edits`` of the
   item's three-word runs. Item-sized windows are therefore laid where the document
@@ -14,14 +14,14 @@ leak of an item of m words if its edit distance to the item, in words, is at mos
   becomes Hamming distance. A few sampled places of an embedding make a key; an item
   whose key a window has is a candidate. For each class of item sizes, a power of two
   wide, as many walks are used as a simulation with the items themselves needs to reach
-  the target recall at the largest distance; a class that does not is warned of.
+  the target recall at the largest distance. For a class that needs more than MOST_WALKS
+  every item that shares enough three-word runs with a window is a candidate.
 * Verification. The exact edit distance of the item to the best passage at the window.
 """
 
 from __future__ import annotations
 
 import re
-import warnings
 from collections import defaultdict
 from collections.abc import Iterator
 from math import ceil
@@ -39,18 +39,33 @@ RECALL = 0.99
 PLACES, KEYS, MOST_WALKS = 2, 4, 64
 # changed items that a simulation tries at least, and numbers of an embedding at once
 TRIALS, AT_ONCE = 128, 1 << 22
-# bytes of item texts that are searched for in one pass over the documents
+# bytes of item texts that are searched for in one pass over the documents, and what they
+# may take in a worker, as measured; a block that takes more is cut in two
 BLOCK_BYTES = 8 << 20
+ITEMS_LIMIT = 128 << 20
+# implied starts that are looked at together
+STARTS_AT_ONCE = 1 << 20
 SEED = 17
 
 LEAKS = "array<struct<item_id:long,start:int,n_words:int,distance:int,item_words:int>>"
 
+# Blocks of scripts without spaces between words: Thai and Lao, Burmese, Khmer,
+# kana, Han with its extensions and compatibility forms, half-width kana.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff"
+    "\u3005-\u3007\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af"
+)
 _WORDS = re.compile(r"\w+")
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORDS_OR_CHARACTERS = re.compile(f"(?=\\w)[{_UNSPACED}]|[^\\W{_UNSPACED}]+")
 _BITS = 20
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
+    text = (text or "").lower()
+    if text.isascii() or not _ANY_UNSPACED.search(text):
+        return _WORDS.findall(text)
+    return _WORDS_OR_CHARACTERS.findall(text)
 
 
 def allowed_edits(m: int) -> int:
@@ -123,6 +138,60 @@ def best_passage(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end
 
 
+class Runs:
+    """The three-word runs of some items, each with its offsets and a tag of its item."""
+
+    def __init__(self, items: Items, members: list[int], tags: list[int]):
+        none = np.zeros(0, np.int64)
+        codes = [items.codes(items.items[i]) for i in members]
+        offset = np.concatenate([none, *(np.arange(len(c)) for c in codes)])
+        tag = np.repeat(np.array(tags, np.int64), [len(c) for c in codes])
+        code = np.concatenate([none, *codes])
+        order = np.lexsort((tag, offset, code))
+        code, offset, tag = code[order], offset[order], tag[order]
+        new = np.ones(len(code), bool)
+        new[1:] = (code[1:] != code[:-1]) | (offset[1:] != offset[:-1]) | (tag[1:] != tag[:-1])
+        self.offset, self.tag = offset[new].astype(np.int32), tag[new].astype(np.int32)
+        self.codes, first = np.unique(code[new], return_index=True)
+        self.bounds = np.append(first, new.sum())
+        self.maybe = np.zeros(1 << _BITS, bool)
+        self.maybe[self._bit(self.codes)] = True
+
+    def arrays(self) -> list[np.ndarray]:
+        return [self.offset, self.tag, self.codes, self.bounds, self.maybe]
+
+    @staticmethod
+    def _bit(codes: np.ndarray) -> np.ndarray:
+        return (_mix(codes.astype(np.uint64)) >> np.uint64(64 - _BITS)).astype(np.int64)
+
+    def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a document has one of the runs, and which."""
+        if not len(codes) or not len(self.codes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.flatnonzero(self.maybe[self._bit(codes)] & (codes >= 0))
+        place = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
+        same = self.codes[place] == codes[at]
+        return at[same], place[same]
+
+    def implied(self, at: np.ndarray, runs: np.ndarray, unique: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The starts that these runs imply for a passage, and the tags, some at once."""
+        if not len(at):
+            return
+        times = self.bounds[runs + 1] - self.bounds[runs]
+        ends = times.cumsum()
+        first = 0
+        while first < len(at):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + STARTS_AT_ONCE, "right")))
+            n = times[first:last]
+            index = np.arange(n.sum()) + np.repeat(self.bounds[runs[first:last]] - (n.cumsum() - n), n)
+            start, tag = np.repeat(at[first:last], n) - self.offset[index], self.tag[index].astype(np.int64)
+            if unique:
+                start, tag = np.unique(np.stack([start, tag]), axis=1)
+            yield start, tag
+            first = last
+
+
 class Items:
     """A block of items, ready to be searched for."""
 
@@ -130,37 +199,61 @@ class Items:
         same: dict[tuple[str, ...], list[int]] = defaultdict(list)
         for item_id, text in items:
             same[tuple(words_of(text))].append(item_id)
-        same = {words: ids for words, ids in same.items() if len(words) >= 3}
+        same.pop((), None)
         self.ids = list(same.values())
         self.word_ids = {w: i for i, w in enumerate(sorted({w for words in same for w in words}), 1)}
         self.items = [np.array([self.word_ids[w] for w in words], np.int64) for words in same]
         self.base = len(self.word_ids) + 1
-        self.runs: dict[int, list[tuple[int, int]]] = defaultdict(list)  # run -> (offset, item's size)
-        for item in self.items:
-            for offset, code in enumerate(self.codes(item).tolist()):
-                self.runs[code].append((offset, len(item)))
-        self.runs = {code: sorted(set(at)) for code, at in self.runs.items()}
-        self.sorted_runs = np.array(sorted(self.runs), np.int64)
-        self.maybe = np.zeros(1 << _BITS, bool)
-        self.maybe[self._bit(self.sorted_runs)] = True
-        self.walks = self._walks(recall)  # of each class of sizes
-        self.tables: dict[int, list[int]] = defaultdict(list)
+        self.short = [self._short(size) for size in (1, 2)]
+        self.walks = self._walks(recall)  # of each class of sizes, 0 for one without keys
+        longest = max(map(len, self.items), default=0)
+        self.edits = np.array([allowed_edits(m) for m in range(longest + 1)], np.int64)
+        with_keys = [i for i, item in enumerate(self.items) if len(item) >= 3 and self.walks[len(item).bit_length()]]
+        without = [i for i, item in enumerate(self.items) if len(item) >= 3 and not self.walks[len(item).bit_length()]]
+        # for the first the size of an item is kept with each run, for the others the item
+        self.runs = Runs(self, with_keys, [len(self.items[i]) for i in with_keys])
+        self.exact_runs = Runs(self, without, without)
+        keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
         for size, members in self._by_size().items():
-            for i, row in zip(members, keys_of(np.stack([self.items[i] for i in members]), self.walks[size.bit_length()])):
-                for key in row.tolist():
-                    self.tables[key].append(i)
+            walks = self.walks[size.bit_length()]
+            if walks:
+                rows = keys_of(np.stack([self.items[i] for i in members]), walks)
+                keys.append(rows.ravel())
+                owners.append(np.repeat(np.array(members, np.int32), rows.shape[1]))
+        order = np.argsort(keys := np.concatenate(keys), kind="stable")
+        self.table_keys, self.table_items = keys[order], np.concatenate(owners)[order]
+
+    def _short(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the items of one or two words, ascending, and the items."""
+        members = np.array([i for i, item in enumerate(self.items) if len(item) == size], np.int64)
+        codes = np.array([self._code(self.items[i], size)[0] for i in members], np.int64)
+        order = np.argsort(codes)
+        return codes[order], members[order]
+
+    def _code(self, words: np.ndarray, size: int) -> np.ndarray:
+        """A number for each one or two words in a row, 0 or less for one with an unknown word."""
+        if size == 1:
+            return words
+        return np.where((words[:-1] > 0) & (words[1:] > 0), words[:-1] * self.base + words[1:], -1)
+
+    def bytes(self) -> int:
+        """About what this takes in a worker."""
+        arrays = [self.table_keys, self.table_items, self.edits, *self.runs.arrays(), *self.exact_runs.arrays()]
+        objects = 150 * len(self.word_ids) + sum(item.nbytes + 250 for item in self.items)
+        return sum(a.nbytes for a in arrays) + objects
 
     def _by_size(self) -> dict[int, list[int]]:
         sizes: dict[int, list[int]] = defaultdict(list)
         for i, item in enumerate(self.items):
-            sizes[len(item)].append(i)
+            if len(item) >= 3:
+                sizes[len(item)].append(i)
         return sizes
 
     def _walks(self, recall: float) -> dict[int, int]:
         """For each class of sizes (bits of the number of words) the walks that find the
-        share ``recall`` of items changed as much as is allowed."""
+        share ``recall`` of items changed as much as is allowed; 0 if MOST_WALKS do not."""
         classes: dict[int, list[np.ndarray]] = defaultdict(list)
-        for item in sorted(self.items, key=len):
+        for item in sorted((item for item in self.items if len(item) >= 3), key=len):
             classes[len(item).bit_length()].append(item)
         return {bits: self._walks_of(bits, items, recall) for bits, items in classes.items()}
 
@@ -192,18 +285,9 @@ class Items:
             if found >= recall * total:
                 return walks
             if walks >= MOST_WALKS:
-                warnings.warn(
-                    f"items of {len(items[0])} to {len(items[-1])} words: {walks} walks find {found / total:.3f}"
-                    f" of those changed as much as is allowed, less than {recall}",
-                    stacklevel=2,
-                )
-                return walks
+                return 0
             walks *= 2
 
-    @staticmethod
-    def _bit(codes: np.ndarray) -> np.ndarray:
-        return (_mix(codes.astype(np.uint64)) >> np.uint64(64 - _BITS)).astype(np.int64)
-
     def codes(self, words: np.ndarray) -> np.ndarray:
         """A number for each three-word run of known words, -1 for one with an unknown word."""
         if len(words) < 3:
@@ -211,39 +295,69 @@ class Items:
         a, b, c = words[:-2], words[1:-1], words[2:]
         return np.where((a > 0) & (b > 0) & (c > 0), (a * self.base + b) * self.base + c, -1)
 
-    def windows(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(start, size) of the windows of a document that may hold an item."""
-        codes = self.codes(words)
-        at = np.flatnonzero(self.maybe[self._bit(codes)] & (codes >= 0)) if len(codes) else codes
-        if not len(at):
-            return set()
-        place = np.minimum(np.searchsorted(self.sorted_runs, codes[at]), len(self.sorted_runs) - 1)
-        at = at[self.sorted_runs[place] == codes[at]]
-        found = set()
-        for p in at.tolist():
-            for offset, m in self.runs[int(codes[p])]:
-                start, edits = p - offset, allowed_edits(m)
-                if (start, m) in found:
-                    continue
-                low, high = np.searchsorted(at, (start - edits, start + m + edits))
-                if high - low >= m - 2 - 3 * edits and start > -m:
-                    found.add((start, m))
-        return found
+    def windows(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and sizes of the windows of a document that may hold an item."""
+        at, runs = self.runs.found(codes)
+        starts, sizes = [], []
+        for start, size in self.runs.implied(at, runs):
+            edits = self.edits[size]
+            low, high = np.searchsorted(at, start - edits), np.searchsorted(at, start + size + edits)
+            good = (high - low >= size - 2 - 3 * edits) & (start > -size)
+            starts.append(start[good])
+            sizes.append(size[good])
+        if not starts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pairs = np.unique(np.stack([np.concatenate(starts), np.concatenate(sizes)]), axis=1)
+        return pairs[0], pairs[1]
+
+    def without_keys(self, codes: np.ndarray) -> Iterator[tuple[int, set[int]]]:
+        """The items of classes without keys that share enough runs with a document, with the starts these imply.
+
+        The runs that a passage within the allowed edits keeps imply starts within twice
+        these edits of each other.
+        """
+        at, runs = self.exact_runs.found(codes)
+        of: dict[int, list[np.ndarray]] = defaultdict(list)
+        for start, item in self.exact_runs.implied(at, runs, unique=False):
+            order = np.argsort(item, kind="stable")
+            which, first = np.unique(item[order], return_index=True)
+            for i, part in zip(which.tolist(), np.split(start[order], first[1:])):
+                of[i].append(part)
+        for i, parts in of.items():
+            start, m = np.sort(np.concatenate(parts)), len(self.items[i])
+            edits = allowed_edits(m)
+            near = np.searchsorted(start, start + 2 * edits, "right") - np.searchsorted(start, start - 2 * edits)
+            if (good := start[(near >= m - 2 - 3 * edits) & (start > -m)]).size:
+                yield i, set(good.tolist())
+
+    def short_leaks(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The items of one or two words that a document has, and where first."""
+        for size, (codes, members) in enumerate(self.short, 1):
+            if len(codes) and len(words) >= size:
+                own = self._code(words, size)
+                at = np.flatnonzero(np.isin(own, codes))
+                known, first = np.unique(own[at], return_index=True)
+                yield from zip(members[np.searchsorted(codes, known)].tolist(), at[first].tolist())
 
     def search(self, texts: list[str | None]) -> list[list[dict]]:
         """The leaks in each text, one for each item, the nearest passage of it."""
         get = self.word_ids.get
         by_size: dict[int, list[tuple[int, int]]] = defaultdict(list)
         kept: dict[int, np.ndarray] = {}
+        candidates: dict[tuple[int, int], set[int]] = defaultdict(set)
         for number, text in enumerate(texts):
-            ids = [get(w, 0) for w in words_of(text)]
-            words = np.array(ids, np.int64)
-            found = self.windows(words)
-            if found:
+            words = np.array([get(w, 0) for w in words_of(text)], np.int64)
+            codes = self.codes(words)
+            starts, sizes = self.windows(codes)
+            for start, m in zip(starts.tolist(), sizes.tolist()):
+                by_size[m].append((number, start))
+                kept[number] = words
+            for i, found in self.without_keys(codes):
+                candidates[number, i] |= found
+                kept[number] = words
+            for i, start in self.short_leaks(words):
+                candidates[number, i].add(start)
                 kept[number] = words
-                for start, m in sorted(found):
-                    by_size[m].append((number, start))
-        candidates: dict[tuple[int, int], set[int]] = defaultdict(set)
         for m, at in by_size.items():
             for begin in range(0, len(at), 256):
                 part = at[begin : begin + 256]
@@ -252,8 +366,11 @@ class Items:
                     words = kept[number]
                     a, b = max(start, 0), min(start + m, len(words))
                     row[a - start : b - start] = words[a:b]
-                for (number, start), keys in zip(part, keys_of(rows, self.walks[m.bit_length()]).tolist()):
-                    for i in {i for key in keys for i in self.tables.get(key, ())}:
+                keys = keys_of(rows, self.walks[m.bit_length()])
+                low, high = (np.searchsorted(self.table_keys, keys.ravel(), side) for side in ("left", "right"))
+                for hit in np.flatnonzero(high > low).tolist():
+                    number, start = part[hit // keys.shape[1]]
+                    for i in self.table_items[low[hit] : high[hit]].tolist():
                         candidates[number, i].add(start)
         best = {(number, i): self._nearest(i, kept[number], at) for (number, i), at in candidates.items()}
         best = {at: found for at, found in best.items() if found[0] <= allowed_edits(len(self.items[at[1]]))}
@@ -275,11 +392,15 @@ class Items:
         for start in sorted(starts):
             if start >= 0 and np.array_equal(words[start : start + m], item):
                 return 0, start, start + m
-        found = []
-        for start in starts:
-            a = max(0, start - edits)
-            distance, first, last = best_passage(item, words[a : max(0, start + m + edits)])
-            found.append((distance, a + first, a + last))
+        # starts whose surroundings overlap are looked at together
+        found, ordered = [], sorted(starts)
+        first = ordered[0]
+        for start, after in zip(ordered, [*ordered[1:], None]):
+            if after is None or after - edits > start + m + edits:
+                a = max(0, first - edits)
+                distance, begin, end = best_passage(item, words[a : max(0, start + m + edits)])
+                found.append((distance, a + begin, a + end))
+                first = after
         return min(found)
 
 
@@ -293,10 +414,22 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
         yield sorted(((r["item_id"], r["text"]) for r in part.toLocalIterator()), key=str)
 
 
-def _searched(docs: DataFrame, items: list[tuple[int, str | None]], text: Column) -> DataFrame:
+def _prepared(benchmark: DataFrame) -> Iterator[Items]:
+    """The items of each block, ready to be searched for, in parts that take at most ITEMS_LIMIT."""
+    for block in _blocks(benchmark):
+        parts = [block]
+        while parts:
+            part = parts.pop()
+            items = Items(part)
+            if items.bytes() > ITEMS_LIMIT and len(part) > 1:
+                parts += [part[len(part) // 2 :], part[: len(part) // 2]]
+            else:
+                yield items
+
+
+def _searched(docs: DataFrame, items: Items, text: Column) -> DataFrame:
     """``docs`` with a column ``leaks``."""
-    found = Items(items)
-    shared = docs.sparkSession.sparkContext.broadcast(found)  # of one block
+    shared = docs.sparkSession.sparkContext.broadcast(items)  # of a measured size
 
     def of(texts: pd.Series) -> pd.Series:
         parts = (texts.iloc[at : at + ROWS_AT_ONCE].tolist() for at in range(0, len(texts), ROWS_AT_ONCE))
@@ -310,12 +443,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) that it leaks.
 
     ``start`` and ``n_words`` give the nearest passage in words. Null and empty texts
-    have no leaks and items of under three words match nothing. Items with the same
-    words are each reported, also repeated ones, as are repeated documents.
+    have no leaks and items without a word match nothing. Items with the same words are
+    each reported, also repeated ones, as are repeated documents.
     """
     slim = docs.select("doc_id", "text")
     whole = None
-    for items in _blocks(benchmark):
+    for items in _prepared(benchmark):
         leaks = _searched(slim, items, F.col("text")).select("doc_id", F.inline("leaks"))
         whole = leaks if whole is None else whole.unionAll(leaks)
     return whole
@@ -324,6 +457,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that leak no item."""
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    for items in _blocks(benchmark):
+    for items in _prepared(benchmark):
         rows = _searched(rows, items, F.col("row.text")).where(F.size("leaks") == 0).drop("leaks")
     return rows.select("row.*")

@@ -52,11 +52,61 @@ def test_recall_of_few_long_items_among_many_short_ones():
     assert sum(any(x["item_id"] == i for x in of) for of, i in zip(leaks, want)) >= 0.97 * len(want)
 
 
-def test_a_target_that_is_not_reached_is_warned_of(monkeypatch):
-    monkeypatch.setattr(D, "MOST_WALKS", 4)
+def test_a_class_beyond_the_most_walks_is_searched_exactly(monkeypatch):
+    monkeypatch.setattr(D, "MOST_WALKS", 1)
     rng = random.Random(6)
-    with pytest.warns(UserWarning, match="600 to 600 words"):
-        D.Items([(i, " ".join(words(rng, 600, 4000))) for i in range(2)])
+    items = [words(rng, n, 4000) for n in (600, 600, 9, 14, 30, 45, 45)]
+    items += [items[5][:20] + items[6][20:], ["a", "b"] * 20]
+    found = D.Items([(i, " ".join(x)) for i, x in enumerate(items)])
+    assert found.walks[10] == 0
+    texts, want = [], []
+    for n in range(150):
+        item = items[n % len(items)]
+        passage = changed(rng, item, D.allowed_edits(len(item)))
+        texts.append(words(rng, rng.randint(0, 40)) + passage + words(rng, rng.randint(0, 40)))
+        want.append(n % len(items))
+    leaks = found.search([" ".join(t) for t in texts])
+    assert all(any(x["item_id"] == i for x in of) for of, i in zip(leaks, want))
+    monkeypatch.setattr(D, "STARTS_AT_ONCE", 7)
+    assert found.search([" ".join(t) for t in texts]) == leaks
+
+
+def test_exact_search_finds_what_brute_force_finds(monkeypatch):
+    monkeypatch.setattr(D.Items, "_walks_of", staticmethod(lambda bits, items, recall: 0))
+    rng = random.Random(8)
+    items = [words(rng, n, 12) for n in (1, 1, 2, 2, 3, 6, 10, 10, 16)]
+    found = D.Items([(i, " ".join(x)) for i, x in enumerate(items)])
+    texts = [changed(rng, rng.choice(items) + words(rng, 4, 12), rng.randint(0, 3)) for _ in range(80)]
+    for text, of in zip(texts, found.search([" ".join(t) for t in texts])):
+        want = {i: nearest(item, text) for i, item in enumerate(items)}
+        want = {(i, d) for i, d in want.items() if d <= D.allowed_edits(len(items[i]))}
+        assert {(x["item_id"], x["distance"]) for x in of} == want
+
+
+@pytest.mark.parametrize("size", [15, 40, 100, 300, 900])
+def test_recall_by_class_of_sizes(size):
+    rng = random.Random(size)
+    items = [words(rng, rng.randint(size, size + size // 4), 5000) for _ in range(12)]
+    found = D.Items([(i, " ".join(x)) for i, x in enumerate(items)])
+    texts = [" ".join(words(rng, 20) + changed(rng, items[n % 12], D.allowed_edits(len(items[n % 12])))) for n in range(120)]
+    got = sum(any(x["item_id"] == n % 12 for x in of) for n, of in enumerate(found.search(texts)))
+    assert got >= 0.97 * len(texts)
+
+
+def test_short_items_and_scripts_without_spaces():
+    items = [
+        "Paris France", "Paris", "unheard", "東京は日本の首都です。人口は多い", "東京", "กรุงเทพ", "ᄒ",
+        "the capital of 日本 is 東京", "", "...",
+    ]
+    found = D.Items([*enumerate(items), (99, None), (98, "PARIS, france!")])
+    texts = [
+        "in Paris France now", "paris. Paris", "France Paris", "昔から東京は日本の首都です。人口は多いと言う", "東 京", "x",
+        "We say the capital of 日本 is 東京都.", "อยู่กรุงเทพ", "", None, "comparis",
+    ]
+    got = [[(x["item_id"], x["start"], x["n_words"]) for x in of] for of in found.search(texts)]
+    assert got[0] == [(0, 1, 2), (98, 1, 2), (1, 1, 1)] and got[1] == [(1, 0, 1)] and got[2] == [(1, 1, 1)]
+    assert {x[0] for x in got[3]} == {3, 4} and got[4] == [(4, 0, 2)] and {x[0] for x in got[6]} == {4, 7}
+    assert [x[0] for x in got[7]] == [5] and not any(got[i] for i in (5, 8, 9, 10))
 
 
 def test_recall_at_the_limit_and_precision():
@@ -125,5 +175,8 @@ def test_blocks_of_items_find_the_same(spark, messy, monkeypatch):
     items = [(i, f"alpha beta gamma item {i} delta") for i in range(20)] + [(99, "old river bank the quick")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     want = sorted(map(tuple, D.find_leaks(messy, benchmark).collect()))
+    monkeypatch.setattr(D, "ITEMS_LIMIT", 4 << 20)  # the table of bits takes two thirds
+    assert sorted(map(tuple, D.find_leaks(messy, benchmark).collect())) == want
+    monkeypatch.setattr(D, "ITEMS_LIMIT", 1)
     monkeypatch.setattr(D, "BLOCK_BYTES", 200)
     assert sorted(map(tuple, D.find_leaks(messy, benchmark).collect())) == want
