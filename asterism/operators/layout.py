@@ -5,6 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def cluster(df: DataFrame, column: str) -> DataFrame:
+    """Rows in ranges of ``column``, each sorted by it, so that few files and row groups have one value.
+
+    Rows with one value are cut into ranges by a hash of the whole row, so a value with a
+    third of them is spread as well; repeated rows stay together.
+    """
+    row = [F.col(f"`{c}`") for c in df.columns]
+    place = [F.col(f"`{column}`"), F.xxhash64(*row)]
+    return df.repartitionByRange(*place).sortWithinPartitions(*place)
 
 
 def rebalance(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -98,10 +98,11 @@ class Ledger:
         keys: Sequence[str] = (),
         compact: bool = False,
         more: Sequence[object] = (),
+        lookup: str | None = None,
     ) -> None:
         """Make and write a table, if it is lacking."""
         if self.lacks(name, *more):
-            write_table(make(), self.root, name, keys, compact, self.origin(*more))
+            write_table(make(), self.root, name, keys, compact, self.origin(*more), lookup)
 
 
 def run_catalogue(
@@ -113,6 +114,7 @@ def run_catalogue(
     required: Sequence[str] = (),
     bad_lines: bool = False,
     resume: bool = False,
+    by_id: bool = False,
 ) -> dict[str, int]:
     """Catalogue tree to the ``songs`` and ``artists`` tables.
 
@@ -123,6 +125,7 @@ def run_catalogue(
     ``incomplete``, lacking a required field, and ``bad``; no job is added for that.
     With ``resume`` tables that an earlier run with ``resume`` made from the same files and
     options stay; if all do, nothing is read and there are no figures.
+    ``by_id`` lays the artists out for look-ups by id, see ``write_table``.
     """
     songs = songs_table(song_keys)
     ledger = Ledger(
@@ -134,7 +137,9 @@ def run_catalogue(
     )
     by_keys = [sorted((key, repr(of)) for key, of in song_keys.items())]
     bad_table = CATALOGUE_DATASET + BAD_LINES
-    if not (ledger.lacks(songs.name, *by_keys) or ledger.lacks(ARTISTS.name) or bad_lines and ledger.lacks(bad_table)):
+    lookup = ARTISTS.lookup if by_id else None
+    layout = [lookup] if lookup else []
+    if not (ledger.lacks(songs.name, *by_keys) or ledger.lacks(ARTISTS.name, *layout) or bad_lines and ledger.lacks(bad_table)):
         return {}
     seen = Observation()
     lines = _watched(read_catalogue(spark, input_root, bad_lines=bad_lines), seen, required)
@@ -144,7 +149,7 @@ def run_catalogue(
             ledger.write(lambda: bad, bad_table)
             catalogue = drop_null(catalogue, required)
         ledger.write(lambda: build_songs(catalogue, song_keys), songs.name, [*songs.keys], True, by_keys)
-        ledger.write(lambda: build_artists(catalogue), ARTISTS.name)
+        ledger.write(lambda: build_artists(catalogue), ARTISTS.name, more=layout, lookup=lookup)
     return observed(seen)
 
 
@@ -173,6 +178,7 @@ def run_log(
     most_tasks: int = MOST_TASKS,
     bad_lines: bool = False,
     resume: bool = False,
+    by_id: bool = False,
 ) -> dict[str, int]:
     """Log tree and the stored ``songs`` to the ``users``, ``time`` and ``songplays`` tables.
 
@@ -190,6 +196,7 @@ def run_log(
 
     With ``resume`` tables that an earlier run with ``resume`` made from the same files,
     options and songs stay; if all do, nothing is read and there are no figures.
+    ``by_id`` lays the users out for look-ups by id, see ``write_table``.
     """
     ledger = Ledger(
         spark,
@@ -201,8 +208,10 @@ def run_log(
     stored = songs_table(song_keys)
     of_fact = [table_path(spark, output_root, stored.name), [*map(tuple, on)], dedup_before_id, ordered_key]
     bad_table = LOG_DATASET + BAD_LINES
+    lookup = USERS.lookup if by_id else None
+    layout = [lookup] if lookup else []
     fact_lacks = ledger.lacks(SONGPLAYS.name, *of_fact)
-    if not (fact_lacks or ledger.lacks(USERS.name) or ledger.lacks(TIME.name) or bad_lines and ledger.lacks(bad_table)):
+    if not (fact_lacks or ledger.lacks(USERS.name, *layout) or ledger.lacks(TIME.name) or bad_lines and ledger.lacks(bad_table)):
         return {}
     seen, figures = Observation(), JoinFigures()
     lines = read_log(spark, input_root, bad_lines=bad_lines)
@@ -217,7 +226,7 @@ def run_log(
             rows, bad = split_bad_lines(plays)
             ledger.write(lambda: bad, bad_table)
             plays = select_plays(drop_null(rows, required), page)
-        ledger.write(lambda: build_users(plays), USERS.name)
+        ledger.write(lambda: build_users(plays), USERS.name, more=layout, lookup=lookup)
         ledger.write(lambda: build_time(plays, compact=True), TIME.name, [*TIME.keys])
         if not fact_lacks:
             return observed(seen)
@@ -247,6 +256,7 @@ def run_star(
     required_log: Sequence[str] = (),
     bad_lines: bool = False,
     resume: bool = False,
+    by_id: bool = False,
     **log_options,
 ) -> dict[str, dict[str, int]]:
     """Both jobs in order; the log job needs the stored songs. Returns the figures of both.
@@ -254,9 +264,10 @@ def run_star(
     With ``resume`` a run that was stopped goes on with the tables it had not finished.
     """
     log_options |= {"stage_inputs": stage_inputs, "required": required_log, "bad_lines": bad_lines, "resume": resume}
+    log_options["by_id"] = by_id
     return {
         CATALOGUE_DATASET: run_catalogue(
-            spark, input_root, output_root, song_keys, stage_inputs, required_song, bad_lines, resume
+            spark, input_root, output_root, song_keys, stage_inputs, required_song, bad_lines, resume, by_id
         ),
         LOG_DATASET: run_log(spark, input_root, output_root, song_keys, **log_options),
     }

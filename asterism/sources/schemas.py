@@ -31,6 +31,8 @@ class Table:
     name: str
     columns: dict[str, str]
     keys: dict[str, str] = field(default_factory=dict)
+    # the id that rows are looked up by
+    lookup: str | None = None
 
     @property
     def schema(self) -> str:
@@ -54,6 +56,7 @@ ARTISTS = Table(
         "latitude": "DOUBLE",
         "longitude": "DOUBLE",
     },
+    lookup="artist_id",
 )
 USERS = Table(
     "users",
@@ -64,6 +67,7 @@ USERS = Table(
         "gender": "STRING",
         "level": "STRING",
     },
+    lookup="user_id",
 )
 TIME = Table(
     "time",

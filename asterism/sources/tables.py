@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from asterism.operators.layout import rebalance
+from asterism.operators.layout import cluster, rebalance
 from asterism.sources.json_tree import dataset_path
 from asterism.sources.versions import current_origin, current_version, finish_version, next_version
 
@@ -18,6 +18,7 @@ def write_table(
     keys: Sequence[str] = (),
     compact: bool = False,
     origin: str | None = None,
+    lookup: str | None = None,
 ) -> str:
     """Replace the table ``name`` under ``root`` with ``df`` and return the address of its files.
 
@@ -31,11 +32,23 @@ def write_table(
     The whole table is replaced whatever the session says of partitions.
     ``expire_versions`` frees what earlier versions take. ``origin`` names what the
     rows were made from, for ``made_from``.
+
+    ``lookup`` is a column that rows will be looked up by. They are stored in ranges of it, for one
+    exchange by range, with a Parquet Bloom filter for each row group: a read with
+    ``where(column == value)`` then skips files and row groups that can't have the value, by
+    their least and greatest values and by the filter. It is for tables without ``keys``.
     """
+    if lookup is not None and (keys or compact):
+        raise ValueError("either keys or lookup")
     spark = df.sparkSession
     version = next_version(spark, dataset_path(root, name))
     rows = rebalance(df, keys) if keys and compact else df
+    rows = cluster(rows, lookup) if lookup else rows
     writer = rows.write.mode("errorifexists")
+    if lookup:
+        # adaptive: of filters of several sizes the smallest that does for a row group is kept
+        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(version)

@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--ordered-key", action="store_true", help="number the fact in a fixed order")
     build.add_argument("--bad-lines", action="store_true", help="keep lines that can't be read in tables of their own")
     build.add_argument("--resume", action="store_true", help="leave tables that an earlier run with --resume made from the same input")
+    build.add_argument("--by-id", action="store_true", help="lay artists and users out for look-ups by id")
     show = commands.add_parser("preview", parents=[common], help="a few rows of each stored table")
     show.add_argument("output_root")
     show.add_argument("--rows", type=int, default=10)
@@ -69,7 +70,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = create_session(conf=conf)
     song_keys = SONG_FOLDERS[args.song_folders]
     if args.command == "build":
-        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "ordered_key": args.ordered_key, "bad_lines": args.bad_lines, "resume": args.resume}
+        options = {"page": args.page, "dedup_before_id": args.dedup_before_id, "ordered_key": args.ordered_key, "bad_lines": args.bad_lines, "resume": args.resume, "by_id": args.by_id}
         if args.drop_null_keys:
             options |= REQUIRED
         print(json.dumps(run_star(spark, args.input_root, args.output_root, song_keys, **options)))

@@ -152,6 +152,8 @@ ORACLES: dict[str, str] = {
     "scan_songplays_leaf": _fact(_PLAYS, _CUSTOMER_SONGS, keyed=False),
     "sink_artists": _artists(_PART_SONGS),
     "sink_users": _FINISHED_ORDERS,
+    "sink_artists_by_id": _artists(_PART_SONGS),
+    "sink_users_by_id": _FINISHED_ORDERS,
     "sink_time_by_month": _time("orders", "o_orderdate"),
     "sink_overwrite": _songs(_CUSTOMER_SONGS, *_TWICE),
     "scan_json_log": _LOG_LINES,

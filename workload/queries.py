@@ -231,6 +231,19 @@ def sink_users(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, root, USERS.name, leaf_depth=0)
 
 
+def sink_artists_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Laid out for look-ups by id."""
+    root = scratch_root(spark)
+    write_table(build_artists(catalogue_from_part(spark, sf)), root, ARTISTS.name, lookup=ARTISTS.lookup)
+    return read_table(spark, root, ARTISTS.name, ARTISTS.schema)
+
+
+def sink_users_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_root(spark)
+    write_table(build_users(_order_users(spark, sf)), root, USERS.name, lookup=USERS.lookup)
+    return read_table(spark, root, USERS.name, USERS.schema)
+
+
 def _stored_time(spark: SparkSession, sf: str) -> str:
     root = scratch_root(spark)
     times = build_time(table(spark, sf, "orders"), "o_orderdate", compact=True)
@@ -387,6 +400,8 @@ QUERIES: dict[str, Query] = {
     "scan_songplays_leaf": scan_songplays_leaf,
     "sink_artists": sink_artists,
     "sink_users": sink_users,
+    "sink_artists_by_id": sink_artists_by_id,
+    "sink_users_by_id": sink_users_by_id,
     "sink_time_by_month": sink_time_by_month,
     "sink_overwrite": sink_overwrite,
     "scan_json_log": scan_json_log,
