@@ -13,6 +13,8 @@ notices. A paragraph ends at a copyright line and at one without words.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,25 +80,56 @@ ITEM = (
     r"(^|[a-z0-9)\x22”]{2}[.;:](?:[\x00-\x20]+(?:and|or))?[\x00-\x20]+)"
     r"(?:[(\[]?(?:[0-9]{1,2}(?:\.[0-9]{1,2})*|[a-z]|[ivx]{2,4})[.)\]:]+[\x00-\x20]+)+"
 )
+# what every item ends in: seeks its last signs, of which a text has few
+ITEM_END = r"[.)\]:][\x00-\x20](?<=(?:[0-9ivx.)\]:]|(?:^|[\x00-\x20(\[])[a-z])[.)\]:][\x00-\x20])"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—…•·©]+"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—…•·©]"
+# the same for lowered texts: at letters and digits, most of a text, a look at one table is enough
+_PUNCTUATION = rf"(?=\P{{Alnum}}){PUNCTUATION}"
 BREAK = " ?\n[ \n]*"
 _ASCII_UPPER, _ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# letters and signs of the spellings, rare ones first
+_RARE = ":zqxjkvbpygfwmucldrhsnioate "
+
+
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern with a match in every text that holds one of ``words``, and in no other. Each is
+    sought by its rarest letter, so that most places of a text fail at once."""
+    ends: dict[str, list[str]] = {}
+    for word in words:
+        at = min(range(len(word)), key=lambda i: _RARE.index(word[i]))
+        ends.setdefault(word[at], []).append(f"{word[at + 1:]}(?<={word})")
+    branches = [f"{letter}(?:{'|'.join(of)})" for letter, of in ends.items()]
+    return f"(?=[{''.join(ends)}])(?:{'|'.join(branches)})"
+
+
+def _respelled(texts: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
+    """Texts of an array with one of each pair put for the other; those that hold none stay as they are."""
+    others = _any_of(other for other, _ in pairs)
+
+    def respelled(text: Column) -> Column:
+        new = text
+        for other, ours in pairs:
+            new = F.replace(new, F.lit(other), F.lit(ours))
+        return F.when(text.rlike(others), new).otherwise(text)
+
+    return F.transform(texts, respelled)
+
+
+def _canonical(parts: Column) -> Column:
+    """Canonical forms of lowered lines or paragraphs."""
 
+    def words(part: Column) -> Column:
+        form = F.when(part.rlike(ITEM_END), F.regexp_replace(F.trim(part), ITEM, "$1")).otherwise(part)
+        return F.trim(F.regexp_replace(form, _PUNCTUATION, " "))
 
-def _canonical(part: Column) -> Column:
-    """Canonical form of a lowered line or paragraph."""
-    form = F.regexp_replace(F.trim(part), ITEM, "$1")
-    form = F.trim(F.regexp_replace(form, PUNCTUATION, " "))
-    for other, ours in PHRASES:
-        form = F.replace(form, F.lit(other), F.lit(ours))
-    return form
+    return _respelled(F.transform(parts, words), PHRASES)
 
 
 def _paragraphs(lines: Column) -> Column:
     """Canonical paragraphs of lines, of which some are but a line feed. Others have none."""
     joined = F.array_join(lines, " ")
-    return F.filter(F.transform(F.split(joined, BREAK, -1), _canonical), lambda part: part != "")
+    return F.filter(_canonical(F.split(joined, BREAK, -1)), lambda part: part != "")
 
 
 def forms(texts: DataFrame, *keep: str) -> DataFrame:
@@ -104,23 +137,23 @@ def forms(texts: DataFrame, *keep: str) -> DataFrame:
     with its copyright lines (null if it has none), and ``parts``, those of its lines and
     paragraphs, as bytes."""
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), _ASCII_UPPER, _ASCII_LOWER)
-    for other, ours in SPELLINGS:
-        lowered = F.replace(lowered, F.lit(other), F.lit(ours))
-    lines = F.transform(F.split(lowered, "\n", -1), lambda line: F.regexp_replace(line, DECORATION, ""))
+    lines = _respelled(F.split(lowered, "\n", -1), SPELLINGS)
+    lines = F.transform(lines, lambda line: F.regexp_replace(line, DECORATION, ""))
     rows = texts.select(*keep, lines.alias("_lines"))
+    rows = rows.select(*keep, "_lines", F.transform("_lines", lambda line: line.rlike(COPYRIGHT_LINE)).alias("_owned"))
 
     def where_words(line: Column) -> Column:
         return F.when(line.rlike(WORDS), line).otherwise("\n")
 
-    owned = F.transform("_lines", lambda line: F.when(line.rlike(COPYRIGHT_LINE), "\n").otherwise(where_words(line)))
-    rows = rows.select(*keep, "_lines", owned.alias("_kept"))
+    kept = F.zip_with("_lines", "_owned", lambda line, owned: F.when(owned, "\n").otherwise(where_words(line)))
+    rows = rows.select(*keep, "_lines", "_owned", kept.alias("_kept"))
     rows = rows.select(
         *keep,
         F.when(
-            F.exists("_lines", lambda line: line.rlike(COPYRIGHT_LINE)),
+            F.array_contains("_owned", True),
             F.md5(F.array_join(_paragraphs(F.transform("_lines", where_words)), " ")),
         ).alias("as_is"),
-        F.transform(F.filter("_kept", lambda line: line != "\n"), _canonical).alias("_single"),
+        _canonical(F.filter("_kept", lambda line: line != "\n")).alias("_single"),
         _paragraphs(F.col("_kept")).alias("_paragraphs"),
     )
     parts = F.array_distinct(F.concat("_single", "_paragraphs"))

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import random
 import re
 import textwrap
 from importlib import resources
@@ -188,3 +189,33 @@ def test_known_texts_from_a_table(spark, documents):
     rows = licenses.license_scan(documents([(1, "you may read this"), (2, "a\n\nYou may\nread this\n\nb"), (3, MIT)]), table)
     got = {r["doc_id"]: (r["license"], r["notices"]) for r in rows.collect()}
     assert got == {1: ("Ours", "Ours"), 2: (None, "Ours"), 3: (None, "")}
+
+
+def test_lines_are_asked_once_for_owners_and_respelled_where_needed(documents):
+    """The costly patterns see each line once, and replacements only texts that hold a spelling."""
+    plan = licenses.forms(documents([(1, MIT)]), "doc_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(licenses.COPYRIGHT_LINE) == 1
+    assert re.search(r"RLIKE\([^\n]*?acknowledgement[^\n]*? THEN (replace\()+", plan)
+    assert plan.count(licenses.ITEM) == plan.count(f"{licenses.ITEM_END}) THEN regexp_replace")
+
+
+def test_spellings_are_told_exactly(spark):
+    words = [other for other, _ in licenses.SPELLINGS + licenses.PHRASES]
+    texts = [*words, *(f"xx{w}\n{w}" for w in words), *(w[:-1] for w in words), *(w[1:] for w in words), "", "kgyfubcpv:ljxmw"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for pairs in (licenses.SPELLINGS, licenses.PHRASES):
+        others = [other for other, _ in pairs]
+        got = rows.select("text", rows.text.rlike(licenses._any_of(others)).alias("found")).collect()
+        assert [r for r in got if r["found"] != any(o in r["text"] for o in others)] == []
+
+
+def test_mixed_texts_have_the_plain_canonical_form(documents):
+    """Items, signs and spellings in any order, within and across lines."""
+    pieces = [other for other, _ in licenses.SPELLINGS + licenses.PHRASES]
+    pieces += ["word", "non", "commercial", "éö", "x", "end;", "end.", 'so":', "and", "or", "copyright", "2020", "©"]
+    pieces += ["a)", "(b)", "[c]", "1.", "1.2.3.", "iv.)", "xiii:", "12", "123.", "é.", "“", "”;", "—", "…", "\t", "*", "--", "A.", "I)"]
+    draw = random.Random(8)
+    texts = ["".join(draw.choice(pieces) + draw.choice(["", " ", " ", " ", "  ", "\n", "\n\n", " \n* "]) for _ in range(30)) for _ in range(400)]
+    got = {r["doc_id"]: r["digest"] for r in licenses.license_scan(documents([*enumerate(texts)])).collect()}
+    wrong = [t for i, t in enumerate(texts) if got[i] != hashlib.md5(canonical_text(t).encode()).hexdigest()]
+    assert wrong == []
